@@ -1,0 +1 @@
+"""Incremental ingest of trip files as they land (Structured Streaming)."""
