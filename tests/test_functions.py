@@ -1,0 +1,56 @@
+from pyspark.sql import functions as F
+
+from tripcast.functions.calendar import (day_of, iso_date, month_of, time_of_day_class,
+                                         unix_day_seconds)
+from tripcast.functions.labels import business_month_label, route_label
+from tripcast.functions.money import exact_avg, exact_sum
+
+
+def test_iso_date_independent_of_session_zone(spark):
+    df = spark.createDataFrame([(1684713600,), (1672531200,), (1685577599,)], "date long")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for tz in ("UTC", "America/New_York", "Asia/Tokyo"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            got = [tuple(r) for r in df.select(iso_date("date"), month_of("date"),
+                                               day_of("date")).collect()]
+            assert got == [("2023-05-22", 5, 22), ("2023-01-01", 1, 1), ("2023-05-31", 5, 31)], tz
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_unix_day_seconds_roundtrip(spark):
+    df = spark.sql("select timestamp_ntz'2023-05-22 17:45:00' as ts, date'2023-02-28' as d")
+    r = df.select(unix_day_seconds("ts").alias("a"), unix_day_seconds("d").alias("b")).first()
+    assert r.a == 1684713600
+    assert r.b == 1677542400
+
+
+def test_time_of_day_bounds(spark):
+    df = spark.createDataFrame([(h,) for h in [0, 5, 6, 11, 12, 16, 17, 19, 20, 23, None]], "h int")
+    got = {r.h: r.c for r in df.select("h", time_of_day_class("h").alias("c")).collect()}
+    assert got == {0: "night", 5: "night", 6: "morning", 11: "morning", 12: "afternoon",
+                   16: "afternoon", 17: "evening", 19: "evening", 20: "night", 23: "night",
+                   None: None}
+
+
+def test_route_label_null_name_becomes_unknown(spark):
+    df = spark.createDataFrame([("A", "B"), (None, "B"), ("A", None)], "a string, b string")
+    got = [r.r for r in df.select(route_label("a", "b").alias("r")).collect()]
+    assert got == ["A to B", "Unknown to B", "A to Unknown"]
+
+
+def test_business_month_label(spark):
+    df = spark.createDataFrame([("Uber", 1), ("Lyft", 12)], "b string, m int")
+    assert [r.l for r in df.select(business_month_label("b", "m").alias("l")).collect()] == \
+        ["Uber-1", "Lyft-12"]
+
+
+def test_exact_money_sum_and_avg(spark):
+    df = spark.createDataFrame([(0.1,), (0.2,), (None,), (-0.3,), (0.1,)], "x double")
+    r = df.agg(exact_sum("x").alias("s"), exact_avg("x").alias("a")).first()
+    assert r.s == 0.1
+    assert r.a == 0.025
+    empty = spark.createDataFrame([(None,)], "x double")
+    assert empty.agg(exact_avg("x").alias("a")).first().a is None
+    assert F is not None

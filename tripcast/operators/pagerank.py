@@ -12,18 +12,32 @@ which the source analysis calls with reset probability 0.17 and tol 0.01):
 3. Stop when no vertex sends; scale all ranks so they sum to the number of
    vertices (this corrects for sinks).
 
-Spark plan: weighted edges are collapsed once, joined with their source's
-out-degree and checkpointed, hash-partitioned by ``src``.  Each round is one
-join of the edge table with the (filtered) senders, a partial + final
-``sum`` of messages per destination, and a left join back onto the vertex
-state.  The state is checkpointed to the shared checkpoint folder every
-round, so lineage stays one round long and a lost executor only recomputes
-one round from reliable storage.  The only values that reach the driver are
-the per-round message count and the final rank sum.
+Spark plan.  Weighted edges are collapsed once (partial aggregation, so a hot
+zone pair holding a third of all trips is folded map-side) and turned into
+"links": every out-edge with its share p = w / outdeg(src), plus one self link
+per vertex that carries the vertex's own state forward.  One round is
+
+    state(id, rank, delta, active)  JOIN  links ON src = id
+      -> per target: own rank/delta (self link) and the sum of messages
+      -> GROUP BY target (partial + final aggregate, one shuffle)
+
+so each round reads the previous state exactly once and the plan grows
+linearly with the rounds.  ``rounds_per_job`` rounds are chained into one plan
+and materialised together with a reliable checkpoint to the shared checkpoint
+folder, which also cuts the lineage: a lost executor recomputes at most those
+rounds.  Rounds after convergence change nothing (nobody sends), so checking
+for convergence every few rounds gives exactly the stop-at-once result.
+
+Each round shuffles the state (one row per vertex), the links (bounded by
+the number of distinct zone pairs plus vertices, independent of the number of
+trips) and the map-side pre-aggregated messages.  A broadcast of the state was
+measured slower: it adds one driver round trip per round.  Only a convergence
+flag per job and the final rank sum reach the driver.
 """
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,66 +45,87 @@ from tripcast.session import ensure_checkpoint_dir
 
 DEFAULT_RESET = 0.17
 DEFAULT_TOL = 0.01
+ROUNDS_PER_JOB = 5
 # Deltas shrink by (1 - r) per hop, so the loop always ends; this is only a
 # guard against a misconfigured tolerance (e.g. 0), and exceeding it raises.
 MAX_ROUNDS = 10_000
 
 
+def _weighted_shares(ids: DataFrame, edges: DataFrame) -> DataFrame:
+    """(src, dst, p): p = w(src,dst) / outdeg(src) over edges with both
+    endpoints in ``ids``."""
+    e = edges.select(F.col("src").cast("long").alias("src"),
+                     F.col("dst").cast("long").alias("dst"),
+                     (F.col("weight") if "weight" in edges.columns else F.lit(1))
+                     .cast("double").alias("w"))
+    e = (e.join(ids.select(F.col("id").alias("src")), "src", "left_semi")
+          .join(ids.select(F.col("id").alias("dst")), "dst", "left_semi")
+          .groupBy("src", "dst").agg(F.sum("w").alias("w")))
+    outdeg = e.groupBy("src").agg(F.sum("w").alias("outdeg"))
+    return e.join(outdeg, "src").select("src", "dst", (F.col("w") / F.col("outdeg")).alias("p"))
+
+
+def _round(state: DataFrame, links: DataFrame, keep: float, tol: float) -> DataFrame:
+    """One round: state(id, rank, delta, active) -> next state.
+
+    Written as one join and one aggregate whose output expressions compute
+    the update, so a chain of rounds stays a short plan."""
+    st = state
+    j = links.join(st, links["src"] == st["id"])
+    own = links["p"].isNull()
+    sending = st["active"] & (st["delta"] > F.lit(tol))
+    rank0 = F.max(F.when(own, st["rank"]))
+    delta0 = F.max(F.when(own, st["delta"]))
+    msg = F.sum(F.when(~own & sending, st["delta"] * links["p"]))
+    new_rank = rank0 + F.lit(keep) * msg
+    got = msg.isNotNull()
+    return j.groupBy(links["dst"].alias("id")).agg(
+        F.when(got, new_rank).otherwise(rank0).alias("rank"),
+        F.when(got, new_rank - rank0).otherwise(delta0).alias("delta"),
+        got.alias("active"))
+
+
 def pagerank(vertices: DataFrame, edges: DataFrame, reset: float = DEFAULT_RESET,
-             tol: float = DEFAULT_TOL, partitions: int | None = None) -> DataFrame:
-    """vertices(id, ...), edges(src, dst[, weight]) -> (id, pagerank).
+             tol: float = DEFAULT_TOL,
+             rounds_per_job: int = ROUNDS_PER_JOB) -> DataFrame:
+    """vertices(id, ...), edges(src, dst[, weight]) -> (id int, pagerank double).
 
     Edges whose src or dst is not a vertex are ignored.
     """
     spark = vertices.sparkSession
     ensure_checkpoint_dir(spark)
-    nparts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keep = 1.0 - reset
 
-    ids = vertices.select(F.col("id").cast("long").alias("id")).distinct()
-    e = edges.select(F.col("src").cast("long").alias("src"), F.col("dst").cast("long").alias("dst"),
-                     (F.col("weight") if "weight" in edges.columns else F.lit(1))
-                     .cast("double").alias("w"))
-    e = (e.join(ids.select(F.col("id").alias("src")), "src", "left_semi")
-          .join(ids.select(F.col("id").alias("dst")), "dst", "left_semi")
-          .groupBy("src", "dst").agg(F.sum("w").alias("w")))
-    outdeg = e.groupBy("src").agg(F.sum("w").alias("outdeg"))
-    share = (e.join(outdeg, "src")
-              .select("src", "dst", (F.col("w") / F.col("outdeg")).alias("p"))
-              .repartition(nparts, "src")
-              .checkpoint())
+    ids = vertices.select(F.col("id").cast("long").alias("id")).distinct().checkpoint()
+    n_vertices = ids.count()
+    if n_vertices == 0:
+        return spark.createDataFrame([], "id int, pagerank double")
+
+    share = _weighted_shares(ids, edges)
+    links = share.unionByName(ids.select(F.col("id").alias("src"), F.col("id").alias("dst"),
+                                         F.lit(None).cast("double").alias("p")))
+    links = links.checkpoint()
 
     # Round 0 applied to every vertex: rank = delta = (1 - r) * (r / (1 - r)).
     start = keep * (reset / keep)
-    state = (ids.select("id", F.lit(start).alias("rank"), F.lit(start).alias("delta"),
-                        F.lit(True).alias("active"))
-             .repartition(nparts, "id")
-             .checkpoint())
-
-    for _ in range(MAX_ROUNDS):
-        senders = (state.filter(F.col("active") & (F.col("delta") > F.lit(tol)))
-                   .select(F.col("id").alias("src"), "delta"))
-        msgs = (share.join(senders, "src")
-                .groupBy("dst").agg(F.sum(F.col("delta") * F.col("p")).alias("msg"))
-                .checkpoint())
-        if msgs.isEmpty():
+    state = ids.select("id", F.lit(start).alias("rank"), F.lit(start).alias("delta"),
+                       F.lit(True).alias("active"))
+    rounds = 0
+    while True:
+        nxt = state
+        for _ in range(rounds_per_job):
+            nxt = _round(nxt, links, keep, tol)
+        nxt = nxt.persist(StorageLevel.MEMORY_AND_DISK)
+        done = nxt.checkpoint()
+        nxt.unpersist()
+        state = done
+        rounds += rounds_per_job
+        if state.filter(F.col("active")).isEmpty():
             break
-        m = msgs.select(F.col("dst").alias("id"), "msg")
-        new_rank = F.col("rank") + F.lit(keep) * F.col("msg")
-        got = F.col("msg").isNotNull()
-        state = (state.join(m, "id", "left")
-                 .select("id",
-                         F.when(got, new_rank).otherwise(F.col("rank")).alias("rank"),
-                         F.when(got, new_rank - F.col("rank")).otherwise(F.col("delta"))
-                         .alias("delta"),
-                         got.alias("active"))
-                 .checkpoint())
-    else:
-        raise RuntimeError(f"PageRank did not converge in {MAX_ROUNDS} rounds (tol={tol})")
-
-    totals = state.agg(F.sum("rank").alias("s"), F.count(F.lit(1)).alias("n")).first()
-    if not totals or not totals["n"]:
-        return state.select(F.col("id"), F.col("rank").alias("pagerank")).limit(0)
-    factor = float(totals["n"]) / float(totals["s"])
+        if rounds >= MAX_ROUNDS:
+            raise RuntimeError(f"PageRank did not converge in {MAX_ROUNDS} rounds (tol={tol})")
+
+    total = state.agg(F.sum("rank").alias("s")).first()["s"]
+    factor = float(n_vertices) / float(total)
     return state.select(F.col("id").cast("int").alias("id"),
                         (F.col("rank") * F.lit(factor)).alias("pagerank"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tripcast.functions.money import safe_ratio
 
 # Tolerance for the two-decimal derived rates.
-RATE_TOLERANCE = 0.005
+RATE_TOLERANCE = 0.005000001
 
 
 def derived_metric_check(trips: DataFrame) -> DataFrame:

@@ -286,13 +286,13 @@ SELECT count(*) AS trips,
        count(*) FILTER (WHERE NOT (passenger_fare - driver_total_pay = rideshare_profit))
          AS profit_mismatch,
        count(abs(dollars_per_mile - CAST(driver_total_pay AS DOUBLE) / NULLIF(trip_length, 0))
-             <= 0.005) AS per_mile_checked,
+             <= 0.005000001) AS per_mile_checked,
        count(*) FILTER (WHERE NOT (abs(dollars_per_mile - CAST(driver_total_pay AS DOUBLE)
-                                       / NULLIF(trip_length, 0)) <= 0.005)) AS per_mile_mismatch,
+                                       / NULLIF(trip_length, 0)) <= 0.005000001)) AS per_mile_mismatch,
        count(abs(hourly_rate - CAST(driver_total_pay AS DOUBLE)
-                 / NULLIF(on_scene_to_dropoff / 3600.0, 0)) <= 0.005) AS hourly_checked,
+                 / NULLIF(on_scene_to_dropoff / 3600.0, 0)) <= 0.005000001) AS hourly_checked,
        count(*) FILTER (WHERE NOT (abs(hourly_rate - CAST(driver_total_pay AS DOUBLE)
-                                       / NULLIF(on_scene_to_dropoff / 3600.0, 0)) <= 0.005))
+                                       / NULLIF(on_scene_to_dropoff / 3600.0, 0)) <= 0.005000001))
          AS hourly_mismatch
 FROM trips"""),
 }

@@ -15,6 +15,13 @@ BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # No broadcast from size *estimates*: a fact table whose pruned estimate
+    # looks small would be shipped to every executor.  Broadcasts are placed
+    # explicitly after a row-count check (operators.broadcast), and AQE may
+    # still turn a sort-merge join into a local hash join once the measured
+    # shuffle partitions are small.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
