@@ -10,13 +10,28 @@ from pyspark.sql import functions as F
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 
 
+_PROBED: dict[tuple, bool] = {}
+
+
 def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 
     Counts at most ``max_rows + 1`` rows (the limit stops the scan early),
-    so the probe is cheap even when the answer is "no".
+    so the probe is cheap even when the answer is "no".  The answer is
+    remembered per (canonical plan, input files, bound) for the session, so a
+    lookup joined several times is probed once.
     """
-    return df.limit(max_rows + 1).count() <= max_rows
+    try:
+        key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(),
+               tuple(sorted(df.inputFiles())), max_rows)
+    except Exception:  # plans without a semantic hash / file index
+        key = None
+    if key is not None and key in _PROBED:
+        return _PROBED[key]
+    ok = df.limit(max_rows + 1).count() <= max_rows
+    if key is not None:
+        _PROBED[key] = ok
+    return ok
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:

@@ -52,7 +52,8 @@ def zones_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = table(spark, sf_dir, "nation")
     region = table(spark, sf_dir, "region")
     sz = F.array(*[F.lit(s) for s in SERVICE_ZONES])
-    return (nation.join(region, nation.n_regionkey == region.r_regionkey, "inner")
+    return (nation.join(checked_broadcast(region), nation.n_regionkey == region.r_regionkey,
+                        "inner")
             .select(F.col("n_nationkey").cast("int").alias("LocationID"),
                     F.col("r_name").alias("Borough"),
                     F.col("n_name").alias("Zone"),
