@@ -1,0 +1,26 @@
+import os
+import tempfile
+
+from tests.conftest import SAMPLE_CSV
+from tripcast.streaming import ingest_available
+
+
+def test_incremental_ingest_exactly_once(spark):
+    base = tempfile.mkdtemp(prefix="tripcast-stream-")
+    src, table, ckpt = (os.path.join(base, d) for d in ("in", "table", "ckpt"))
+    os.makedirs(src)
+    header, *rows = SAMPLE_CSV.strip().split("\n")
+    with open(os.path.join(src, "part1.csv"), "w") as f:
+        f.write("\n".join([header] + rows[:3]) + "\n")
+    ingest_available(spark, src, table, ckpt)
+    assert spark.read.parquet(table).count() == 3
+    with open(os.path.join(src, "part2.csv"), "w") as f:
+        f.write("\n".join([header] + rows[3:] + [rows[0].replace("1684713600", "1672531200")])
+                + "\n")
+    ingest_available(spark, src, table, ckpt)  # only the new file is read
+    back = spark.read.parquet(table)
+    assert back.count() == 6
+    assert {r.year_month for r in back.select("year_month").distinct().collect()} == \
+        {202305, 202301}
+    ingest_available(spark, src, table, ckpt)  # nothing new
+    assert spark.read.parquet(table).count() == 6

@@ -1 +1,5 @@
 """Incremental ingest of trip files as they land (Structured Streaming)."""
+
+from tripcast.streaming.ingest import ingest_available, start_trip_ingest
+
+__all__ = ["ingest_available", "start_trip_ingest"]

@@ -1,0 +1,57 @@
+"""Incremental ingest of trip CSV files with Structured Streaming.
+
+Trip files land in a folder month after month.  Re-typing the whole history
+every time does not scale, so new files are picked up by a file-source
+stream, typed exactly like the batch reader (``try_cast`` per column) and
+appended to the Parquet trip table, partitioned by ``year_month``.  The
+stream's checkpoint (on the shared checkpoint folder) records which files
+were committed, so every file is ingested exactly once even when executors
+or the driver restart mid-batch.
+
+Run it on a schedule with ``available_now=True`` (process what is there,
+then stop) or continuously with a processing-time trigger.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import SparkSession
+from pyspark.sql.streaming import StreamingQuery
+
+from tripcast.functions.calendar import year_month_of
+from tripcast.schema import TRIP_FIELDS
+from tripcast.session import ensure_checkpoint_dir
+from tripcast.sources.csv import _text_schema, type_columns
+from tripcast.sources.parquet import PARTITION_COLUMN
+
+
+def start_trip_ingest(spark: SparkSession, csv_dir: str, table_path: str,
+                      checkpoint_location: str | None = None, available_now: bool = True,
+                      processing_time: str = "1 minute",
+                      max_files_per_trigger: int | None = None) -> StreamingQuery:
+    """Start the ingest stream and return the running query."""
+    if checkpoint_location is None:
+        checkpoint_location = ensure_checkpoint_dir(spark).rstrip("/") + "/trip-ingest"
+    reader = (spark.readStream.schema(_text_schema(TRIP_FIELDS))
+              .option("header", "true")
+              .option("enforceSchema", "false"))
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    typed = type_columns(reader.csv(csv_dir), TRIP_FIELDS)
+    out = typed.withColumn(PARTITION_COLUMN, year_month_of("date"))
+    writer = (out.writeStream.format("parquet")
+              .option("path", table_path)
+              .option("checkpointLocation", checkpoint_location)
+              .partitionBy(PARTITION_COLUMN)
+              .outputMode("append"))
+    writer = (writer.trigger(availableNow=True) if available_now
+              else writer.trigger(processingTime=processing_time))
+    return writer.start()
+
+
+def ingest_available(spark: SparkSession, csv_dir: str, table_path: str,
+                     checkpoint_location: str | None = None) -> None:
+    """Process every file not yet ingested, then return."""
+    q = start_trip_ingest(spark, csv_dir, table_path, checkpoint_location, available_now=True)
+    q.awaitTermination()
+    if q.exception():
+        raise q.exception()
