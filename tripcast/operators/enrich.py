@@ -59,19 +59,26 @@ def enrich(trips: DataFrame, zones: DataFrame,
 
 def unmatched_counts(trips: DataFrame, zones: DataFrame) -> DataFrame:
     """One row: trips, and trips whose pickup / dropoff key finds no zone
-    (NULL keys included).  These are the rows an inner enrichment drops."""
+    (NULL keys included).  These are the rows an inner enrichment drops.
+
+    Trips are first counted per (pickup, dropoff) key pair (int keys, partial
+    aggregation), so the lookups are joined to at most (zones+1)^2 rows."""
     side = lookup_side(zones.select("LocationID"))
-    keyed = trips.select("pickup_location", "dropoff_location")
+    keyed = (trips.groupBy("pickup_location", "dropoff_location")
+             .agg(F.count(F.lit(1)).alias("_n")))
     for role, key in ROLE_KEYS.items():
         ids = side.select(F.col("LocationID").cast("int").alias(key),
                           F.lit(True).alias(f"_{role}_hit"))
         keyed = keyed.join(ids, on=key, how="left")
+    n = F.col("_n")
+    pick_miss = F.col("_Pickup_hit").isNull()
+    drop_miss = F.col("_Dropoff_hit").isNull()
+    zero = F.lit(0).cast("long")
     return keyed.agg(
-        F.count(F.lit(1)).alias("trips"),
-        F.count_if(F.col("_Pickup_hit").isNull()).alias("pickup_unmatched"),
-        F.count_if(F.col("_Dropoff_hit").isNull()).alias("dropoff_unmatched"),
-        F.count_if(F.col("_Pickup_hit").isNotNull() & F.col("_Dropoff_hit").isNotNull())
-         .alias("enriched_rows"),
+        F.coalesce(F.sum(n), zero).alias("trips"),
+        F.coalesce(F.sum(F.when(pick_miss, n)), zero).alias("pickup_unmatched"),
+        F.coalesce(F.sum(F.when(drop_miss, n)), zero).alias("dropoff_unmatched"),
+        F.coalesce(F.sum(F.when(~pick_miss & ~drop_miss, n)), zero).alias("enriched_rows"),
     )
 
 

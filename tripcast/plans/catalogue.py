@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from tripcast.functions.calendar import iso_date, month_of
 from tripcast.functions.labels import route_label
-from tripcast.functions.money import exact_sum
 from tripcast.operators import aggregate as agg
 from tripcast.operators import graph as gr
 from tripcast.operators.compare import side_by_side_counts
@@ -72,13 +71,23 @@ def q04_driver_pay_per_business_month(trips: DataFrame) -> DataFrame:
 
 # --- Q05-Q07: top-k ---------------------------------------------------------
 
+def _names_after_ids(pre: DataFrame, zones: DataFrame, roles: list[str], attrs: list[str],
+                     keys: list[str], sums: dict[str, str]) -> DataFrame:
+    """Second half of "aggregate below the lookup join": ``pre`` is already
+    aggregated by zone ids (int keys, at most (zones)^2 rows); attach the
+    names with the broadcast lookup and re-aggregate by name, because
+    several ids may share one name.  ``sums`` maps output -> input column."""
+    named = enrich(pre, zones, roles=roles, attrs=attrs)
+    return named.groupBy(*keys).agg(*[F.sum(src).alias(out) for out, src in sums.items()])
+
+
 def _top_boroughs(trips: DataFrame, zones: DataFrame, role: str, k: int) -> DataFrame:
     col = f"{role}_Borough"
-    counts = agg.grouped_count(
-        enrich(trips.select("pickup_location", "dropoff_location", "date"), zones,
-               roles=[role], attrs=["Borough"])
-        .select(col, month_of("date").cast("int").alias("Month")),
-        [col, "Month"])
+    key = "pickup_location" if role == "Pickup" else "dropoff_location"
+    pre = (trips.select(key, month_of("date").cast("int").alias("Month"))
+           .groupBy(key, "Month").agg(F.count(F.lit(1)).alias("n")))
+    counts = _names_after_ids(pre, zones, [role], ["Borough"], [col, "Month"],
+                              {"trip_count": "n"})
     return top_k_per_group(counts, ["Month"],
                            [F.desc_nulls_last("trip_count"), F.asc_nulls_last(col)], k)
 
@@ -93,13 +102,18 @@ def q06_top_dropoff_boroughs(trips: DataFrame, zones: DataFrame,
     return _top_boroughs(trips, zones, "Dropoff", k)
 
 
+_PAIR = ["pickup_location", "dropoff_location"]
+
+
 def borough_routes_by_pay(trips: DataFrame, zones: DataFrame) -> DataFrame:
-    """Route ('A to B' by borough) -> total driver pay, all routes."""
-    e = enrich(trips.select("pickup_location", "dropoff_location", "driver_total_pay"),
-               zones, attrs=["Borough"])
-    return (e.select(route_label("Pickup_Borough", "Dropoff_Borough").alias("Route"),
-                     "driver_total_pay")
-            .groupBy("Route").agg(exact_sum("driver_total_pay").alias("total_profit")))
+    """Route ('A to B' by borough) -> total driver pay, all routes.  Pay is
+    summed exactly as DECIMAL per zone pair, then per route, then turned
+    into a double once."""
+    pre = trips.groupBy(*_PAIR).agg(
+        F.sum(F.col("driver_total_pay").cast("decimal(20,2)")).alias("pay"))
+    named = enrich(pre, zones, attrs=["Borough"])
+    return (named.select(route_label("Pickup_Borough", "Dropoff_Borough").alias("Route"), "pay")
+            .groupBy("Route").agg(F.sum("pay").cast("double").alias("total_profit")))
 
 
 def q07_top_routes_by_pay(trips: DataFrame, zones: DataFrame,
@@ -141,24 +155,28 @@ def q12_wait_anomaly_days(requests: DataFrame, threshold: float = WAIT_THRESHOLD
 
 # --- Q13-Q15: filters ---------------------------------------------------------
 
-def _pickup_boroughs(trips: DataFrame, zones: DataFrame, *cols: str) -> DataFrame:
-    return enrich(trips.select("pickup_location", "dropoff_location", *cols), zones,
-                  roles=["Pickup"], attrs=["Borough"])
+def pickups_by_borough_and_time(trips: DataFrame, zones: DataFrame) -> DataFrame:
+    """Trips per (Pickup_Borough, time_of_day): counted per pickup id first,
+    names attached to the counts."""
+    pre = trips.groupBy("pickup_location", "time_of_day").agg(F.count(F.lit(1)).alias("n"))
+    return _names_after_ids(pre, zones, ["Pickup"], ["Borough"],
+                            ["Pickup_Borough", "time_of_day"], {"trip_count": "n"})
 
 
 def q13_low_volume_pickups(trips: DataFrame, zones: DataFrame,
                            bounds: tuple[int, int] = LOW_VOLUME_BOUNDS) -> DataFrame:
-    """(Pickup_Borough, time_of_day) groups with lower < trips < upper."""
-    e = _pickup_boroughs(trips, zones, "time_of_day")
-    return agg.count_between(e, ["Pickup_Borough", "time_of_day"], bounds[0], bounds[1])
+    """(Pickup_Borough, time_of_day) groups with lower < trips < upper
+    (both bounds strict, as in the source)."""
+    lo, hi = bounds
+    n = F.col("trip_count")
+    return pickups_by_borough_and_time(trips, zones).filter((n > lo) & (n < hi))
 
 
 def q14_pickups_at_time_of_day(trips: DataFrame, zones: DataFrame,
                                time_of_day: str = EVENING) -> DataFrame:
-    """Trips per pickup borough at one time of day."""
-    e = _pickup_boroughs(trips.filter(F.col("time_of_day") == time_of_day), zones,
-                         "time_of_day")
-    return agg.grouped_count(e, ["Pickup_Borough", "time_of_day"])
+    """Trips per pickup borough at one time of day (filter pushed to the scan)."""
+    return pickups_by_borough_and_time(
+        trips.filter(F.col("time_of_day") == time_of_day), zones)
 
 
 def q15_borough_pair_trips(trips: DataFrame, zones: DataFrame,
@@ -183,11 +201,16 @@ def q15_borough_pair_count(trips: DataFrame, zones: DataFrame,
 def zone_routes_by_business(trips: DataFrame, zones: DataFrame,
                             columns: dict[str, str] | None = None) -> DataFrame:
     """Route ('Zone A to Zone B') -> one count per business and the total.
-    Businesses missing on a route count 0."""
-    e = enrich(trips.select("pickup_location", "dropoff_location", "business"), zones,
-               attrs=["Zone"])
-    routed = e.select(route_label("Pickup_Zone", "Dropoff_Zone").alias("Route"), "business")
-    return side_by_side_counts(routed, ["Route"], "business", columns or BUSINESS_COLUMNS)
+    Businesses missing on a route count 0.  Counted per zone-id pair first
+    (int keys, one pass over the trips), then named and re-aggregated per
+    route name."""
+    cols = columns or BUSINESS_COLUMNS
+    pre = side_by_side_counts(trips, _PAIR, "business", cols)
+    named = enrich(pre, zones, attrs=["Zone"])
+    routed = named.select(route_label("Pickup_Zone", "Dropoff_Zone").alias("Route"),
+                          *cols.values(), "total_count")
+    return routed.groupBy("Route").agg(*[F.sum(c).alias(c) for c in cols.values()],
+                                       F.sum("total_count").alias("total_count"))
 
 
 def q16_top_zone_routes(trips: DataFrame, zones: DataFrame, k: int = TOP_ZONE_ROUTES,
