@@ -145,3 +145,11 @@ def test_borough_pair_and_evening(make_trips, zones):
 def test_fits_broadcast(spark):
     df = spark.range(10)
     assert fits_broadcast(df, 10) and not fits_broadcast(df, 9)
+
+
+def test_sample_rows_is_reproducible(spark):
+    from tripcast.operators.topk import sample_rows
+    df = spark.createDataFrame([(i % 7, f"z{i}") for i in range(100)], "a int, b string")
+    first = [tuple(r) for r in sample_rows(df.repartition(5), 4).collect()]
+    again = [tuple(r) for r in sample_rows(df.repartition(3), 4).collect()]
+    assert first == again == [(0, "z0"), (0, "z14"), (0, "z21"), (0, "z28")]

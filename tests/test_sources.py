@@ -76,3 +76,14 @@ def test_csv_sink_single_file(spark):
     parts = [f for f in os.listdir(out) if f.startswith("part-")]
     assert len(parts) == 1
     write_csv(df, out, single_file=True)  # overwrite is allowed
+
+
+def test_chart_csv_in_order(spark):
+    from tripcast.sources.sinks import write_chart_csv
+    df = spark.createDataFrame([("Uber", 10), ("Lyft", 2), ("Uber", 2), ("Uber", 1)],
+                               "business string, month int").repartition(3)
+    out = os.path.join(tempfile.mkdtemp(prefix="tripcast-chart-"), "o")
+    write_chart_csv(df, out, ["business", "month"])
+    back = spark.read.option("header", True).csv(out).collect()
+    assert [(r.business, int(r.month)) for r in back] == \
+        [("Lyft", 2), ("Uber", 1), ("Uber", 2), ("Uber", 10)]

@@ -35,3 +35,9 @@ def top_k_per_group(df: DataFrame, partition_by: Sequence[str], order_by: Sequen
 def top_k(df: DataFrame, order_by: Sequence[str | Column], k: int) -> DataFrame:
     """Global top-k (sort + limit, planned as TakeOrderedAndProject)."""
     return df.orderBy(*_order(order_by)).limit(k)
+
+
+def sample_rows(df: DataFrame, n: int) -> DataFrame:
+    """A reproducible sample of ``n`` rows: the first ``n`` in the order of
+    all output columns (TakeOrderedAndProject, no full sort)."""
+    return df.orderBy(*[F.asc_nulls_last(c) for c in df.columns]).limit(n)

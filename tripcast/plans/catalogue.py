@@ -21,7 +21,7 @@ from tripcast.operators.compare import side_by_side_counts
 from tripcast.operators.enrich import enrich, unmatched_counts
 from tripcast.operators.pagerank import DEFAULT_RESET, DEFAULT_TOL, pagerank
 from tripcast.operators.quality import derived_metric_check
-from tripcast.operators.topk import top_k, top_k_per_group
+from tripcast.operators.topk import sample_rows, top_k, top_k_per_group
 from tripcast.schema import ENRICHED_COLUMNS, assert_columns
 
 # Default parameters of the source analyses.
@@ -34,6 +34,7 @@ WAIT_THRESHOLD_SECONDS = 300.0
 EVENING = "evening"
 BUSINESS_COLUMNS = {"Uber": "uber_count", "Lyft": "lyft_count"}
 BOROUGH_PAIR = ("Brooklyn", "Staten Island")
+SAMPLE_ROWS = 10
 
 
 # --- Q01: enrichment -------------------------------------------------------
@@ -190,6 +191,13 @@ def q15_borough_pair_trips(trips: DataFrame, zones: DataFrame,
             .select("Pickup_Borough", "Dropoff_Borough", "Pickup_Zone"))
 
 
+def q15_borough_pair_sample(trips: DataFrame, zones: DataFrame,
+                            pair: tuple[str, str] = BOROUGH_PAIR,
+                            n: int = SAMPLE_ROWS) -> DataFrame:
+    """``n`` reproducible sample trips of :func:`q15_borough_pair_trips`."""
+    return sample_rows(q15_borough_pair_trips(trips, zones, pair), n)
+
+
 def q15_borough_pair_count(trips: DataFrame, zones: DataFrame,
                            pair: tuple[str, str] = BOROUGH_PAIR) -> DataFrame:
     return q15_borough_pair_trips(trips, zones, pair).agg(

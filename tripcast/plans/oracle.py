@@ -253,6 +253,12 @@ WHERE t.time_of_day = 'evening' GROUP BY 1, 2"""),
     "q15_borough_pair_trips": _q(f"""
 SELECT Pickup_Borough, Dropoff_Borough, Pickup_Zone FROM enriched
 WHERE Pickup_Borough = '{_B1}' AND Dropoff_Borough = '{_B2}'"""),
+    "q15_borough_pair_sample": _q(f"""
+SELECT Pickup_Borough, Dropoff_Borough, Pickup_Zone FROM enriched
+WHERE Pickup_Borough = '{_B1}' AND Dropoff_Borough = '{_B2}'
+ORDER BY Pickup_Borough ASC NULLS LAST, Dropoff_Borough ASC NULLS LAST,
+         Pickup_Zone ASC NULLS LAST
+LIMIT 10"""),
     "q15_borough_pair_count": _q(f"""
 SELECT count(*) AS trip_count FROM enriched
 WHERE Pickup_Borough = '{_B1}' AND Dropoff_Borough = '{_B2}'"""),

@@ -23,3 +23,13 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
+
+
+def write_chart_csv(df: DataFrame, path: str, order_by: list[str],
+                    mode: str = "overwrite") -> None:
+    """One header CSV in chart order (e.g. business, month) for a small
+    aggregate: everything is folded into one partition first, so a sort
+    within that partition is a total order without a range-partitioning
+    pass."""
+    (df.coalesce(1).sortWithinPartitions(*order_by)
+       .write.mode(mode).option("header", True).csv(path))

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tripcast.schema import TRIP_COLUMNS
 from tripcast.session import ensure_checkpoint_dir
 
-_LOCK = threading.Lock()
+_LOCK = threading.RLock()  # re-entrant: a staged build may stage its inputs
 STAGE_VERSION = "1"
 # Staged tables are immutable for the application: reuse the DataFrame (its
 # file listing and footer reads) instead of re-listing on every query.
