@@ -87,3 +87,18 @@ def test_chart_csv_in_order(spark):
     back = spark.read.option("header", True).csv(out).collect()
     assert [(r.business, int(r.month)) for r in back] == \
         [("Lyft", 2), ("Uber", 1), ("Uber", 2), ("Uber", 10)]
+
+
+def test_january_query_prunes_month_partitions(spark):
+    from tests.conftest import trip
+    from tripcast.operators.aggregate import daily_average
+    from tripcast.schema import TRIP_SCHEMA
+    rows = [trip(date=1672531200, wait=100.0), trip(date=1672617600, wait=200.0),
+            trip(date=1684713600, wait=999.0), trip(date=1704067200, wait=50.0)]
+    out = os.path.join(tempfile.mkdtemp(prefix="tripcast-prune-"), "trips")
+    write_trips_parquet(spark.createDataFrame(rows, TRIP_SCHEMA), out)
+    q = daily_average(read_trips_parquet(spark, out))
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year_month" in plan
+    got = {r.day: r.average_wait for r in q.collect()}
+    assert got == {1: 75.0, 2: 200.0}   # Jan 2023 and Jan 2024 share the month

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from tripcast.functions.calendar import day_of, month_of, year_month_of
 from tripcast.functions.labels import business_month_label
 from tripcast.functions.money import exact_avg, exact_sum, safe_ratio
+from tripcast.sources.parquet import PARTITION_COLUMN
 
 
 def grouped_count(df: DataFrame, keys: Iterable[str | Column],
@@ -74,6 +75,10 @@ def daily_average(trips: DataFrame, value: str = "request_to_pickup",
                   month: int | None = 1, name: str = "average_wait") -> DataFrame:
     """Average of ``value`` per day of month, restricted to one month
     (January by default).  Columns: day, ``name``, trip_count."""
+    if month is not None and PARTITION_COLUMN in trips.columns:
+        # Month-partitioned storage: the same month test on the partition
+        # column prunes whole directories before any file is opened.
+        trips = trips.filter(F.pmod(F.col(PARTITION_COLUMN), F.lit(100)) == month)
     df = trips.select(month_of("date").alias("_m"), day_of("date").cast("int").alias("day"),
                       F.col(value).alias("_v"))
     if month is not None:
