@@ -153,3 +153,14 @@ def test_sample_rows_is_reproducible(spark):
     first = [tuple(r) for r in sample_rows(df.repartition(5), 4).collect()]
     again = [tuple(r) for r in sample_rows(df.repartition(3), 4).collect()]
     assert first == again == [(0, "z0"), (0, "z14"), (0, "z21"), (0, "z28")]
+
+
+def test_enrich_falls_back_to_shuffle_join_beyond_bound(make_trips, zones):
+    t = make_trips([trip(pu=1, do=2), trip(pu=264, do=265), trip(pu=7, do=1), trip(pu=5, do=5)])
+    small = enrich(t, zones)
+    big = enrich(t, zones, max_broadcast_rows=3)   # the lookup has 8 rows
+    p_small = small._jdf.queryExecution().executedPlan().toString()
+    p_big = big._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in p_small
+    assert "BroadcastHashJoin" not in p_big and "SortMergeJoin" in p_big
+    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, big.collect()))

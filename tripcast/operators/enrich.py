@@ -39,16 +39,18 @@ def lookup_side(zones: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) ->
 def enrich(trips: DataFrame, zones: DataFrame,
            roles: Iterable[str] = ("Pickup", "Dropoff"),
            attrs: Iterable[str] = ZONE_ATTRS,
-           how: str = "inner") -> DataFrame:
+           how: str = "inner",
+           max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """Add ``<Role>_<attr>`` columns for every role, keeping the trip columns
     first and in their original order.
 
     ``how='inner'`` drops trips whose key is NULL or unknown (the source
-    semantics); use :func:`unmatched_counts` to report how many.
+    semantics); use :func:`unmatched_counts` to report how many.  A lookup
+    above ``max_broadcast_rows`` is joined by a shuffle (sort-merge) instead.
     """
     roles = list(roles)
     attrs = list(attrs)
-    side = lookup_side(zones)
+    side = lookup_side(zones, max_broadcast_rows)
     out = trips
     for role in roles:
         out = out.join(zone_role(side, role, attrs), on=ROLE_KEYS[role], how=how)

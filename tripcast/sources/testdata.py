@@ -73,10 +73,11 @@ def trips_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem x orders x customer x supplier -> typed trip table.
 
     Join order is chosen for scale: orders and customer meet first on
-    ``custkey`` (both shuffled once), the narrow result meets lineitem on
-    ``orderkey`` (lineitem shuffled once), and the supplier's nation is added
-    by a broadcast hash join when the supplier table is proven small enough,
-    else by a shuffled join.  Only the columns the mapping uses are read.
+    ``custkey``, the narrow result meets lineitem on ``orderkey`` (lineitem
+    shuffled once), then the supplier's nation is added.  Customer and
+    supplier are broadcast when their row count is proven within the
+    broadcast bound, else joined by shuffles (sort-merge, with AQE skew
+    splitting for a hot key).  Only the columns the mapping uses are read.
     """
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount",
@@ -85,7 +86,8 @@ def trips_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     supp = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
 
-    order_side = orders.join(cust, orders.o_custkey == cust.c_custkey, "inner").select(
+    order_side = orders.join(checked_broadcast(cust), orders.o_custkey == cust.c_custkey,
+                             "inner").select(
         "o_orderkey", "o_orderdate", "c_nationkey")
     lines = li.join(order_side, li.l_orderkey == order_side.o_orderkey, "inner")
     lines = lines.join(checked_broadcast(supp), lines.l_suppkey == supp.s_suppkey, "inner")
