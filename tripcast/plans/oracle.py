@@ -224,6 +224,15 @@ SELECT business, month, concat_ws('-', business, CAST(month AS VARCHAR)) AS busi
     "q02_04_monthly_summary": _q("""
 SELECT business, month, concat_ws('-', business, CAST(month AS VARCHAR)) AS business_date,
        trip_count, total_profit, total_driver_pay FROM monthly"""),
+    "q02_04_monthly_summary_by_year": _q(f"""
+SELECT business, month, concat_ws('-', business, CAST(month AS VARCHAR)) AS business_date,
+       trip_count, total_profit, total_driver_pay
+FROM (SELECT business,
+             CAST(year({_day('date')}) * 100 + month({_day('date')}) AS INTEGER) AS month,
+             count(*) AS trip_count,
+             {_exact_sum('rideshare_profit')} AS total_profit,
+             {_exact_sum('driver_total_pay')} AS total_driver_pay
+      FROM trips GROUP BY 1, 2)"""),
     "q05_top_pickup_boroughs": _q(_top_boroughs("Pickup", "pickup_location")),
     "q06_top_dropoff_boroughs": _q(_top_boroughs("Dropoff", "dropoff_location")),
     "q07_top_routes_by_pay": _q(f"""

@@ -110,6 +110,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q03_profit_per_business_month": _t(cat.q03_profit_per_business_month),
     "q04_driver_pay_per_business_month": _t(cat.q04_driver_pay_per_business_month),
     "q02_04_monthly_summary": _t(cat.monthly_summary),
+    "q02_04_monthly_summary_by_year": _t(lambda t: cat.monthly_summary(t, by_year=True)),
     "q05_top_pickup_boroughs": _tzq(cat.q05_top_pickup_boroughs),
     "q06_top_dropoff_boroughs": _tzq(cat.q06_top_dropoff_boroughs),
     "q07_top_routes_by_pay": _tzq(cat.q07_top_routes_by_pay),
