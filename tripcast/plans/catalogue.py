@@ -241,6 +241,12 @@ def q17_edge_weights(trips: DataFrame) -> DataFrame:
     return gr.collapse_edges(gr.trip_edges(trips))
 
 
+def q17_dangling_edges(trips: DataFrame, zones: DataFrame) -> DataFrame:
+    """Weighted edges and trips whose src or dst is not a vertex (dropped by
+    the triplet, motif and PageRank joins)."""
+    return gr.dangling_edge_count(gr.build_graph(zones, trips))
+
+
 def q18_triplets(trips: DataFrame, zones: DataFrame, flat: bool = True) -> DataFrame:
     g = gr.build_graph(zones, trips)
     return gr.triplets_flat(g) if flat else gr.triplets(g)

@@ -282,6 +282,13 @@ FROM zone_routes WHERE uber_count + lyft_count > 0"""),
 SELECT LocationID AS id, Borough, Zone, service_zone FROM zones"""),
     "q17_edges": _q("SELECT pickup_location AS src, dropoff_location AS dst FROM trips"),
     "q17_edge_weights": _q("SELECT src, dst, weight FROM edge_weights"),
+    "q17_dangling_edges": _q("""
+SELECT count(*) FILTER (WHERE a.LocationID IS NULL OR b.LocationID IS NULL) AS dangling_edges,
+       CAST(coalesce(sum(CASE WHEN a.LocationID IS NULL OR b.LocationID IS NULL
+                              THEN e.weight END), 0) AS BIGINT) AS dangling_trips
+FROM edge_weights e
+LEFT JOIN zones a ON e.src = a.LocationID
+LEFT JOIN zones b ON e.dst = b.LocationID"""),
     "q18_triplets": _q("SELECT * FROM triplets"),
     "q19_same_borough_service_zone_pairs": _q("SELECT * FROM pairs"),
     "q19_pair_count": _q("""

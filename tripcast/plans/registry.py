@@ -132,6 +132,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q17_vertices": _z(cat.q17_vertices),
     "q17_edges": _t(cat.q17_edges),
     "q17_edge_weights": _t(cat.q17_edge_weights),
+    "q17_dangling_edges": _tzq(cat.q17_dangling_edges),
     "q18_triplets": _tzq(cat.q18_triplets),
     "q19_same_borough_service_zone_pairs": _tzq(cat.q19_same_borough_service_zone_pairs),
     "q19_pair_count": _tzq(cat.q19_pair_count),
