@@ -27,19 +27,24 @@ def grouped_count(df: DataFrame, keys: Iterable[str | Column],
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
 
 
-def count_between(df: DataFrame, keys: Iterable[str | Column], lower: int | None,
-                  upper: int | None, name: str = "trip_count",
-                  inclusive: bool = False) -> DataFrame:
-    """Group counts kept when ``lower < n < upper`` (HAVING); bounds are
-    strict unless ``inclusive``.  ``None`` leaves that side open."""
-    out = grouped_count(df, keys, name)
-    n = F.col(name)
+def within_bounds(column: str, lower: float | None, upper: float | None,
+                  inclusive: bool = False) -> Column:
+    """``lower < column < upper``; bounds are strict unless ``inclusive``,
+    ``None`` leaves that side open."""
+    n = F.col(column)
     cond = F.lit(True)
     if lower is not None:
         cond = cond & ((n >= lower) if inclusive else (n > lower))
     if upper is not None:
         cond = cond & ((n <= upper) if inclusive else (n < upper))
-    return out.filter(cond)
+    return cond
+
+
+def count_between(df: DataFrame, keys: Iterable[str | Column], lower: int | None,
+                  upper: int | None, name: str = "trip_count",
+                  inclusive: bool = False) -> DataFrame:
+    """Group counts kept when ``lower < n < upper`` (a HAVING clause)."""
+    return grouped_count(df, keys, name).filter(within_bounds(name, lower, upper, inclusive))
 
 
 def monthly_measures(trips: DataFrame, by_year: bool = False) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripcast.operators.broadcast import DEFAULT_MAX_BROADCAST_ROWS, checked_broadcast
-from tripcast.schema import ROLE_KEYS, TRIP_COLUMNS, ZONE_ATTRS
+from tripcast.schema import ROLE_KEYS, ZONE_ATTRS
 
 
 def zone_role(zones: DataFrame, role: str, attrs: Iterable[str] = ZONE_ATTRS) -> DataFrame:
@@ -82,7 +82,3 @@ def unmatched_counts(trips: DataFrame, zones: DataFrame) -> DataFrame:
         F.coalesce(F.sum(F.when(drop_miss, n)), zero).alias("dropoff_unmatched"),
         F.coalesce(F.sum(F.when(~pick_miss & ~drop_miss, n)), zero).alias("enriched_rows"),
     )
-
-
-def trip_columns_present(df: DataFrame) -> list[str]:
-    return [c for c in TRIP_COLUMNS if c in df.columns]

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripcast.functions.calendar import iso_date, month_of
+from tripcast.functions.calendar import iso_date, month_of, time_of_day_class
 from tripcast.functions.labels import route_label
 from tripcast.operators import aggregate as agg
 from tripcast.operators import graph as gr
@@ -168,9 +168,8 @@ def q13_low_volume_pickups(trips: DataFrame, zones: DataFrame,
                            bounds: tuple[int, int] = LOW_VOLUME_BOUNDS) -> DataFrame:
     """(Pickup_Borough, time_of_day) groups with lower < trips < upper
     (both bounds strict, as in the source)."""
-    lo, hi = bounds
-    n = F.col("trip_count")
-    return pickups_by_borough_and_time(trips, zones).filter((n > lo) & (n < hi))
+    return pickups_by_borough_and_time(trips, zones).filter(
+        agg.within_bounds("trip_count", bounds[0], bounds[1]))
 
 
 def q14_pickups_at_time_of_day(trips: DataFrame, zones: DataFrame,
@@ -277,7 +276,6 @@ def q20_pagerank_top(trips: DataFrame, zones: DataFrame, k: int = TOP_PAGERANK,
 
 def q21_time_of_day_rule(hours: DataFrame) -> DataFrame:
     """Requests per hour with the time-of-day class the rule assigns."""
-    from tripcast.functions.calendar import time_of_day_class
     return (hours.groupBy("hour").agg(F.count(F.lit(1)).alias("requests"))
             .select(F.col("hour").cast("int").alias("hour"),
                     time_of_day_class("hour").alias("time_of_day"), "requests"))
