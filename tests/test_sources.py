@@ -102,3 +102,15 @@ def test_january_query_prunes_month_partitions(spark):
     assert "PartitionFilters: [isnotnull(year_month" in plan
     got = {r.day: r.average_wait for r in q.collect()}
     assert got == {1: 75.0, 2: 200.0}   # Jan 2023 and Jan 2024 share the month
+
+
+def test_parquet_write_with_spread(spark):
+    from tests.conftest import trip
+    from tripcast.schema import TRIP_SCHEMA
+    rows = [trip(pu=1, date=1672531200 + 86400 * (i % 40)) for i in range(50)]
+    out = os.path.join(tempfile.mkdtemp(prefix="tripcast-spread-"), "trips")
+    write_trips_parquet(spark.createDataFrame(rows, TRIP_SCHEMA), out, spread=4)
+    back = read_trips_parquet(spark, out)
+    assert back.count() == 50
+    assert {r.year_month for r in back.select("year_month").distinct().collect()} == \
+        {202301, 202302}

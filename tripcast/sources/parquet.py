@@ -16,16 +16,23 @@ from tripcast.schema import TRIP_COLUMNS, ZONE_COLUMNS
 PARTITION_COLUMN = "year_month"
 
 
-def write_trips_parquet(trips: DataFrame, path: str, mode: str = "overwrite") -> None:
+def write_trips_parquet(trips: DataFrame, path: str, mode: str = "overwrite",
+                        spread: int | None = None) -> None:
     """Write the typed trip table partitioned by ``year_month``.
 
-    Rows are clustered by the partition column first so each task writes few
-    files per month instead of one file per (task, month) pair.
+    By default there is no shuffle: each task sorts its rows by month and
+    writes one file per month it holds.  ``spread=N`` re-balances into N
+    tasks first (e.g. to compact many small input splits): rows are routed by
+    (month, hash of the whole row mod N), so neither a month nor a zone that
+    holds a third of all trips can pile up in one task, and a retried task
+    receives exactly the same rows.
     """
-    (trips.select(*TRIP_COLUMNS)
-          .withColumn(PARTITION_COLUMN, year_month_of("date"))
-          .repartition(PARTITION_COLUMN, F.col("pickup_location"))
-          .write.mode(mode).partitionBy(PARTITION_COLUMN).parquet(path))
+    out = trips.select(*TRIP_COLUMNS).withColumn(PARTITION_COLUMN, year_month_of("date"))
+    if spread:
+        salt = F.pmod(F.xxhash64(*[F.col(c) for c in TRIP_COLUMNS]), F.lit(spread))
+        out = out.repartition(spread, F.col(PARTITION_COLUMN), salt)
+    (out.sortWithinPartitions(PARTITION_COLUMN)
+        .write.mode(mode).partitionBy(PARTITION_COLUMN).parquet(path))
 
 
 def read_trips_parquet(spark: SparkSession, path: str) -> DataFrame:
