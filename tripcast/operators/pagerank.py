@@ -55,6 +55,15 @@ ROUNDS_PER_JOB = 8
 MAX_ROUNDS = 10_000
 
 
+def _materialise(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint computed once: persisted first, because writing a
+    checkpoint re-runs the plan of an unpersisted DataFrame."""
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = df.checkpoint()
+    df.unpersist()
+    return out
+
+
 def _weighted_shares(ids: DataFrame, edges: DataFrame) -> DataFrame:
     """(src, dst, p): p = w(src,dst) / outdeg(src) over edges with both
     endpoints in ``ids``."""
@@ -112,7 +121,7 @@ def pagerank(vertices: DataFrame, edges: DataFrame, reset: float = DEFAULT_RESET
     ensure_checkpoint_dir(spark)
     keep = 1.0 - reset
 
-    ids = vertices.select(F.col("id").cast("long").alias("id")).distinct().checkpoint()
+    ids = _materialise(vertices.select(F.col("id").cast("long").alias("id")).distinct())
     n_vertices = ids.count()
     if n_vertices == 0:
         return spark.createDataFrame([], "id int, pagerank double")
@@ -120,7 +129,7 @@ def pagerank(vertices: DataFrame, edges: DataFrame, reset: float = DEFAULT_RESET
     share = _weighted_shares(ids, edges)
     links = share.unionByName(ids.select(F.col("id").alias("src"), F.col("id").alias("dst"),
                                          F.lit(None).cast("double").alias("p")))
-    links = links.checkpoint()
+    links = _materialise(links)
 
     # Round 0 applied to every vertex: rank = delta = (1 - r) * (r / (1 - r)).
     start = keep * (reset / keep)
@@ -132,11 +141,8 @@ def pagerank(vertices: DataFrame, edges: DataFrame, reset: float = DEFAULT_RESET
     rounds = 0
     while True:
         state.createOrReplaceTempView(state_view)
-        nxt = spark.sql(_rounds_sql(state_view, links_view, rounds_per_job, keep, tol))
-        nxt = nxt.persist(StorageLevel.MEMORY_AND_DISK)
-        done = nxt.checkpoint()
-        nxt.unpersist()
-        state = done
+        state = _materialise(
+            spark.sql(_rounds_sql(state_view, links_view, rounds_per_job, keep, tol)))
         rounds += rounds_per_job
         if state.filter(F.col("active")).isEmpty():
             break
