@@ -34,3 +34,12 @@ def test_cli_ingest_and_run(spark):
                  "--out", out2, "--format", "parquet"], spark=spark) == 0
     assert spark.read.parquet(out2).count() == 2
     assert "q20_pagerank_top5" in QUERY_NAMES
+
+
+def test_cli_rejects(spark, capsys):
+    d, t, z = _files()
+    with open(t, "a") as f:
+        f.write("Uber,x,2,1.0,,1,1,1,night,1684713600,1.00,1.00,0.00,1,1\n")
+    assert main(["rejects", "--trips", t], spark=spark) == 0
+    out = capsys.readouterr().out
+    assert "pickup_location" in out and "|1       |" in out

@@ -1,6 +1,7 @@
 """Command line: run the catalogue over real trip data.
 
     spark-submit -m tripcast ingest --trips <trip csv> --out <parquet dir>
+    spark-submit -m tripcast rejects --trips <trip csv>
     spark-submit -m tripcast run q05 --trips <csv or parquet> --zones <zone csv> \
         [--out <dir>] [--format csv|parquet] [--show N]
 
@@ -56,6 +57,9 @@ def _queries(trips: DataFrame, zones: DataFrame) -> dict:
 
 
 QUERY_NAMES = list(_queries(None, None))  # type: ignore[arg-type]
+# Results with one row per trip: written by every task in parallel, never
+# folded into a single file.
+ROW_LEVEL = {"q01_enriched", "q15_borough_pair_trips", "q17_edges"}
 
 
 def _load_trips(spark: SparkSession, path: str) -> DataFrame:
@@ -72,6 +76,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     ing = sub.add_parser("ingest", help="type the trip CSV once into month-partitioned Parquet")
     ing.add_argument("--trips", required=True)
     ing.add_argument("--out", required=True)
+    rej = sub.add_parser("rejects", help="per column: non-empty values that fail to type")
+    rej.add_argument("--trips", required=True)
     run = sub.add_parser("run", help="run one catalogue query")
     run.add_argument("query", choices=QUERY_NAMES)
     run.add_argument("--trips", required=True)
@@ -83,6 +89,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
 
     from tripcast.session import get_session
     spark = spark or get_session()
+    if args.cmd == "rejects":
+        from tripcast.sources.csv import reject_counts
+        reject_counts(spark, args.trips).show(50, truncate=False)
+        return 0
     if args.cmd == "ingest":
         from tripcast.sources.csv import read_trips_csv
         from tripcast.sources.parquet import write_trips_parquet
@@ -94,7 +104,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     df = _queries(_load_trips(spark, args.trips), read_zones_csv(spark, args.zones))[args.query]()
     if args.out:
         if args.format == "csv":
-            write_csv(df, args.out, single_file=args.query != "q01_enriched")
+            write_csv(df, args.out, single_file=args.query not in ROW_LEVEL)
         else:
             write_parquet(df, args.out)
     if args.show:
