@@ -1,8 +1,10 @@
 """The query catalogue: every analysis of the source project as one DataFrame.
 
 Each function takes already-loaded inputs (typed ``trips``, the ``zones``
-lookup) plus its parameters and returns a lazy DataFrame.  Nothing here runs
-a job except :func:`q20_pagerank`, which is iterative by nature.
+lookup) plus its parameters and returns a lazy DataFrame.  Building a query
+runs no job over the trips; the only jobs at build time are the (memoised)
+row-count probes of lookups before they are broadcast, and the rounds of
+:func:`q20_pagerank`, which is iterative by nature.
 
 Ordering: results are sets unless the query has a limit; limited queries
 order by the metric and then by the key so ties always resolve the same way.
