@@ -42,9 +42,10 @@ from __future__ import annotations
 import uuid
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tripcast.operators.broadcast import DEFAULT_MAX_BROADCAST_ROWS
 from tripcast.session import ensure_checkpoint_dir
 
 DEFAULT_RESET = 0.17
@@ -64,18 +65,21 @@ def _materialise(df: DataFrame) -> DataFrame:
     return out
 
 
-def _weighted_shares(ids: DataFrame, edges: DataFrame) -> DataFrame:
+def _weighted_shares(ids: DataFrame, edges: DataFrame, broadcast_ids: bool) -> DataFrame:
     """(src, dst, p): p = w(src,dst) / outdeg(src) over edges with both
-    endpoints in ``ids``."""
+    endpoints in ``ids``.  The vertex ids (counted, within the broadcast
+    bound when ``broadcast_ids``) filter the edges map-side; the out-degree
+    is a window sum over ``src`` (one exchange, no aggregate-and-join)."""
     e = edges.select(F.col("src").cast("long").alias("src"),
                      F.col("dst").cast("long").alias("dst"),
                      (F.col("weight") if "weight" in edges.columns else F.lit(1))
                      .cast("double").alias("w"))
-    e = (e.join(ids.select(F.col("id").alias("src")), "src", "left_semi")
-          .join(ids.select(F.col("id").alias("dst")), "dst", "left_semi")
+    side = F.broadcast(ids) if broadcast_ids else ids
+    e = (e.join(side.select(F.col("id").alias("src")), "src", "left_semi")
+          .join(side.select(F.col("id").alias("dst")), "dst", "left_semi")
           .groupBy("src", "dst").agg(F.sum("w").alias("w")))
-    outdeg = e.groupBy("src").agg(F.sum("w").alias("outdeg"))
-    return e.join(outdeg, "src").select("src", "dst", (F.col("w") / F.col("outdeg")).alias("p"))
+    outdeg = F.sum("w").over(Window.partitionBy("src"))
+    return e.select("src", "dst", (F.col("w") / outdeg).alias("p"))
 
 
 def _rounds_sql(state_view: str, links_view: str, rounds: int, keep: float, tol: float) -> str:
@@ -126,7 +130,7 @@ def pagerank(vertices: DataFrame, edges: DataFrame, reset: float = DEFAULT_RESET
     if n_vertices == 0:
         return spark.createDataFrame([], "id int, pagerank double")
 
-    share = _weighted_shares(ids, edges)
+    share = _weighted_shares(ids, edges, n_vertices <= DEFAULT_MAX_BROADCAST_ROWS)
     links = share.unionByName(ids.select(F.col("id").alias("src"), F.col("id").alias("dst"),
                                          F.lit(None).cast("double").alias("p")))
     links = _materialise(links)
