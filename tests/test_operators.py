@@ -75,12 +75,14 @@ def test_side_by_side_counts_zero_fill(spark):
 
 def test_zone_routes_one_sided_and_unknown_name(make_trips, zones):
     t = make_trips([trip(pu=1, do=2), trip(pu=1, do=2, business="Lyft"), trip(pu=2, do=1),
-                    trip(pu=3, do=6, business="Lyft"), trip(pu=6, do=6)])
+                    trip(pu=3, do=6, business="Lyft"), trip(pu=6, do=6), trip(pu=3, do=5)])
     z = zones
     out = {r.Route: tuple(r)[1:] for r in cat.zone_routes_by_business(t, z).collect()}
     assert out["Newark Airport to Jamaica Bay"] == (1, 1, 2)
     assert out["Jamaica Bay to Newark Airport"] == (1, 0, 1)
-    assert out["Allerton/Pelham Gardens to Astoria"] == (0, 1, 1)
+    # ids 5 and 6 are both named Astoria: their routes merge by name
+    assert out["Allerton/Pelham Gardens to Astoria"] == (1, 1, 2)
+    assert out["Astoria to Astoria"] == (1, 0, 1)
     top = cat.q16_top_zone_routes(t, z, k=1).collect()
     assert top[0].Route == "Newark Airport to Jamaica Bay"
 
