@@ -75,12 +75,17 @@ def q04_driver_pay_per_business_month(trips: DataFrame) -> DataFrame:
 # --- Q05-Q07: top-k ---------------------------------------------------------
 
 def _names_after_ids(pre: DataFrame, zones: DataFrame, roles: list[str], attrs: list[str],
-                     keys: list[str], sums: dict[str, str]) -> DataFrame:
+                     keys: list[str], sums: dict[str, str],
+                     cluster_by: str | None = None) -> DataFrame:
     """Second half of "aggregate below the lookup join": ``pre`` is already
     aggregated by zone ids (int keys, at most (zones)^2 rows); attach the
     names with the broadcast lookup and re-aggregate by name, because
-    several ids may share one name.  ``sums`` maps output -> input column."""
+    several ids may share one name.  ``sums`` maps output -> input column.
+    ``cluster_by`` hash-partitions the (small) named rows by that key first,
+    so a following window over the same key needs no further exchange."""
     named = enrich(pre, zones, roles=roles, attrs=attrs)
+    if cluster_by:
+        named = named.repartition(cluster_by)
     return named.groupBy(*keys).agg(*[F.sum(src).alias(out) for out, src in sums.items()])
 
 
@@ -90,7 +95,7 @@ def _top_boroughs(trips: DataFrame, zones: DataFrame, role: str, k: int) -> Data
     pre = (trips.select(key, month_of("date").cast("int").alias("Month"))
            .groupBy(key, "Month").agg(F.count(F.lit(1)).alias("n")))
     counts = _names_after_ids(pre, zones, [role], ["Borough"], [col, "Month"],
-                              {"trip_count": "n"})
+                              {"trip_count": "n"}, cluster_by="Month")
     return top_k_per_group(counts, ["Month"],
                            [F.desc_nulls_last("trip_count"), F.asc_nulls_last(col)], k)
 
