@@ -7,7 +7,7 @@ from tripcast.__main__ import QUERY_NAMES, main
 
 def _files():
     d = tempfile.mkdtemp(prefix="tripcast-cli-")
-    t, z = os.path.join(d, "rideshare.csv"), os.path.join(d, "zones.csv")
+    t, z = os.path.join(d, "trips.csv"), os.path.join(d, "zones.csv")
     rows = SAMPLE_CSV.strip().split("\n")
     # point two sample trips at zones of the lookup excerpt
     rows[1] = rows[1].replace("Uber,102,157,", "Uber,1,2,")
