@@ -21,8 +21,9 @@ def spark():
     s.stop()
 
 
-# Five sample trips of the source's data dictionary.  Rows 4 and 5 break
-# fare - pay = profit (by 4.00 and 5.00); row 2 has a negative profit.
+# The five sample trips published with the data dictionary.
+# Rows 4 and 5 break fare - pay = profit (by 4.00 and 5.00); row 2 has a
+# negative profit.
 SAMPLE_CSV = """business,pickup_location,dropoff_location,trip_length,request_to_pickup,total_ride_time,on_scene_to_pickup,on_scene_to_dropoff,time_of_day,date,passenger_fare,driver_total_pay,rideshare_profit,hourly_rate,dollars_per_mile
 Uber,102,157,2.08,119,648,79,727,evening,1684713600,12.61,9.1,3.51,45.06,4.38
 Uber,235,244,1.7,59,1226,27,1253,evening,1684713600,13.57,13.75,-0.18,39.51,8.09
@@ -31,6 +32,8 @@ Uber,256,196,6.27,180,1362,26,1388,morning,1684713600,31.21,25.04,10.17,64.95,3.
 Uber,230,43,1.63,72,637,65,702,morning,1684713600,24.44,13.13,16.31,67.33,8.06
 """
 
+# The five published sample rows of the zone lookup, plus two
+# rows of our own for the 'Unknown' ids with NA-like names and an empty field.
 ZONES_CSV = """LocationID,Borough,Zone,service_zone
 1,EWR,Newark Airport,EWR
 2,Queens,Jamaica Bay,Boro Zone
