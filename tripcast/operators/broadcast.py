@@ -16,10 +16,11 @@ _PROBED: dict[tuple, bool] = {}
 def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 
-    Counts at most ``max_rows + 1`` rows (the limit stops the scan early),
-    so the probe is cheap even when the answer is "no".  The answer is
-    remembered per (canonical plan, input files, bound) for the session, so a
-    lookup joined several times is probed once.
+    Each task stops reading after ``max_rows + 1`` rows (the limit is pushed
+    into every scan task), so a lookup costs a tiny job and a large side at
+    most one pass over its pruned key columns; the answer is remembered per
+    (canonical plan, input files, bound) for the application, so a side
+    joined several times is probed once.
     """
     try:
         key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(),
