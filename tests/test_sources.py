@@ -114,3 +114,16 @@ def test_parquet_write_with_spread(spark):
     assert back.count() == 50
     assert {r.year_month for r in back.select("year_month").distinct().collect()} == \
         {202301, 202302}
+
+
+def test_per_business_chart_files(spark, make_trips):
+    from tests.conftest import trip
+    from tripcast.operators.aggregate import monthly_measures
+    from tripcast.sources.sinks import write_per_business_csv
+    t = make_trips([trip(date=1672531200), trip(date=1696118400), trip(business="Lyft")])
+    out = os.path.join(tempfile.mkdtemp(prefix="tripcast-perbiz-"), "o")
+    write_per_business_csv(monthly_measures(t), out, "trip_count")
+    assert sorted(d for d in os.listdir(out) if d.startswith("business=")) == \
+        ["business=Lyft", "business=Uber"]
+    uber = spark.read.option("header", True).csv(os.path.join(out, "business=Uber")).collect()
+    assert [(r.business_date, r.trip_count) for r in uber] == [("Uber-1", "1"), ("Uber-10", "1")]

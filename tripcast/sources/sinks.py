@@ -33,3 +33,14 @@ def write_chart_csv(df: DataFrame, path: str, order_by: list[str],
     pass."""
     (df.coalesce(1).sortWithinPartitions(*order_by)
        .write.mode(mode).option("header", True).csv(path))
+
+
+def write_per_business_csv(monthly: DataFrame, path: str, measure: str,
+                           mode: str = "overwrite") -> None:
+    """Chart files of a per-business-month result: one header CSV per
+    business (``business=<name>/part-*.csv``) with the ``business_date``
+    label and one measure, in month order.  For small aggregates only."""
+    (monthly.select("business", "month", "business_date", measure)
+            .coalesce(1).sortWithinPartitions("business", "month")
+            .drop("month")
+            .write.mode(mode).option("header", True).partitionBy("business").csv(path))
