@@ -168,3 +168,13 @@ def test_enrich_falls_back_to_shuffle_join_beyond_bound(make_trips, zones):
     assert "BroadcastHashJoin" in p_small
     assert "BroadcastHashJoin" not in p_big and "SortMergeJoin" in p_big
     assert sorted(map(tuple, small.collect())) == sorted(map(tuple, big.collect()))
+
+
+def test_fits_broadcast_refuses_large_inputs_by_size(spark):
+    from tripcast.operators.broadcast import input_bytes
+    nation = spark.read.parquet("/root/testdata/sf0.001/nation.parquet")
+    size = input_bytes(nation)
+    assert size and size > 100
+    assert fits_broadcast(nation, 100)                       # 25 rows, small files
+    assert not fits_broadcast(nation, 100, reject_bytes=size - 1)
+    assert input_bytes(spark.range(3)) is None               # no files: count decides

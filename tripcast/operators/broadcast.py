@@ -8,28 +8,63 @@ from pyspark.sql import functions as F
 # A lookup of this many rows (a few hundred bytes each) stays far below the
 # default 8 GB broadcast limit and the executors' memory.
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+# A side whose input files exceed this is refused without running any job
+# (refusing is always safe: the join falls back to a shuffle).  Only the row
+# count can accept a broadcast.
+REJECT_INPUT_BYTES = 1 << 30
+_EXACT_FILE_LIMIT = 1000
+
+
+def input_bytes(df: DataFrame) -> int | None:
+    """Total size of the files ``df`` reads, or None if it reads no files.
+    Exact per file for up to 1000 files, else summed per directory (an
+    over-estimate, used only to refuse)."""
+    try:
+        files = df.inputFiles()
+    except Exception:
+        return None
+    if not files:
+        return None
+    sc = df.sparkSession.sparkContext
+    jvm, conf = sc._jvm, sc._jsc.hadoopConfiguration()
+
+    def path(p: str):
+        return jvm.org.apache.hadoop.fs.Path(p)
+
+    if len(files) <= _EXACT_FILE_LIMIT:
+        return sum(int(path(f).getFileSystem(conf).getFileStatus(path(f)).getLen())
+                   for f in files)
+    parents = {f.rsplit("/", 1)[0] for f in files}
+    return sum(int(path(d).getFileSystem(conf).getContentSummary(path(d)).getLength())
+               for d in parents)
 
 
 _PROBED: dict[tuple, bool] = {}
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> bool:
+def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                   reject_bytes: int = REJECT_INPUT_BYTES) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 
-    Each task stops reading after ``max_rows + 1`` rows (the limit is pushed
-    into every scan task), so a lookup costs a tiny job and a large side at
-    most one pass over its pruned key columns; the answer is remembered per
-    (canonical plan, input files, bound) for the application, so a side
-    joined several times is probed once.
+    A side whose input files exceed ``reject_bytes`` is refused without a
+    job.  Otherwise each task stops reading after ``max_rows + 1`` rows (the
+    limit is pushed into every scan task), so a lookup costs a tiny job and a
+    mid-sized side at most one pass over its pruned columns.  The answer is
+    remembered per (canonical plan, input files, bounds) for the
+    application, so a side joined several times is probed once.
     """
     try:
         key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(),
-               tuple(sorted(df.inputFiles())), max_rows)
+               tuple(sorted(df.inputFiles())), max_rows, reject_bytes)
     except Exception:  # plans without a semantic hash / file index
         key = None
     if key is not None and key in _PROBED:
         return _PROBED[key]
-    ok = df.limit(max_rows + 1).count() <= max_rows
+    size = input_bytes(df)
+    if size is not None and size > reject_bytes:
+        ok = False   # far too large to be a lookup: no job needed to refuse
+    else:
+        ok = df.limit(max_rows + 1).count() <= max_rows
     if key is not None:
         _PROBED[key] = ok
     return ok
