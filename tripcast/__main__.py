@@ -1,9 +1,11 @@
 """Command line: run the catalogue over real trip data.
 
-    spark-submit -m tripcast ingest --trips <trip csv> --out <parquet dir>
-    spark-submit -m tripcast rejects --trips <trip csv>
-    spark-submit -m tripcast run q05 --trips <csv or parquet> --zones <zone csv> \
-        [--out <dir>] [--format csv|parquet] [--show N]
+    spark-submit --py-files tripcast.zip tripcast/__main__.py ingest \
+        --trips <trip csv> --out <parquet dir>
+    spark-submit --py-files tripcast.zip tripcast/__main__.py rejects --trips <trip csv>
+    spark-submit --py-files tripcast.zip tripcast/__main__.py run q05_top_pickup_boroughs \
+        --trips <csv or parquet> --zones <zone csv> [--out <dir>] [--format csv|parquet]
+        [--show N]
 
 (or ``python -m tripcast ...`` locally).  ``--trips`` may be the raw CSV
 (typed on the fly) or the Parquet table written by ``ingest``; queries use
