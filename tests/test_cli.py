@@ -43,3 +43,16 @@ def test_cli_rejects(spark, capsys):
     assert main(["rejects", "--trips", t], spark=spark) == 0
     out = capsys.readouterr().out
     assert "pickup_location" in out and "|1       |" in out
+
+
+def test_cli_parameters(spark):
+    d, t, z = _files()
+    out = os.path.join(d, "pair")
+    assert main(["run", "q15_borough_pair_count", "--trips", t, "--zones", z, "--out", out,
+                 "--param", "pair=EWR,Queens"], spark=spark) == 0
+    assert spark.read.option("header", True).csv(out).first().trip_count == "1"
+    out2 = os.path.join(d, "top1")
+    assert main(["run", "q05_top_pickup_boroughs", "--trips", t, "--zones", z, "--out", out2,
+                 "--param", "k=1"], spark=spark) == 0
+    rows = spark.read.option("header", True).csv(out2).collect()
+    assert len(rows) == 1 and rows[0].Pickup_Borough in ("EWR", "Queens")

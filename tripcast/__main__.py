@@ -22,48 +22,64 @@ from pyspark.sql import DataFrame, SparkSession
 from tripcast.plans import catalogue as cat
 
 
-def _queries(trips: DataFrame, zones: DataFrame) -> dict:
-    """Query name -> zero-argument builder over the given inputs."""
-    return {
-        "q01_enriched": lambda: cat.q01_enriched(trips, zones),
-        "q01_row_count": lambda: cat.q01_row_count(trips, zones),
-        "q02_trips_per_business_month": lambda: cat.q02_trips_per_business_month(trips),
-        "q03_profit_per_business_month": lambda: cat.q03_profit_per_business_month(trips),
-        "q04_driver_pay_per_business_month": lambda: cat.q04_driver_pay_per_business_month(trips),
-        "q02_04_monthly_summary": lambda: cat.monthly_summary(trips),
-        "q05_top_pickup_boroughs": lambda: cat.q05_top_pickup_boroughs(trips, zones),
-        "q06_top_dropoff_boroughs": lambda: cat.q06_top_dropoff_boroughs(trips, zones),
-        "q07_top_routes_by_pay": lambda: cat.q07_top_routes_by_pay(trips, zones),
-        "q08_avg_pay_by_time_of_day": lambda: cat.q08_avg_pay_by_time_of_day(trips),
-        "q09_avg_length_by_time_of_day": lambda: cat.q09_avg_length_by_time_of_day(trips),
-        "q10_earning_per_mile": lambda: cat.q10_earning_per_mile(trips),
-        "q11_january_daily_wait": lambda: cat.q11_daily_wait(trips),
-        "q12_wait_anomaly_days": lambda: cat.q12_wait_anomaly_days(trips),
-        "q13_low_volume_pickups": lambda: cat.q13_low_volume_pickups(trips, zones),
-        "q14_evening_pickups": lambda: cat.q14_pickups_at_time_of_day(trips, zones),
-        "q15_borough_pair_trips": lambda: cat.q15_borough_pair_trips(trips, zones),
-        "q15_borough_pair_sample": lambda: cat.q15_borough_pair_sample(trips, zones),
-        "q15_borough_pair_count": lambda: cat.q15_borough_pair_count(trips, zones),
-        "q16_top_zone_routes": lambda: cat.q16_top_zone_routes(trips, zones),
-        "q17_vertices": lambda: cat.q17_vertices(zones),
-        "q17_edges": lambda: cat.q17_edges(trips),
-        "q17_edge_weights": lambda: cat.q17_edge_weights(trips),
-        "q17_dangling_edges": lambda: cat.q17_dangling_edges(trips, zones),
-        "q18_triplets": lambda: cat.q18_triplets(trips, zones, flat=False),
-        "q19_same_borough_service_zone_pairs":
-            lambda: cat.q19_same_borough_service_zone_pairs(trips, zones),
-        "q19_pair_count": lambda: cat.q19_pair_count(trips, zones),
-        "q20_pagerank_top5": lambda: cat.q20_pagerank_top(trips, zones),
-        "q22_derived_metric_check": lambda: cat.q22_derived_metric_check(trips),
-    }
-
-
-QUERY_NAMES = list(_queries(None, None))  # type: ignore[arg-type]
+# Query name -> (catalogue function, inputs it takes: t = trips, z = zones).
+CATALOGUE = {
+    "q01_enriched": (cat.q01_enriched, "tz"),
+    "q01_row_count": (cat.q01_row_count, "tz"),
+    "q02_trips_per_business_month": (cat.q02_trips_per_business_month, "t"),
+    "q03_profit_per_business_month": (cat.q03_profit_per_business_month, "t"),
+    "q04_driver_pay_per_business_month": (cat.q04_driver_pay_per_business_month, "t"),
+    "q02_04_monthly_summary": (cat.monthly_summary, "t"),
+    "q05_top_pickup_boroughs": (cat.q05_top_pickup_boroughs, "tz"),
+    "q06_top_dropoff_boroughs": (cat.q06_top_dropoff_boroughs, "tz"),
+    "q07_top_routes_by_pay": (cat.q07_top_routes_by_pay, "tz"),
+    "q08_avg_pay_by_time_of_day": (cat.q08_avg_pay_by_time_of_day, "t"),
+    "q09_avg_length_by_time_of_day": (cat.q09_avg_length_by_time_of_day, "t"),
+    "q10_earning_per_mile": (cat.q10_earning_per_mile, "t"),
+    "q11_january_daily_wait": (cat.q11_daily_wait, "t"),
+    "q12_wait_anomaly_days": (cat.q12_wait_anomaly_days, "t"),
+    "q13_low_volume_pickups": (cat.q13_low_volume_pickups, "tz"),
+    "q14_evening_pickups": (cat.q14_pickups_at_time_of_day, "tz"),
+    "q15_borough_pair_trips": (cat.q15_borough_pair_trips, "tz"),
+    "q15_borough_pair_sample": (cat.q15_borough_pair_sample, "tz"),
+    "q15_borough_pair_count": (cat.q15_borough_pair_count, "tz"),
+    "q16_top_zone_routes": (cat.q16_top_zone_routes, "tz"),
+    "q17_vertices": (cat.q17_vertices, "z"),
+    "q17_edges": (cat.q17_edges, "t"),
+    "q17_edge_weights": (cat.q17_edge_weights, "t"),
+    "q17_dangling_edges": (cat.q17_dangling_edges, "tz"),
+    "q18_triplets": (cat.q18_triplets, "tz"),
+    "q19_same_borough_service_zone_pairs": (cat.q19_same_borough_service_zone_pairs, "tz"),
+    "q19_pair_count": (cat.q19_pair_count, "tz"),
+    "q20_pagerank_top5": (cat.q20_pagerank_top, "tz"),
+    "q22_derived_metric_check": (cat.q22_derived_metric_check, "t"),
+}
+QUERY_NAMES = list(CATALOGUE)
 # Results with one row per trip: written by every task in parallel, never
 # folded into a single file.
 ROW_LEVEL = {"q01_enriched", "q15_borough_pair_trips", "q17_edges"}
 
 
+def _value(text: str):
+    """'10' -> 10, '0.5' -> 0.5, 'true' -> True, 'a,b' -> ('a', 'b'), else text."""
+    if "," in text:
+        return tuple(_value(t) for t in text.split(","))
+    if text.lower() in ("true", "false"):
+        return text.lower() == "true"
+    for cast in (int, float):
+        try:
+            return cast(text)
+        except ValueError:
+            pass
+    return text
+
+
+def build_query(name: str, trips: DataFrame, zones: DataFrame, params: dict) -> DataFrame:
+    fn, needs = CATALOGUE[name]
+    args = [x for x, flag in ((trips, "t"), (zones, "z")) if flag in needs]
+    return fn(*args, **params)
+
+
 def _load_trips(spark: SparkSession, path: str) -> DataFrame:
     from tripcast.sources.csv import read_trips_csv
     from tripcast.sources.parquet import read_trips_parquet
@@ -87,6 +103,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     run.add_argument("--out")
     run.add_argument("--format", choices=["csv", "parquet"], default="csv")
     run.add_argument("--show", type=int, default=0)
+    run.add_argument("--param", action="append", default=[], metavar="KEY=VALUE",
+                     help="query parameter, e.g. k=10, threshold=250, "
+                          "pair=Brooklyn,Staten Island, bounds=0,1000, time_of_day=night")
     args = ap.parse_args(argv)
 
     from tripcast.session import get_session
@@ -103,7 +122,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
 
     from tripcast.sources.csv import read_zones_csv
     from tripcast.sources.sinks import write_csv, write_parquet
-    df = _queries(_load_trips(spark, args.trips), read_zones_csv(spark, args.zones))[args.query]()
+    params = dict(p.split("=", 1) for p in args.param)
+    df = build_query(args.query, _load_trips(spark, args.trips),
+                     read_zones_csv(spark, args.zones), {k: _value(v) for k, v in params.items()})
     if args.out:
         if args.format == "csv":
             write_csv(df, args.out, single_file=args.query not in ROW_LEVEL)
