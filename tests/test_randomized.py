@@ -1,5 +1,6 @@
 """Seeded randomized comparisons of operators with plain-Python models."""
 
+import datetime
 import random
 from collections import Counter
 
@@ -58,3 +59,43 @@ def test_top_k_per_group_random(spark, seed):
         grp = sorted((r for r in rows if r[1] == m), key=lambda r: (-r[2], r[0]))
         want += grp[:3]
     assert got == sorted(want)
+
+
+def test_calendar_random_against_python(spark):
+    import datetime as dt
+
+    from tripcast.functions.calendar import day_of, iso_date, month_of
+    rnd = random.Random(5)
+    secs = [rnd.randint(-10**9, 2 * 10**9) for _ in range(300)] + [0, -1, 86399, 86400]
+    df = spark.createDataFrame([(s,) for s in secs], "date long")
+    got = {r.date: (r.d, r.m, r.dd) for r in
+           df.select("date", iso_date("date").alias("d"), month_of("date").alias("m"),
+                     day_of("date").alias("dd")).collect()}
+    epoch = dt.datetime(1970, 1, 1)
+    for s in secs:
+        want = epoch + dt.timedelta(seconds=s)
+        assert got[s] == (want.strftime("%Y-%m-%d"), want.month, want.day), s
+
+
+@pytest.mark.parametrize("seed", [21, 22])
+def test_monthly_measures_random(spark, make_trips, seed):
+    from decimal import Decimal
+
+    from tripcast.operators.aggregate import monthly_measures
+    rnd = random.Random(seed)
+    rows, want = [], {}
+    for _ in range(150):
+        b = rnd.choice(["Uber", "Lyft"])
+        month = rnd.randint(1, 12)
+        date = int(datetime.datetime(2023, month, rnd.randint(1, 28),
+                                     tzinfo=datetime.timezone.utc).timestamp())
+        profit = Decimal(rnd.randint(-5000, 5000)) / 100
+        pay = Decimal(rnd.randint(0, 9000)) / 100
+        rows.append(trip(business=b, date=date, profit=str(profit), pay=str(pay)))
+        w = want.setdefault((b, month), [0, Decimal(0), Decimal(0)])
+        w[0] += 1
+        w[1] += profit
+        w[2] += pay
+    got = {(r.business, r.month): (r.trip_count, r.total_profit, r.total_driver_pay)
+           for r in monthly_measures(make_trips(rows)).collect()}
+    assert got == {k: (v[0], float(v[1]), float(v[2])) for k, v in want.items()}
