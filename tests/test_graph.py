@@ -104,3 +104,11 @@ def test_pagerank_top(make_trips, zones):
     top = cat.q20_pagerank_top(t, zones, k=3).collect()
     assert len(top) == 3
     assert [r.pagerank for r in top] == sorted([r.pagerank for r in top], reverse=True)
+
+
+@pytest.mark.parametrize("reset,tol", [(0.0, 0.01), (1.0, 0.01), (0.17, 0.0)])
+def test_pagerank_rejects_bad_parameters(spark, reset, tol):
+    v = spark.createDataFrame([(1,)], "id int")
+    e = spark.createDataFrame([(1, 1)], "src int, dst int")
+    with pytest.raises(ValueError):
+        pagerank(v, e, reset=reset, tol=tol)

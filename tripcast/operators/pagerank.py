@@ -122,8 +122,13 @@ def pagerank(vertices: DataFrame, edges: DataFrame, reset: float = DEFAULT_RESET
              rounds_per_job: int = ROUNDS_PER_JOB) -> DataFrame:
     """vertices(id, ...), edges(src, dst[, weight]) -> (id int, pagerank double).
 
-    Edges whose src or dst is not a vertex are ignored.
+    Edges whose src or dst is not a vertex are ignored.  Requires
+    0 < reset < 1 and tol > 0.
     """
+    if not 0.0 < reset < 1.0:
+        raise ValueError(f"reset probability must be in (0, 1), got {reset}")
+    if not tol > 0.0:
+        raise ValueError(f"tolerance must be positive, got {tol}")
     spark = vertices.sparkSession
     ensure_checkpoint_dir(spark)
     keep = 1.0 - reset
