@@ -127,3 +127,22 @@ def test_per_business_chart_files(spark, make_trips):
         ["business=Lyft", "business=Uber"]
     uber = spark.read.option("header", True).csv(os.path.join(out, "business=Uber")).collect()
     assert [(r.business_date, r.trip_count) for r in uber] == [("Uber-1", "1"), ("Uber-10", "1")]
+
+
+def test_staging_follows_changed_inputs(spark):
+    import shutil
+    import time
+
+    from tripcast.sources.staging import staged
+    src = tempfile.mkdtemp(prefix="tripcast-stage-src-")
+    shutil.copy("/root/testdata/sf0.001/nation.parquet", os.path.join(src, "nation.parquet"))
+
+    def build():
+        return spark.read.parquet(os.path.join(src, "nation.parquet")).select("n_nationkey")
+    first = staged(spark, "t", src, build)
+    assert first.count() == 25
+    assert staged(spark, "t", src, build) is first           # reused while unchanged
+    time.sleep(1.1)
+    shutil.copy("/root/testdata/sf0.001/region.parquet", os.path.join(src, "extra.parquet"))
+    again = staged(spark, "t", src, build)
+    assert again is not first and again.count() == 25        # new inputs: staged anew

@@ -5,9 +5,10 @@ every query (three joins, two of them shuffles), it is derived once by Spark
 and written as Parquet into the application's folder under the shared
 checkpoint directory (``spark.checkpoint.dir``).  Later queries read it back
 with column pruning and one task per file split.  The folder belongs to the
-application (the checkpoint directory gets a fresh per-application subfolder),
-so a new session never reads a stale copy; a lost executor only loses cached
-blocks, never the staged files.
+application (the checkpoint directory gets a fresh per-application subfolder)
+and is keyed by the source files' names, sizes and modification times, so
+neither a new session nor changed inputs ever read a stale copy; a lost
+executor only loses cached blocks, never the staged files.
 """
 
 from __future__ import annotations
@@ -35,9 +36,25 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def _fingerprint(spark: SparkSession, source: str) -> str:
+    """Names, sizes and modification times of the files under ``source``
+    (one listing call), so changed inputs give a new staged copy."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(source)
+    try:
+        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        entries = sorted((st.getPath().getName(), st.getLen(), st.getModificationTime())
+                         for st in fs.listStatus(p))
+    except Exception:  # not listable: key on the path alone
+        entries = []
+    return repr(entries)
+
+
 def staged_path(spark: SparkSession, name: str, source: str) -> str:
     root = ensure_checkpoint_dir(spark).rstrip("/")
-    key = hashlib.sha1(f"{STAGE_VERSION}|{os.path.abspath(source)}".encode()).hexdigest()[:16]
+    src = source if "://" in source else os.path.abspath(source)
+    raw = f"{STAGE_VERSION}|{src}|{_fingerprint(spark, source)}"
+    key = hashlib.sha1(raw.encode()).hexdigest()[:16]
     return f"{root}/tripcast-staged/{name}-{key}"
 
 
