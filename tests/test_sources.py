@@ -42,6 +42,7 @@ def test_bad_numbers_become_null_and_are_counted(spark):
     assert rej["request_to_pickup"] == 0   # empty is missing, not rejected
     assert rej["driver_total_pay"] == 0
     assert rej["date"] == 0
+    assert rej["*any*"] == 1   # one record holds both rejected fields
 
 
 def test_zone_names_na_kept_as_text(spark):

@@ -59,16 +59,22 @@ def read_zones_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def reject_counts(spark: SparkSession, path: str, fields=TRIP_FIELDS) -> DataFrame:
-    """One row per typed column: how many non-empty values failed to type.
+    """Per typed column: how many non-empty values failed to type, plus a
+    final row ``*any*`` counting records with at least one rejected field.
 
     One pass over the file; counts are partial aggregates, so the cost is a
     scan plus a one-row shuffle.
     """
     raw = read_text_table(spark, path, fields)
     typed = [(n, t) for n, t in fields if not isinstance(t, T.StringType)]
-    aggs = [F.count_if(F.trim(F.col(n)).try_cast(t).isNull()
-                       & F.col(n).isNotNull() & (F.trim(F.col(n)) != "")).alias(n)
-            for n, t in typed]
+    bad = {n: (F.trim(F.col(n)).try_cast(t).isNull() & F.col(n).isNotNull()
+               & (F.trim(F.col(n)) != "")) for n, t in typed}
+    any_bad = None
+    for c in bad.values():
+        any_bad = c if any_bad is None else (any_bad | c)
+    aggs = [F.count_if(c).alias(n) for n, c in bad.items()]
+    aggs.append(F.count_if(any_bad).alias("_any"))
     wide = raw.agg(*aggs)
-    stack = ", ".join(f"'{n}', `{n}`" for n, _ in typed)
-    return wide.selectExpr(f"stack({len(typed)}, {stack}) as (column, rejected)")
+    names = [n for n, _ in typed] + ["_any"]
+    stack = ", ".join(f"'{'*any*' if n == '_any' else n}', `{n}`" for n in names)
+    return wide.selectExpr(f"stack({len(names)}, {stack}) as (column, rejected)")
