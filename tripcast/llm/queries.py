@@ -6,9 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tripcast.llm.chunk_reuse import op8_bpe_chunk_reuse
 from tripcast.llm.language_id import op10_language_id
+from tripcast.llm.token_counts import op2_token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_token_counts": op2_token_counts,
+    "op8_bpe_chunk_reuse": op8_bpe_chunk_reuse,
     "op10_language_id": op10_language_id,
 }
 
