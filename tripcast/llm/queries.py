@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tripcast.llm.bagminhash import op1_bagminhash
 from tripcast.llm.chunk_reuse import op8_bpe_chunk_reuse
 from tripcast.llm.decontaminate import op3_benchmark_decontamination
+from tripcast.llm.fingerprint import op5_fingerprints
 from tripcast.llm.language_id import op10_language_id
 from tripcast.llm.token_counts import op2_token_counts
 
@@ -16,6 +17,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bagminhash": op1_bagminhash,
     "op2_token_counts": op2_token_counts,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
+    "op5_fingerprints": op5_fingerprints,
     "op8_bpe_chunk_reuse": op8_bpe_chunk_reuse,
     "op10_language_id": op10_language_id,
 }
