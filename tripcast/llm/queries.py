@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tripcast.llm.bagminhash import op1_bagminhash
+from tripcast.llm.chat import op7_chat_format
 from tripcast.llm.chunk_reuse import op8_bpe_chunk_reuse
 from tripcast.llm.decontaminate import op3_benchmark_decontamination
 from tripcast.llm.fingerprint import op5_fingerprints
@@ -18,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op5_fingerprints": op5_fingerprints,
+    "op7_chat_format": op7_chat_format,
     "op8_bpe_chunk_reuse": op8_bpe_chunk_reuse,
     "op10_language_id": op10_language_id,
 }
