@@ -13,12 +13,14 @@ from tripcast.llm.decontaminate import op3_benchmark_decontamination
 from tripcast.llm.fingerprint import op5_fingerprints
 from tripcast.llm.language_id import op10_language_id
 from tripcast.llm.token_counts import op2_token_counts
+from tripcast.llm.warc import op6_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bagminhash": op1_bagminhash,
     "op2_token_counts": op2_token_counts,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op5_fingerprints": op5_fingerprints,
+    "op6_warc": op6_warc,
     "op7_chat_format": op7_chat_format,
     "op8_bpe_chunk_reuse": op8_bpe_chunk_reuse,
     "op10_language_id": op10_language_id,
