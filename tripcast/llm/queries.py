@@ -11,6 +11,7 @@ from tripcast.llm.chat import op7_chat_format
 from tripcast.llm.chunk_reuse import op8_bpe_chunk_reuse
 from tripcast.llm.decontaminate import op3_benchmark_decontamination
 from tripcast.llm.fingerprint import op5_fingerprints
+from tripcast.llm.html_main import op9_html_main_text
 from tripcast.llm.language_id import op10_language_id
 from tripcast.llm.token_counts import op2_token_counts
 from tripcast.llm.warc import op6_warc
@@ -23,6 +24,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_warc": op6_warc,
     "op7_chat_format": op7_chat_format,
     "op8_bpe_chunk_reuse": op8_bpe_chunk_reuse,
+    "op9_html_main_text": op9_html_main_text,
     "op10_language_id": op10_language_id,
 }
 
