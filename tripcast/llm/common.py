@@ -38,7 +38,7 @@ def stored(df: DataFrame, what: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage ends there,
     and a lost executor cannot take the rows with it."""
     path = shared_folder(df.sparkSession, what)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tripcast.llm.bagminhash import op1_bagminhash
 from tripcast.llm.chat import op7_chat_format
 from tripcast.llm.chunk_reuse import op8_bpe_chunk_reuse
+from tripcast.llm.ctw import op4_context_tree_weighting
 from tripcast.llm.decontaminate import op3_benchmark_decontamination
 from tripcast.llm.fingerprint import op5_fingerprints
 from tripcast.llm.html_main import op9_html_main_text
@@ -20,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bagminhash": op1_bagminhash,
     "op2_token_counts": op2_token_counts,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
+    "op4_context_tree_weighting": op4_context_tree_weighting,
     "op5_fingerprints": op5_fingerprints,
     "op6_warc": op6_warc,
     "op7_chat_format": op7_chat_format,
