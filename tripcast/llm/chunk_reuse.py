@@ -193,19 +193,30 @@ def _routing_key(text_col: str):
     return key(F.col(text_col))
 
 
+KINDS = {"n_tokens": (T.LongType(), pa.int64()), "ids": (T.ArrayType(T.IntegerType()), pa.list_(pa.int32())),
+         "decoded": (T.StringType(), pa.string()), "ids_sha256": (T.StringType(), pa.string()),
+         "decoded_sha256": (T.StringType(), pa.string())}
+
+
+def _values(enc: Encoder, ids: list[int], names: tuple[str, ...]) -> dict:
+    out = {"n_tokens": len(ids), "ids": ids}
+    if "ids_sha256" in names:
+        out["ids_sha256"] = hashlib.sha256(",".join([enc.decimal_of[x] for x in ids]).encode()).hexdigest()
+    if "decoded" in names or "decoded_sha256" in names:
+        out["decoded"] = enc.decode(ids)
+        out["decoded_sha256"] = hashlib.sha256(out["decoded"].encode()).hexdigest()
+    return out
+
+
 def coded(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", path: str | None = None,
-          digests: bool = False) -> DataFrame:
-    """``docs`` (text column replaced) with n_tokens and either ids (array of
-    int) and decoded (string), or, with ``digests``, their SHA-256: ids_sha256
-    of the decimal ids joined by commas, decoded_sha256 of the decoded UTF-8."""
+          outputs: tuple[str, ...] = ("n_tokens", "ids", "decoded")) -> DataFrame:
+    """``docs`` without the text column, with ``outputs``, any of n_tokens, ids
+    (array of int), decoded (the text the ids decode to), ids_sha256 (of the
+    decimal ids joined by commas) and decoded_sha256 (of its UTF-8)."""
     path = path or default_path()
-    if digests:
-        outputs = [("n_tokens", T.LongType()), ("ids_sha256", T.StringType()), ("decoded_sha256", T.StringType())]
-    else:
-        outputs = [("n_tokens", T.LongType()), ("ids", T.ArrayType(T.IntegerType())), ("decoded", T.StringType())]
-    names = [n for n, _ in outputs]
+    names = list(outputs)
     keep = [c for c in docs.columns if c not in names and c != text_col]
-    schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField(n, t) for n, t in outputs])
+    schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField(n, KINDS[n][0]) for n in names])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
@@ -213,25 +224,13 @@ def coded(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", path:
         for batch in batches:
             for part in slices(batch, "__text"):
                 raw, off = utf8_parts(part.column(part.schema.get_field_index("__text")))
-                data, counts, first, second = raw.tobytes(), [], [], []
-                last, result = None, None
+                data, rows, last, result = raw.tobytes(), [], None, None
                 for i, cuts in enumerate(_own_cuts(raw, off)):
                     doc = data[off[i]:off[i + 1]]
                     if doc != last:
-                        ids = encode(store, doc, _bounds(doc, cuts)).tolist()
-                        text = enc.decode(ids)
-                        if digests:
-                            joined = ",".join([enc.decimal_of[x] for x in ids]).encode()
-                            result = (len(ids), hashlib.sha256(joined).hexdigest(),
-                                      hashlib.sha256(text.encode()).hexdigest())
-                        else:
-                            result = (len(ids), ids, text)
-                        last = doc
-                    counts.append(result[0])
-                    first.append(result[1])
-                    second.append(result[2])
-                new = [pa.array(counts, pa.int64()), pa.array(first, pa.string() if digests else pa.list_(pa.int32())),
-                       pa.array(second, pa.string())]
+                        result, last = _values(enc, encode(store, doc, _bounds(doc, cuts)).tolist(), outputs), doc
+                    rows.append(result)
+                new = [pa.array([r[n] for r in rows], KINDS[n][1]) for n in names]
                 yield pa.RecordBatch.from_arrays([part.column(i) for i in range(len(keep))] + new, names=keep + names)
 
     d = docs.select(*keep, F.coalesce(F.col(text_col), F.lit("")).alias("__text"))
@@ -242,4 +241,4 @@ def coded(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", path:
 
 def op8_bpe_chunk_reuse(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return coded(docs, digests=True).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+    return coded(docs, outputs=("n_tokens", "ids_sha256", "decoded_sha256"))
