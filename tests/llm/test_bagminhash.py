@@ -75,3 +75,14 @@ def test_query_covers_every_document(spark):
     got = QUERIES["op1_bagminhash"](spark, SF).collect()
     assert {r["doc_id"]: r["class_id"] for r in got} == want
     assert all(r["kept"] == (want[r["doc_id"]] == r["doc_id"]) for r in got)
+
+
+def test_a_large_spread_group_in_blocks(spark, monkeypatch):
+    """Near copies most of which are not similar to each other, compared in
+    blocks smaller than the group."""
+    monkeypatch.setattr(bm, "BLOCK_ROWS", 25)
+    rows = list(enumerate(_near_copies(150, 100, 9, 7)))
+    want = classes(rows)
+    assert 1 < len(set(want.values())) < 150
+    got = {r["doc_id"]: r["class_id"] for r in bm.classes(docs(spark, [(i, t, None) for i, t in rows])).collect()}
+    assert got == want

@@ -20,11 +20,13 @@ Search: texts with equal word sequences form one class from the start and are
 stood for by the smallest id.  Signatures are cut into BANDS bands of ROWS
 components; texts that share a band meet in a bucket.  Each text is verified
 against the likeliest bucket leader first; then, round by round, texts of one
-bucket that are still in different classes are paired, first with their
-neighbour in a hashed order, at last exhaustively.  Pairs whose signatures
-agree far less than the threshold are set aside (``slack``: four standard
-errors or more), all others are verified exactly on whole texts.  Pairs inside
-one class need no test, so groups of any size cost a few pairs per text.
+bucket that are still in different classes are paired with their neighbour in
+a hashed order.  What is left of a bucket is compared exhaustively: a bucket of
+a few texts as pairs, a larger one in blocks of bounded size inside tasks,
+which return the links that join classes and never the pairs.  Pairs whose
+signatures agree far less than the threshold are set aside (``slack``: more
+than five standard errors), all others are verified exactly on whole texts.
+Pairs inside one class need no test.
 
 Edge cases: a text that is null or has no word is a class of its own; a null
 id gets a null class.  Rows that repeat an id are one document.  With M = 160
@@ -48,6 +50,7 @@ from tripcast.llm.components import components
 BANDS, ROWS, SHINGLE = 32, 5, 5
 M = BANDS * ROWS
 THRESHOLD, SLACK = 0.8, 0.18
+FEW, BLOCK_ROWS, BLOCK_SHINGLES = 8, 2048, 1 << 20
 _BASE, _INVERSE = np.uint64(0x9E3779B97F4A7C15), np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _BYTE = mix(np.arange(256, dtype=np.uint64) + np.uint64(0x51ED27))
 _POWERS: dict[int, np.ndarray] = {}
@@ -215,6 +218,77 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
     return both.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long, sim double")
 
 
+def _block_links(group: pa.Table, threshold: float, least: float) -> pa.Table:
+    """Links that join classes, among the pairs of one bucket between two blocks
+    (or within one) that no earlier band brings together."""
+    group = group.sort_by([("block", "ascending"), ("id", "ascending")]).combine_chunks()
+    n = group.num_rows
+    block, ids, cls = (group.column(c).to_numpy() for c in ("block", "id", "c"))
+    here, i, j = (group.column(c)[0].as_py() for c in ("bucket", "i", "j"))
+    sig = np.frombuffer(utf8_parts(group.column("sig"))[0], np.uint8).reshape(n, M)
+    bands = group.column("bands").combine_chunks().flatten().to_numpy().reshape(n, BANDS)
+    band = int(np.flatnonzero(bands[0] == here)[0])
+    raw, off = utf8_parts(pc.utf8_lower(pc.fill_null(group.column("text"), "")))
+    sh, doc, _, _ = shingles(raw, off)
+    order = np.lexsort((sh, doc))
+    sh, doc = sh[order], doc[order]
+    first = np.flatnonzero(np.concatenate([[True], (sh[1:] != sh[:-1]) | (doc[1:] != doc[:-1])])) if len(sh) else np.zeros(0, int)
+    weight = np.diff(np.append(first, len(sh)))
+    sh, doc = sh[first], doc[first]
+    start = np.searchsorted(doc, np.arange(n + 1))
+    total = np.bincount(doc, weights=weight, minlength=n)
+    up: dict[int, int] = {}
+
+    def root(c: int) -> int:
+        while c in up:
+            c = up[c]
+        return c
+
+    at, share = np.array([root(c) for c in cls]), least * 255 / 256 + 1 / 256
+    out = []
+    for x in np.flatnonzero(block == i):
+        y = np.flatnonzero((block == j) & (at != at[x]))
+        y = y[y > x] if i == j else y
+        y = y[(sig[y] == sig[x]).mean(axis=1) >= share]
+        y = y[(bands[y, :band] != bands[x, :band]).all(axis=1)]
+        if not len(y):
+            continue
+        span = start[y + 1] - start[y]
+        entry = np.repeat(start[y], span) + np.arange(span.sum()) - np.repeat(np.cumsum(span) - span, span)
+        mine, w = sh[start[x]:start[x + 1]], weight[start[x]:start[x + 1]]
+        k = np.minimum(np.searchsorted(mine, sh[entry]), len(mine) - 1)
+        common = np.bincount(np.repeat(np.arange(len(y)), span), minlength=len(y),
+                             weights=np.where(mine[k] == sh[entry], np.minimum(w[k], weight[entry]), 0))
+        sim = common / (total[x] + total[y] - common)
+        for q in np.flatnonzero(sim >= threshold - 1e-12):
+            a, b = root(int(cls[x])), root(int(cls[y[q]]))
+            if a != b:
+                up[max(a, b)] = min(a, b)
+                out.append((min(int(ids[x]), int(ids[y[q]])), max(int(ids[x]), int(ids[y[q]])), float(sim[q])))
+        if out:
+            at = np.array([root(c) for c in cls])
+    return pa.Table.from_arrays([pa.array([r[0] for r in out], pa.int64()), pa.array([r[1] for r in out], pa.int64()),
+                                 pa.array([r[2] for r in out], pa.float64())], names=["a", "b", "sim"])
+
+
+def _exhaustive(now: DataFrame, sigs: DataFrame, texts: DataFrame, threshold: float, least: float) -> DataFrame:
+    """Links between texts of one bucket (bucket, id, c, n) in different classes."""
+    sizes = now.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("shingles"))
+    few, many = sizes.filter(F.col("size") <= FEW), sizes.filter(F.col("size") > FEW)
+    left = now.join(few.select("bucket"), "bucket", "left_semi").select("bucket", F.col("id").alias("a"), F.col("c").alias("ca"))
+    right = left.toDF("bucket", "b", "cb")
+    pairs = left.join(right, "bucket").filter("a < b and ca <> cb").select("a", "b").distinct()
+    small = _verified(_estimated(pairs, sigs, least), texts, threshold)
+    blocks = F.greatest(F.ceil(F.col("size") / BLOCK_ROWS), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int").alias("blocks")
+    rows = now.select("bucket", "id", "c").join(many.select("bucket", blocks), "bucket")
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "bucket", "id", "c", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+    rows = rows.join(sigs.select("id", "sig", "bands"), "id").join(texts, "id")
+    large = rows.groupBy("bucket", "i", "j").applyInArrow(lambda t: _block_links(t, threshold, least), "a long, b long, sim double")
+    return small.unionByName(large)
+
+
 def _with_class(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
     if labels is None:
         return rows.withColumn("c", F.col("id"))
@@ -231,13 +305,13 @@ def classes(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", thr
     copies = rows.groupBy("k1", "k2").agg(F.min("id").alias("rep"))
     reps = copies.groupBy(F.col("rep").alias("id")).agg(F.min(F.struct("k1", "k2")).alias("k"))
     sigs = (signed.filter("n > 0").join(reps, "id").filter("k1 = k.k1 and k2 = k.k2")
-            .select("id", "sig", "bands"))
+            .select("id", "sig", "bands", "n"))
     # Buckets with at least two texts: (band hash, id); the band is part of its hash.
     at = sigs.select("id", F.explode("bands").alias("bucket"))
     shared = at.groupBy("bucket").agg(F.min("id").alias("lead"), F.count(F.lit(1)).alias("size")).filter("size > 1")
     met = stored(at.join(shared.select("bucket", "lead"), "bucket"), "met")
     involved = met.select("id").distinct()
-    sigs = stored(sigs.select("id", "sig").join(involved, "id", "left_semi").dropDuplicates(["id"]), "sigs")
+    sigs = stored(sigs.join(involved, "id", "left_semi").dropDuplicates(["id"]), "sigs")
     texts = (docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
              .join(involved, "id", "left_semi"))
     duplicated = not signed.groupBy("id").count().filter("count > 1 and id is not null").isEmpty()
@@ -270,11 +344,8 @@ def classes(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", thr
         found = stored(_verified(best_partner(_estimated(pairs, sigs, least)), texts, threshold), "links")
         if found.isEmpty():
             break
-    # What is left: every pair of one bucket in two classes, but for those set aside.
     if not now.isEmpty():
-        left, right = now.toDF("bucket", "a", "ca"), now.toDF("bucket", "b", "cb")
-        pairs = left.join(right, "bucket").filter("a < b and ca <> cb").select("a", "b").distinct()
-        found = stored(_verified(_estimated(pairs, sigs, least), texts, threshold), "links")
+        found = stored(_exhaustive(now.join(sigs.select("id", "n"), "id"), sigs, texts, threshold, least), "links")
         if not found.isEmpty():
             links = links.unionByName(found)
             labels = components(links)
