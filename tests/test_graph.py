@@ -112,3 +112,43 @@ def test_pagerank_rejects_bad_parameters(spark, reset, tol):
     e = spark.createDataFrame([(1, 1)], "src int, dst int")
     with pytest.raises(ValueError):
         pagerank(v, e, reset=reset, tol=tol)
+
+
+def test_pagerank_of_a_star_with_salted_hub(spark, monkeypatch):
+    from tripcast.operators import pagerank as pr
+    monkeypatch.setattr(pr, "LINKS_PER_SALT", 7)
+    edges = [(0, i) for i in range(1, 41)] + [(i, 0) for i in range(1, 41)] + [(1, 2)]
+    v = spark.range(41).selectExpr("id")
+    e = spark.createDataFrame(edges, "src long, dst long")
+    got = {r.id: r.pagerank for r in pr.pagerank(v, e).collect()}
+    want = _brute_pagerank(range(41), edges)
+    assert all(abs(got[i] - want[i]) < 1e-9 for i in want)
+
+
+def test_pagerank_round_bound_follows_its_parameters(spark):
+    from tripcast.operators.pagerank import pagerank, round_bound
+    assert round_bound(0.001, 1e-9, 3) > 13_000 and round_bound(0.17, 0.01, 25) < 60
+    v = spark.range(3).selectExpr("id")
+    e = spark.createDataFrame([(0, 1), (1, 2), (2, 0)], "src long, dst long")
+    got = pagerank(v, e, reset=0.001, tol=9.6e-4).collect()   # about 40 rounds
+    assert all(abs(r.pagerank - 1.0) < 1e-9 for r in got)
+
+
+def test_pagerank_leaves_only_its_last_state(spark):
+    import os
+
+    from tripcast.operators.pagerank import pagerank
+    from tripcast.session import ensure_checkpoint_dir
+    root = ensure_checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(root))
+    e = spark.createDataFrame([(0, 1), (1, 0)], "src long, dst long")
+    assert pagerank(spark.range(2).selectExpr("id"), e).count() == 2
+    (new,) = [x for x in set(os.listdir(root)) - before if x.startswith("pagerank-")]
+    assert len(os.listdir(os.path.join(root, new))) == 1
+
+
+def test_pagerank_top_orders_before_it_rounds(spark, monkeypatch):
+    ranks = spark.createDataFrame([(1, 1.10835504), (2, 1.10835515), (3, 0.5)], "id int, pagerank double")
+    monkeypatch.setattr(cat, "pagerank", lambda *a, **k: ranks)
+    monkeypatch.setattr(cat.gr, "build_graph", lambda z, t: type("G", (), {"vertices": None, "edges": None}))
+    assert [(r.id, r.pagerank) for r in cat.q20_pagerank_top(None, None, k=2).collect()] == [(2, 1.108355), (1, 1.108355)]

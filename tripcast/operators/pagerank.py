@@ -23,29 +23,30 @@ per vertex that carries the vertex's own state forward.  One round is
 
 so each round reads the previous state exactly once and the plan grows
 linearly with the rounds.  ``rounds_per_job`` rounds are chained into one
-Spark SQL statement (one CTE per round over temp views of the checkpointed
-state and links, analysed once) and materialised together with a reliable
-checkpoint to the shared checkpoint folder, which also cuts the lineage: a
-lost executor recomputes at most those rounds.  Rounds after convergence change nothing (nobody sends), so checking
+Spark SQL statement (one CTE per round over temp views of the stored state and
+links, analysed once) and written to the shared checkpoint folder, which also
+cuts the lineage: a lost executor recomputes at most those rounds.  Rounds after convergence change nothing (nobody sends), so checking
 for convergence every few rounds gives exactly the stop-at-once result.
 
-Each round shuffles the state (one row per vertex), the links (bounded by
-the number of distinct zone pairs plus vertices, independent of the number of
-trips) and the map-side pre-aggregated messages.  Broadcasting the state or
-the links was measured and gave no gain here, so the plan stays the one that
-also scales to large graphs.  Only a convergence flag per job and the final
-rank sum reach the driver.
+Each round shuffles the state (one row per vertex and salt), the links (bounded
+by the number of distinct zone pairs plus vertices, independent of the number
+of trips) and the map-side pre-aggregated messages.  The out-edges of a hub are
+dealt over ``ceil(out-edges / LINKS_PER_SALT)`` salts by their target, its
+state is repeated as often, and out-degrees are a plain aggregate joined back,
+so no task ever holds all edges of one vertex.  State and links are Parquet in
+the shared checkpoint folder; all but the last state are deleted at the end.
+Only a convergence flag per job and the final rank sum reach the driver.
 """
 
 from __future__ import annotations
 
+import math
 import uuid
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripcast.operators.broadcast import DEFAULT_MAX_BROADCAST_ROWS
+from tripcast.operators.broadcast import checked_broadcast
 from tripcast.session import ensure_checkpoint_dir
 
 DEFAULT_RESET = 0.17
@@ -54,44 +55,57 @@ DEFAULT_TOL = 0.01
 # about 16 rounds send messages: ten rounds per job finish in two jobs, and
 # measured faster than 8 (three jobs) or 12 (deeper plans to optimise).
 ROUNDS_PER_JOB = 10
-# Deltas shrink by (1 - r) per hop, so the loop always ends; this is only a
-# guard against a misconfigured tolerance (e.g. 0), and exceeding it raises.
-MAX_ROUNDS = 10_000
+LINKS_PER_SALT = 100_000
 
 
-def _materialise(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint computed once: persisted first, because writing a
-    checkpoint re-runs the plan of an unpersisted DataFrame."""
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    out = df.checkpoint()
-    df.unpersist()
-    return out
+def round_bound(reset: float, tol: float, vertices: int) -> int:
+    """Rounds after which nobody can send: the deltas of all vertices together
+    are at most ``vertices * reset`` and shrink by (1 - reset) a round, and a
+    vertex sends only while its own exceeds ``tol``."""
+    return max(1, math.ceil(math.log(tol / (vertices * reset)) / math.log1p(-reset))) + 1
 
 
-def _weighted_shares(ids: DataFrame, edges: DataFrame, broadcast_ids: bool) -> DataFrame:
-    """(src, dst, p): p = w(src,dst) / outdeg(src) over edges with both
-    endpoints in ``ids``.  The vertex ids (counted, within the broadcast
-    bound when ``broadcast_ids``) filter the edges map-side; the out-degree
-    is a window sum over ``src`` (one exchange, no aggregate-and-join)."""
+class _Store:
+    """Parquet tables of one run in the shared checkpoint folder."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/pagerank-{uuid.uuid4().hex}"
+
+    def put(self, df: DataFrame, name: str) -> DataFrame:
+        path = f"{self.root}/{name}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, name: str) -> None:
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _weighted_shares(ids: DataFrame, edges: DataFrame) -> DataFrame:
+    """(src, dst, p, salts): p = w(src,dst) / outdeg(src) over edges with both
+    endpoints in ``ids`` (broadcast where measured small), salts = the number
+    of parts the out-edges of src are dealt over."""
     e = edges.select(F.col("src").cast("long").alias("src"),
                      F.col("dst").cast("long").alias("dst"),
                      (F.col("weight") if "weight" in edges.columns else F.lit(1))
                      .cast("double").alias("w"))
-    side = F.broadcast(ids) if broadcast_ids else ids
+    side = checked_broadcast(ids)
     e = (e.join(side.select(F.col("id").alias("src")), "src", "left_semi")
           .join(side.select(F.col("id").alias("dst")), "dst", "left_semi")
           .groupBy("src", "dst").agg(F.sum("w").alias("w")))
-    outdeg = F.sum("w").over(Window.partitionBy("src"))
-    return e.select("src", "dst", (F.col("w") / outdeg).alias("p"))
+    out = e.groupBy("src").agg(F.sum("w").alias("outdeg"),
+                               F.ceil(F.count(F.lit(1)) / LINKS_PER_SALT).cast("int").alias("salts"))
+    return e.join(out, "src").select("src", "dst", (F.col("w") / F.col("outdeg")).alias("p"), "salts")
 
 
 def _rounds_sql(state_view: str, links_view: str, rounds: int, keep: float, tol: float) -> str:
     """``rounds`` chained rounds as one SQL statement, one CTE per round.
 
-    A round joins the state (id, rank, delta, active) with the links
-    (src, dst, p) on src = id and aggregates per dst: the self link (p NULL)
-    carries the vertex's own rank and delta, the other links carry the
-    messages of active senders whose delta exceeds tol.  One statement is
+    A round joins the state (id, rank, delta, active, salts), once per salt,
+    with the links (src, salt, dst, p) and aggregates per dst: the self link (p NULL)
+    carries the vertex's own rank, delta and number of salts, the other links
+    carry the messages of active senders whose delta exceeds tol.  One statement is
     analysed once, instead of once per DataFrame call on an ever longer plan.
     Literals are written as exact doubles (``D`` suffix, shortest repr)."""
     k, t = f"{keep!r}D", f"{tol!r}D"
@@ -103,18 +117,20 @@ def _rounds_sql(state_view: str, links_view: str, rounds: int, keep: float, tol:
   SELECT id,
          CASE WHEN msg IS NOT NULL THEN rank0 + {k} * msg ELSE rank0 END AS rank,
          CASE WHEN msg IS NOT NULL THEN (rank0 + {k} * msg) - rank0 ELSE delta0 END AS delta,
-         msg IS NOT NULL AS active
+         msg IS NOT NULL AS active, salts
   FROM (
     SELECT l.dst AS id,
            max(CASE WHEN l.p IS NULL THEN s.rank END) AS rank0,
            max(CASE WHEN l.p IS NULL THEN s.delta END) AS delta0,
+           max(CASE WHEN l.p IS NULL THEN s.salts END) AS salts,
            sum(CASE WHEN l.p IS NOT NULL AND s.active AND s.delta > {t}
                     THEN s.delta * l.p END) AS msg
-    FROM {prev} s JOIN {links_view} l ON l.src = s.id
+    FROM (SELECT *, explode(sequence(0, salts - 1)) AS salt FROM {prev}) s
+    JOIN {links_view} l ON l.src = s.id AND l.salt = s.salt
     GROUP BY l.dst) agg_{i}
 )""")
         prev = cur
-    return "WITH " + ",\n".join(ctes) + f"\nSELECT id, rank, delta, active FROM {prev}"
+    return "WITH " + ",\n".join(ctes) + f"\nSELECT id, rank, delta, active, salts FROM {prev}"
 
 
 def pagerank(vertices: DataFrame, edges: DataFrame, reset: float = DEFAULT_RESET,
@@ -130,39 +146,43 @@ def pagerank(vertices: DataFrame, edges: DataFrame, reset: float = DEFAULT_RESET
     if not tol > 0.0:
         raise ValueError(f"tolerance must be positive, got {tol}")
     spark = vertices.sparkSession
-    ensure_checkpoint_dir(spark)
+    store = _Store(spark)
     keep = 1.0 - reset
 
-    ids = _materialise(vertices.select(F.col("id").cast("long").alias("id")).distinct())
+    ids = store.put(vertices.select(F.col("id").cast("long").alias("id")).distinct(), "ids")
     n_vertices = ids.count()
     if n_vertices == 0:
         return spark.createDataFrame([], "id int, pagerank double")
 
-    share = _weighted_shares(ids, edges, n_vertices <= DEFAULT_MAX_BROADCAST_ROWS)
-    links = share.unionByName(ids.select(F.col("id").alias("src"), F.col("id").alias("dst"),
-                                         F.lit(None).cast("double").alias("p")))
-    links = _materialise(links)
-
+    shares = store.put(_weighted_shares(ids, edges), "shares")
+    sources = shares.groupBy(F.col("src").alias("id")).agg(F.first("salts").alias("salts"))
     # Round 0 applied to every vertex: rank = delta = (1 - r) * (r / (1 - r)).
     start = keep * (reset / keep)
-    state = ids.select("id", F.lit(start).alias("rank"), F.lit(start).alias("delta"),
-                       F.lit(True).alias("active"))
+    state = store.put(ids.join(sources, "id", "left").select(
+        "id", F.lit(start).alias("rank"), F.lit(start).alias("delta"), F.lit(True).alias("active"),
+        F.coalesce("salts", F.lit(1)).alias("salts")), "state-0")
+    own = ids.select(F.col("id").alias("src"), F.lit(0).alias("salt"), F.col("id").alias("dst"),
+                     F.lit(None).cast("double").alias("p"))
+    links = store.put(shares.select(
+        "src", F.pmod(F.xxhash64("dst"), F.col("salts")).cast("int").alias("salt"), "dst", "p").unionByName(own), "links")
+
     tag = uuid.uuid4().hex[:12]
     links_view, state_view = f"tripcast_pr_links_{tag}", f"tripcast_pr_state_{tag}"
     links.createOrReplaceTempView(links_view)
-    rounds = 0
+    rounds, bound = 0, round_bound(reset, tol, n_vertices)
     while True:
         state.createOrReplaceTempView(state_view)
-        state = _materialise(
-            spark.sql(_rounds_sql(state_view, links_view, rounds_per_job, keep, tol)))
+        state = store.put(spark.sql(_rounds_sql(state_view, links_view, rounds_per_job, keep, tol)),
+                          f"state-{rounds + rounds_per_job}")
+        store.drop(f"state-{rounds}")
         rounds += rounds_per_job
-        if state.filter(F.col("active")).isEmpty():
+        if rounds >= bound or state.filter(F.col("active")).isEmpty():
             break
-        if rounds >= MAX_ROUNDS:
-            raise RuntimeError(f"PageRank did not converge in {MAX_ROUNDS} rounds (tol={tol})")
 
     spark.catalog.dropTempView(state_view)
     spark.catalog.dropTempView(links_view)
+    for name in ("ids", "shares", "links"):
+        store.drop(name)
     total = state.agg(F.sum("rank").alias("s")).first()["s"]
     factor = float(n_vertices) / float(total)
     return state.select(F.col("id").cast("int").alias("id"),
