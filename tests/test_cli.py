@@ -23,6 +23,8 @@ def test_cli_ingest_and_run(spark):
     d, t, z = _files()
     pq = os.path.join(d, "trips_pq")
     assert main(["ingest", "--trips", t, "--out", pq], spark=spark) == 0
+    assert main(["ingest", "--trips", t, "--out", pq, "--mode", "replace-months"], spark=spark) == 0
+    assert spark.read.parquet(pq).count() == 5
     out = os.path.join(d, "q16")
     assert main(["run", "q16_top_zone_routes", "--trips", pq, "--zones", z, "--out", out],
                 spark=spark) == 0
@@ -56,3 +58,23 @@ def test_cli_parameters(spark):
                  "--param", "k=1"], spark=spark) == 0
     rows = spark.read.option("header", True).csv(out2).collect()
     assert len(rows) == 1 and rows[0].Pickup_Borough in ("EWR", "Queens")
+
+
+def test_cli_charts_and_samples(spark):
+    d, t, z = _files()
+    folder = os.path.join(d, "csv_folder")   # a folder of CSV files, whatever its name
+    os.makedirs(folder)
+    os.rename(t, os.path.join(folder, "part-0"))
+    base = ["--trips", folder, "--zones", z]
+    out = os.path.join(d, "chart")
+    assert main(["run", "q03_profit_per_business_month", *base, "--out", out, "--format", "per-business"], spark=spark) == 0
+    assert sorted(x for x in os.listdir(out) if x.startswith("business=")) == ["business=Lyft", "business=Uber"]
+    out = os.path.join(d, "chart2")
+    assert main(["run", "q02_trips_per_business_month", *base, "--out", out, "--format", "chart"], spark=spark) == 0
+    assert [r.business_date for r in spark.read.option("header", True).csv(out).collect()] == ["Lyft-5", "Uber-5"]
+    for name in ("q01_enriched_sample", "q17_edges_sample", "q17_vertices_sample", "q18_triplets_sample", "q19_pairs_sample",
+                 "q18_triplets_nested", "q20_pagerank", "q16_zone_routes", "q02_04_monthly_summary_by_year", "q21_time_of_day_rule"):
+        out = os.path.join(d, name)
+        assert main(["run", name, *base, "--out", out, "--format", "parquet"], spark=spark) == 0
+        rows = [tuple(r) for r in spark.read.parquet(out).collect()]
+        assert len(rows) == len(set(map(str, rows))), name

@@ -1,15 +1,19 @@
 """Command line: run the catalogue over real trip data.
 
     spark-submit --py-files tripcast.zip tripcast/__main__.py ingest \
-        --trips <trip csv> --out <parquet dir>
+        --trips <trip csv> --out <parquet dir> \
+        [--mode errorifexists|append|replace-months|overwrite]
     spark-submit --py-files tripcast.zip tripcast/__main__.py rejects --trips <trip csv>
     spark-submit --py-files tripcast.zip tripcast/__main__.py run q05_top_pickup_boroughs \
-        --trips <csv or parquet> --zones <zone csv> [--out <dir>] [--format csv|parquet]
-        [--show N]
+        --trips <csv or parquet> --zones <zone csv> [--trips-format csv|parquet]
+        [--out <dir>] [--format csv|parquet|chart|per-business] [--single-file] [--show N]
 
 (or ``python -m tripcast ...`` locally).  ``--trips`` may be the raw CSV
-(typed on the fly) or the Parquet table written by ``ingest``; queries use
-the source analyses' default parameters.
+(typed on the fly) or the Parquet table written by ``ingest``; which of them it
+is, is seen from the files unless ``--trips-format`` says so.  Queries use the
+source analyses' default parameters.  ``ingest`` prints the reject counts.
+Results are written by all tasks; ``--single-file`` and the chart formats fold
+a small aggregate into one file (per business).
 """
 
 from __future__ import annotations
@@ -18,46 +22,60 @@ import argparse
 import sys
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tripcast.plans import catalogue as cat
+from tripcast.sources.parquet import MODES
 
 
 # Query name -> (catalogue function, inputs it takes: t = trips, z = zones).
 CATALOGUE = {
     "q01_enriched": (cat.q01_enriched, "tz"),
     "q01_row_count": (cat.q01_row_count, "tz"),
+    "q01_enriched_sample": (cat.q01_enriched_sample, "tz"),
     "q02_trips_per_business_month": (cat.q02_trips_per_business_month, "t"),
     "q03_profit_per_business_month": (cat.q03_profit_per_business_month, "t"),
     "q04_driver_pay_per_business_month": (cat.q04_driver_pay_per_business_month, "t"),
     "q02_04_monthly_summary": (cat.monthly_summary, "t"),
+    "q02_04_monthly_summary_by_year": (lambda t: cat.monthly_summary(t, by_year=True), "t"),
     "q05_top_pickup_boroughs": (cat.q05_top_pickup_boroughs, "tz"),
     "q06_top_dropoff_boroughs": (cat.q06_top_dropoff_boroughs, "tz"),
     "q07_top_routes_by_pay": (cat.q07_top_routes_by_pay, "tz"),
     "q08_avg_pay_by_time_of_day": (cat.q08_avg_pay_by_time_of_day, "t"),
     "q09_avg_length_by_time_of_day": (cat.q09_avg_length_by_time_of_day, "t"),
     "q10_earning_per_mile": (cat.q10_earning_per_mile, "t"),
+    "q10_avg_dollars_per_mile": (cat.q10_avg_dollars_per_mile, "t"),
     "q11_january_daily_wait": (cat.q11_daily_wait, "t"),
     "q12_wait_anomaly_days": (cat.q12_wait_anomaly_days, "t"),
     "q13_low_volume_pickups": (cat.q13_low_volume_pickups, "tz"),
+    "q13_below_average_pickups": (cat.q13_below_average_pickups, "tz"),
     "q14_evening_pickups": (cat.q14_pickups_at_time_of_day, "tz"),
     "q15_borough_pair_trips": (cat.q15_borough_pair_trips, "tz"),
     "q15_borough_pair_sample": (cat.q15_borough_pair_sample, "tz"),
     "q15_borough_pair_count": (cat.q15_borough_pair_count, "tz"),
     "q16_top_zone_routes": (cat.q16_top_zone_routes, "tz"),
+    "q16_zone_routes": (cat.zone_routes_by_business, "tz"),
     "q17_vertices": (cat.q17_vertices, "z"),
+    "q17_vertices_sample": (cat.q17_vertices_sample, "z"),
     "q17_edges": (cat.q17_edges, "t"),
+    "q17_edges_sample": (cat.q17_edges_sample, "t"),
     "q17_edge_weights": (cat.q17_edge_weights, "t"),
     "q17_dangling_edges": (cat.q17_dangling_edges, "tz"),
     "q18_triplets": (cat.q18_triplets, "tz"),
+    "q18_triplets_nested": (cat.q18_triplets_nested, "tz"),
+    "q18_triplets_sample": (cat.q18_triplets_sample, "tz"),
     "q19_same_borough_service_zone_pairs": (cat.q19_same_borough_service_zone_pairs, "tz"),
     "q19_pair_count": (cat.q19_pair_count, "tz"),
+    "q19_pairs_sample": (cat.q19_pairs_sample, "tz"),
+    "q20_pagerank": (cat.q20_pagerank, "tz"),
     "q20_pagerank_top5": (cat.q20_pagerank_top, "tz"),
+    "q21_time_of_day_rule": (lambda t: cat.q21_time_of_day_rule(t.select(F.hour(F.timestamp_seconds("date")).alias("hour"))), "t"),
     "q22_derived_metric_check": (cat.q22_derived_metric_check, "t"),
 }
 QUERY_NAMES = list(CATALOGUE)
-# Results with one row per trip: written by every task in parallel, never
-# folded into a single file.
-ROW_LEVEL = {"q01_enriched", "q15_borough_pair_trips", "q17_edges"}
+# Charts of a per-business-month result: query -> measure.
+CHARTS = {"q02_trips_per_business_month": "trip_count", "q03_profit_per_business_month": "total_profit",
+          "q04_driver_pay_per_business_month": "total_driver_pay"}
 
 
 def _value(text: str):
@@ -80,12 +98,26 @@ def build_query(name: str, trips: DataFrame, zones: DataFrame, params: dict) ->
     return fn(*args, **params)
 
 
-def _load_trips(spark: SparkSession, path: str) -> DataFrame:
+def _load_trips(spark: SparkSession, path: str, kind: str | None = None) -> DataFrame:
     from tripcast.sources.csv import read_trips_csv
     from tripcast.sources.parquet import read_trips_parquet
-    if path.rstrip("/").lower().endswith(".csv"):
-        return read_trips_csv(spark, path)
-    return read_trips_parquet(spark, path)
+    if kind is None:
+        kind = "parquet" if _is_parquet(spark, path) else "csv"
+    return read_trips_csv(spark, path) if kind == "csv" else read_trips_parquet(spark, path)
+
+
+def _is_parquet(spark: SparkSession, path: str) -> bool:
+    """Whether the first data file below ``path`` starts like Parquet."""
+    files = spark.read.format("text").option("recursiveFileLookup", "true").load(path).inputFiles()
+    if not files:
+        raise FileNotFoundError(f"no data files below {path}")
+    jvm = spark.sparkContext._jvm
+    first = jvm.org.apache.hadoop.fs.Path(sorted(files)[0])
+    stream = first.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(first)
+    try:
+        return bytes(stream.read() & 255 for _ in range(4)) == b"PAR1"
+    finally:
+        stream.close()
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
@@ -94,6 +126,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     ing = sub.add_parser("ingest", help="type the trip CSV once into month-partitioned Parquet")
     ing.add_argument("--trips", required=True)
     ing.add_argument("--out", required=True)
+    ing.add_argument("--mode", choices=MODES, default="errorifexists")
     rej = sub.add_parser("rejects", help="per column: non-empty values that fail to type")
     rej.add_argument("--trips", required=True)
     run = sub.add_parser("run", help="run one catalogue query")
@@ -101,7 +134,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     run.add_argument("--trips", required=True)
     run.add_argument("--zones", required=True)
     run.add_argument("--out")
-    run.add_argument("--format", choices=["csv", "parquet"], default="csv")
+    run.add_argument("--trips-format", choices=["csv", "parquet"])
+    run.add_argument("--format", choices=["csv", "parquet", "chart", "per-business"], default="csv")
+    run.add_argument("--single-file", action="store_true", help="fold a small CSV result into one file")
     run.add_argument("--show", type=int, default=0)
     run.add_argument("--param", action="append", default=[], metavar="KEY=VALUE",
                      help="query parameter, e.g. k=10, threshold=250, "
@@ -115,19 +150,27 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         reject_counts(spark, args.trips).show(50, truncate=False)
         return 0
     if args.cmd == "ingest":
-        from tripcast.sources.csv import read_trips_csv
+        from tripcast.sources.csv import read_trips_csv, reject_counts
         from tripcast.sources.parquet import write_trips_parquet
-        write_trips_parquet(read_trips_csv(spark, args.trips), args.out)
+        write_trips_parquet(read_trips_csv(spark, args.trips), args.out, args.mode)
+        reject_counts(spark, args.trips).show(50, truncate=False)
         return 0
 
     from tripcast.sources.csv import read_zones_csv
-    from tripcast.sources.sinks import write_csv, write_parquet
+    from tripcast.sources.sinks import write_chart_csv, write_csv, write_parquet, write_per_business_csv
     params = dict(p.split("=", 1) for p in args.param)
-    df = build_query(args.query, _load_trips(spark, args.trips),
+    df = build_query(args.query, _load_trips(spark, args.trips, args.trips_format),
                      read_zones_csv(spark, args.zones), {k: _value(v) for k, v in params.items()})
     if args.out:
-        if args.format == "csv":
-            write_csv(df, args.out, single_file=args.query not in ROW_LEVEL)
+        if args.format in ("chart", "per-business"):
+            if args.query not in CHARTS:
+                ap.error(f"{args.format} files are made of {', '.join(CHARTS)}")
+            if args.format == "chart":
+                write_chart_csv(df, args.out, ["business", "month"])
+            else:
+                write_per_business_csv(df, args.out, CHARTS[args.query])
+        elif args.format == "csv":
+            write_csv(df, args.out, single_file=args.single_file)
         else:
             write_parquet(df, args.out)
     if args.show:

@@ -82,5 +82,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
                 "spark.checkpoint.dir is not set; point it at a shared "
                 "folder (HDFS/S3/ABFS) before running iterative operators")
         configured = tempfile.mkdtemp(prefix="tripcast-ckpt-")
+    elif not sc.master.startswith("local") and str(configured).startswith("/"):
+        # A plain path means the default file system, which may be machine-local.
+        default = sc._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///")
+        if default.startswith("file:"):
+            raise RuntimeError(f"spark.checkpoint.dir {configured} names no file system; "
+                               "give it with one (hdfs://, s3a://, or file:// for a shared mount)")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

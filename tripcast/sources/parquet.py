@@ -16,10 +16,18 @@ from tripcast.schema import TRIP_COLUMNS, ZONE_COLUMNS
 PARTITION_COLUMN = "year_month"
 
 
-def write_trips_parquet(trips: DataFrame, path: str, mode: str = "overwrite",
+MODES = ("errorifexists", "append", "replace-months", "overwrite")
+
+
+def write_trips_parquet(trips: DataFrame, path: str, mode: str = "errorifexists",
                         spread: int | None = None) -> None:
     """Write the typed trip table partitioned by ``year_month``.
 
+    ``mode``: ``errorifexists`` refuses an existing table, ``append`` adds
+    files, ``replace-months`` replaces the months that ``trips`` holds and
+    leaves the others alone (so loading a month again is safe), ``overwrite``
+    replaces the whole table.
+
     By default there is no shuffle: each task sorts its rows by month and
     writes one file per month it holds.  ``spread=N`` re-balances into N
     tasks first (e.g. to compact many small input splits): rows are routed by
@@ -31,8 +39,13 @@ def write_trips_parquet(trips: DataFrame, path: str, mode: str = "overwrite",
     if spread:
         salt = F.pmod(F.xxhash64(*[F.col(c) for c in TRIP_COLUMNS]), F.lit(spread))
         out = out.repartition(spread, F.col(PARTITION_COLUMN), salt)
-    (out.sortWithinPartitions(PARTITION_COLUMN)
-        .write.mode(mode).partitionBy(PARTITION_COLUMN).parquet(path))
+    if mode not in MODES:
+        raise ValueError(f"mode must be one of {', '.join(MODES)}, got {mode}")
+    writer = out.sortWithinPartitions(PARTITION_COLUMN).write.partitionBy(PARTITION_COLUMN)
+    if mode == "replace-months":
+        writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+    else:
+        writer.mode(mode).option("partitionOverwriteMode", "static").parquet(path)
 
 
 def read_trips_parquet(spark: SparkSession, path: str) -> DataFrame:
