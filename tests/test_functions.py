@@ -1,3 +1,5 @@
+from decimal import Decimal
+
 from pyspark.sql import functions as F
 
 from tripcast.functions.calendar import (day_of, iso_date, month_of, time_of_day_class,
@@ -47,10 +49,9 @@ def test_business_month_label(spark):
 
 
 def test_exact_money_sum_and_avg(spark):
-    df = spark.createDataFrame([(0.1,), (0.2,), (None,), (-0.3,), (0.1,)], "x double")
+    df = spark.createDataFrame([(Decimal(x) if x else None,) for x in ("0.10", "0.20", None, "-0.30", "0.10")], "x decimal(12,2)")
     r = df.agg(exact_sum("x").alias("s"), exact_avg("x").alias("a")).first()
     assert r.s == 0.1
     assert r.a == 0.025
-    empty = spark.createDataFrame([(None,)], "x double")
+    empty = spark.createDataFrame([(None,)], "x decimal(12,2)")
     assert empty.agg(exact_avg("x").alias("a")).first().a is None
-    assert F is not None

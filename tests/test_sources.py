@@ -54,10 +54,33 @@ def test_zone_names_na_kept_as_text(spark):
     assert rows[265].Borough == "Unknown"
 
 
-def test_header_mismatch_fails(spark):
-    p = _write(SAMPLE_CSV.replace("pickup_location", "pickup_loc", 1))
-    with pytest.raises(Exception):
-        read_trips_csv(spark, p).collect()
+def test_missing_column_fails_and_order_is_free(spark):
+    with pytest.raises(ValueError, match="pickup_location"):
+        read_trips_csv(spark, _write(SAMPLE_CSV.replace("pickup_location", "pickup_loc", 1)))
+    lines = [line.split(",") for line in SAMPLE_CSV.strip().split("\n")]
+    turned = "\n".join(",".join(reversed([*line, "extra"])) for line in lines) + "\n"
+    a = read_trips_csv(spark, _write(SAMPLE_CSV)).collect()
+    b = read_trips_csv(spark, _write(turned)).collect()
+    assert sorted(map(str, a)) == sorted(map(str, b))
+
+
+def test_inexact_and_non_finite_values_are_rejected(spark):
+    rows = ["Uber,1,2,NaN,1,1,1,1,night,1684713600,3.517,1.00,0.50,Infinity,1",
+            "Uber,1,2,3.517,1,1,1,1,night,1684713600,3.500,12345678901.00,0.5,1,1"]
+    p = _write(SAMPLE_CSV.split("\n")[0] + "\n" + "\n".join(rows) + "\n")
+    a, b = read_trips_csv(spark, p).collect()
+    assert a.trip_length is None and a.passenger_fare is None and a.hourly_rate is None
+    assert b.trip_length == 3.517 and str(b.passenger_fare) == "3.50" and b.driver_total_pay is None
+    rej = {r.column: r.rejected for r in reject_counts(spark, p).collect()}
+    assert rej["trip_length"] == rej["passenger_fare"] == rej["hourly_rate"] == rej["driver_total_pay"] == 1
+    assert rej["*malformed*"] == 0 and rej["*any*"] == 2
+
+
+def test_short_and_long_lines_are_counted(spark):
+    p = _write(SAMPLE_CSV + "Uber,1,2\n" + "Uber,1,2,1,1,1,1,1,night,1684713600,1.00,1.00,0.00,1,1,9,9\n")
+    assert read_trips_csv(spark, p).count() == 7   # kept as rows
+    rej = {r.column: r.rejected for r in reject_counts(spark, p).collect()}
+    assert rej["*malformed*"] == 2 and rej["*any*"] == 2
 
 
 def test_parquet_roundtrip_partitioned(spark):
@@ -130,20 +153,33 @@ def test_per_business_chart_files(spark, make_trips):
     assert [(r.business_date, r.trip_count) for r in uber] == [("Uber-1", "1"), ("Uber-10", "1")]
 
 
-def test_staging_follows_changed_inputs(spark):
-    import shutil
-    import time
+def test_write_modes(spark):
+    from tests.conftest import trip
+    from tripcast.schema import TRIP_SCHEMA
+
+    def month(day, n):
+        return spark.createDataFrame([trip(date=day)] * n, TRIP_SCHEMA)
+
+    out = os.path.join(tempfile.mkdtemp(prefix="tripcast-modes-"), "trips")
+    write_trips_parquet(month(1675209600, 2), out)           # February
+    with pytest.raises(Exception, match="already exists"):
+        write_trips_parquet(month(1672531200, 3), out)
+    write_trips_parquet(month(1672531200, 3), out, "append")  # then January
+
+    def counts():
+        return {r.year_month: r["count"] for r in read_trips_parquet(spark, out).groupBy("year_month").count().collect()}
+
+    assert counts() == {202302: 2, 202301: 3}
+    write_trips_parquet(month(1672531200, 4), out, "replace-months")
+    spark.catalog.refreshByPath(out)
+    assert counts() == {202302: 2, 202301: 4}
+    with pytest.raises(ValueError, match="mode must be"):
+        write_trips_parquet(month(1672531200, 4), out, "upsert")
 
-    from tripcast.sources.staging import staged
-    src = tempfile.mkdtemp(prefix="tripcast-stage-src-")
-    shutil.copy("/root/testdata/sf0.001/nation.parquet", os.path.join(src, "nation.parquet"))
 
-    def build():
-        return spark.read.parquet(os.path.join(src, "nation.parquet")).select("n_nationkey")
-    first = staged(spark, "t", src, build)
-    assert first.count() == 25
-    assert staged(spark, "t", src, build) is first           # reused while unchanged
-    time.sleep(1.1)
-    shutil.copy("/root/testdata/sf0.001/region.parquet", os.path.join(src, "extra.parquet"))
-    again = staged(spark, "t", src, build)
-    assert again is not first and again.count() == 25        # new inputs: staged anew
+def test_queries_build_without_jobs_over_trips(spark):
+    """Registered queries are lazy plans over the given tables."""
+    import __spark_entry__ as ent
+    plan = ent.queries()["q02_trips_per_business_month"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "lineitem.parquet" in plan and "tripcast" not in plan
+    assert "l_extendedprice" not in plan   # only the columns the query needs

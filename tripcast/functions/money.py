@@ -1,9 +1,9 @@
-"""Money and average expressions that give the same digits on every run.
+"""Money expressions that give the same digits on every run.
 
 Sums of doubles depend on the order partitions are combined in; money is
 stored as DECIMAL(12,2) and summed exactly, then turned into a double once.
-Averages are that exact sum divided by the number of non-NULL inputs, which
-is what ``avg`` means (NULLs skipped).
+An average of money is that exact sum divided by the number of non-NULL
+inputs.  Other numbers are averaged as the doubles they are.
 """
 
 from __future__ import annotations
@@ -11,28 +11,21 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tripcast.schema import MONEY
-
 
 def _c(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def to_money(c: str | Column) -> Column:
-    """Any numeric or numeric text -> DECIMAL(12,2); bad text -> NULL."""
-    return F.try_cast(_c(c), MONEY) if hasattr(F, "try_cast") else _c(c).try_cast(MONEY)
-
-
-def exact_sum(c: str | Column, scale: int = 2) -> Column:
-    """sum() over a value with at most ``scale`` decimals, exact, as double."""
-    return F.sum(_c(c).cast(f"decimal(20,{scale})")).cast("double")
+def exact_sum(c: str | Column) -> Column:
+    """sum() of a MONEY column, exact, as double."""
+    return F.sum(_c(c).cast("decimal(20,2)")).cast("double")
 
 
-def exact_avg(c: str | Column, scale: int = 2) -> Column:
-    """avg() with an exact numerator: sum(decimal) / count(non-null)."""
-    x = _c(c)
-    return F.try_divide(F.sum(x.cast(f"decimal(20,{scale})")).cast("double"),
-                        F.count(x).cast("double"))
+def exact_avg(c: str | Column) -> Column:
+    """avg() of a MONEY column with an exact numerator; numerator and count
+    are taken of the same expression."""
+    x = _c(c).cast("decimal(20,2)")
+    return F.try_divide(F.sum(x).cast("double"), F.count(x).cast("double"))
 
 
 def safe_ratio(num: Column, den: Column) -> Column:

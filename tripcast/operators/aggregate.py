@@ -10,8 +10,6 @@ of one scan per measure.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,12 +19,6 @@ from tripcast.functions.money import exact_avg, exact_sum, safe_ratio
 from tripcast.sources.parquet import PARTITION_COLUMN
 
 
-def grouped_count(df: DataFrame, keys: Iterable[str | Column],
-                  name: str = "trip_count") -> DataFrame:
-    """groupBy(keys).count() with the count named ``name``."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
-
-
 def within_bounds(column: str, lower: float | None, upper: float | None,
                   inclusive: bool = False) -> Column:
     """``lower < column < upper``; bounds are strict unless ``inclusive``,
@@ -40,13 +32,6 @@ def within_bounds(column: str, lower: float | None, upper: float | None,
     return cond
 
 
-def count_between(df: DataFrame, keys: Iterable[str | Column], lower: int | None,
-                  upper: int | None, name: str = "trip_count",
-                  inclusive: bool = False) -> DataFrame:
-    """Group counts kept when ``lower < n < upper`` (a HAVING clause)."""
-    return grouped_count(df, keys, name).filter(within_bounds(name, lower, upper, inclusive))
-
-
 def monthly_measures(trips: DataFrame, by_year: bool = False) -> DataFrame:
     """Per business and month: trips, platform profit and driver pay in one
     pass.  Columns: business, month, business_date ('Uber-1'), trip_count,
@@ -67,10 +52,11 @@ def monthly_measures(trips: DataFrame, by_year: bool = False) -> DataFrame:
 def averages_by(trips: DataFrame, key: str = "time_of_day") -> DataFrame:
     """Per ``key``: average driver pay, average trip length and their ratio
     (average earned per mile = avg(pay) / avg(length), a ratio of averages),
-    all from one aggregation instead of two aggregates joined together."""
+    all from one aggregation instead of two aggregates joined together.  Pay is
+    money and averaged exactly, length is averaged as the double it is."""
     return (trips.groupBy(key)
             .agg(exact_avg("driver_total_pay").alias("average_drive_total_pay"),
-                 exact_avg("trip_length").alias("average_trip_length"))
+                 F.avg("trip_length").alias("average_trip_length"))
             .withColumn("average_earning_per_mile",
                         safe_ratio(F.col("average_drive_total_pay"),
                                    F.col("average_trip_length"))))
@@ -88,7 +74,7 @@ def daily_average(trips: DataFrame, value: str = "request_to_pickup",
                       F.col(value).alias("_v"))
     if month is not None:
         df = df.filter(F.col("_m") == month)
-    return df.groupBy("day").agg(exact_avg("_v").alias(name),
+    return df.groupBy("day").agg(F.avg("_v").alias(name),
                                  F.count(F.col("_v")).alias("trip_count"))
 
 

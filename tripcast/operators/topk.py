@@ -37,7 +37,14 @@ def top_k(df: DataFrame, order_by: Sequence[str | Column], k: int) -> DataFrame:
     return df.orderBy(*_order(order_by)).limit(k)
 
 
-def sample_rows(df: DataFrame, n: int) -> DataFrame:
-    """A reproducible sample of ``n`` rows: the first ``n`` in the order of
-    all output columns (TakeOrderedAndProject, no full sort)."""
-    return df.orderBy(*[F.asc_nulls_last(c) for c in df.columns]).limit(n)
+def row_digest(columns: Sequence[str]) -> Column:
+    """MD5 of the columns' text, a pseudo-random order that any engine repeats.
+    Doubles print differently between engines; leave them out."""
+    return F.md5(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]))
+
+
+def sample_rows(df: DataFrame, n: int, by: Sequence[str] | None = None) -> DataFrame:
+    """A reproducible sample of ``n`` rows: the first ``n`` by the digest of the
+    columns ``by`` (default: all), so it is spread over the rows rather than a
+    run of equal ones (TakeOrderedAndProject, no full sort)."""
+    return df.orderBy(row_digest(by or df.columns)).limit(n)

@@ -6,8 +6,9 @@ runs no job over the trips; the only jobs at build time are the (memoised)
 row-count probes of lookups before they are broadcast, and the rounds of
 :func:`q20_pagerank`, which is iterative by nature.
 
-Ordering: results are sets unless the query has a limit; limited queries
-order by the metric and then by the key so ties always resolve the same way.
+Ordering: limited queries order by the metric and then by the key so ties
+always resolve the same way; Q02-Q06, Q08, Q09, Q11 and Q12 return their rows in the
+order the source reports them.  The sort is on the aggregate, never on trips.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from tripcast.operators.enrich import enrich, unmatched_counts
 from tripcast.operators.pagerank import DEFAULT_RESET, DEFAULT_TOL, pagerank
 from tripcast.operators.quality import derived_metric_check
 from tripcast.operators.topk import sample_rows, top_k, top_k_per_group
-from tripcast.schema import ENRICHED_COLUMNS, assert_columns
+from tripcast.schema import ENRICHED_SCHEMA, assert_schema
 
 # Default parameters of the source analyses.
 TOP_BOROUGHS_PER_MONTH = 5
@@ -37,6 +38,8 @@ EVENING = "evening"
 BUSINESS_COLUMNS = {"Uber": "uber_count", "Lyft": "lyft_count"}
 BOROUGH_PAIR = ("Brooklyn", "Staten Island")
 SAMPLE_ROWS = 10
+# Columns that tell trips apart and print alike everywhere.
+SAMPLE_KEY = ["business", "pickup_location", "dropoff_location", "date", "passenger_fare", "driver_total_pay"]
 
 
 # --- Q01: enrichment -------------------------------------------------------
@@ -44,10 +47,15 @@ SAMPLE_ROWS = 10
 def q01_enriched(trips: DataFrame, zones: DataFrame) -> DataFrame:
     """Trips with pickup and dropoff zone attributes, date as yyyy-MM-dd."""
     out = enrich(trips, zones).withColumn("date", iso_date("date"))
-    assert_columns(out, ENRICHED_COLUMNS)
+    assert_schema(out, ENRICHED_SCHEMA)
     return out
 
 
+def q01_enriched_sample(trips: DataFrame, zones: DataFrame, n: int = SAMPLE_ROWS) -> DataFrame:
+    """``n`` reproducible sample rows of the enriched table."""
+    return sample_rows(q01_enriched(trips, zones), n, SAMPLE_KEY)
+
+
 def q01_row_count(trips: DataFrame, zones: DataFrame) -> DataFrame:
     """Rows of the enriched table and the rows the inner joins drop."""
     return unmatched_counts(trips, zones)
@@ -56,7 +64,9 @@ def q01_row_count(trips: DataFrame, zones: DataFrame) -> DataFrame:
 # --- Q02-Q04: per business and month ----------------------------------------
 
 def monthly_summary(trips: DataFrame, by_year: bool = False) -> DataFrame:
-    return agg.monthly_measures(trips, by_year=by_year)
+    """By business and month, in that order."""
+    return agg.monthly_measures(trips, by_year=by_year).orderBy(
+        F.asc_nulls_last("business"), F.asc_nulls_last("month"))
 
 
 def q02_trips_per_business_month(trips: DataFrame) -> DataFrame:
@@ -96,8 +106,8 @@ def _top_boroughs(trips: DataFrame, zones: DataFrame, role: str, k: int) -> Data
            .groupBy(key, "Month").agg(F.count(F.lit(1)).alias("n")))
     counts = _names_after_ids(pre, zones, [role], ["Borough"], [col, "Month"],
                               {"trip_count": "n"}, cluster_by="Month")
-    return top_k_per_group(counts, ["Month"],
-                           [F.desc_nulls_last("trip_count"), F.asc_nulls_last(col)], k)
+    best = [F.desc_nulls_last("trip_count"), F.asc_nulls_last(col)]
+    return top_k_per_group(counts, ["Month"], best, k).orderBy(F.asc_nulls_last("Month"), *best)
 
 
 def q05_top_pickup_boroughs(trips: DataFrame, zones: DataFrame,
@@ -137,22 +147,30 @@ def time_of_day_averages(trips: DataFrame) -> DataFrame:
 
 
 def q08_avg_pay_by_time_of_day(trips: DataFrame) -> DataFrame:
-    return time_of_day_averages(trips).select("time_of_day", "average_drive_total_pay")
+    return time_of_day_averages(trips).select("time_of_day", "average_drive_total_pay").orderBy(
+        F.desc_nulls_last("average_drive_total_pay"), F.asc_nulls_last("time_of_day"))
 
 
 def q09_avg_length_by_time_of_day(trips: DataFrame) -> DataFrame:
-    return time_of_day_averages(trips).select("time_of_day", "average_trip_length")
+    return time_of_day_averages(trips).select("time_of_day", "average_trip_length").orderBy(
+        F.desc_nulls_last("average_trip_length"), F.asc_nulls_last("time_of_day"))
 
 
 def q10_earning_per_mile(trips: DataFrame) -> DataFrame:
     return time_of_day_averages(trips).select("time_of_day", "average_earning_per_mile")
 
 
+def q10_avg_dollars_per_mile(trips: DataFrame) -> DataFrame:
+    """Average of the per-trip rate, the other way to look at Q10."""
+    return trips.groupBy("time_of_day").agg(F.avg("dollars_per_mile").alias("average_dollars_per_mile"))
+
+
 # --- Q11-Q12: waiting times -------------------------------------------------
 
 def q11_daily_wait(requests: DataFrame, month: int = 1) -> DataFrame:
-    """Average request_to_pickup per day of the given month."""
-    return agg.daily_average(requests, "request_to_pickup", month, "average_wait")
+    """Average request_to_pickup per day of the given month, by day."""
+    return agg.daily_average(requests, "request_to_pickup", month, "average_wait").orderBy(
+        F.asc_nulls_last("day"))
 
 
 def q12_wait_anomaly_days(requests: DataFrame, threshold: float = WAIT_THRESHOLD_SECONDS,
@@ -179,6 +197,14 @@ def q13_low_volume_pickups(trips: DataFrame, zones: DataFrame,
         agg.within_bounds("trip_count", bounds[0], bounds[1]))
 
 
+def q13_below_average_pickups(trips: DataFrame, zones: DataFrame) -> DataFrame:
+    """(Pickup_Borough, time_of_day) groups with fewer trips than the mean
+    group, a low-volume bound that follows the data's size."""
+    counts = pickups_by_borough_and_time(trips, zones)
+    mean = counts.agg(F.avg("trip_count")).scalar()
+    return counts.filter((F.col("trip_count") > 0) & (F.col("trip_count") < mean))
+
+
 def q14_pickups_at_time_of_day(trips: DataFrame, zones: DataFrame,
                                time_of_day: str = EVENING) -> DataFrame:
     """Trips per pickup borough at one time of day (filter pushed to the scan)."""
@@ -190,18 +216,22 @@ def q15_borough_pair_trips(trips: DataFrame, zones: DataFrame,
                            pair: tuple[str, str] = BOROUGH_PAIR) -> DataFrame:
     """Trips from borough pair[0] to borough pair[1]:
     Pickup_Borough, Dropoff_Borough, Pickup_Zone (one row per trip)."""
-    e = enrich(trips.select("pickup_location", "dropoff_location"), zones,
-               attrs=["Borough", "Zone"])
-    return (e.filter((F.col("Pickup_Borough") == pair[0])
-                     & (F.col("Dropoff_Borough") == pair[1]))
-            .select("Pickup_Borough", "Dropoff_Borough", "Pickup_Zone"))
+    return _borough_pair(trips.select(*_PAIR), zones, pair).select(
+        "Pickup_Borough", "Dropoff_Borough", "Pickup_Zone")
+
+
+def _borough_pair(trips: DataFrame, zones: DataFrame, pair: tuple[str, str]) -> DataFrame:
+    return enrich(trips, zones, attrs=["Borough", "Zone"]).filter(
+        (F.col("Pickup_Borough") == pair[0]) & (F.col("Dropoff_Borough") == pair[1]))
 
 
 def q15_borough_pair_sample(trips: DataFrame, zones: DataFrame,
                             pair: tuple[str, str] = BOROUGH_PAIR,
                             n: int = SAMPLE_ROWS) -> DataFrame:
-    """``n`` reproducible sample trips of :func:`q15_borough_pair_trips`."""
-    return sample_rows(q15_borough_pair_trips(trips, zones, pair), n)
+    """``n`` reproducible sample trips of :func:`q15_borough_pair_trips`, told
+    apart by the trip columns."""
+    rows = _borough_pair(trips.select(*SAMPLE_KEY), zones, pair)
+    return sample_rows(rows, n, SAMPLE_KEY).select("Pickup_Borough", "Dropoff_Borough", "Pickup_Zone")
 
 
 def q15_borough_pair_count(trips: DataFrame, zones: DataFrame,
@@ -243,6 +273,15 @@ def q17_edges(trips: DataFrame) -> DataFrame:
     return gr.trip_edges(trips)
 
 
+def q17_vertices_sample(zones: DataFrame, n: int = SAMPLE_ROWS) -> DataFrame:
+    return sample_rows(q17_vertices(zones), n)
+
+
+def q17_edges_sample(trips: DataFrame, n: int = SAMPLE_ROWS) -> DataFrame:
+    """``n`` distinct edges."""
+    return sample_rows(q17_edge_weights(trips).select("src", "dst"), n)
+
+
 def q17_edge_weights(trips: DataFrame) -> DataFrame:
     return gr.collapse_edges(gr.trip_edges(trips))
 
@@ -258,6 +297,22 @@ def q18_triplets(trips: DataFrame, zones: DataFrame, flat: bool = True) -> DataF
     return gr.triplets_flat(g) if flat else gr.triplets(g)
 
 
+def q18_triplets_nested(trips: DataFrame, zones: DataFrame) -> DataFrame:
+    """Every field of the nested triplets, read out of their structs."""
+    names = {"src": ["id", "Borough", "Zone", "service_zone"], "edge": ["src", "dst", "weight"],
+             "dst": ["id", "Borough", "Zone", "service_zone"]}
+    return q18_triplets(trips, zones, flat=False).select(
+        *[F.col(f"{s}.{f}").alias(f"{s}_{f}") for s, fields in names.items() for f in fields])
+
+
+def q18_triplets_sample(trips: DataFrame, zones: DataFrame, n: int = SAMPLE_ROWS) -> DataFrame:
+    return sample_rows(q18_triplets(trips, zones), n, ["src_id", "dst_id"])
+
+
+def q19_pairs_sample(trips: DataFrame, zones: DataFrame, n: int = SAMPLE_ROWS) -> DataFrame:
+    return sample_rows(q19_same_borough_service_zone_pairs(trips, zones), n, ["src_id", "dst_id"])
+
+
 def q19_same_borough_service_zone_pairs(trips: DataFrame, zones: DataFrame) -> DataFrame:
     return gr.same_attribute_pairs(gr.build_graph(zones, trips))
 
@@ -274,9 +329,12 @@ def q20_pagerank(trips: DataFrame, zones: DataFrame, reset: float = DEFAULT_RESE
 
 
 def q20_pagerank_top(trips: DataFrame, zones: DataFrame, k: int = TOP_PAGERANK,
-                     reset: float = DEFAULT_RESET, tol: float = DEFAULT_TOL) -> DataFrame:
-    return top_k(q20_pagerank(trips, zones, reset, tol),
+                     reset: float = DEFAULT_RESET, tol: float = DEFAULT_TOL,
+                     digits: int | None = 6) -> DataFrame:
+    """The ``k`` highest ranks: ordered by the full value, rounded last."""
+    best = top_k(q20_pagerank(trips, zones, reset, tol, digits=None),
                  [F.desc_nulls_last("pagerank"), F.asc_nulls_last("id")], k)
+    return best if digits is None else best.withColumn("pagerank", F.round("pagerank", digits))
 
 
 # --- Q21-Q22: documented rules ------------------------------------------------------

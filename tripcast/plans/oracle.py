@@ -8,7 +8,8 @@ DOUBLE once, exactly like the Spark side.
 
 from __future__ import annotations
 
-from tripcast.plans.registry import TEST_BOROUGH_PAIR, TEST_LOW_VOLUME_BOUNDS, TEST_WAIT_THRESHOLD
+from tripcast.plans.registry import (AVERAGE_DIGITS, TEST_BOROUGH_PAIR, TEST_LOW_VOLUME_BOUNDS,
+                                     TEST_WAIT_THRESHOLD)
 
 _TOD = """CASE WHEN {h} BETWEEN 6 AND 11 THEN 'morning'
               WHEN {h} BETWEEN 12 AND 16 THEN 'afternoon'
@@ -41,6 +42,7 @@ def _exact_avg(x: str) -> str:
             f"NULLIF(CAST(count({x}) AS DOUBLE), 0))")
 
 
+_SECONDS = "(CASE WHEN l.l_linenumber <> 7 THEN CAST(300 + l.l_orderkey % 3000 AS DOUBLE) END)"
 _FARE = "CAST(l.l_extendedprice AS DECIMAL(12,2))"
 _DISC = "CAST(l.l_discount AS DECIMAL(4,2))"
 _PAY = f"CAST(round({_FARE} * (1 - {_DISC}), 2) AS DECIMAL(12,2))"
@@ -62,13 +64,14 @@ trips AS (
          CAST(NULL AS DOUBLE) AS request_to_pickup,
          CAST(NULL AS DOUBLE) AS total_ride_time,
          CAST(NULL AS DOUBLE) AS on_scene_to_pickup,
-         CAST(NULL AS DOUBLE) AS on_scene_to_dropoff,
+         {_SECONDS} AS on_scene_to_dropoff,
          {_TOD.format(h='(o.o_orderkey % 24)')} AS time_of_day,
          {_unix_day('o.o_orderdate')} AS date,
          {_FARE} AS passenger_fare,
          {_PAY} AS driver_total_pay,
          {_PROFIT} AS rideshare_profit,
-         CAST(NULL AS DOUBLE) AS hourly_rate,
+         CAST({_PAY} AS DOUBLE) * 3600.0::DOUBLE / {_SECONDS}
+           + CASE WHEN l.l_orderkey % 97 = 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS hourly_rate,
          CAST({_PAY} AS DOUBLE) / CAST(l.l_quantity AS DOUBLE) AS dollars_per_mile
   FROM lineitem l
   JOIN orders o ON l.l_orderkey = o.o_orderkey
@@ -96,14 +99,29 @@ monthly AS (
 tod AS (
   SELECT time_of_day,
          {_exact_avg('driver_total_pay')} AS average_drive_total_pay,
-         {_exact_avg('trip_length')} AS average_trip_length
+         avg(trip_length) AS average_trip_length
   FROM trips GROUP BY 1
 ),
 daily AS (
-  SELECT {_dayofmonth()} AS day, {_exact_avg('request_to_pickup')} AS average_wait,
+  SELECT {_dayofmonth()} AS day, avg(request_to_pickup) AS average_wait,
          count(request_to_pickup) AS trip_count
   FROM waits WHERE {_month()} = 1 GROUP BY 1
 ),
+order_waits AS (
+  SELECT {_unix_day('o_orderdate')} AS date, CAST(o_totalprice AS DOUBLE) / 1000.0::DOUBLE AS request_to_pickup
+  FROM orders
+),
+borough_times AS (
+  SELECT Pickup_Borough, time_of_day, count(*) AS trip_count FROM enriched GROUP BY 1, 2
+),
+fine_routes AS (
+  SELECT concat_ws(' to ', coalesce(s.s_name, 'Unknown'), coalesce(c.c_name, 'Unknown')) AS Route,
+         count(*) FILTER (WHERE l.l_linestatus = 'F') AS uber_count,
+         count(*) FILTER (WHERE l.l_linestatus = 'O') AS lyft_count
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+  JOIN supplier s ON l.l_suppkey = s.s_suppkey JOIN customer c ON o.o_custkey = c.c_custkey
+  GROUP BY 1
+),
 edge_weights AS (
   SELECT pickup_location AS src, dropoff_location AS dst, count(*) AS weight
   FROM trips GROUP BY 1, 2
@@ -162,8 +180,8 @@ pr_final AS (
 ),
 pagerank AS (
   SELECT CAST(id AS INTEGER) AS id,
-         round(rank * ((SELECT CAST(count(*) AS DOUBLE) FROM pr_final)
-                       / (SELECT sum(rank) FROM pr_final)), 6) AS pagerank
+         rank * ((SELECT CAST(count(*) AS DOUBLE) FROM pr_final)
+                 / (SELECT sum(rank) FROM pr_final)) AS pagerank
   FROM pr_final
 )"""
 
@@ -180,7 +198,7 @@ def _money_cols(prefix: str = "") -> str:
         for c in ("passenger_fare", "driver_total_pay", "rideshare_profit"))
 
 
-def _top_boroughs(role: str, key: str) -> str:
+def _top_boroughs(role: str, key: str, k: int = 5) -> str:
     return f"""
 SELECT {role}_Borough, Month, trip_count FROM (
   SELECT {role}_Borough, Month, trip_count,
@@ -188,9 +206,31 @@ SELECT {role}_Borough, Month, trip_count FROM (
                             ORDER BY trip_count DESC NULLS LAST, {role}_Borough ASC NULLS LAST) AS rn
   FROM (SELECT z.Borough AS {role}_Borough, {_month('t.date')} AS Month, count(*) AS trip_count
         FROM trips t JOIN zones z ON t.{key} = z.LocationID GROUP BY 1, 2)
-) WHERE rn <= 5"""
+) WHERE rn <= {k}"""
+
+
+def _round(column: str, name: str) -> str:
+    return f"round({column}, {AVERAGE_DIGITS}) AS {name}"
+
+
+_SAMPLE_KEY = ("business", "pickup_location", "dropoff_location", "date", "passenger_fare", "driver_total_pay")
+
 
+def _sample_order(*columns: str) -> str:
+    texts = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in columns)
+    return f"ORDER BY md5(concat_ws('|', {texts})) LIMIT 10"
+
+
+def _routes(limit: int) -> str:
+    return f"""
+SELECT concat_ws(' to ', coalesce(Pickup_Borough, 'Unknown'), coalesce(Dropoff_Borough, 'Unknown'))
+         AS Route,
+       {_exact_sum('driver_total_pay')} AS total_profit
+FROM enriched GROUP BY 1
+ORDER BY total_profit DESC NULLS LAST, Route ASC NULLS LAST LIMIT {limit}"""
 
+
+_ISO_DATE = f"strftime({_day('date')}, '%Y-%m-%d')"
 _LO, _HI = TEST_LOW_VOLUME_BOUNDS
 _B1, _B2 = TEST_BOROUGH_PAIR
 
@@ -203,6 +243,15 @@ SELECT business, pickup_location, dropoff_location, trip_length, request_to_pick
        Pickup_Borough, Pickup_Zone, Pickup_service_zone,
        Dropoff_Borough, Dropoff_Zone, Dropoff_service_zone
 FROM enriched"""),
+    "q01_enriched_sample": _q(f"""
+SELECT business, pickup_location, dropoff_location, trip_length, request_to_pickup,
+       total_ride_time, on_scene_to_pickup, on_scene_to_dropoff, time_of_day,
+       strftime({_day('date')}, '%Y-%m-%d') AS date,
+       {_money_cols()}, hourly_rate, dollars_per_mile,
+       Pickup_Borough, Pickup_Zone, Pickup_service_zone,
+       Dropoff_Borough, Dropoff_Zone, Dropoff_service_zone
+FROM (SELECT * FROM enriched
+      {_sample_order(*(_ISO_DATE if c == "date" else c for c in _SAMPLE_KEY))})"""),
     "q01_row_count": _q("""
 SELECT count(*) AS trips,
        count(*) FILTER (WHERE pz.LocationID IS NULL) AS pickup_unmatched,
@@ -235,20 +284,30 @@ FROM (SELECT business,
       FROM trips GROUP BY 1, 2)"""),
     "q05_top_pickup_boroughs": _q(_top_boroughs("Pickup", "pickup_location")),
     "q06_top_dropoff_boroughs": _q(_top_boroughs("Dropoff", "dropoff_location")),
-    "q07_top_routes_by_pay": _q(f"""
-SELECT concat_ws(' to ', coalesce(Pickup_Borough, 'Unknown'), coalesce(Dropoff_Borough, 'Unknown'))
-         AS Route,
-       {_exact_sum('driver_total_pay')} AS total_profit
-FROM enriched GROUP BY 1
-ORDER BY total_profit DESC NULLS LAST, Route ASC NULLS LAST LIMIT 30"""),
+    "q05_top3_pickup_boroughs": _q(_top_boroughs("Pickup", "pickup_location", 3)),
+    "q06_top3_dropoff_boroughs": _q(_top_boroughs("Dropoff", "dropoff_location", 3)),
+    "q07_top_routes_by_pay": _q(_routes(30)),
+    "q07_top10_routes_by_pay": _q(_routes(10)),
     "q08_avg_pay_by_time_of_day": _q("SELECT time_of_day, average_drive_total_pay FROM tod"),
-    "q09_avg_length_by_time_of_day": _q("SELECT time_of_day, average_trip_length FROM tod"),
-    "q10_earning_per_mile": _q("""
-SELECT time_of_day, average_drive_total_pay / NULLIF(average_trip_length, 0)
-         AS average_earning_per_mile FROM tod"""),
-    "q11_january_daily_wait": _q("SELECT day, average_wait, trip_count FROM daily"),
+    "q09_avg_length_by_time_of_day": _q(f"""
+SELECT time_of_day, {_round('average_trip_length', 'average_trip_length')} FROM tod"""),
+    "q10_earning_per_mile": _q(f"""
+SELECT time_of_day, {_round('average_drive_total_pay / NULLIF(average_trip_length, 0)', 'average_earning_per_mile')}
+FROM tod"""),
+    "q10_avg_dollars_per_mile": _q(f"""
+SELECT time_of_day, {_round('avg(dollars_per_mile)', 'average_dollars_per_mile')} FROM trips GROUP BY 1"""),
+    "q11_january_daily_wait": _q(f"""
+SELECT day, {_round('average_wait', 'average_wait')}, trip_count FROM daily"""),
+    "q11_january_daily_wait_orders": _q(f"""
+SELECT {_dayofmonth()} AS day, {_round('avg(request_to_pickup)', 'average_wait')},
+       count(request_to_pickup) AS trip_count
+FROM order_waits WHERE {_month()} = 1 GROUP BY 1"""),
     "q12_wait_anomaly_days": _q(f"""
-SELECT day, average_wait, trip_count FROM daily WHERE average_wait > {TEST_WAIT_THRESHOLD}"""),
+SELECT day, {_round('average_wait', 'average_wait')}, trip_count FROM daily
+WHERE average_wait > {TEST_WAIT_THRESHOLD}"""),
+    "q13_below_average_pickups": _q("""
+SELECT Pickup_Borough, time_of_day, trip_count FROM borough_times
+WHERE trip_count < (SELECT avg(trip_count) FROM borough_times)"""),
     "q13_low_volume_pickups": _q("""
 SELECT Pickup_Borough, time_of_day, count(*) AS trip_count
 FROM enriched GROUP BY 1, 2 HAVING count(*) > 0 AND count(*) < 1000"""),
@@ -265,9 +324,7 @@ WHERE Pickup_Borough = '{_B1}' AND Dropoff_Borough = '{_B2}'"""),
     "q15_borough_pair_sample": _q(f"""
 SELECT Pickup_Borough, Dropoff_Borough, Pickup_Zone FROM enriched
 WHERE Pickup_Borough = '{_B1}' AND Dropoff_Borough = '{_B2}'
-ORDER BY Pickup_Borough ASC NULLS LAST, Dropoff_Borough ASC NULLS LAST,
-         Pickup_Zone ASC NULLS LAST
-LIMIT 10"""),
+{_sample_order(*_SAMPLE_KEY)}"""),
     "q15_borough_pair_count": _q(f"""
 SELECT count(*) AS trip_count FROM enriched
 WHERE Pickup_Borough = '{_B1}' AND Dropoff_Borough = '{_B2}'"""),
@@ -278,6 +335,22 @@ ORDER BY total_count DESC NULLS LAST, Route ASC NULLS LAST LIMIT 10"""),
     "q16_zone_routes": _q("""
 SELECT Route, uber_count, lyft_count, uber_count + lyft_count AS total_count
 FROM zone_routes WHERE uber_count + lyft_count > 0"""),
+    "q16_supplier_customer_routes": _q("""
+SELECT Route, uber_count, lyft_count, uber_count + lyft_count AS total_count
+FROM fine_routes WHERE uber_count + lyft_count > 0"""),
+    "q16_top_supplier_customer_routes": _q("""
+SELECT Route, uber_count, lyft_count, uber_count + lyft_count AS total_count
+FROM fine_routes WHERE uber_count + lyft_count > 0
+ORDER BY total_count DESC NULLS LAST, Route ASC NULLS LAST LIMIT 10"""),
+    "q17_vertices_sample": _q(f"""
+SELECT LocationID AS id, Borough, Zone, service_zone FROM zones
+{_sample_order('LocationID', 'Borough', 'Zone', 'service_zone')}"""),
+    "q17_edges_sample": _q(f"SELECT src, dst FROM edge_weights {_sample_order('src', 'dst')}"),
+    "q18_triplets_nested": _q("""
+SELECT src_id, src_Borough, src_Zone, src_service_zone, src_id AS edge_src, dst_id AS edge_dst,
+       weight AS edge_weight, dst_id, dst_Borough, dst_Zone, dst_service_zone FROM triplets"""),
+    "q18_triplets_sample": _q(f"SELECT * FROM triplets {_sample_order('src_id', 'dst_id')}"),
+    "q19_pairs_sample": _q(f"SELECT * FROM pairs {_sample_order('src_id', 'dst_id')}"),
     "q17_vertices": _q("""
 SELECT LocationID AS id, Borough, Zone, service_zone FROM zones"""),
     "q17_edges": _q("SELECT pickup_location AS src, dropoff_location AS dst FROM trips"),
@@ -294,9 +367,10 @@ LEFT JOIN zones b ON e.dst = b.LocationID"""),
     "q19_pair_count": _q("""
 SELECT count(*) AS pair_count, CAST(coalesce(sum(trip_count), 0) AS BIGINT) AS trip_count
 FROM pairs"""),
-    "q20_pagerank": _q("SELECT id, pagerank FROM pagerank", recursive=True),
+    "q20_pagerank": _q("SELECT id, round(pagerank, 6) AS pagerank FROM pagerank", recursive=True),
     "q20_pagerank_top5": _q("""
-SELECT id, pagerank FROM pagerank ORDER BY pagerank DESC NULLS LAST, id ASC NULLS LAST LIMIT 5""",
+SELECT id, round(pagerank, 6) AS pagerank FROM (
+  SELECT id, pagerank FROM pagerank ORDER BY pagerank DESC NULLS LAST, id ASC NULLS LAST LIMIT 5)""",
                             recursive=True),
     "q21_time_of_day_rule": _q(f"""
 SELECT CAST(hour(ts) AS INTEGER) AS hour, {_TOD.format(h='CAST(hour(ts) AS INTEGER)')}

@@ -53,8 +53,19 @@ ENRICHED_COLUMNS = TRIP_COLUMNS + [f"{role}_{a}" for role in ("Pickup", "Dropoff
 VERTEX_COLUMNS = ["id", "Borough", "Zone", "service_zone"]
 
 
-def assert_columns(df: DataFrame, expected: list[str]) -> None:
-    """Schema contract check: exact column names in exact order."""
-    got = df.columns
-    if got != list(expected):
-        raise AssertionError(f"schema mismatch:\n  expected {expected}\n  got      {got}")
+ENRICHED_SCHEMA = T.StructType(
+    [T.StructField(n, T.StringType() if n == "date" else t) for n, t in TRIP_FIELDS]
+    + [T.StructField(c, T.StringType()) for c in ENRICHED_COLUMNS[len(TRIP_FIELDS):]])
+
+
+def assert_schema(df: DataFrame, expected: T.StructType) -> None:
+    """Schema contract check: names and types in exact order (not nullability)."""
+    got = [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
+    want = [(f.name, f.dataType.simpleString()) for f in expected.fields]
+    if got != want:
+        raise AssertionError(f"schema mismatch:\n  expected {want}\n  got      {got}")
+
+
+def schema_report(df: DataFrame) -> list[tuple[str, str, bool]]:
+    """(name, type, nullable) of every column."""
+    return [(f.name, f.dataType.simpleString(), f.nullable) for f in df.schema.fields]

@@ -18,11 +18,15 @@ Fixed mapping (mirrored one-to-one by ``tripcast.plans.oracle``):
 | driver_total_pay      | round(fare * (1 - l_discount), 2)                      |
 | rideshare_profit      | round(fare * l_discount, 2)                            |
 | dollars_per_mile      | pay / trip_length                                      |
-| durations, hourly_rate| not present in the tables -> NULL                      |
+| on_scene_to_dropoff   | synthetic: 300 + l_orderkey mod 3000 seconds, NULL where l_linenumber is 7 |
+| hourly_rate           | pay * 3600 / on_scene_to_dropoff, 1 too high where l_orderkey mod 97 = 0 |
+| other durations       | not present in the tables -> NULL                      |
 | zone LocationID       | n_nationkey                                            |
 | Borough / Zone        | r_name / n_name                                        |
 | service_zone          | synthetic: n_nationkey mod 3 -> Boro Zone, Yellow Zone, EWR |
 | waiting times         | events: request day = day of ts, request_to_pickup = value |
+| waiting times, years  | orders: request day = o_orderdate, request_to_pickup = o_totalprice / 1000 |
+| supplier-customer routes | zones are suppliers (s_suppkey) and customers (-1 - c_custkey) by name |
 
 Pay and profit are rounded separately, so fare - pay = profit fails on the
 rows where both halves round up, like the anomalies of the real data.
@@ -80,7 +84,7 @@ def trips_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     splitting for a hot key).  Only the columns the mapping uses are read.
     """
     li = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount",
+        "l_orderkey", "l_linenumber", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount",
         "l_linestatus")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
@@ -97,6 +101,9 @@ def trips_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     pay = F.round(fare * (F.lit(1).cast("decimal(1,0)") - disc), 2).cast(MONEY)
     profit = F.round(fare * disc, 2).cast(MONEY)
     hour = F.pmod(F.col("o_orderkey"), F.lit(HOURS_PER_DAY))
+    seconds = F.when(F.col("l_linenumber") != 7, (300 + F.pmod(F.col("l_orderkey"), F.lit(3000))).cast("double"))
+    hourly = (F.try_divide(pay.cast("double") * 3600.0, seconds)
+              + F.when(F.pmod(F.col("l_orderkey"), F.lit(97)) == 0, 1.0).otherwise(0.0))
     null_d = F.lit(None).cast("double")
     return lines.select(
         _business(F.col("l_linestatus")).alias("business"),
@@ -106,13 +113,13 @@ def trips_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
         null_d.alias("request_to_pickup"),
         null_d.alias("total_ride_time"),
         null_d.alias("on_scene_to_pickup"),
-        null_d.alias("on_scene_to_dropoff"),
+        seconds.alias("on_scene_to_dropoff"),
         time_of_day_class(hour).alias("time_of_day"),
         unix_day_seconds("o_orderdate").alias("date"),
         fare.alias("passenger_fare"),
         pay.alias("driver_total_pay"),
         profit.alias("rideshare_profit"),
-        null_d.alias("hourly_rate"),
+        hourly.alias("hourly_rate"),
         F.try_divide(pay.cast("double"), F.col("l_quantity").cast("double")).alias("dollars_per_mile"),
     ).select(*TRIP_COLUMNS)
 
@@ -126,6 +133,33 @@ def waits_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
                      time_of_day_class(F.hour("ts")).alias("time_of_day"))
 
 
+def waits_from_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """orders -> (date, request_to_pickup): waiting times over several years,
+    so that a month filter has something to leave out."""
+    o = table(spark, sf_dir, "orders").select("o_orderdate", "o_totalprice")
+    return o.select(unix_day_seconds("o_orderdate").alias("date"),
+                    (F.col("o_totalprice").cast("double") / 1000.0).alias("request_to_pickup"))
+
+
+def supplier_customer_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(business, pickup_location, dropoff_location) from the supplier to the
+    customer of each line: routes so fine that most have one business only."""
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_linestatus")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    return li.join(o, li.l_orderkey == o.o_orderkey).select(
+        _business(F.col("l_linestatus")).alias("business"), F.col("l_suppkey").cast("int").alias("pickup_location"),
+        (-1 - F.col("o_custkey")).cast("int").alias("dropoff_location"))
+
+
+def supplier_customer_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers and customers as a zone lookup; it grows with the data, so the
+    measured broadcast falls back to shuffle joins."""
+    s = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").cast("int").alias("LocationID"), F.col("s_name").alias("Zone"))
+    c = table(spark, sf_dir, "customer").select((-1 - F.col("c_custkey")).cast("int").alias("LocationID"), F.col("c_name").alias("Zone"))
+    none = F.lit(None).cast("string")
+    return s.unionByName(c).select("LocationID", none.alias("Borough"), "Zone", none.alias("service_zone")).select(*ZONE_COLUMNS)
+
+
 def event_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events -> hour of request (0..23) for the time-of-day rule."""
     return table(spark, sf_dir, "events").select(F.hour("ts").alias("hour"))
