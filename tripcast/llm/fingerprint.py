@@ -129,16 +129,13 @@ def with_next(docs: DataFrame, text_col: str, id_col: str, ranges: int) -> DataF
         return d.select(F.lit(0).alias("r"), F.lit(0).alias("wrap"), order.alias("o"), tie.alias("t"),
                         F.lit(False).alias("successor"), "id", "text")
     # The first row of each range also goes to the range before it (of the first: to the last).
-    target = F.lit(None).cast("int")
-    for i, (_, o, t) in enumerate(firsts):
-        target = F.when((order == F.lit(o).cast("long")) & (tie == F.lit(t).cast("long")),
-                        F.lit(firsts[i - 1][0])).otherwise(target)
-    first = firsts[0]
-    is_first = (order == F.lit(first[1]).cast("long")) & (tie == F.lit(first[2]).cast("long"))
-    own = F.struct(which.alias("r"), F.lit(0).alias("wrap"), F.lit(False).alias("successor"))
-    copy = F.struct(target.alias("r"), F.when(is_first, 1).otherwise(0).alias("wrap"), F.lit(True).alias("successor"))
-    return (d.withColumn("o", order).withColumn("t", tie)
-            .withColumn("x", F.explode(F.when(target.isNull(), F.array(own)).otherwise(F.array(own, copy))))
+    targets = F.broadcast(docs.sparkSession.createDataFrame(
+        [(o, t, firsts[i - 1][0], int(i == 0)) for i, (_, o, t) in enumerate(firsts)],
+        "o long, t long, target int, wrap int"))  # one row per range
+    own = F.struct(F.col("r"), F.lit(0).alias("wrap"), F.lit(False).alias("successor"))
+    copy = F.struct(F.col("target").alias("r"), F.col("wrap"), F.lit(True).alias("successor"))
+    return (d.withColumn("o", order).withColumn("t", tie).withColumn("r", which).join(targets, ["o", "t"], "left")
+            .withColumn("x", F.explode(F.when(F.col("target").isNull(), F.array(own)).otherwise(F.array(own, copy))))
             .select("x.r", "x.wrap", "o", "t", "x.successor", "id", "text"))
 
 
