@@ -1,0 +1,51 @@
+import hashlib
+
+import numpy as np
+
+import corpus_pipeline as cp
+from tests.llm.helpers import SF, classes, docs
+from tripcast.llm import bpe, decontaminate, language_id
+from tripcast.llm.common import table
+from tripcast.llm.queries import ORACLE_SQL, QUERIES
+
+
+def test_pipeline_equals_brute_force(spark):
+    rows = [r for r in table(spark, SF, "documents").collect()]
+    model = language_id.fit(table(spark, SF, "documents"))
+    spoken = {r["doc_id"] for r in language_id.predict(table(spark, SF, "documents"), model).filter(language_id.accepted()).collect()}
+    kept = [(r["doc_id"], r["text"]) for r in rows if r["doc_id"] in spoken]
+    label = classes(kept)
+    kept = [(i, t) for i, t in kept if label[i] == i]
+    items = table(spark, SF, "benchmark").collect()
+    index = decontaminate.Index(decontaminate.Items(tuple(r["item_id"] for r in items), tuple(r["text"] for r in items)))
+    clean = []
+    for i, t in kept:
+        if any(r["text"] in t for r in items):
+            continue
+        raw = t.encode()
+        found = index.matches(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))[0]
+        if not found:
+            clean.append((i, t))
+    lib = bpe.library(bpe.default_path())
+    want = {i: (lib.encode(t, add_special_tokens=False).ids, hashlib.sha256(t.encode()).hexdigest()) for i, t in clean}
+    got = {r["doc_id"]: (r["ids"], r["decoded_sha256"]) for r in cp.run(spark, SF).collect()}
+    assert got == want and 0 < len(want) < len(rows)
+
+
+def test_stages_keep_the_columns_of_documents(spark):
+    columns = table(spark, SF, "documents").columns
+    empty = table(spark, SF, "documents").limit(0)
+    odd = docs(spark, [(1, None, None), (2, "", "en"), (3, "a clean text of several words", "en"), (3, "a clean text of several words", "en"),
+                       (None, "another text of words that stays", "en")])
+    for name, stage in cp.STAGES[:-1]:
+        assert stage(spark, empty, SF).columns == columns, name
+        assert stage(spark, empty, SF).count() == 0
+        assert stage(spark, odd, SF).columns == odd.columns
+    assert sorted(str(r["doc_id"]) for r in cp.STAGES[0][1](spark, odd, SF).collect()) == ["3", "3", "None"]
+    assert sorted(str(r["doc_id"]) for r in cp.STAGES[1][1](spark, odd, SF).collect()) == ["1", "2", "3", "None"]
+    assert cp.STAGES[2][1](spark, odd, SF).count() == 5 and cp.STAGES[3][1](spark, odd, SF).count() == 5
+
+
+def test_registry():
+    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 11)]
+    assert set(ORACLE_SQL) <= set(QUERIES)

@@ -30,4 +30,37 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_language_id": op10_language_id,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+# Equal payloads of at least 100 bytes: the smallest page_id is the response.
+_WARC = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+d AS (SELECT page_id, strlen(h) AS payload_bytes, sha256(h) AS payload_digest FROM p),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to
+FROM f"""
+
+# One character per control string is added by escaping; each turn has 23 characters of marks.
+_CHAT = r"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+),
+parts AS (
+  SELECT *, length(regexp_replace(role, '([<\[])(\\*)(\||/?s>|/?INST\]|</?SYS>>)', '\1\\\2\3', 'g')) AS role_n,
+         length(regexp_replace(text, '([<\[])(\\*)(\||/?s>|/?INST\]|</?SYS>>)', '\1\\\2\3', 'g')) AS text_n
+  FROM rows
+),
+c AS (
+  SELECT conv_id, count(*) AS n_turns,
+         string_agg(concat(role, chr(10), text, chr(10)), '' ORDER BY turn, role, text) AS said,
+         coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '') AS loss,
+         sum(role_n + text_n + 23) AS formatted_chars
+  FROM parts GROUP BY conv_id
+)
+SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256,
+       CAST(formatted_chars AS BIGINT) AS formatted_chars
+FROM c"""
+
+ORACLE_SQL: dict[str, str] = {"op6_warc": _WARC, "op7_chat_format": _CHAT}
