@@ -7,8 +7,8 @@ the one with the smallest id becomes a ``response``, the others ``revisit`` it
 (rows that repeat this smallest id are responses too).  Which is which is
 decided on digests alone; payloads meet their decision in one shuffle by
 digest whose hot keys are salted.  A task writes each file under another name
-and renames it, and names depend on the partition only, so a task that runs
-again replaces its own files.
+and renames it; rows are sorted within a partition and names depend on the
+partition, so a task that runs again writes the same files with the same bytes.
 
 :func:`read` takes whole files through Spark's binary reader and returns
 records and gaps.  A member or record is valid when it decompresses with its
@@ -89,7 +89,12 @@ def _store(folder: str, name: str, data: bytes) -> None:
     hidden = f"{base}/_{name}.{hashlib.sha256(data).hexdigest()[:8]}.tmp"
     with fs.open_output_stream(hidden) as f:
         f.write(data)
-    fs.move(hidden, f"{base}/{name}")
+    try:
+        fs.move(hidden, f"{base}/{name}")
+    except OSError:  # some stores don't replace: another attempt has stored the same bytes
+        if fs.get_file_info(f"{base}/{name}").type == pafs.FileType.NotFound:
+            raise
+        fs.delete_file(hidden)
 
 
 def write(pages: DataFrame, folder: str, id_col: str = "page_id", uri_col: str = "url", payload_col: str = "html",
@@ -105,6 +110,7 @@ def write(pages: DataFrame, folder: str, id_col: str = "page_id", uri_col: str =
     d = d.withColumn("salt", F.pmod(F.xxhash64("id", "uri"), F.lit(SALTS)).cast("int"))
     d = d.join(shared, ["digest", "salt"], "left").select(
         "id", "uri", "payload", "digest", F.when(F.col("long") & (F.col("id") != F.col("first")), F.col("first")).alias("refers"))
+    d = d.sortWithinPartitions("digest", "id", "uri")
     suffix = ".warc.gz" if compress else ".warc"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
