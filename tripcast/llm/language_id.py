@@ -8,7 +8,9 @@ the fewest phrases per byte wins.
 Model: :func:`fit` takes a bounded sample of labelled rows, ``rows_per_lang``
 rows per language chosen by a hash of id and text, at most ``row_chars`` code
 points of each from a hashed position, ``total_bytes`` in all divided evenly
-among the languages.  Only text and label are used.
+among the languages.  Rows are first thinned by the same hash to about 64
+times that many per language, so what is ranked does not grow with the corpus.
+Only text and label are used.
 
 Prediction: one pass without a shuffle.  Text is lower-cased, ASCII
 non-letters become single spaces, and blocks of ``BLOCK`` bytes are parsed in
@@ -36,6 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripcast.llm.common import id_mod, slices, table, utf8_parts
+from tripcast.operators.broadcast import checked_broadcast
 
 BLOCK = 1024
 OUTPUTS = [("lang_pred", T.StringType(), pa.string()), ("score", T.DoubleType(), pa.float64()),
@@ -76,6 +79,10 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", id_
     d = d.withColumn("h", F.xxhash64("id", "text"))
     d = d.withColumn("piece", F.expr(
         f"substring(text, cast(1 + pmod(h, greatest(char_length(text) - {row_chars}, 0) + 1) as int), {row_chars})"))
+    sizes = labelled.select(F.col(lang_col).alias("lang")).filter("lang is not null").groupBy("lang").agg(
+        F.count(F.lit(1)).alias("size"))  # a row per language
+    place = F.pmod("h", F.lit(1 << 40)) / F.lit(float(1 << 40))
+    d = d.join(checked_broadcast(sizes), "lang").filter(place * F.col("size") < 64 * rows_per_lang)
     first = Window.partitionBy("lang").orderBy("h", "id", "piece")
     rows = (d.select("lang", "h", "id", "piece").withColumn("k", F.row_number().over(first))
             .filter(F.col("k") <= rows_per_lang).select("lang", "k", "piece").collect())
