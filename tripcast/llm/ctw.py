@@ -41,6 +41,7 @@ from pyspark.sql import functions as F
 from tripcast.llm.common import id_mod, n_shuffle, slices, stored, table, utf8_parts
 
 DEPTH, BLOCK_BYTES, MARK = 4, 24 << 20, 0xFF
+RUN_BYTES = 1 << 20  # text whose byte runs are held at once; a run takes some 80 bytes meanwhile
 _FEATURES = "block int, at long, word binary, gram long, n long"
 _FEATURES_ARROW = pa.schema([("block", pa.int32()), ("at", pa.int64()), ("word", pa.binary()), ("gram", pa.int64()), ("n", pa.int64())])
 
@@ -75,9 +76,10 @@ def _words(table_: pa.Table) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     begin[1:] &= space[:-1]
     heads = off[:-1][off[:-1] < off[1:]]
     begin[heads] = ~space[heads]
-    kept = np.concatenate([[0], np.cumsum(~space)])
     first = np.flatnonzero(begin)
-    offsets = np.concatenate([kept[first], kept[-1:]]).astype(np.int64)
+    # A word's place among the bytes kept: its place less the white space before it.
+    gaps = np.flatnonzero(space)
+    offsets = np.append(first - np.searchsorted(gaps, first), len(raw) - len(gaps)).astype(np.int64)
     data = raw[~space]
     array = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(first), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
     coded = array.dictionary_encode()
@@ -114,7 +116,7 @@ def _features(block: pa.Table) -> pa.Table:
     counts = np.bincount(word, weights=train[doc], minlength=len(distinct)).astype(np.int64)
     found, seen = [], []
     for batch in block.select(["text", "train"]).to_batches():
-        for part in slices(batch, "text"):
+        for part in slices(batch, "text", RUN_BYTES):
             flag = part.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
             code, owner = _grams(*utf8_parts(part.column(0)))
             coded = pa.array(code).dictionary_encode()
@@ -243,7 +245,7 @@ def _scored(block: pa.Table, values: pa.Table, unit: float) -> pa.Table:
     keys, lp = keys[order], lp[order]
     score, done = np.zeros(n), 0
     for batch in block.select(["text"]).to_batches():
-        for part in slices(batch, "text"):
+        for part in slices(batch, "text", RUN_BYTES):
             code, owner = _grams(*utf8_parts(part.column(0)))
             coded = pa.array(code).dictionary_encode()
             mine = lp[np.searchsorted(keys, coded.dictionary.to_numpy())]
