@@ -317,6 +317,7 @@ def classes(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", thr
     duplicated = not signed.groupBy("id").count().filter("count > 1 and id is not null").isEmpty()
     if duplicated:  # an id with several texts stands for its first representative text
         texts = texts.groupBy("id").agg(F.min("text").alias("text"))
+    texts = stored(texts, "texts")  # read in every round
     least = threshold - slack
 
     def best_partner(pairs: DataFrame) -> DataFrame:
