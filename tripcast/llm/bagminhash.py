@@ -46,6 +46,7 @@ from pyspark.sql import functions as F
 
 from tripcast.llm.common import mix, slices, stored, table, utf8_parts
 from tripcast.llm.components import components
+from tripcast.operators.broadcast import checked_broadcast
 
 BANDS, ROWS, SHINGLE = 32, 5, 5
 M = BANDS * ROWS
@@ -361,14 +362,14 @@ def one_per_class(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id
                   threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` without the documents whose class has a smaller id; rows that
     repeat an id count as one document, and rows without an id stay."""
-    kept = classes(docs, text_col, id_col, threshold).filter(F.col(id_col) == F.col("class_id")).select(id_col)
-    out = docs.join(kept, id_col, "left_semi")
+    gone = stored(classes(docs, text_col, id_col, threshold).filter(F.col(id_col) != F.col("class_id")).select(id_col), "gone")
+    out = docs.join(checked_broadcast(gone), id_col, "left_anti")
     twice = docs.groupBy(id_col).count().filter(f"count > 1 and {id_col} is not null").select(id_col)
     if not twice.isEmpty():
         order = Window.partitionBy(id_col).orderBy(F.col(text_col).asc_nulls_last())
         again = out.join(twice, id_col, "left_semi").withColumn("__k", F.row_number().over(order))
         out = out.join(twice, id_col, "left_anti").unionByName(again.filter("__k = 1").drop("__k"))
-    return out.unionByName(docs.filter(F.col(id_col).isNull())).select(*docs.columns)
+    return out.select(*docs.columns)
 
 
 def op1_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
