@@ -44,7 +44,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tripcast.llm.common import mix, slices, stored, table, utf8_parts
+from tripcast.llm.common import mix, n_shuffle, slices, stored, table, utf8_parts
 from tripcast.llm.components import components
 from tripcast.operators.broadcast import checked_broadcast
 
@@ -52,6 +52,7 @@ BANDS, ROWS, SHINGLE = 32, 5, 5
 M = BANDS * ROWS
 THRESHOLD, SLACK = 0.8, 0.18
 FEW, BLOCK_ROWS, BLOCK_SHINGLES = 8, 2048, 1 << 20
+CHAIN_ROUNDS = 1
 _BASE, _INVERSE = np.uint64(0x9E3779B97F4A7C15), np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _BYTE = mix(np.arange(256, dtype=np.uint64) + np.uint64(0x51ED27))
 _POWERS: dict[int, np.ndarray] = {}
@@ -320,6 +321,7 @@ def classes(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", thr
         texts = texts.groupBy("id").agg(F.min("text").alias("text"))
     texts = stored(texts, "texts")  # read in every round
     least = threshold - slack
+    few = max(1, n_shuffle(docs.sparkSession) // 2)
 
     def best_partner(pairs: DataFrame) -> DataFrame:
         return pairs.groupBy("b").agg(F.max_by("a", F.struct("est", -F.col("a"))).alias("a"))
@@ -327,7 +329,7 @@ def classes(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", thr
     links = None
     found = stored(_verified(best_partner(_estimated(met.select(F.col("lead").alias("a"), F.col("id").alias("b"))
                                                      .filter("a <> b").distinct(), sigs, least)),
-                             texts, threshold), "links")
+                             texts, threshold).coalesce(few), "links")
     tried = 0
     labels = None
     while True:
@@ -336,18 +338,18 @@ def classes(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", thr
         now = _with_class(met.select("bucket", "id"), labels)
         mixed = now.groupBy("bucket").agg(F.min("c").alias("x"), F.max("c").alias("y")).filter("x <> y")
         now = stored(now.join(mixed.select("bucket"), "bucket", "left_semi"), "mixed")
-        if now.isEmpty() or tried == 3:
+        if now.isEmpty() or tried == CHAIN_ROUNDS:
             break
         tried += 1
         order = Window.partitionBy("bucket").orderBy(F.xxhash64("id", "bucket", F.lit(tried)))
         near = now.select("id", "c", F.lag("id").over(order).alias("p"), F.lag("c").over(order).alias("pc"))
         pairs = near.filter("p is not null and c <> pc").select(
             F.least("id", "p").alias("a"), F.greatest("id", "p").alias("b")).distinct()
-        found = stored(_verified(best_partner(_estimated(pairs, sigs, least)), texts, threshold), "links")
+        found = stored(_verified(best_partner(_estimated(pairs, sigs, least)), texts, threshold).coalesce(few), "links")
         if found.isEmpty():
             break
     if not now.isEmpty():
-        found = stored(_exhaustive(now.join(sigs.select("id", "n"), "id"), sigs, texts, threshold, least), "links")
+        found = stored(_exhaustive(now.join(sigs.select("id", "n"), "id"), sigs, texts, threshold, least).coalesce(few), "links")
         if not found.isEmpty():
             links = links.unionByName(found)
             labels = components(links)
