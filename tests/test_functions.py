@@ -1,6 +1,5 @@
 from decimal import Decimal
 
-from pyspark.sql import functions as F
 
 from tripcast.functions.calendar import (day_of, iso_date, month_of, time_of_day_class,
                                          unix_day_seconds)
