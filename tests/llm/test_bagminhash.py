@@ -22,8 +22,7 @@ def _near_copies(n, words=120, edits=4, seed=1):
 
 
 def test_classes_equal_brute_force(spark):
-    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
-    rows += [(10_000 + i, t) for i, t in enumerate(_near_copies(60) + _near_copies(40, 60, 6, 2))]
+    rows = [(10_000 + i, t) for i, t in enumerate(_near_copies(60) + _near_copies(40, 60, 6, 2))]
     rows += [(20_000 + i, "the same line again\n" * (30 + i)) for i in range(12)]  # weights decide
     got = {r["doc_id"]: r["class_id"] for r in bm.classes(docs(spark, [(i, t, None) for i, t in rows])).collect()}
     assert got == classes(rows)

@@ -37,13 +37,12 @@ def test_stages_keep_the_columns_of_documents(spark):
     empty = table(spark, SF, "documents").limit(0)
     odd = docs(spark, [(1, None, None), (2, "", "en"), (3, "a clean text of several words", "en"), (3, "a clean text of several words", "en"),
                        (None, "another text of words that stays", "en")])
-    for name, stage in cp.STAGES[:-1]:
-        assert stage(spark, empty, SF).columns == columns, name
-        assert stage(spark, empty, SF).count() == 0
-        assert stage(spark, odd, SF).columns == odd.columns
-    assert sorted(str(r["doc_id"]) for r in cp.STAGES[0][1](spark, odd, SF).collect()) == ["3", "3", "None"]
-    assert sorted(str(r["doc_id"]) for r in cp.STAGES[1][1](spark, odd, SF).collect()) == ["1", "2", "3", "None"]
-    assert cp.STAGES[2][1](spark, odd, SF).count() == 5 and cp.STAGES[3][1](spark, odd, SF).count() == 5
+    want = (["3", "3", "None"], ["1", "2", "3", "None"], ["1", "2", "3", "3", "None"])
+    for (name, stage), ids in zip(cp.STAGES[:-1], want):
+        none, some = stage(spark, empty, SF), stage(spark, odd, SF)
+        assert none.columns == columns and none.count() == 0, name
+        assert some.columns == odd.columns and sorted(str(r["doc_id"]) for r in some.collect()) == ids, name
+    assert cp.STAGES[3][1](spark, odd, SF).count() == 5
 
 
 def test_registry():
