@@ -19,11 +19,10 @@ probability equal to their weighted Jaccard similarity.
 Search: texts with equal word sequences form one class from the start and are
 stood for by the smallest id.  Signatures are cut into BANDS bands of ROWS
 components; texts that share a band meet in a bucket.  Each text is verified
-against the likeliest bucket leader first; then, round by round, texts of one
-bucket that are still in different classes are paired with their neighbour in
-a hashed order.  What is left of a bucket is compared exhaustively: a bucket of
-a few texts as pairs, a larger one in blocks of bounded size inside tasks,
-which return the links that join classes and never the pairs.  Pairs whose
+against the likeliest bucket leader first.  What a bucket then still holds of
+different classes is compared exhaustively: a bucket of a few texts as pairs, a
+larger one in blocks of bounded size inside tasks, which return the links that
+join classes and never the pairs.  Pairs whose
 signatures agree far less than the threshold are set aside (``slack``: more
 than five standard errors), all others are verified exactly on whole texts.
 Pairs inside one class need no test.
@@ -52,7 +51,6 @@ BANDS, ROWS, SHINGLE = 32, 5, 5
 M = BANDS * ROWS
 THRESHOLD, SLACK = 0.8, 0.18
 FEW, BLOCK_ROWS, BLOCK_SHINGLES = 8, 2048, 1 << 20
-CHAIN_ROUNDS = 1
 _BASE, _INVERSE = np.uint64(0x9E3779B97F4A7C15), np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _BYTE = mix(np.arange(256, dtype=np.uint64) + np.uint64(0x51ED27))
 _POWERS: dict[int, np.ndarray] = {}
@@ -326,33 +324,16 @@ def classes(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", thr
     def best_partner(pairs: DataFrame) -> DataFrame:
         return pairs.groupBy("b").agg(F.max_by("a", F.struct("est", -F.col("a"))).alias("a"))
 
-    links = None
-    found = stored(_verified(best_partner(_estimated(met.select(F.col("lead").alias("a"), F.col("id").alias("b"))
-                                                     .filter("a <> b").distinct(), sigs, least)),
-                             texts, threshold).coalesce(few), "links")
-    tried = 0
-    labels = None
-    while True:
-        links = found if links is None else links.unionByName(found)
-        labels = components(links)
-        now = _with_class(met.select("bucket", "id"), labels)
-        mixed = now.groupBy("bucket").agg(F.min("c").alias("x"), F.max("c").alias("y")).filter("x <> y")
-        now = stored(now.join(mixed.select("bucket"), "bucket", "left_semi"), "mixed")
-        if now.isEmpty() or tried == CHAIN_ROUNDS:
-            break
-        tried += 1
-        order = Window.partitionBy("bucket").orderBy(F.xxhash64("id", "bucket", F.lit(tried)))
-        near = now.select("id", "c", F.lag("id").over(order).alias("p"), F.lag("c").over(order).alias("pc"))
-        pairs = near.filter("p is not null and c <> pc").select(
-            F.least("id", "p").alias("a"), F.greatest("id", "p").alias("b")).distinct()
-        found = stored(_verified(best_partner(_estimated(pairs, sigs, least)), texts, threshold).coalesce(few), "links")
-        if found.isEmpty():
-            break
+    stars = met.select(F.col("lead").alias("a"), F.col("id").alias("b")).filter("a <> b").distinct()
+    links = stored(_verified(best_partner(_estimated(stars, sigs, least)), texts, threshold).coalesce(few), "links")
+    labels = components(links)
+    # What a bucket still holds of different classes is compared exhaustively.
+    now = _with_class(met.select("bucket", "id"), labels)
+    mixed = now.groupBy("bucket").agg(F.min("c").alias("x"), F.max("c").alias("y")).filter("x <> y")
+    now = stored(now.join(mixed.select("bucket"), "bucket", "left_semi"), "mixed")
     if not now.isEmpty():
-        found = stored(_exhaustive(now.join(sigs.select("id", "n"), "id"), sigs, texts, threshold, least).coalesce(few), "links")
-        if not found.isEmpty():
-            links = links.unionByName(found)
-            labels = components(links)
+        found = _exhaustive(now.join(sigs.select("id", "n"), "id"), sigs, texts, threshold, least)
+        labels = components(links.unionByName(found))
     member = _with_class(copies.withColumnRenamed("rep", "id"), labels).select("k1", "k2", "c")
     out = signed.select("id", "k1", "k2", "n").join(member, ["k1", "k2"], "left")
     return out.groupBy("id").agg(
