@@ -86,11 +86,8 @@ def test_scores_equal_brute_force(spark, block_bytes):
         assert r["bits_per_byte"] == pytest.approx(-r["score"] / math.log10(2) / max(1, r["n_bytes"]))
 
 
-def test_probabilities_of_a_context_sum_to_one(spark):
-    d = docs(spark, ROWS)
-    grams = [(b"\xff\xff\xff", b) for b in range(256)]
-    texts = spark.createDataFrame([(i, "t", "ab") for i in range(3)], "doc_id long, lang string, text string")
-    model = Brute([r["text"] for r in texts.collect()])
+def test_probabilities_of_a_context_sum_to_one():
+    model = Brute(["ab", "ab", "abc"])
     total = 0.0
     for b in range(256):
         p = 1.0
@@ -98,7 +95,7 @@ def test_probabilities_of_a_context_sum_to_one(spark):
             one = model.p(b"\xff\xffab", (1 << k) | (b >> (8 - k)), k)
             p *= one if (b >> (7 - k)) & 1 else 1 - one
         total += p
-    assert total == pytest.approx(1.0) and grams and d is not None
+    assert total == pytest.approx(1.0)
 
 
 def test_without_training_and_without_rows(spark):
