@@ -98,6 +98,13 @@ def test_probabilities_of_a_context_sum_to_one():
     assert total == pytest.approx(1.0)
 
 
+def test_contexts_reach_six_bytes_back(spark):
+    """What follows "12345" is told by the byte before it alone."""
+    rows = [(i, t, "t") for i, t in enumerate(["a12345x", "b12345y"] * 20)] + [(100, "a12345x", "h"), (101, "a12345y", "h")]
+    got = {r["doc_id"]: r["score"] for r in ctw.score(docs(spark, rows), F.col("lang") == "t").collect()}
+    assert got[100] > got[101] + 1
+
+
 def test_without_training_and_without_rows(spark):
     d = docs(spark, ROWS[:2])
     got = ctw.score(d, F.lit(False)).collect()

@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from tripcast.llm.common import id_mod, n_shuffle, slices, stored, table, utf8_parts
 
-DEPTH, BLOCK_BYTES, MARK = 4, 24 << 20, 0xFF
+DEPTH, BLOCK_BYTES, MARK = 6, 24 << 20, 0xFF
 RUN_BYTES = 1 << 20  # text whose byte runs are held at once; a run takes some 80 bytes meanwhile
 _FEATURES = "block int, at long, word binary, gram long, n long"
 _FEATURES_ARROW = pa.schema([("block", pa.int32()), ("at", pa.int64()), ("word", pa.binary()), ("gram", pa.int64()), ("n", pa.int64())])
