@@ -38,6 +38,16 @@ def test_ids_equal_the_library(enc, lib):
         assert enc.decode(ids) == lib.decode(ids, skip_special_tokens=False) == t
 
 
+@pytest.mark.parametrize("text", [" " * 2_000_000 + "x", "ab " + "\n" * 1_200_000 + "c d <|endoftext|> e"])
+def test_white_space_beyond_the_fast_matcher(enc, lib, text):
+    ids = _whole(lib, text)
+    assert enc.encode(text) == ids and enc.decode(ids) == text
+    raw = text.encode()
+    assert token_counts.count_tokens(enc, raw)[0] == len(ids)
+    store = chunk_reuse.Store(enc)
+    assert chunk_reuse.encode(store, raw, chunk_reuse._bounds(raw, chunk_reuse._cut_points(np.frombuffer(raw, np.uint8)))).tolist() == ids
+
+
 @pytest.mark.parametrize("chunk,overlap", [(40, 4), (300, 16), (4096, 32)])
 def test_spliced_counts_equal_the_whole(enc, chunk, overlap):
     for t in [x[:6000] for x in TEXTS] + TEXTS[3:5]:

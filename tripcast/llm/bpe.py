@@ -4,8 +4,9 @@
 Where the file is a plain byte-level BPE (every merge makes the next id, no
 normaliser, prefix space or post-processor) the ids are computed by tiktoken
 over the same merges, which gives the same ids several times faster; any other
-file is refused.  Added tokens inside a text become their special ids, as the
-library does by default.
+file is refused.  Text that tiktoken cannot split (runs of about a million
+white-space characters) is encoded by the library.  Added tokens inside a text
+become their special ids, as the library does by default.
 """
 
 from __future__ import annotations
@@ -40,6 +41,7 @@ class Encoder:
     """ids of a text, byte length and bytes of an id."""
 
     def __init__(self, path: str):
+        self.path = path
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model, added = spec["model"], spec.get("added_tokens") or []
@@ -73,7 +75,10 @@ class Encoder:
         self.id_type = np.uint16 if size <= 65536 else np.uint32
 
     def encode(self, text: str) -> list[int]:
-        return self.fast.encode(text, allowed_special="all", disallowed_special=())
+        try:
+            return self.fast.encode(text, allowed_special="all", disallowed_special=())
+        except ValueError:  # a run of white space too long for its pattern matcher
+            return library(self.path).encode(text, add_special_tokens=False).ids
 
     def decode(self, ids: list[int]) -> str:
         return b"".join([self.bytes_of[i] for i in ids]).decode("utf-8", "replace")
@@ -86,7 +91,7 @@ def encoder(path: str) -> Encoder:
 
 @functools.lru_cache(maxsize=2)
 def library(path: str) -> Tokenizer:
-    """The tokenizers library itself, without truncation or padding (tests)."""
+    """The tokenizers library itself, without truncation or padding."""
     t = Tokenizer.from_file(path)
     t.no_truncation()
     t.no_padding()
