@@ -53,6 +53,29 @@ def test_exact_similarity():
     assert got.tolist() == pytest.approx([common / (sum(x.values()) + sum(y.values()) - common), 1.0, 0.0])
 
 
+def test_words_of_any_script():
+    texts = ["“Bonjour” : oui ! a—b", "été«x»y", "", "日本語，テキスト。a1語b", "１２ａ、x", "ที่", "—", "naïve𝔘😀𠀀𠀁z", "a", "語"]
+    want = [["bonjour", "oui", "a", "b"], ["été", "x", "y"], [], [*"日本語テキスト", "a1", "語", "b"], ["１２ａ", "x"],
+            [c for c in "ที่" if c.isalnum()], [], ["naïve𝔘", "𠀀", "𠀁", "z"], ["a"], ["語"]]
+    h, doc = bm.words(*bm.utf8_parts(pa.array([t.lower() for t in texts])))
+    for i, ws in enumerate(want):
+        alone = [bm.words(*bm.utf8_parts(pa.array([w])))[0] for w in ws]
+        assert h[doc == i].tolist() == [int(x) for a in alone for x in a], texts[i]
+        assert all(len(a) == 1 for a in alone)
+
+
+def test_copies_in_other_punctuation_and_scripts(spark):
+    random.seed(9)
+    plain = " ".join(f"mot{random.randrange(900)}" for _ in range(60))
+    quoted = "«\u00a0" + "\u00a0".join(f"“{w}”" if k % 5 == 0 else w for k, w in enumerate(plain.split())) + "—»"
+    han = "".join(chr(0x4E00 + random.randrange(4000)) for _ in range(300))
+    edited = han[:100] + "好，" + han[101:200] + "。" + han[200:]
+    other = "".join(chr(0x4E00 + random.randrange(4000)) for _ in range(300))
+    rows = [(1, plain, None), (2, quoted, None), (3, han, None), (4, edited, None), (5, other, None), (6, "，。", None), (7, "—", None)]
+    got = {r["doc_id"]: r["class_id"] for r in bm.classes(docs(spark, rows)).collect()}
+    assert got == {1: 1, 2: 1, 3: 3, 4: 3, 5: 5, 6: 6, 7: 7}
+
+
 def test_edge_cases(spark):
     long = " ".join(f"w{i}" for i in range(60_000))
     rows = [(1, None, None), (2, "", None), (3, "...", None), (4, "Two words", None), (5, "two, WORDS!", None), (6, long, None),

@@ -1,7 +1,8 @@
 """Near-duplicate classes by BagMinHash.
 
 A text is the multiset of its five-word shingles (words: runs of letters and
-digits, lower-cased; a text of one to four words is a single shingle).  Two
+digits of any script, lower-cased, each character a word in scripts written
+without spaces; a text of one to four words is a single shingle).  Two
 texts are linked when the weighted Jaccard similarity of the multisets, sum of
 minima over sum of maxima, is at least ``threshold``; a class is a connected
 component of links.
@@ -35,6 +36,7 @@ with probability 3e-6.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -54,6 +56,18 @@ FEW, BLOCK_ROWS, BLOCK_SHINGLES = 8, 2048, 1 << 20
 _BASE, _INVERSE = np.uint64(0x9E3779B97F4A7C15), np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _BYTE = mix(np.arange(256, dtype=np.uint64) + np.uint64(0x51ED27))
 _POWERS: dict[int, np.ndarray] = {}
+# Blocks of scripts written without spaces (Thai, Lao, Myanmar, Khmer, kana, Han).
+_UNSPACED = ((0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3005, 0x3007), (0x3040, 0x30FF), (0x31F0, 0x31FF),
+             (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x1B000, 0x1B16F), (0x20000, 0x3FFFF))
+
+
+@functools.cache
+def _kinds() -> np.ndarray:
+    """Of each code point: 1 letter or digit, 2 one that is a word by itself, 0 any other."""
+    out = np.fromiter((chr(c).isalnum() for c in range(0x110000)), np.uint8, 0x110000)
+    for low, high in _UNSPACED:
+        out[low:high + 1] *= 2
+    return out
 
 
 def _powers(base: np.uint64, n: int) -> np.ndarray:
@@ -69,13 +83,29 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
 
 def words(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hash of every word of lower-cased texts, and the text it belongs to."""
-    inside = (raw >= 128) | ((raw >= 97) & (raw <= 122)) | ((raw >= 48) & (raw <= 57)) | ((raw >= 65) & (raw <= 90))
-    begin, end = inside.copy(), inside.copy()
+    inside = ((raw >= 97) & (raw <= 122)) | ((raw >= 48) & (raw <= 57)) | ((raw >= 65) & (raw <= 90))
+    lead = np.flatnonzero(raw >= 0xC0)
+    size = 2 + (raw[lead] >= 0xE0) + (raw[lead] >= 0xF0).astype(np.int64)
+    code = raw[lead].astype(np.int64) & (0x7F >> size)
+    for k in (1, 2, 3):
+        more = size > k
+        code[more] = code[more] << 6 | raw[lead[more] + k] & 0x3F
+    kind = _kinds()[code] if len(code) else np.zeros(0, np.uint8)
+    for k in range(4):
+        more = (size > k) & (kind > 0)
+        inside[lead[more] + k] = True
+    begin = inside.copy()
     begin[1:] &= ~inside[:-1]
-    end[:-1] &= ~inside[1:]
     heads = off[:-1][off[:-1] < off[1:]]
     tails = off[1:][off[:-1] < off[1:]] - 1
     begin[heads] = inside[heads]
+    alone = lead[kind == 2]
+    behind = alone + size[kind == 2]
+    behind = behind[behind < len(raw)]
+    begin[alone] = True
+    begin[behind] |= inside[behind]
+    end = inside.copy()
+    end[:-1] &= ~inside[1:] | begin[1:]
     end[tails] = inside[tails]
     first, last = np.flatnonzero(begin), np.flatnonzero(end) + 1
     total = np.concatenate([[np.uint64(0)], np.cumsum(_BYTE[raw] * _powers(_BASE, len(raw)), dtype=np.uint64)])
