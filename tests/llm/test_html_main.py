@@ -25,6 +25,35 @@ def test_extraction_of_one_page():
     assert hm.main_text(page, "html>body>article") == TEXT  # the page has no such path
 
 
+BODY = "<div class=main><h2>Head</h2><p>" + "Words of the page, as many as it takes. " * 5 + "</p><p>More of it.</p></div>"
+BODY_TEXT = "Head\n" + " ".join(["Words of the page, as many as it takes."] * 5) + "\nMore of it."
+
+
+@pytest.mark.parametrize("wrap", ["form id=aspnetForm", *(f"div class='{c}'" for c in (
+    "content-sidebar-wrap", "site has-sidebar", "page-with-header", "post category-social", "elementor-widget elementor-widget-text",
+    "sidebar-right", "header"))])
+def test_a_wrapper_of_the_page_is_not_boilerplate(wrap):
+    rest = ("<div class=sidebar><p>Side text, beside the page.</p></div><form><p>Log in</p></form>"
+            "<ul class=main-nav><li><a href=x>Menu</a></ul><div class='site-footer'>foot</div><div id=comments><p>"
+            + "A reader says, at length, what they think. " * 30 + "</p></div>")
+    page = f"<body><{wrap}>{BODY}{rest}</{wrap.split()[0]}></body>"
+    assert hm.main_text(page, None) == BODY_TEXT
+    assert hm.vote(page)[0].endswith("div.main")
+
+
+def test_each_widget_of_a_page_is_kept():
+    page = "<body>" + "".join(f"<div class='elementor-widget post-{i} category-social'><p>Paragraph {i}, of the page, in its own box.</p></div>"
+                              for i in range(4)) + "<div class='widget'><p>Not this one, which is boilerplate.</p></div></body>"
+    assert hm.main_text(page, "body") == "\n".join(f"Paragraph {i}, of the page, in its own box." for i in range(4))
+
+
+def test_boilerplate_beside_an_article_stays_out():
+    side = "<div class=sidebar><h1>Site</h1><p>" + "Side text, longer than the article. " * 20 + "</p></div>"
+    cards = "<div class=related><article><p>Card one, of others.</p></article><article><p>Card two.</p></article></div>"
+    page = f"<body>{side}<article><p>Short article text of the page.</p></article>{cards}</body>"
+    assert hm.main_text(page, "body") == "Short article text of the page."
+
+
 def test_host_consensus_outvotes_a_page(spark):
     """A page whose sidebar looks better than its short article follows its host."""
     side = "<div class=extra><p>" + "many words, in a box, beside the article, of this page. " * 6 + "</p></div>"

@@ -10,6 +10,11 @@ path; a page that has none, or whose url has no host, uses its own best one.
 
 Inside a container, menus, headers, footers, sidebars, notices, adverts, forms,
 scripts, styles and reader comments are left out, by tag, role or class name.
+A form, or an element that only its class or id tells, is kept all the same if
+it holds a main element, the page's only article, its only h1 while no main or
+article stands elsewhere, or, again without a main or article elsewhere, more
+than half of the page's text outside links: it wraps the page.  Names such as
+has-sidebar or content-sidebar-wrap describe a layout and tell nothing.
 Character references are decoded, white space inside a block (a line break
 included) becomes one space, empty blocks go, and blocks are joined in page
 order by one newline.  Nothing is cut or capped.
@@ -47,18 +52,20 @@ BLOCK = frozenset("""address article aside blockquote body caption center dd det
  tbody td tfoot th thead tr ul""".split())
 CONTAINER = frozenset("article blockquote body center div main section table tbody td tr".split())
 PARAGRAPH = frozenset("blockquote dd dt figcaption h1 h2 h3 h4 h5 h6 li p pre td th".split())
-DROPPED = frozenset("""aside audio button canvas datalist dialog footer form head header iframe input label menu nav noscript
+DROPPED = frozenset("""aside audio button canvas datalist dialog footer head header iframe input label menu nav noscript
  object script search select style svg template textarea title video""".split())
 DROPPED_ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog menu menubar navigation search toolbar".split())
 # An opening tag ends these open elements, up to the nearest one in the second set.
 _ENDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
          "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
          "option": ({"option"}, {"select"})}
-_BOILERPLATE = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|sponsor(?:ed)?|promos?|promoted|banner|nav|navbar|navigation|menu|sidebar|"
-    r"footer|header|masthead|comments?|disqus|cookies?|consent|gdpr|notice|popup|modal|overlay|newsletter|subscribe|"
-    r"subscription|signup|login|share|sharing|social|related|recommended|breadcrumbs?|widget|pagination|pager|toolbar|"
-    r"hidden|noprint)(?=$|[\s_-])", re.I)
+_WORDS = frozenset("""ad ads advert adverts advertisement advertisements sponsor sponsored promo promos promoted banner nav
+ navbar navigation menu sidebar footer header masthead comment comments disqus cookie cookies consent gdpr notice popup modal
+ overlay newsletter subscribe subscription signup login share sharing social related recommended breadcrumb breadcrumbs widget
+ pagination pager toolbar hidden noprint""".split())
+_COMMENTS = re.compile(r"(?:^|\s)(?:comments?|disqus)(?:[_-](?:area|body|list|section|thread|wrap|wrapper))?(?=$|\s)", re.I)
+# A name with one of these parts, or that starts with one of the second set, describes the page or a post.
+_LAYOUT, _LABELS = frozenset("has with no without".split()), frozenset("category elementor format page post tag tags type".split())
 _ARTICLE = re.compile(r"(?:^|[\s_-])(?:article|body|content|entry|main|post|story|text)(?=$|[\s_-])", re.I)
 
 
@@ -76,22 +83,69 @@ def _attributes(text: str) -> dict[str, str]:
 
 
 def _unwanted(given: dict[str, str]) -> bool:
-    """Whether attributes mark an element as boilerplate or hidden."""
+    """Whether attributes mark an element as boilerplate or hidden beyond doubt."""
     return (given.get("role", "").lower() in DROPPED_ROLES or "hidden" in given
             or given.get("aria-hidden", "").lower() == "true"
             or "display:none" in given.get("style", "").replace(" ", "").lower()
-            or bool(_BOILERPLATE.search(given.get("class", ""))) or bool(_BOILERPLATE.search(given.get("id", ""))))
+            or any(_COMMENTS.search(given.get(k, "")) for k in ("class", "id")))
+
+
+def _boilerplate(names: str) -> bool:
+    """Whether a class or id says boilerplate: as a whole name, or as a part of
+    one that does not describe a layout or label a post."""
+    for name in names.lower().split():
+        parts = re.split("[_-]+", name.strip("_-"))
+        if not _WORDS.isdisjoint(parts):
+            label = parts[0] in _LABELS and not (parts[0] in ("page", "post") and len(parts) == 2)  # post-header is none
+            if len(parts) == 1 or not (label or _LAYOUT.intersection(parts) or {"content", "sidebar"}.issubset(parts)):
+                return True
+    return False
+
+
+def _settle(root: Node, doubted: list[Node]) -> None:
+    """Leave out the doubted elements, but those that wrap the page."""
+    asked = {id(n) for n in doubted}
+    seen = [0, 0, 0, 0]  # characters outside links, main, article and h1 elements so far
+    inside: dict[int, list[int]] = {}
+    marks = {"main": 1, "article": 2, "h1": 3}
+    stack: list = [(root, iter(root.kids), False)]
+    while stack:
+        here, kids, in_link = stack[-1]
+        kid = next(kids, None)
+        if kid is None:
+            stack.pop()
+            if id(here) in asked:
+                inside[id(here)] = [b - a for a, b in zip(inside[id(here)], seen)]
+        elif isinstance(kid, str):
+            if not in_link:
+                seen[0] += len(kid.strip())
+        elif not kid.left_out:
+            if id(kid) in asked:
+                inside[id(kid)] = list(seen)
+            if kid.tag in marks:
+                seen[marks[kid.tag]] += 1
+            stack.append((kid, iter(kid.kids), in_link or kid.tag == "a"))
+    text, mains, articles, heads = seen
+    for node in doubted:
+        if id(node) in inside:
+            size, main, article, head = inside[id(node)]
+            alone = main == mains and article == articles  # no main or article elsewhere
+            node.left_out = not (main or article == articles == 1 and alone or head == heads == 1 and alone
+                                 or 2 * size > text and alone)
 
 
 def parse(page: str) -> Node:
     """Element tree of a page, whatever state its markup is in."""
     root = top = Node("#", "", None, False)
+    doubted: list[Node] = []
     at = 0
     while True:
         m = _TAG.search(page, at)
         if not m:
             if at < len(page):
                 top.kids.append(page[at:])
+            if doubted:
+                _settle(root, doubted)
             return root
         if m.start() > at:
             top.kids.append(page[at:m.start()])
@@ -121,13 +175,17 @@ def parse(page: str) -> Node:
                 node = node.up
             if last is not None:
                 top = last.up
-        names, left_out = "", tag in DROPPED
+        names, left_out, doubt = "", tag in DROPPED, tag == "form"
         if m[3] and m[3] != "/":
             given = _attributes(m[3])
             names = given.get("class", "")
-            left_out = left_out or tag not in ("html", "body") and _unwanted(given)
+            if tag not in ("html", "body"):
+                left_out = left_out or _unwanted(given)
+                doubt = doubt or _boilerplate(names) or _boilerplate(given.get("id", ""))
         node = Node(tag, names, top, left_out)
         top.kids.append(node)
+        if doubt and not left_out:
+            doubted.append(node)
         if tag in _RAW_END:
             end = _RAW_END[tag].search(page, at)
             at = end.end() if end else len(page)
