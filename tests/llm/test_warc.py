@@ -55,6 +55,22 @@ def test_garbage_between_and_truncation():
     assert not warc.salvage(b"").gaps and warc.salvage(b"junk").gaps[0][:2] == (0, 4)
 
 
+def test_gzip_payload_in_a_damaged_plain_archive():
+    packed = warc.member(b"a payload, compressed")
+    first = warc.record(0, "u0", packed, None, hashlib.sha256(packed).hexdigest())
+    found = warc.salvage(b"X" + first[1:] + b"".join(_records(4)[1:]))
+    assert _ids(found) == ["1", "2", "3"] and [g[:2] for g in found.gaps] == [(0, len(first))]
+
+
+def test_plain_records_among_gzip_members():
+    parts = [warc.member(r) if k in (0, 3) else r for k, r in enumerate(_records(6))]
+    found = warc.salvage(b"".join(parts))
+    assert _ids(found) == [str(i) for i in range(6)] and not found.gaps
+    parts[1] = b"X" + parts[1][1:]
+    found = warc.salvage(b"".join(parts))
+    assert _ids(found) == ["0", "2", "3", "4", "5"] and [g[:2] for g in found.gaps] == [(len(parts[0]), len(parts[1]))]
+
+
 def test_write_and_read_edge_cases(spark):
     long = "x" * 3_000_000
     rows = [(5, "u", long), (3, None, long), (3, None, long), (9, "u", "short"), (10, "u", "short"), (11, "u\r\nv", None),

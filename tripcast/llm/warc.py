@@ -15,8 +15,9 @@ records and gaps.  A member or record is valid when it decompresses with its
 checksum, starts with a version line, has the headers it needs and a block of
 the stated length, and its block or payload digest, where stated, agrees.
 After a failed check the reader searches for the next position that starts a
-valid record: a gzip magic in a compressed archive, a version line in a plain
-one, and also inside a member whose own records are damaged.  Everything
+valid record: the nearer of the next gzip magic and the next version line,
+whatever the file began with, and also a version line inside a member whose own
+records are damaged.  Everything
 skipped is logged as a gap with its byte range and reason; a file that ends
 inside a record is a gap up to its end.
 
@@ -189,9 +190,8 @@ def _parsed(data: bytes, at: int) -> tuple[dict, int]:
             "payload_digest": digest.removeprefix("sha256:") or None, "payload_bytes": length, "payload": payload}, end + 4
 
 
-def _plain(data: bytes, found: Found, offset: int | None = None, size: int | None = None) -> None:
-    """Records of uncompressed bytes.  With ``offset`` the bytes are those of a
-    gzip member, whose own place in the file is logged."""
+def _plain(data: bytes, found: Found, offset: int, size: int) -> None:
+    """Records of the bytes of a gzip member, whose own place in the file is logged."""
     at, bad, why = 0, None, ""
     while at < len(data):
         try:
@@ -203,12 +203,12 @@ def _plain(data: bytes, found: Found, offset: int | None = None, size: int | Non
             at = line.start() if line else len(data)
             continue
         if bad is not None:
-            found.gaps.append((bad, at - bad, why) if offset is None else (offset, size, f"in member: {why}"))
+            found.gaps.append((offset, size, f"in member: {why}"))
             bad = None
-        found.records.append(got | {"offset": at if offset is None else offset, "length": end - at if offset is None else size})
+        found.records.append(got | {"offset": offset, "length": size})
         at = end
     if bad is not None:
-        found.gaps.append((bad, len(data) - bad, why) if offset is None else (offset, size, f"in member: {why}"))
+        found.gaps.append((offset, size, f"in member: {why}"))
 
 
 _WINDOW = 1 << 16
@@ -231,28 +231,38 @@ def _member(data: bytes, at: int) -> tuple[bytes, int]:
 
 
 def salvage(data: bytes) -> Found:
-    """Every valid record of an archive and the gaps between them."""
+    """Every valid record of an archive, in gzip members or plain, and the gaps
+    between them."""
     found = Found()
-    line, magic = _VERSION_LINE.search(data), data.find(MAGIC)
-    if magic < 0 or line and line.start() < magic:
-        _plain(data, found)
-        return found
     at, bad, why = 0, None, ""
+    magic = version = -1  # the next ones behind ``at``, looked up again once passed
     while at < len(data):
         try:
-            out, end = _member(data, at)
-            if not _VERSION_LINE.search(out):
-                raise Damaged("member holds no record")
+            if data.startswith(MAGIC, at):
+                out, end = _member(data, at)
+                if not _VERSION_LINE.search(out):
+                    raise Damaged("member holds no record")
+                got = None
+            else:
+                got, end = _parsed(data, at)
         except Damaged as e:
             if bad is None:
                 bad, why = at, str(e)
-            nxt = data.find(MAGIC, at + 1)
-            at = nxt if nxt >= 0 else len(data)
+            if magic <= at:
+                magic = data.find(MAGIC, at + 1)
+                magic = magic if magic >= 0 else len(data)
+            if version <= at:
+                line = _VERSION_LINE.search(data, at + 1)
+                version = line.start() if line else len(data)
+            at = min(magic, version)
             continue
         if bad is not None:
             found.gaps.append((bad, at - bad, why))
             bad = None
-        _plain(out, found, at, end - at)
+        if got is None:
+            _plain(out, found, at, end - at)
+        else:
+            found.records.append(got | {"offset": at, "length": end - at})
         at = end
     if bad is not None:
         found.gaps.append((bad, len(data) - bad, why))
