@@ -99,7 +99,7 @@ def test_csv_sink_single_file(spark):
     write_csv(df, out, single_file=True)
     parts = [f for f in os.listdir(out) if f.startswith("part-")]
     assert len(parts) == 1
-    write_csv(df, out, single_file=True)  # overwrite is allowed
+    write_csv(df, out, single_file=True, mode="overwrite")
 
 
 def test_chart_csv_in_order(spark):
