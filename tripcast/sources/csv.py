@@ -54,12 +54,20 @@ def _typed(c: Column, dtype: T.DataType) -> Column:
 
 
 def type_columns(raw: DataFrame, fields) -> DataFrame:
-    """Typed projection: every text column to its target type.  Surrounding
-    blanks are trimmed first; empty text becomes NULL."""
-    return raw.select(*[F.col(n) if isinstance(t, T.StringType) else _typed(F.col(n), t).alias(n)
+    """Typed projection: every text column to its target type (None: as it is).
+    Surrounding blanks are trimmed first; empty text becomes NULL."""
+    return raw.select(*[F.col(n) if t is None or isinstance(t, T.StringType) else _typed(F.col(n), t).alias(n)
                         for n, t in fields])
 
 
+def faults(fields) -> dict[str, Column]:
+    """What a line can be rejected for: a column whose text does not type, or
+    ``*malformed*``, a wrong number of fields."""
+    bad = {n: _given(F.col(n)) & _typed(F.col(n), t).isNull() for n, t in fields if not isinstance(t, T.StringType)}
+    bad["*malformed*"] = F.col(CORRUPT).isNotNull()
+    return bad
+
+
 def read_trips_csv(spark: SparkSession, path: str) -> DataFrame:
     """Trip CSV -> typed trip table (see ``tripcast.schema.TRIP_FIELDS``)."""
     return type_columns(read_text_table(spark, path, TRIP_FIELDS), TRIP_FIELDS)
@@ -83,8 +91,7 @@ def reject_counts(spark: SparkSession, path: str, fields=TRIP_FIELDS) -> DataFra
     scan plus a one-row shuffle.
     """
     raw = read_text_table(spark, path, fields, whole_lines=True)
-    bad = {n: _given(F.col(n)) & _typed(F.col(n), t).isNull() for n, t in fields if not isinstance(t, T.StringType)}
-    bad["*malformed*"] = F.col(CORRUPT).isNotNull()
+    bad = faults(fields)
     any_bad = F.lit(False)
     for c in bad.values():
         any_bad = any_bad | c
