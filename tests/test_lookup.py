@@ -1,0 +1,66 @@
+"""Lookups beyond the broadcast bound, and the report that enrichment makes on the way."""
+import pytest
+from pyspark.sql import functions as F
+
+from tripcast.operators.enrich import enrich, unmatched_counts, unmatched_report
+from tripcast.operators.split_join import heavy_keys, split_join
+from tripcast.plans import catalogue as cat
+
+
+@pytest.fixture
+def skewed(spark):
+    """A third of all rows has one key; some keys are NULL or not in the lookup."""
+    facts = spark.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).when(F.col("id") % 1000 == 1, None).otherwise(F.col("id") % 2500).cast("int").alias("k"),
+        "id")
+    lookup = spark.range(2400).select(F.col("id").cast("int").alias("k"), F.concat(F.lit("n"), "id").alias("name"))
+    return facts, lookup
+
+
+def test_split_join_gives_the_join(skewed):
+    facts, lookup = skewed
+    assert heavy_keys(facts, "k") == [7]
+    for how in ("inner", "left"):
+        got = split_join(facts, lookup, "k", how)
+        assert got.columns == ["k", "id", "name"]
+        assert sorted(map(str, got.collect())) == sorted(map(str, facts.join(lookup, "k", how).collect()))
+    with pytest.raises(ValueError):
+        split_join(facts, lookup, "k", "full")
+    assert heavy_keys(facts.filter("k is null"), "k") == [] and heavy_keys(facts.limit(0), "k") == []
+
+
+def test_no_task_holds_the_heavy_key(spark, skewed):
+    facts, lookup = skewed
+    wide = lookup.filter("k <> 7")  # what is left is shuffled
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = split_join(facts, lookup, "k")
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("SortMergeJoin") == 1 and plan.count("BroadcastHashJoin") == 1
+        rest = facts.filter("k <> 7").join(wide, "k").groupBy(F.spark_partition_id()).count().collect()
+        plain = facts.join(lookup, "k").groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    share = lambda rows: max(r["count"] for r in rows) / (sum(r["count"] for r in rows) / 4)  # noqa: E731  of four tasks
+    assert share(rest) < 1.3 < share(plain)
+
+
+def test_enrich_beyond_the_broadcast_bound(spark, make_trips, zones):
+    from tests.conftest import trip
+    trips = make_trips([trip(pu=1, do=2)] * 40 + [trip(pu=p, do=d) for p in (2, 3, 999, None) for d in (4, 5, None)])
+    want = sorted(map(str, enrich(trips, zones).collect()))
+    assert sorted(map(str, enrich(trips, zones, max_broadcast_rows=2, split=True).collect())) == want
+    routes = cat.q01_routes(trips, zones, max_broadcast_rows=2)
+    assert sorted(map(str, routes.collect())) == sorted(map(str, cat.q01_routes(trips, zones).collect()))
+
+
+def test_report_of_the_pass_itself(spark, make_trips, zones, tmp_path):
+    from tests.conftest import trip
+    trips = make_trips([trip(pu=1, do=2)] * 5 + [trip(pu=999, do=2)] * 4 + [trip(pu=998, do=None)] + [trip(pu=None, do=777)] * 2)
+    out, seen = cat.q01_reported(trips, zones)
+    out.write.parquet(str(tmp_path / "out"))
+    got = unmatched_report(seen)
+    want = unmatched_counts(trips, zones).first().asDict()
+    assert {k: got[k] for k in want} == want
+    assert got["pickup_unmatched_ids"] == [(999, 4), (998, 1)] and got["dropoff_unmatched_ids"] == [(777, 2)]
+    assert sorted(map(str, spark.read.parquet(str(tmp_path / "out")).collect())) == sorted(map(str, cat.q01_enriched(trips, zones).collect()))

@@ -1,0 +1,81 @@
+"""The trip summary: the catalogue gives the same rows from it as from trips."""
+import glob
+import os
+import random
+
+import pytest
+
+from tests.conftest import trip
+from tripcast.__main__ import CATALOGUE, TRIPS_ONLY
+from tripcast.operators.summary import read_summary, refresh, summarise, with_date
+from tripcast.schema import TRIP_SCHEMA
+from tripcast.sources.parquet import read_trips_parquet, write_trips_parquet
+
+JAN, FEB, MAY = 1672531200, 1675209600, 1684713600
+
+
+def _rows(n=400, seed=1, days=(JAN, JAN + 86400, FEB, MAY, None)):
+    rng = random.Random(seed)
+    return [trip(business=rng.choice(["Uber", "Lyft", "Lyft", None]), pu=rng.choice([1, 2, 3, 4, 5, 264, 999, None]),
+                 do=rng.choice([1, 2, 3, 6, 265, 998, None]), length=rng.choice([None, rng.uniform(0, 30)]),
+                 tod=rng.choice(["morning", "evening", "night", None]), date=rng.choice(days),
+                 fare=f"{rng.uniform(0, 90):.2f}", pay=rng.choice([None, f"{rng.uniform(0, 80):.2f}"]),
+                 profit=f"{rng.uniform(-5, 20):.2f}", per_mile=rng.choice([None, rng.uniform(0, 9)])) for _ in range(n)]
+
+
+NAMES = [n for n, (_, needs) in CATALOGUE.items() if "t" in needs and n not in TRIPS_ONLY]
+
+
+@pytest.fixture(scope="module")
+def both(spark, tmp_path_factory):
+    out = str(tmp_path_factory.mktemp("summary"))
+    write_trips_parquet(spark.createDataFrame(_rows(), TRIP_SCHEMA), f"{out}/trips")
+    refresh(read_trips_parquet(spark, f"{out}/trips"), f"{out}/summary")
+    return read_trips_parquet(spark, f"{out}/trips"), read_summary(spark, f"{out}/summary")
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_same_rows_from_trips_and_from_the_summary(zones, both, name):
+    fn, needs = CATALOGUE[name]
+    trips, summary = both
+    params = {"pair": ("Queens", "Manhattan")} if name.startswith("q15") else {}
+    got, want = [[tuple(r) for r in fn(x, *[zones] * ("z" in needs), **params).collect()] for x in (summary, trips)]
+    assert sorted(got, key=str) == sorted(want, key=str) and want
+
+
+def test_summary_is_smaller_and_can_be_folded_again(both):
+    trips, summary = both
+    assert summary.count() < trips.count()
+    again = with_date(summarise(summary.unionByName(summary)))
+    doubled = {r[0]: r[1] for r in again.groupBy("time_of_day").sum("n_trips").collect()}
+    assert doubled == {r[0]: 2 * r[1] for r in summary.groupBy("time_of_day").sum("n_trips").collect()}
+
+
+def test_refresh_touches_the_months_named_only(spark, tmp_path):
+    out, summary = str(tmp_path / "trips"), str(tmp_path / "summary")
+    load = lambda rows, mode: write_trips_parquet(spark.createDataFrame(rows, TRIP_SCHEMA), out, mode)
+    load(_rows(), "errorifexists")
+    refresh(read_trips_parquet(spark, out), summary)
+    files = lambda: {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{summary}/year_month=*/*.parquet")}
+    before = files()
+    load(_rows(50, seed=2, days=(FEB,)), "replace-months")
+    spark.catalog.refreshByPath(out)
+    refresh(read_trips_parquet(spark, out), summary, [202302])
+    after = files()
+    kept = {f for f in before if "202302" not in f}
+    assert kept and all(after.get(f) == before[f] for f in kept)
+    assert not {f for f in after if "202302" in f} & set(before)
+    spark.catalog.refreshByPath(summary)
+    counts = {r[0]: r[1] for r in read_summary(spark, summary).groupBy("year_month").sum("n_trips").collect()}
+    assert counts == {r[0]: r[1] for r in read_trips_parquet(spark, out).groupBy("year_month").count().collect()}
+    assert counts[202302] == 50
+
+
+def test_a_month_without_trips_loses_its_rows(spark, tmp_path):
+    summary = str(tmp_path / "summary")
+    trips = spark.createDataFrame(_rows(), TRIP_SCHEMA)
+    refresh(trips, summary)
+    rest = trips.filter(f"date <> {FEB} and date is not null")
+    refresh(rest, summary, [202302, None])
+    spark.catalog.refreshByPath(summary)
+    assert {r[0] for r in read_summary(spark, summary).select("year_month").distinct().collect()} == {202301, 202305}

@@ -2,17 +2,22 @@
 
     spark-submit --py-files tripcast.zip tripcast/__main__.py ingest \
         --trips <trip csv> --out <parquet dir> \
-        [--mode errorifexists|append|replace-months|overwrite]
+        [--mode errorifexists|append|replace-months|overwrite] [--summary <parquet dir>]
     spark-submit --py-files tripcast.zip tripcast/__main__.py rejects --trips <trip csv>
+    spark-submit --py-files tripcast.zip tripcast/__main__.py quarantine --trips <parquet dir> --out <dir>
     spark-submit --py-files tripcast.zip tripcast/__main__.py run q05_top_pickup_boroughs \
         --trips <csv or parquet> --zones <zone csv> [--trips-format csv|parquet]
-        [--out <dir>] [--format csv|parquet|chart|per-business] [--single-file] [--show N]
+        [--summary <parquet dir>] [--out <dir>] [--mode errorifexists|overwrite]
+        [--format csv|parquet|chart|per-business] [--single-file] [--show N]
 
 (or ``python -m tripcast ...`` locally).  ``--trips`` may be the raw CSV
 (typed on the fly) or the Parquet table written by ``ingest``; which of them it
 is, is seen from the files unless ``--trips-format`` says so.  Queries use the
-source analyses' default parameters.  ``ingest`` prints the reject counts.
-Results are written by all tasks; ``--single-file`` and the chart formats fold
+source analyses' default parameters.  ``ingest`` scans the CSV once, prints the
+reject counts, keeps rejected lines for ``quarantine`` and, with ``--summary``,
+brings the trip summary up to date for the months it loaded; ``run --summary``
+answers from the summary (queries over single trips need ``--trips``).
+Results are written by all tasks and appear under their name when complete; ``--single-file`` and the chart formats fold
 a small aggregate into one file (per business).
 """
 
@@ -73,6 +78,9 @@ CATALOGUE = {
     "q22_derived_metric_check": (cat.q22_derived_metric_check, "t"),
 }
 QUERY_NAMES = list(CATALOGUE)
+# Queries about single trips or columns that a trip summary does not keep.
+TRIPS_ONLY = {"q01_enriched", "q01_enriched_sample", "q11_january_daily_wait", "q12_wait_anomaly_days", "q15_borough_pair_trips",
+              "q15_borough_pair_sample", "q17_edges", "q21_time_of_day_rule", "q22_derived_metric_check"}
 # Charts of a per-business-month result: query -> measure.
 CHARTS = {"q02_trips_per_business_month": "trip_count", "q03_profit_per_business_month": "total_profit",
           "q04_driver_pay_per_business_month": "total_driver_pay"}
@@ -127,13 +135,20 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     ing.add_argument("--trips", required=True)
     ing.add_argument("--out", required=True)
     ing.add_argument("--mode", choices=MODES, default="errorifexists")
+    ing.add_argument("--spread", type=int, help="re-balance into this many tasks before writing")
+    ing.add_argument("--summary", help="trip summary to bring up to date for the months loaded")
     rej = sub.add_parser("rejects", help="per column: non-empty values that fail to type")
     rej.add_argument("--trips", required=True)
+    qua = sub.add_parser("quarantine", help="the rejected lines of an ingested table, as text")
+    qua.add_argument("--trips", required=True)
+    qua.add_argument("--out", required=True)
     run = sub.add_parser("run", help="run one catalogue query")
     run.add_argument("query", choices=QUERY_NAMES)
-    run.add_argument("--trips", required=True)
+    run.add_argument("--trips")
+    run.add_argument("--summary", help="trip summary to read instead of trips")
     run.add_argument("--zones", required=True)
     run.add_argument("--out")
+    run.add_argument("--mode", choices=["errorifexists", "overwrite"], default="errorifexists", help="if --out exists")
     run.add_argument("--trips-format", choices=["csv", "parquet"])
     run.add_argument("--format", choices=["csv", "parquet", "chart", "per-business"], default="csv")
     run.add_argument("--single-file", action="store_true", help="fold a small CSV result into one file")
@@ -150,29 +165,56 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         reject_counts(spark, args.trips).show(50, truncate=False)
         return 0
     if args.cmd == "ingest":
-        from tripcast.sources.csv import read_trips_csv, reject_counts
-        from tripcast.sources.parquet import write_trips_parquet
-        write_trips_parquet(read_trips_csv(spark, args.trips), args.out, args.mode)
-        reject_counts(spark, args.trips).show(50, truncate=False)
+        from tripcast.operators.summary import refresh
+        from tripcast.sources.files import folder_exists
+        from tripcast.sources.ingest import ingest
+        from tripcast.sources.parquet import read_trips_parquet
+        report = ingest(spark, args.trips, args.out, args.mode, args.spread)
+        report.table(spark).show(50, truncate=False)
+        if args.summary:
+            # A new or overwritten table, or a first summary: all months; else those of this load.
+            whole = args.mode in ("errorifexists", "overwrite") or not folder_exists(spark, args.summary)
+            refresh(read_trips_parquet(spark, args.out), args.summary, None if whole else report.months)
+        return 0
+    if args.cmd == "quarantine":
+        from tripcast.sources.files import write_whole
+        from tripcast.sources.parquet import read_quarantine
+        lines = read_quarantine(spark, args.trips).select("rejected_line")
+        write_whole(spark, args.out, lambda p: lines.write.text(p))
         return 0
+    if bool(args.trips) == bool(args.summary):
+        ap.error("run takes either --trips or --summary")
+    if args.summary and args.query in TRIPS_ONLY:
+        ap.error(f"{args.query} needs --trips")
 
     from tripcast.sources.csv import read_zones_csv
     from tripcast.sources.sinks import write_chart_csv, write_csv, write_parquet, write_per_business_csv
     params = dict(p.split("=", 1) for p in args.param)
-    df = build_query(args.query, _load_trips(spark, args.trips, args.trips_format),
-                     read_zones_csv(spark, args.zones), {k: _value(v) for k, v in params.items()})
+    if args.summary:
+        from tripcast.operators.summary import read_summary
+        trips = read_summary(spark, args.summary)
+    else:
+        trips = _load_trips(spark, args.trips, args.trips_format)
+    df = build_query(args.query, trips, read_zones_csv(spark, args.zones), {k: _value(v) for k, v in params.items()})
+    seen = None
+    if args.query == "q01_enriched" and args.out:  # what finds no zone is counted while the rows are written
+        df, seen = cat.q01_reported(trips, read_zones_csv(spark, args.zones))
     if args.out:
         if args.format in ("chart", "per-business"):
             if args.query not in CHARTS:
                 ap.error(f"{args.format} files are made of {', '.join(CHARTS)}")
             if args.format == "chart":
-                write_chart_csv(df, args.out, ["business", "month"])
+                write_chart_csv(df, args.out, ["business", "month"], mode=args.mode)
             else:
-                write_per_business_csv(df, args.out, CHARTS[args.query])
+                write_per_business_csv(df, args.out, CHARTS[args.query], mode=args.mode)
         elif args.format == "csv":
-            write_csv(df, args.out, single_file=args.single_file)
+            write_csv(df, args.out, single_file=args.single_file, mode=args.mode)
         else:
-            write_parquet(df, args.out)
+            write_parquet(df, args.out, mode=args.mode)
+    if seen is not None:
+        from tripcast.operators.enrich import unmatched_report
+        for name, value in unmatched_report(seen).items():
+            print(f"{name}: {value}")
     if args.show:
         df.show(args.show, truncate=False)
     return 0

@@ -39,6 +39,12 @@ def year_month_of(c: str | Column = "date") -> Column:
     return F.year(d) * 100 + F.month(d)
 
 
+def month_start(year_month: str | Column) -> Column:
+    """Year*100 + month -> Unix seconds of the month's first day."""
+    m = _c(year_month).cast("int")
+    return F.unix_date(F.make_date(F.floor(m / 100).cast("int"), F.pmod(m, F.lit(100)), F.lit(1))).cast("long") * SECONDS_PER_DAY
+
+
 def day_of(c: str | Column = "date") -> Column:
     """Day of month 1..31."""
     return F.dayofmonth(trip_day(c))

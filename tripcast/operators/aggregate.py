@@ -13,9 +13,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tripcast.functions import measures as ms
 from tripcast.functions.calendar import day_of, month_of, year_month_of
+from tripcast.functions.exact import exact_double_avg
 from tripcast.functions.labels import business_month_label
-from tripcast.functions.money import exact_avg, exact_sum, safe_ratio
+from tripcast.functions.money import safe_ratio
 from tripcast.sources.parquet import PARTITION_COLUMN
 
 
@@ -38,12 +40,10 @@ def monthly_measures(trips: DataFrame, by_year: bool = False) -> DataFrame:
     total_profit, total_driver_pay.  ``by_year`` uses yyyymm instead of the
     bare month number (safe for data spanning several years)."""
     month = (year_month_of("date") if by_year else month_of("date")).cast("int")
-    return (trips.select("business", month.alias("month"), "rideshare_profit",
-                         "driver_total_pay")
-            .groupBy("business", "month")
-            .agg(F.count(F.lit(1)).alias("trip_count"),
-                 exact_sum("rideshare_profit").alias("total_profit"),
-                 exact_sum("driver_total_pay").alias("total_driver_pay"))
+    return (trips.groupBy("business", month.alias("month"))
+            .agg(ms.trips_in(trips).alias("trip_count"),
+                 ms.money_sum(trips, "rideshare_profit").alias("total_profit"),
+                 ms.money_sum(trips, "driver_total_pay").alias("total_driver_pay"))
             .select("business", "month",
                     business_month_label("business", "month").alias("business_date"),
                     "trip_count", "total_profit", "total_driver_pay"))
@@ -52,11 +52,11 @@ def monthly_measures(trips: DataFrame, by_year: bool = False) -> DataFrame:
 def averages_by(trips: DataFrame, key: str = "time_of_day") -> DataFrame:
     """Per ``key``: average driver pay, average trip length and their ratio
     (average earned per mile = avg(pay) / avg(length), a ratio of averages),
-    all from one aggregation instead of two aggregates joined together.  Pay is
-    money and averaged exactly, length is averaged as the double it is."""
+    all from one aggregation instead of two aggregates joined together.  Both
+    averages have exact numerators, whatever the partitioning."""
     return (trips.groupBy(key)
-            .agg(exact_avg("driver_total_pay").alias("average_drive_total_pay"),
-                 F.avg("trip_length").alias("average_trip_length"))
+            .agg(ms.money_avg(trips, "driver_total_pay").alias("average_drive_total_pay"),
+                 ms.double_avg(trips, "trip_length").alias("average_trip_length"))
             .withColumn("average_earning_per_mile",
                         safe_ratio(F.col("average_drive_total_pay"),
                                    F.col("average_trip_length"))))
@@ -74,7 +74,7 @@ def daily_average(trips: DataFrame, value: str = "request_to_pickup",
                       F.col(value).alias("_v"))
     if month is not None:
         df = df.filter(F.col("_m") == month)
-    return df.groupBy("day").agg(F.avg("_v").alias(name),
+    return df.groupBy("day").agg(exact_double_avg("_v").alias(name),
                                  F.count(F.col("_v")).alias("trip_count"))
 
 

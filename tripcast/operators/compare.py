@@ -13,6 +13,8 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tripcast.functions.measures import trips_where
+
 
 def side_by_side_counts(df: DataFrame, keys: Iterable[str | Column], category: str,
                         columns: Mapping[str, str],
@@ -20,7 +22,7 @@ def side_by_side_counts(df: DataFrame, keys: Iterable[str | Column], category: s
     """``columns`` maps category value -> output column name.  ``total``
     counts only the listed categories."""
     cat = F.col(category)
-    aggs = [F.count_if(cat == F.lit(v)).alias(name) for v, name in columns.items()]
+    aggs = [trips_where(df, cat == F.lit(v)).alias(name) for v, name in columns.items()]
     out = df.groupBy(*keys).agg(*aggs)
     tot = None
     for name in columns.values():

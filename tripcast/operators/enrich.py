@@ -16,10 +16,12 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tripcast.operators.broadcast import DEFAULT_MAX_BROADCAST_ROWS, checked_broadcast
+from tripcast.functions.measures import trips_in
+from tripcast.operators.broadcast import DEFAULT_MAX_BROADCAST_ROWS, checked_broadcast, fits_broadcast
+from tripcast.operators.split_join import heavy_keys, split_join
 from tripcast.schema import ROLE_KEYS, ZONE_ATTRS
 
 
@@ -40,25 +42,83 @@ def enrich(trips: DataFrame, zones: DataFrame,
            roles: Iterable[str] = ("Pickup", "Dropoff"),
            attrs: Iterable[str] = ZONE_ATTRS,
            how: str = "inner",
-           max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+           max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS, split: bool = False) -> DataFrame:
     """Add ``<Role>_<attr>`` columns for every role, keeping the trip columns
     first and in their original order.
 
     ``how='inner'`` drops trips whose key is NULL or unknown (the source
     semantics); use :func:`unmatched_counts` to report how many.  A lookup
-    above ``max_broadcast_rows`` is joined by a shuffle (sort-merge) instead.
+    above ``max_broadcast_rows`` is joined by a shuffle (sort-merge) instead,
+    with ``split`` after its heavy ids were taken out (``operators.split_join``).
     """
     roles = list(roles)
     attrs = list(attrs)
     side = lookup_side(zones, max_broadcast_rows)
     out = trips
+    split = split and not fits_broadcast(zones, max_broadcast_rows)
     for role in roles:
-        out = out.join(zone_role(side, role, attrs), on=ROLE_KEYS[role], how=how)
+        if split:
+            out = split_join(out, zone_role(zones, role, attrs), ROLE_KEYS[role], how, heavy_keys(trips, ROLE_KEYS[role]))
+        else:
+            out = out.join(zone_role(side, role, attrs), on=ROLE_KEYS[role], how=how)
     trip_cols = [c for c in trips.columns]
     added = [f"{r}_{a}" for r in roles for a in attrs]
     return out.select(*trip_cols, *added)
 
 
+def enrich_reported(trips: DataFrame, zones: DataFrame, attrs: Iterable[str] = ZONE_ATTRS,
+                    commonest: int = 10) -> tuple[DataFrame, Observation]:
+    """:func:`enrich`, and an observation for :func:`unmatched_report`, filled by the
+    action that uses the rows: what is not matched is counted on the way, the
+    commonest ids by a frequent-items sketch."""
+    hits = {role: f"_{role}_hit" for role in ROLE_KEYS}
+    out = trips
+    for role, key in ROLE_KEYS.items():
+        side = zone_role(lookup_side(zones), role, attrs).withColumn(hits[role], F.lit(True))
+        out = out.join(side, key, "left")
+    missing = {role: F.col(hit).isNull() for role, hit in hits.items()}
+    seen = Observation()
+    ids = [F.expr(f"approx_top_k(CASE WHEN {hits[role]} IS NULL THEN {key} END, {commonest + 1})")
+           .alias(f"{role.lower()}_unmatched_ids") for role, key in ROLE_KEYS.items()]
+    out = out.observe(seen, F.count(F.lit(1)).alias("trips"), F.count_if(missing["Pickup"]).alias("pickup_unmatched"),
+                      F.count_if(missing["Dropoff"]).alias("dropoff_unmatched"),
+                      F.count_if(~missing["Pickup"] & ~missing["Dropoff"]).alias("enriched_rows"), *ids)
+    added = [f"{r}_{a}" for r in ROLE_KEYS for a in attrs]
+    return out.filter(~missing["Pickup"] & ~missing["Dropoff"]).select(*trips.columns, *added), seen
+
+
+def unmatched_report(seen: Observation) -> dict:
+    """trips, pickup_unmatched, dropoff_unmatched and enriched_rows, as
+    :func:`unmatched_counts` counts them, and pickup_unmatched_ids and
+    dropoff_unmatched_ids, the commonest (id, trips) that have no zone."""
+    got = dict(seen.get)
+    for role in ROLE_KEYS:
+        name = f"{role.lower()}_unmatched_ids"
+        got[name] = [(r["item"], r["count"]) for r in got[name] or () if r["item"] is not None]  # no item: matched, or no id
+    return got
+
+
+def id_ranges(zones: DataFrame, condition: Column, key: str, most: int = 64) -> Column | None:
+    """Condition that the trip column ``key`` lies in one of at most ``most`` ranges
+    that cover the ids of the zones with ``condition``, for the scan to skip by.
+    It lets ids between them through, so a join still has to follow.  None for
+    a lookup that is not proven small."""
+    if not fits_broadcast(zones):
+        return None
+    ids = sorted(r[0] for r in zones.filter(condition).select(F.col("LocationID").cast("int")).dropna().distinct().collect())
+    if not ids:
+        return F.lit(False)
+    # Cut at the widest gaps between neighbours.
+    gaps = sorted((a - b, i) for i, (a, b) in enumerate(zip(ids, ids[1:])) if b - a > 1)[:most - 1]
+    cuts = sorted(i for _, i in gaps)
+    out = None
+    for lo, hi in zip([0, *(i + 1 for i in cuts)], [*cuts, len(ids) - 1]):
+        c = F.col(key)
+        one = c == ids[lo] if lo == hi else (c >= ids[lo]) & (c <= ids[hi])
+        out = one if out is None else out | one
+    return out
+
+
 def unmatched_counts(trips: DataFrame, zones: DataFrame) -> DataFrame:
     """One row: trips, and trips whose pickup / dropoff key finds no zone
     (NULL keys included).  These are the rows an inner enrichment drops.
@@ -67,7 +127,7 @@ def unmatched_counts(trips: DataFrame, zones: DataFrame) -> DataFrame:
     aggregation), so the lookups are joined to at most (zones+1)^2 rows."""
     side = lookup_side(zones.select("LocationID"))
     keyed = (trips.groupBy("pickup_location", "dropoff_location")
-             .agg(F.count(F.lit(1)).alias("_n")))
+             .agg(trips_in(trips).alias("_n")))
     for role, key in ROLE_KEYS.items():
         ids = side.select(F.col("LocationID").cast("int").alias(key),
                           F.lit(True).alias(f"_{role}_hit"))

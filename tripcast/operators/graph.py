@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tripcast.functions.measures import trips_in
 from tripcast.operators.broadcast import checked_broadcast
 from tripcast.schema import VERTEX_COLUMNS
 
@@ -36,16 +37,17 @@ def trip_edges(trips: DataFrame) -> DataFrame:
                         F.col("dropoff_location").cast("int").alias("dst"))
 
 
-def collapse_edges(edges: DataFrame) -> DataFrame:
-    """Parallel edges -> one edge with ``weight`` = multiplicity."""
-    return edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("weight"))
+def trip_edge_weights(trips: DataFrame) -> DataFrame:
+    """Parallel edges of trips, or of a trip summary, as one edge with ``weight`` = multiplicity."""
+    return trips.groupBy(F.col("pickup_location").cast("int").alias("src"),
+                         F.col("dropoff_location").cast("int").alias("dst")).agg(trips_in(trips).alias("weight"))
 
 
 def build_graph(zones: DataFrame, trips: DataFrame) -> Graph:
     """Vertices from the lookup, weighted edges from the trips.  Edges whose
     endpoint is not a vertex are kept here; operators that need both
     endpoints drop them by their joins (see :func:`dangling_edge_count`)."""
-    return Graph(vertices_from_zones(zones), collapse_edges(trip_edges(trips)))
+    return Graph(vertices_from_zones(zones), trip_edge_weights(trips))
 
 
 def _vertex_side(vertices: DataFrame, prefix: str) -> DataFrame:

@@ -9,23 +9,31 @@ row-count probes of lookups before they are broadcast, and the rounds of
 Ordering: limited queries order by the metric and then by the key so ties
 always resolve the same way; Q02-Q06, Q08, Q09, Q11 and Q12 return their rows in the
 order the source reports them.  The sort is on the aggregate, never on trips.
+
+Where a query counts, sums or averages, ``trips`` may also be a trip summary
+(``tripcast.operators.summary``); the rows are the same.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
+from tripcast.functions import measures as ms
 from tripcast.functions.calendar import iso_date, month_of, time_of_day_class
+from tripcast.functions.exact import merged
 from tripcast.functions.labels import route_label
 from tripcast.operators import aggregate as agg
 from tripcast.operators import graph as gr
+from tripcast.operators.broadcast import DEFAULT_MAX_BROADCAST_ROWS
 from tripcast.operators.compare import side_by_side_counts
-from tripcast.operators.enrich import enrich, unmatched_counts
+from tripcast.operators.enrich import enrich, enrich_reported, id_ranges, unmatched_counts
 from tripcast.operators.pagerank import DEFAULT_RESET, DEFAULT_TOL, pagerank
 from tripcast.operators.quality import derived_metric_check
+from tripcast.operators.summary import KEYS
 from tripcast.operators.topk import sample_rows, top_k, top_k_per_group
-from tripcast.schema import ENRICHED_SCHEMA, assert_schema
+from tripcast.schema import ENRICHED_SCHEMA, ROLE_KEYS, assert_schema
+from tripcast.sources.parquet import PARTITION_COLUMN
 
 # Default parameters of the source analyses.
 TOP_BOROUGHS_PER_MONTH = 5
@@ -46,7 +54,7 @@ SAMPLE_KEY = ["business", "pickup_location", "dropoff_location", "date", "passen
 
 def q01_enriched(trips: DataFrame, zones: DataFrame) -> DataFrame:
     """Trips with pickup and dropoff zone attributes, date as yyyy-MM-dd."""
-    out = enrich(trips, zones).withColumn("date", iso_date("date"))
+    out = enrich(trips, zones, split=True).withColumn("date", iso_date("date"))
     assert_schema(out, ENRICHED_SCHEMA)
     return out
 
@@ -56,11 +64,36 @@ def q01_enriched_sample(trips: DataFrame, zones: DataFrame, n: int = SAMPLE_ROWS
     return sample_rows(q01_enriched(trips, zones), n, SAMPLE_KEY)
 
 
+def q01_reported(trips: DataFrame, zones: DataFrame) -> tuple[DataFrame, Observation]:
+    """:func:`q01_enriched` and the observation that holds, once the rows have been
+    written, what :func:`q01_row_count` reports and the commonest unmatched ids."""
+    out, seen = enrich_reported(trips, zones)
+    return out.withColumn("date", iso_date("date")), seen
+
+
+def q01_routes(trips: DataFrame, zones: DataFrame, max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """Business, zones and route of every trip, also where the lookup is too large
+    to be broadcast: ids with many trips are joined map-side, the rest by a shuffle."""
+    out = enrich(trips, zones, attrs=["Zone"], max_broadcast_rows=max_broadcast_rows, split=True)
+    return out.select("business", "Pickup_Zone", "Dropoff_Zone", route_label("Pickup_Zone", "Dropoff_Zone").alias("Route"))
+
+
 def q01_row_count(trips: DataFrame, zones: DataFrame) -> DataFrame:
     """Rows of the enriched table and the rows the inner joins drop."""
     return unmatched_counts(trips, zones)
 
 
+# --- The stored summary --------------------------------------------------------
+
+def trip_summary(summary: DataFrame) -> DataFrame:
+    """A trip summary with its partial sums put together."""
+    money = {c: ms.part(c, "sum") for c in ("driver_total_pay", "rideshare_profit")}
+    length = merged(*[F.col(ms.part("trip_length", what)) for what in ("whole", "fraction", "odd")])
+    return summary.select(PARTITION_COLUMN, *KEYS, F.col(ms.TRIPS).alias("trip_count"),
+                          *[F.col(c).cast("double").alias(f"total_{name}") for name, c in money.items()],
+                          length.alias("total_trip_length"))
+
+
 # --- Q02-Q04: per business and month ----------------------------------------
 
 def monthly_summary(trips: DataFrame, by_year: bool = False) -> DataFrame:
@@ -102,8 +135,8 @@ def _names_after_ids(pre: DataFrame, zones: DataFrame, roles: list[str], attrs:
 def _top_boroughs(trips: DataFrame, zones: DataFrame, role: str, k: int) -> DataFrame:
     col = f"{role}_Borough"
     key = "pickup_location" if role == "Pickup" else "dropoff_location"
-    pre = (trips.select(key, month_of("date").cast("int").alias("Month"))
-           .groupBy(key, "Month").agg(F.count(F.lit(1)).alias("n")))
+    pre = (trips.groupBy(key, month_of("date").cast("int").alias("Month"))
+           .agg(ms.trips_in(trips).alias("n")))
     counts = _names_after_ids(pre, zones, [role], ["Borough"], [col, "Month"],
                               {"trip_count": "n"}, cluster_by="Month")
     best = [F.desc_nulls_last("trip_count"), F.asc_nulls_last(col)]
@@ -127,8 +160,7 @@ def borough_routes_by_pay(trips: DataFrame, zones: DataFrame) -> DataFrame:
     """Route ('A to B' by borough) -> total driver pay, all routes.  Pay is
     summed exactly as DECIMAL per zone pair, then per route, then turned
     into a double once."""
-    pre = trips.groupBy(*_PAIR).agg(
-        F.sum(F.col("driver_total_pay").cast("decimal(20,2)")).alias("pay"))
+    pre = trips.groupBy(*_PAIR).agg(ms.money_total(trips, "driver_total_pay").alias("pay"))
     named = enrich(pre, zones, attrs=["Borough"])
     return (named.select(route_label("Pickup_Borough", "Dropoff_Borough").alias("Route"), "pay")
             .groupBy("Route").agg(F.sum("pay").cast("double").alias("total_profit")))
@@ -143,7 +175,7 @@ def q07_top_routes_by_pay(trips: DataFrame, zones: DataFrame,
 # --- Q08-Q10: averages by time of day -------------------------------------------
 
 def time_of_day_averages(trips: DataFrame) -> DataFrame:
-    return agg.averages_by(trips.select("time_of_day", "driver_total_pay", "trip_length"))
+    return agg.averages_by(trips)
 
 
 def q08_avg_pay_by_time_of_day(trips: DataFrame) -> DataFrame:
@@ -162,7 +194,7 @@ def q10_earning_per_mile(trips: DataFrame) -> DataFrame:
 
 def q10_avg_dollars_per_mile(trips: DataFrame) -> DataFrame:
     """Average of the per-trip rate, the other way to look at Q10."""
-    return trips.groupBy("time_of_day").agg(F.avg("dollars_per_mile").alias("average_dollars_per_mile"))
+    return trips.groupBy("time_of_day").agg(ms.double_avg(trips, "dollars_per_mile").alias("average_dollars_per_mile"))
 
 
 # --- Q11-Q12: waiting times -------------------------------------------------
@@ -184,7 +216,7 @@ def q12_wait_anomaly_days(requests: DataFrame, threshold: float = WAIT_THRESHOLD
 def pickups_by_borough_and_time(trips: DataFrame, zones: DataFrame) -> DataFrame:
     """Trips per (Pickup_Borough, time_of_day): counted per pickup id first,
     names attached to the counts."""
-    pre = trips.groupBy("pickup_location", "time_of_day").agg(F.count(F.lit(1)).alias("n"))
+    pre = trips.groupBy("pickup_location", "time_of_day").agg(ms.trips_in(trips).alias("n"))
     return _names_after_ids(pre, zones, ["Pickup"], ["Borough"],
                             ["Pickup_Borough", "time_of_day"], {"trip_count": "n"})
 
@@ -199,10 +231,10 @@ def q13_low_volume_pickups(trips: DataFrame, zones: DataFrame,
 
 def q13_below_average_pickups(trips: DataFrame, zones: DataFrame) -> DataFrame:
     """(Pickup_Borough, time_of_day) groups with fewer trips than the mean
-    group, a low-volume bound that follows the data's size."""
-    counts = pickups_by_borough_and_time(trips, zones)
-    mean = counts.agg(F.avg("trip_count")).scalar()
-    return counts.filter((F.col("trip_count") > 0) & (F.col("trip_count") < mean))
+    group, a low-volume bound that follows the data's size.  The mean is a window
+    over the few groups, so trips are derived and counted once."""
+    counts = pickups_by_borough_and_time(trips, zones).withColumn("mean", F.avg("trip_count").over(Window.partitionBy(F.lit(0))))
+    return counts.filter((F.col("trip_count") > 0) & (F.col("trip_count") < F.col("mean"))).drop("mean")
 
 
 def q14_pickups_at_time_of_day(trips: DataFrame, zones: DataFrame,
@@ -216,10 +248,22 @@ def q15_borough_pair_trips(trips: DataFrame, zones: DataFrame,
                            pair: tuple[str, str] = BOROUGH_PAIR) -> DataFrame:
     """Trips from borough pair[0] to borough pair[1]:
     Pickup_Borough, Dropoff_Borough, Pickup_Zone (one row per trip)."""
-    return _borough_pair(trips.select(*_PAIR), zones, pair).select(
+    return _borough_pair(_with_pair_ranges(trips, zones, pair).select(*_PAIR), zones, pair).select(
         "Pickup_Borough", "Dropoff_Borough", "Pickup_Zone")
 
 
+def _with_pair_ranges(trips: DataFrame, zones: DataFrame, pair: tuple[str, str]) -> DataFrame:
+    """Stored trips, restricted to the id ranges of the two boroughs: the scan
+    skips the row groups that hold none of them (``sources.parquet`` keeps
+    a month's rows in the order of a space-filling curve)."""
+    if PARTITION_COLUMN not in trips.columns:
+        return trips
+    for (role, key), borough in zip(ROLE_KEYS.items(), pair):
+        within = id_ranges(zones, F.col("Borough") == borough, key)
+        trips = trips if within is None else trips.filter(within)
+    return trips
+
+
 def _borough_pair(trips: DataFrame, zones: DataFrame, pair: tuple[str, str]) -> DataFrame:
     return enrich(trips, zones, attrs=["Borough", "Zone"]).filter(
         (F.col("Pickup_Borough") == pair[0]) & (F.col("Dropoff_Borough") == pair[1]))
@@ -230,14 +274,14 @@ def q15_borough_pair_sample(trips: DataFrame, zones: DataFrame,
                             n: int = SAMPLE_ROWS) -> DataFrame:
     """``n`` reproducible sample trips of :func:`q15_borough_pair_trips`, told
     apart by the trip columns."""
-    rows = _borough_pair(trips.select(*SAMPLE_KEY), zones, pair)
+    rows = _borough_pair(_with_pair_ranges(trips, zones, pair).select(*SAMPLE_KEY), zones, pair)
     return sample_rows(rows, n, SAMPLE_KEY).select("Pickup_Borough", "Dropoff_Borough", "Pickup_Zone")
 
 
 def q15_borough_pair_count(trips: DataFrame, zones: DataFrame,
                            pair: tuple[str, str] = BOROUGH_PAIR) -> DataFrame:
-    return q15_borough_pair_trips(trips, zones, pair).agg(
-        F.count(F.lit(1)).alias("trip_count"))
+    per_pair = _with_pair_ranges(trips, zones, pair).groupBy(*_PAIR).agg(ms.trips_in(trips).alias("n"))
+    return _borough_pair(per_pair, zones, pair).agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("trip_count"))
 
 
 # --- Q16: zone routes per business ---------------------------------------------
@@ -283,7 +327,7 @@ def q17_edges_sample(trips: DataFrame, n: int = SAMPLE_ROWS) -> DataFrame:
 
 
 def q17_edge_weights(trips: DataFrame) -> DataFrame:
-    return gr.collapse_edges(gr.trip_edges(trips))
+    return gr.trip_edge_weights(trips)
 
 
 def q17_dangling_edges(trips: DataFrame, zones: DataFrame) -> DataFrame:

@@ -3,13 +3,13 @@
 The CTEs ``zones``, ``trips``, ``enriched`` and ``waits`` restate the test
 table mapping of ``tripcast.sources.testdata`` in SQL; each query body then
 restates its catalogue query.  Money is summed as DECIMAL and converted to
-DOUBLE once, exactly like the Spark side.
+DOUBLE once, doubles are summed as wide integers and rounded once, exactly like
+the Spark side.
 """
 
 from __future__ import annotations
 
-from tripcast.plans.registry import (AVERAGE_DIGITS, TEST_BOROUGH_PAIR, TEST_LOW_VOLUME_BOUNDS,
-                                     TEST_WAIT_THRESHOLD)
+from tripcast.plans.registry import TEST_BOROUGH_PAIR, TEST_LOW_VOLUME_BOUNDS, TEST_WAIT_THRESHOLD
 
 _TOD = """CASE WHEN {h} BETWEEN 6 AND 11 THEN 'morning'
               WHEN {h} BETWEEN 12 AND 16 THEN 'afternoon'
@@ -42,6 +42,17 @@ def _exact_avg(x: str) -> str:
             f"NULLIF(CAST(count({x}) AS DOUBLE), 0))")
 
 
+def _exact_double_sum(x: str) -> str:
+    """Sum of doubles as an integer in units of 2^-62, read as a DOUBLE through its text."""
+    unit = 1 << 62
+    return (f"(CAST(CAST(sum(CAST(floor({x}) AS HUGEINT)) * {unit} + "
+            f"sum(CAST(floor(({x} - floor({x})) * {unit}::DOUBLE) AS HUGEINT)) AS VARCHAR) AS DOUBLE) / {unit}::DOUBLE)")
+
+
+def _exact_double_avg(x: str) -> str:
+    return f"({_exact_double_sum(x)} / CAST(count({x}) AS DOUBLE))"
+
+
 _SECONDS = "(CASE WHEN l.l_linenumber <> 7 THEN CAST(300 + l.l_orderkey % 3000 AS DOUBLE) END)"
 _FARE = "CAST(l.l_extendedprice AS DECIMAL(12,2))"
 _DISC = "CAST(l.l_discount AS DECIMAL(4,2))"
@@ -99,11 +110,11 @@ monthly AS (
 tod AS (
   SELECT time_of_day,
          {_exact_avg('driver_total_pay')} AS average_drive_total_pay,
-         avg(trip_length) AS average_trip_length
+         {_exact_double_avg('trip_length')} AS average_trip_length
   FROM trips GROUP BY 1
 ),
 daily AS (
-  SELECT {_dayofmonth()} AS day, avg(request_to_pickup) AS average_wait,
+  SELECT {_dayofmonth()} AS day, {_exact_double_avg('request_to_pickup')} AS average_wait,
          count(request_to_pickup) AS trip_count
   FROM waits WHERE {_month()} = 1 GROUP BY 1
 ),
@@ -209,10 +220,6 @@ SELECT {role}_Borough, Month, trip_count FROM (
 ) WHERE rn <= {k}"""
 
 
-def _round(column: str, name: str) -> str:
-    return f"round({column}, {AVERAGE_DIGITS}) AS {name}"
-
-
 _SAMPLE_KEY = ("business", "pickup_location", "dropoff_location", "date", "passenger_fare", "driver_total_pay")
 
 
@@ -289,21 +296,18 @@ FROM (SELECT business,
     "q07_top_routes_by_pay": _q(_routes(30)),
     "q07_top10_routes_by_pay": _q(_routes(10)),
     "q08_avg_pay_by_time_of_day": _q("SELECT time_of_day, average_drive_total_pay FROM tod"),
-    "q09_avg_length_by_time_of_day": _q(f"""
-SELECT time_of_day, {_round('average_trip_length', 'average_trip_length')} FROM tod"""),
-    "q10_earning_per_mile": _q(f"""
-SELECT time_of_day, {_round('average_drive_total_pay / NULLIF(average_trip_length, 0)', 'average_earning_per_mile')}
-FROM tod"""),
+    "q09_avg_length_by_time_of_day": _q("SELECT time_of_day, average_trip_length FROM tod"),
+    "q10_earning_per_mile": _q("""
+SELECT time_of_day, average_drive_total_pay / NULLIF(average_trip_length, 0) AS average_earning_per_mile FROM tod"""),
     "q10_avg_dollars_per_mile": _q(f"""
-SELECT time_of_day, {_round('avg(dollars_per_mile)', 'average_dollars_per_mile')} FROM trips GROUP BY 1"""),
-    "q11_january_daily_wait": _q(f"""
-SELECT day, {_round('average_wait', 'average_wait')}, trip_count FROM daily"""),
+SELECT time_of_day, {_exact_double_avg('dollars_per_mile')} AS average_dollars_per_mile FROM trips GROUP BY 1"""),
+    "q11_january_daily_wait": _q("SELECT day, average_wait, trip_count FROM daily"),
     "q11_january_daily_wait_orders": _q(f"""
-SELECT {_dayofmonth()} AS day, {_round('avg(request_to_pickup)', 'average_wait')},
+SELECT {_dayofmonth()} AS day, {_exact_double_avg('request_to_pickup')} AS average_wait,
        count(request_to_pickup) AS trip_count
 FROM order_waits WHERE {_month()} = 1 GROUP BY 1"""),
     "q12_wait_anomaly_days": _q(f"""
-SELECT day, {_round('average_wait', 'average_wait')}, trip_count FROM daily
+SELECT day, average_wait, trip_count FROM daily
 WHERE average_wait > {TEST_WAIT_THRESHOLD}"""),
     "q13_below_average_pickups": _q("""
 SELECT Pickup_Borough, time_of_day, trip_count FROM borough_times
@@ -392,3 +396,21 @@ SELECT count(*) AS trips,
          AS hourly_mismatch
 FROM trips"""),
 }
+
+ORACLE_SQL["q01_supplier_customer_trips"] = """
+SELECT CASE l.l_linestatus WHEN 'F' THEN 'Uber' WHEN 'O' THEN 'Lyft' ELSE l.l_linestatus END AS business,
+       s.s_name AS Pickup_Zone, c.c_name AS Dropoff_Zone,
+       concat_ws(' to ', coalesce(s.s_name, 'Unknown'), coalesce(c.c_name, 'Unknown')) AS Route
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+JOIN supplier s ON l.l_suppkey = s.s_suppkey JOIN customer c ON o.o_custkey = c.c_custkey"""
+ORACLE_SQL["trip_summary"] = _q(f"""
+SELECT CAST(year({_day('date')}) * 100 + month({_day('date')}) AS INTEGER) AS year_month, business, pickup_location,
+       dropoff_location, time_of_day, count(*) AS trip_count,
+       {_exact_sum('driver_total_pay')} AS total_driver_total_pay, {_exact_sum('rideshare_profit')} AS total_rideshare_profit,
+       {_exact_double_sum('trip_length')} AS total_trip_length
+FROM trips GROUP BY 1, 2, 3, 4, 5""")
+# The summary changes how a query is answered, not its rows.
+for _name in ("q01_row_count", "q02_04_monthly_summary", "q05_top3_pickup_boroughs", "q07_top10_routes_by_pay",
+              "q08_avg_pay_by_time_of_day", "q10_earning_per_mile", "q10_avg_dollars_per_mile", "q13_below_average_pickups",
+              "q15_borough_pair_count", "q16_zone_routes", "q18_triplets"):
+    ORACLE_SQL[f"{_name}_by_summary"] = ORACLE_SQL[_name]

@@ -39,6 +39,7 @@ from pyspark.sql import functions as F
 
 from tripcast.functions.calendar import time_of_day_class, unix_day_seconds
 from tripcast.operators.broadcast import checked_broadcast
+from tripcast.operators.summary import summarise, with_date
 from tripcast.schema import MONEY, TRIP_COLUMNS, ZONE_COLUMNS
 
 # Labels of the synthetic mapping.
@@ -124,6 +125,11 @@ def trips_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select(*TRIP_COLUMNS)
 
 
+def summary_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trip summary of :func:`trips_from_tables`, within the same plan."""
+    return with_date(summarise(trips_from_tables(spark, sf_dir)))
+
+
 def waits_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events -> (date, request_to_pickup, time_of_day): one ride request per
     event, waiting ``value`` seconds, requested on the day of ``ts``."""
