@@ -11,13 +11,16 @@ Krichevsky-Trofimov estimates (ones + 1/2) / (n + 1) of all depths with the
 posterior weights Pe / (Pe + product of children) along the path.  A node not
 seen in training gives 1/2.
 
-All training texts count.  Documents are dealt into blocks of about
-``block_bytes`` by a hash; a block reports its distinct words and its distinct
-runs of DEPTH + 1 bytes with training counts, these are summed in Spark, and
-what a block needs comes back to it by a join, so no task ever holds the
-vocabulary or the model.  The context trees are worked out in Spark in groups
-that hold whole subtrees of the last two context bytes; only depth 0 and 1, at
-most 65,536 nodes whatever the input, pass through the driver.
+All training texts count.  Rows are sealed, as they come, into blocks of about
+``block_bytes`` of text.  A block reports its distinct runs of DEPTH + 1 bytes
+with training counts, and its distinct words, packed into one row per group
+(sorted, delta-coded, compressed); a group merges the rows of all blocks, so no
+task ever holds the vocabulary or the model, and what a block needs comes back
+packed in the order it was sent.  Groups of runs hold whole subtrees of the last
+two context bytes, cut by the third byte back into ``salts`` parts where groups are
+many, so the largest subtree does not end up in one task.  Depths 0 to
+TOP are summed over the groups and pass through the driver: at most 255 nodes for each
+pair of bytes, whatever the input.
 
 ``base_score`` is that of a unigram model of words: sum over tokens of
 log10((c + 0.1) / (N + 0.1 * (V + 1))); A-Z are lower-cased, tokens are runs of
@@ -25,25 +28,32 @@ bytes other than 0x20 and 0x09-0x0D, and one end token per text.
 
 Edge cases: null text is empty (one end token, one end mark).  Without
 training texts every byte costs eight bits.  Repeated rows are scored one by
-one; other columns are not used.
+one; other columns are not used.  A text longer than a block is a block by
+itself and is worked through in pieces of PIECE bytes.
 """
 
 from __future__ import annotations
 
+import functools
 import math
+import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripcast.llm.common import id_mod, n_shuffle, slices, stored, table, utf8_parts
+from tripcast.llm.common import id_mod, mix, n_shuffle, stored, table, utf8_parts
 
-DEPTH, BLOCK_BYTES, MARK = 6, 24 << 20, 0xFF
-RUN_BYTES = 1 << 20  # text whose byte runs are held at once; a run takes some 80 bytes meanwhile
-_FEATURES = "block int, at long, word binary, gram long, n long"
-_FEATURES_ARROW = pa.schema([("block", pa.int32()), ("at", pa.int64()), ("word", pa.binary()), ("gram", pa.int64()), ("n", pa.int64())])
+DEPTH, TOP, BLOCK_BYTES, GROUP_BYTES, MARK = 6, 2, 16 << 20, 4 << 20, 0xFF
+PIECE = 1 << 20  # bytes whose runs are held at once; a run takes some 60 bytes meanwhile
+GROUPS_PER_SALT = 32
+_SMALL = 4096  # counts up to here have their log gamma looked up
+_LN2 = math.log(2)
 
 
 def lgamma(x: np.ndarray) -> np.ndarray:
@@ -62,240 +72,468 @@ def lgamma(x: np.ndarray) -> np.ndarray:
     return (y - 0.5) * np.log(y) - y + 0.5 * math.log(2 * math.pi) + s - shift
 
 
+@functools.cache
+def _looked_up(add: float) -> np.ndarray:
+    return lgamma(np.arange(_SMALL) + add)
+
+
+def _lgamma_of(count: np.ndarray, add: float) -> np.ndarray:
+    """log gamma(count + add) of counts, from a table where they are small."""
+    out = _looked_up(add)[np.minimum(count, _SMALL - 1)]
+    large = np.flatnonzero(count >= _SMALL)
+    if len(large):
+        out[large] = lgamma(count[large] + add)
+    return out
+
+
 def log_kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
-    """log of the Krichevsky-Trofimov block probability."""
-    return lgamma(zeros + 0.5) + lgamma(ones + 0.5) - lgamma(zeros + ones + 1.0) - math.log(math.pi)
-
-
-def _words(table_: pa.Table) -> tuple[np.ndarray, np.ndarray, pa.Array]:
-    """Of the block's texts in order: text and word number of every word, and
-    the distinct words in order of appearance."""
-    raw, off = utf8_parts(pc.ascii_lower(table_.column("text")))
-    space = (raw == 32) | ((raw >= 9) & (raw <= 13))
-    begin = ~space
-    begin[1:] &= space[:-1]
-    heads = off[:-1][off[:-1] < off[1:]]
-    begin[heads] = ~space[heads]
-    first = np.flatnonzero(begin)
-    # A word's place among the bytes kept: its place less the white space before it.
-    gaps = np.flatnonzero(space)
-    offsets = np.append(first - np.searchsorted(gaps, first), len(raw) - len(gaps)).astype(np.int64)
-    data = raw[~space]
-    array = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(first), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
-    coded = array.dictionary_encode()
-    return (np.searchsorted(off, first, side="right") - 1, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64),
-            coded.dictionary)
-
-
-def _grams(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Every byte (and end mark) with its context, as one number, and its text."""
+    """log of the Krichevsky-Trofimov block probability of integer counts."""
+    return _lgamma_of(zeros, 0.5) + _lgamma_of(ones, 0.5) - _lgamma_of(zeros + ones, 1.0) - math.log(math.pi)
+
+
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(np.clip(-x, -700, 700)))
+
+
+# --- Packing -------------------------------------------------------------------
+
+def _packed(x: np.ndarray) -> bytes:
+    """Eight-byte numbers, like bytes side by side, compressed."""
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(x).view(np.uint8).reshape(-1, 8).T.tobytes())
+
+
+def _unpacked(data: bytes, kind=np.int64) -> np.ndarray:
+    flat = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    return np.ascontiguousarray(flat.reshape(8, -1).T).view(kind).ravel()
+
+
+def _rising(x: np.ndarray) -> bytes:
+    """Packed rising integers."""
+    return _packed(np.diff(x, prepend=np.int64(0)))
+
+
+def _risen(data: bytes) -> np.ndarray:
+    return np.cumsum(_unpacked(data))
+
+
+def _sealed(batches: list[pa.RecordBatch]) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batches[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+        for batch in batches:
+            writer.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def _opened(data: bytes) -> pa.Table:
+    return pa.ipc.open_stream(data).read_all().combine_chunks()
+
+
+def _blocks(rows: DataFrame, block_bytes: int) -> DataFrame:
+    """(block, n_bytes, docs): the rows (id, text, train) in sealed blocks, without a shuffle."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, made, held, size = TaskContext.get().partitionId(), 0, [], 0
+
+        def block() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([part << 32 | made]), pa.array([size], pa.int64()),
+                                               pa.array([_sealed(held)], pa.binary())], names=["block", "n_bytes", "docs"])
+
+        for batch in batches:
+            _, off = utf8_parts(batch.column(1))
+            off = off + 16 * np.arange(len(off))  # an empty text takes room as well
+            at = 0
+            while at < batch.num_rows:
+                end = int(np.searchsorted(off, off[at] + block_bytes - size, side="left"))
+                end = min(max(end, at + 1), batch.num_rows)
+                held.append(batch.slice(at, end - at))
+                size += int(off[end] - off[at])
+                at = end
+                if size >= block_bytes:
+                    yield block()
+                    made, held, size = made + 1, [], 0
+        if held:
+            yield block()
+
+    return rows.mapInArrow(run, "block long, n_bytes long, docs binary")
+
+
+# --- Words and runs of a block -----------------------------------------------------
+
+def _word_pieces(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, pa.Array]]:
+    """Piece by piece the text and the number of every word, and the piece's
+    distinct words; pieces end at white space or with a text."""
+    raw, off = utf8_parts(pc.ascii_lower(texts))
+    at = 0
+    while at < len(raw):
+        end = min(at + 4 * PIECE, len(raw))
+        if end < len(raw):
+            data = raw[at:end]
+            gaps = np.flatnonzero((data == 32) | ((data >= 9) & (data <= 13)))
+            nearest = off[np.searchsorted(off, end, side="right") - 1]  # where the last text begins
+            cut = max(at + int(gaps[-1]) + 1 if len(gaps) else 0, int(nearest))
+            while cut <= at:  # a word longer than a piece: to its end
+                more = min(end + 4 * PIECE, len(raw))
+                gaps = np.flatnonzero((raw[end:more] == 32) | ((raw[end:more] >= 9) & (raw[end:more] <= 13)))
+                following = int(off[np.searchsorted(off, end, side="left")])
+                cut = min(end + int(gaps[0]) + 1 if len(gaps) else more, following)
+                if not len(gaps) and cut == more < following:
+                    cut, end = at, more
+            end = cut
+        data = raw[at:end]
+        space = (data == 32) | ((data >= 9) & (data <= 13))
+        begin = ~space
+        begin[1:] &= space[:-1]
+        heads = off[(off >= at) & (off < end)] - at
+        begin[heads] = ~space[heads]
+        first = np.flatnonzero(begin)
+        # A word's place among the bytes kept: its place less the white space before it.
+        kept = np.concatenate([[0], np.cumsum(~space)])
+        offsets = np.append(kept[first], kept[-1]).astype(np.int64)
+        array = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(first), [None, pa.py_buffer(offsets), pa.py_buffer(data[~space])])
+        coded = array.dictionary_encode()
+        yield (np.searchsorted(off, first + at, side="right") - 1,
+               coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary)
+        at = end
+
+
+def _distinct_words(texts: pa.Array) -> pa.Array:
+    found = [d for _, _, d in _word_pieces(texts)]
+    return pa.concat_arrays(found).dictionary_encode().dictionary if found else pa.array([], pa.large_binary())
+
+
+def _run_pieces(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Piece by piece every byte (and end mark) with its context as one number, and its text."""
+    raw, off = utf8_parts(texts)
     n = len(off) - 1
-    size = np.diff(off)
-    place = off[:-1] + np.arange(n) * (DEPTH + 1) + DEPTH  # where a text begins among the marks
-    seq = np.full(len(raw) + n * (DEPTH + 1) + DEPTH, MARK, np.uint64)
-    doc = np.repeat(np.arange(n), size)
-    seq[np.arange(len(raw)) + (doc + 1) * (DEPTH + 1) - 1] = raw
-    code = np.zeros(len(raw) + n, np.uint64)
-    owner = np.repeat(np.arange(n), size + 1)
-    at = place[owner] + np.arange(len(owner)) - (off[:-1] + np.arange(n))[owner]
-    for k in range(DEPTH, -1, -1):
-        code = (code << np.uint64(8)) | seq[at - k]
-    return code.view(np.int64), owner
-
-
-def _ordered(block: pa.Table) -> pa.Table:
-    """The block's rows in a fixed order, so that words are numbered alike each time."""
-    return block.sort_by([("id", "ascending"), ("text", "ascending"), ("train", "ascending")])
-
-
-def _features(block: pa.Table) -> pa.Table:
-    block = _ordered(block).combine_chunks()
-    number = block.column("block")[0].as_py()
-    train = block.column("train").to_numpy(zero_copy_only=False).astype(np.int64)
-    doc, word, distinct = _words(block)
-    counts = np.bincount(word, weights=train[doc], minlength=len(distinct)).astype(np.int64)
-    found, seen = [], []
-    for batch in block.select(["text", "train"]).to_batches():
-        for part in slices(batch, "text", RUN_BYTES):
-            flag = part.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
-            code, owner = _grams(*utf8_parts(part.column(0)))
-            coded = pa.array(code).dictionary_encode()
-            keys = coded.dictionary.to_numpy()
-            found.append(keys)
-            seen.append(np.bincount(coded.indices.to_numpy(), weights=flag[owner], minlength=len(keys)).astype(np.int64))
-    gram, inverse = np.unique(np.concatenate(found), return_inverse=True)
-    times = np.bincount(inverse, weights=np.concatenate(seen)).astype(np.int64)
-    w, g = len(distinct) + 1, len(gram)
-    words = pa.concat_arrays([distinct.cast(pa.binary()), pa.array([b""], pa.binary()), pa.nulls(g, pa.binary())])
-    grams = pa.concat_arrays([pa.nulls(w, pa.int64()), pa.array(gram)])
+    seq = np.full(len(raw) + n * (DEPTH + 1) + DEPTH, MARK, np.uint8)  # DEPTH marks before a text, one behind it
+    begin = off[:-1] + np.arange(n) * (DEPTH + 1) + DEPTH
+    for i in range(n):
+        seq[begin[i]:begin[i] + off[i + 1] - off[i]] = raw[off[i]:off[i + 1]]
+    starts = off[:-1] + np.arange(n)  # of the texts, among their bytes and end marks
+    total = len(raw) + n
+    for a in range(0, total, PIECE):
+        place = np.arange(a, min(a + PIECE, total))
+        owner = np.searchsorted(starts, place, side="right") - 1
+        at = place + (owner + 1) * DEPTH
+        code = np.zeros(len(at), np.int64)
+        for k in range(DEPTH, -1, -1):
+            code <<= 8
+            code |= seq[at - k]
+        yield code, owner
+
+
+def _tallied(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in rising order and the sums of their counts."""
+    order = keys.argsort()
+    keys, n = keys[order], n[order]
+    first = np.flatnonzero(np.diff(keys, prepend=keys[:1] - 1))
+    return keys[first], np.add.reduceat(n, first) if len(first) else n
+
+
+def _runs(texts: pa.Array, train: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct runs of a block in rising order, and how often training texts have each."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    for code, owner in _run_pieces(texts):
+        tagged = np.sort(code << 1 | train[owner])  # runs take 56 bits
+        key = tagged >> 1
+        first = np.flatnonzero(np.diff(key, prepend=key[:1] - 1))
+        held.append((key[first], np.add.reduceat(tagged & 1, first)))
+        if len(held) == 8:
+            held = [_tallied(*map(np.concatenate, zip(*held)))]
+    if not held:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return _tallied(*map(np.concatenate, zip(*held)))
+
+
+def _word_group(words: pa.Array, groups: int) -> np.ndarray:
+    return np.fromiter((zlib.crc32(w) % groups for w in words.to_pylist()), np.int64, len(words))
+
+
+def _run_group(runs: np.ndarray, groups: int, salts: int) -> np.ndarray:
+    """Group of a run by its last two context bytes and a part of the third."""
+    context = (runs >> 8 & 0xFFFF) | (runs >> 24 & 0xFF) % salts << 16
+    return (mix(context.astype(np.uint64)) % np.uint64(groups)).astype(np.int64)
+
+
+def _by_group(group: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Each group with the places that belong to it, in rising order."""
+    order = np.argsort(group, kind="stable")
+    used, first = np.unique(group[order], return_index=True)
+    for g, a, b in zip(used, first, np.append(first[1:], len(order))):
+        yield int(g), order[a:b]
+
+
+def _train_flags(docs: pa.Table) -> np.ndarray:
+    return docs.column("train").to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def _texts(docs: pa.Table) -> pa.Array:
+    column = docs.column("text")
+    return column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+
+
+def _feature_rows(block: int, parts: list[tuple[int, bytes, bytes]], what: str) -> pa.RecordBatch:
+    group, keys, n = zip(*parts)
+    return pa.RecordBatch.from_arrays([pa.array(group, pa.int32()), pa.array([block] * len(parts)), pa.array(keys, pa.binary()),
+                                       pa.array(n, pa.binary())], names=["part", "block", what, "n"])
+
+
+def _word_features(blocks: DataFrame, groups: int) -> DataFrame:
+    """(part, block, words, n): a block's distinct words of each group with training counts."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, data in zip(batch.column(0).to_pylist(), batch.column(1)):
+                docs = _opened(data.as_py())
+                train, texts = _train_flags(docs), _texts(docs)
+                distinct = _distinct_words(texts)
+                n = np.zeros(len(distinct) + 1, np.int64)
+                for doc, word, known in _word_pieces(texts):
+                    at = pc.index_in(known, value_set=distinct).to_numpy().astype(np.int64)
+                    np.add.at(n, at[word], train[doc])
+                n[-1] = train.sum()  # the end token, an empty word
+                words = distinct.to_pylist() + [b""]
+                parts = [(g, zstandard.ZstdCompressor(level=1).compress(b" ".join([words[i] for i in at]) + b"|"), _packed(n[at]))
+                         for g, at in _by_group(np.append(_word_group(distinct, groups), 0))]
+                yield _feature_rows(block, parts, "words")
+
+    return blocks.select("block", "docs").mapInArrow(run, "part int, block long, words binary, n binary")
+
+
+def _run_features(blocks: DataFrame, groups: int, salts: int) -> DataFrame:
+    """(part, block, runs, n): a block's distinct runs of each group with training counts."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, data in zip(batch.column(0).to_pylist(), batch.column(1)):
+                docs = _opened(data.as_py())
+                runs, n = _runs(_texts(docs), _train_flags(docs))
+                parts = [(g, _rising(runs[at]), _packed(n[at])) for g, at in _by_group(_run_group(runs, groups, salts))]
+                yield _feature_rows(block, parts, "runs")
+
+    return blocks.select("block", "docs").mapInArrow(run, "part int, block long, runs binary, n binary")
+
+
+# --- Merging over all blocks -------------------------------------------------------
+
+def _merged_words(rows: pa.Table) -> pa.Table:
+    """Counts of each block's words over all blocks; the group's tokens and known words, once."""
+    lists = [zstandard.ZstdDecompressor().decompress(w.as_py())[:-1].split(b" ") for w in rows.column("words")]
+    sizes = [len(x) for x in lists]
+    coded = pa.array([w for x in lists for w in x], pa.large_binary()).dictionary_encode()
+    index = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    n = np.zeros(len(coded.dictionary), np.int64)
+    np.add.at(n, index, np.concatenate([_unpacked(x.as_py()) for x in rows.column("n")]))
+    cuts = np.cumsum([0, *sizes])
+    first = np.arange(len(sizes)) == 0
     return pa.Table.from_arrays([
-        pa.array(np.full(w + g, number, np.int32)), pa.array(np.concatenate([np.arange(w), np.full(g, -1)])), words, grams,
-        pa.array(np.concatenate([counts, [train.sum()], times]))], schema=_FEATURES_ARROW)
-
-
-class _Trees:
-    """The context trees of runs of bytes (context, then byte) with counts,
-    one level of the byte's binary tree at a time."""
-
-    def __init__(self, gram: np.ndarray, n: np.ndarray):
-        self.byte = gram & 255
-        self.n = n.astype(float)
-        context = gram >> 8
-        # Contexts of depth d: the last d bytes before the byte.
-        self.context = [context & ((1 << 8 * d) - 1) for d in range(DEPTH + 1)]
-
-    def level(self, k: int):
-        """For decision k: the bit of each run, and for each depth from DEPTH
-        to 2 (node of each run, zeros, ones, log Pe, log Pw, weight)."""
-        bit = (self.byte >> (7 - k)) & 1
-        prefix = (1 << k) | (self.byte >> (8 - k))
-        depths, below = {}, None
-        for d in range(DEPTH, 1, -1):
-            _, first, node = np.unique((self.context[d] << 8) | prefix, return_index=True, return_inverse=True)
-            total = np.bincount(node, weights=self.n)
-            ones = np.bincount(node, weights=self.n * bit)
+        rows.column("block").combine_chunks(), rows.column("part").combine_chunks(),
+        pa.array([_packed(n[index[a:b]]) for a, b in zip(cuts, cuts[1:])], pa.binary()),
+        pa.array(np.where(first, n.sum(), 0)), pa.array(np.where(first, (n > 0).sum(), 0))],
+        names=["block", "part", "n", "tokens", "known"])
+
+
+class Trees:
+    """The context trees of distinct runs in rising order with counts, depths TOP + 1
+    to DEPTH.  Entries of depth d are the distinct last d + 1 bytes of the runs; they
+    are sorted, so a node of the byte's binary tree is a stretch of them."""
+
+    def __init__(self, runs: np.ndarray, n: np.ndarray):
+        self.key, self.n, self.up = {DEPTH: runs}, {DEPTH: n}, {}
+        for d in range(DEPTH - 1, TOP - 1, -1):
+            below = self.key[d + 1] & ((1 << 8 * (d + 1)) - 1)
+            order = below.argsort()
+            new = np.diff(below[order], prepend=-1) != 0
+            place = np.empty(len(order), np.int64)
+            place[order] = np.cumsum(new) - 1
+            self.key[d], self.up[d + 1] = below[order][new], place
+            self.n[d] = np.bincount(place, weights=self.n[d + 1], minlength=int(new.sum())).astype(np.int64)
+
+    def level(self, k: int) -> dict[int, tuple]:
+        """For decision k and each depth: (first entry and node of every
+        entry, ones, total, log Pw, weight)."""
+        out: dict[int, tuple] = {}
+        for d in range(DEPTH, TOP, -1):
+            new = np.diff(self.key[d] >> (8 - k), prepend=-1) != 0
+            first = np.flatnonzero(new)
+            node = np.cumsum(new) - 1
+            total = np.add.reduceat(self.n[d], first)
+            ones = np.add.reduceat(self.n[d] * (self.key[d] >> (7 - k) & 1), first)
             pe = log_kt(total - ones, ones)
-            if below is None:
+            if d == DEPTH:
                 pw, weight = pe, np.ones(len(pe))
             else:
-                child = np.bincount(node[below[0]], weights=below[1], minlength=len(pe))
-                pw = np.logaddexp(pe, child) - math.log(2)
-                weight = 1 / (1 + np.exp(np.clip(child - pe, -700, 700)))
-            depths[d] = (node, first, total, ones, pw, weight)
-            below = (first, pw)
-        return bit, prefix, depths
-
-
-def _top_rows(rows: pa.Table) -> pa.Table:
-    """Sums for depth 1: by last byte and decision node, the counts and the log
-    weighted probability of the children at depth 2."""
-    gram = rows.column("gram").to_numpy()
-    trees = _Trees(gram, rows.column("n").to_numpy())
-    out = np.zeros((3, 65536))
-    for k in range(8):
-        _, prefix, depths = trees.level(k)
-        _, first, total, ones, pw, _ = depths[2]
-        key = ((trees.context[1][first] << 8) | prefix[first]).astype(np.int64)
-        for i, v in enumerate((total, ones, pw)):
-            out[i] += np.bincount(key, weights=v, minlength=65536)
-    used = np.unique(np.concatenate([(trees.context[1] << 8) | (1 << k) | (trees.byte >> (8 - k)) for k in range(8)]))
-    return pa.Table.from_arrays([pa.array(used.astype(np.int32)), *[pa.array(out[i][used]) for i in range(3)]],
-                                names=["node", "n", "ones", "child"])
+                below = out[d + 1]
+                child = np.bincount(node[self.up[d + 1][below[0]]], weights=below[4], minlength=len(pe))
+                pw, weight = np.logaddexp(pe, child) - _LN2, _sigmoid(pe - child)
+            out[d] = (first, node, ones, total, pw, weight)
+        return out
+
+    def nodes(self, k: int) -> np.ndarray:
+        """Node of depth TOP of each entry there: context bytes, then a leading one and k bits."""
+        key = self.key[TOP]
+        return (key >> 8 << 8) | (1 << k) | ((key & 255) >> (8 - k))
+
+    def top_rows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """For the nodes of depth TOP: counts, and the log Pw of their children summed."""
+        found = []
+        for k in range(8):
+            first, _, ones, total, pw, _ = self.level(k)[TOP + 1]
+            at = self.nodes(k)[self.up[TOP + 1][first]]
+            ids, place = np.unique(at, return_inverse=True)
+            found.append((ids, *[np.bincount(place, weights=v, minlength=len(ids)) for v in (total, ones, pw)]))
+        return tuple(np.concatenate(x) for x in zip(*found))
+
+    def log_probability(self, top: Top) -> np.ndarray:
+        """log10 probability of each run's byte in its context."""
+        out = np.zeros(len(self.key[DEPTH]))
+        for k in range(8):
+            levels = self.level(k)
+            at, p = np.arange(len(out)), None
+            for d in range(DEPTH, TOP, -1):
+                _, node, ones, total, _, weight = levels[d]
+                w, kt = weight[node[at]], ((ones + 0.5) / (total + 1))[node[at]]
+                p = kt if p is None else w * kt + (1 - w) * p
+                at = self.up[d][at]
+            a, b = top.mixing(self.nodes(k))
+            p = a[at] + b[at] * p
+            out += np.log10(np.where(self.key[DEPTH] >> (7 - k) & 1, p, 1 - p))
+        return out
 
 
 class Top:
-    """Estimates and weights of depth 0 and 1, by last byte and decision node."""
+    """Estimates and weights of depth 0 to TOP, from the rows of all groups."""
 
     def __init__(self, node: np.ndarray, n: np.ndarray, ones: np.ndarray, child: np.ndarray):
-        total, one, below = np.zeros(65536), np.zeros(65536), np.zeros(65536)
-        total[node], one[node], below[node] = n, ones, child
-        pe = log_kt(total - one, one)
-        self.kt1 = (one + 0.5) / (total + 1)
-        self.weight1 = 1 / (1 + np.exp(np.clip(below - pe, -700, 700)))
-        pw = (np.logaddexp(pe, below) - math.log(2)).reshape(256, 256)
-        n0, one0 = total.reshape(256, 256).sum(axis=0), one.reshape(256, 256).sum(axis=0)
-        pe0 = log_kt(n0 - one0, one0)
-        used = np.zeros(65536, bool)
-        used[node] = True
-        below0 = np.where(used.reshape(256, 256), pw, 0.0).sum(axis=0)
-        self.kt0 = (one0 + 0.5) / (n0 + 1)
-        self.weight0 = 1 / (1 + np.exp(np.clip(below0 - pe0, -700, 700)))
-
-
-def log_probability(gram: np.ndarray, n: np.ndarray, top: Top) -> np.ndarray:
-    """log10 probability of each run's byte in its context."""
-    trees = _Trees(gram, n)
-    out = np.zeros(len(gram))
-    for k in range(8):
-        bit, prefix, depths = trees.level(k)
-        p = None
-        for d in range(DEPTH, 1, -1):
-            node, _, total, ones, _, weight = depths[d]
-            kt = ((ones + 0.5) / (total + 1))[node]
-            p = kt if p is None else weight[node] * kt + (1 - weight[node]) * p
-        at = (trees.context[1] << 8) | prefix
-        p = top.weight1[at] * top.kt1[at] + (1 - top.weight1[at]) * p
-        p = top.weight0[prefix] * top.kt0[prefix] + (1 - top.weight0[prefix]) * p
-        out += np.log10(np.where(bit == 1, p, 1 - p))
-    return out
+        order = node.argsort()
+        node, n, ones, child = node[order], n[order].astype(np.int64), ones[order].astype(np.int64), child[order]
+        self.levels: dict[int, tuple] = {}
+        for d in range(TOP, -1, -1):
+            pe = log_kt(n - ones, ones)
+            self.levels[d] = (node, (ones + 0.5) / (n + 1), _sigmoid(pe - child))
+            if d:
+                node, place = np.unique(node & ((1 << 8 * d) - 1), return_inverse=True)
+                pw = np.logaddexp(pe, child) - _LN2
+                n, ones = (np.bincount(place, weights=x, minlength=len(node)).astype(np.int64) for x in (n, ones))
+                child = np.bincount(place, weights=pw, minlength=len(node))
+
+    def mixing(self, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """a, b for nodes of depth TOP: a probability p from below becomes a + b * p."""
+        a, b = np.zeros(len(node)), np.ones(len(node))
+        for d in range(TOP, -1, -1):
+            ids, kt, weight = self.levels[d]
+            at = np.searchsorted(ids, node & ((1 << 8 * (d + 1)) - 1))
+            w = weight[at]
+            a, b = w * kt[at] + (1 - w) * a, (1 - w) * b
+        return a, b
+
+
+_MERGED = pa.schema([("part", pa.int32()), ("runs", pa.binary()), ("n", pa.binary()), ("blocks", pa.list_(pa.int64())),
+                     ("places", pa.list_(pa.binary())), ("node", pa.list_(pa.int32())), ("total", pa.list_(pa.float64())),
+                     ("ones", pa.list_(pa.float64())), ("child", pa.list_(pa.float64()))])
+
+
+def _merged_runs(rows: pa.Table) -> pa.Table:
+    """A group's runs over all blocks with their counts, where each block's runs
+    are among them, and the group's part of depth TOP."""
+    lists = [_risen(x.as_py()) for x in rows.column("runs")]
+    runs, n = _tallied(np.concatenate(lists), np.concatenate([_unpacked(x.as_py()) for x in rows.column("n")]))
+    places = [_rising(np.searchsorted(runs, x)) for x in lists]
+    node, total, ones, child = Trees(runs, n).top_rows()
+    return pa.Table.from_arrays([
+        rows.column("part").slice(0, 1).combine_chunks(), pa.array([_rising(runs)], pa.binary()), pa.array([_packed(n)], pa.binary()),
+        pa.array([rows.column("block").to_pylist()], pa.list_(pa.int64())), pa.array([places], pa.list_(pa.binary())),
+        *[pa.ListArray.from_arrays(pa.array([0, len(node)], pa.int32()), pa.array(x)) for x in (node.astype(np.int32), total, ones, child)]],
+        schema=_MERGED)
+
+
+def _values(merged: DataFrame, top) -> DataFrame:
+    """(block, part, value): log probabilities of each block's runs of a group, in its order."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, runs, n, blocks, places in zip(*batch.columns):
+                value = Trees(_risen(runs.as_py()), _unpacked(n.as_py())).log_probability(top.value)
+                for block, place in zip(blocks.values.to_pylist(), places.values):
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array([block]), pa.array([part.as_py()], pa.int32()),
+                        pa.array([_packed(value[_risen(place.as_py())])], pa.binary())], names=["block", "part", "value"])
+
+    return merged.select("part", "runs", "n", "blocks", "places").mapInArrow(run, "block long, part int, value binary")
 
 
+# --- Scoring -----------------------------------------------------------------------
+
 _SCORES = pa.schema([("doc_id", pa.int64()), ("train", pa.bool_()), ("n_bytes", pa.int64()), ("n_tokens", pa.int64()),
                      ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
 
 
-def _scored(block: pa.Table, values: pa.Table, unit: float) -> pa.Table:
-    """Scores of a block's documents from the values of its words and runs."""
-    if not block.num_rows:
-        return _SCORES.empty_table()
-    block = _ordered(block).combine_chunks()
-    n = block.num_rows
-    at, gram, value = (values.column(c) for c in ("at", "gram", "value"))
-    is_word = pc.is_null(gram).to_numpy(zero_copy_only=False) if len(values) else np.zeros(0, bool)
-    place, number = at.to_numpy()[is_word], value.to_numpy()
-    doc, word, distinct = _words(block)
-    count = np.zeros(len(distinct) + 1)
-    count[place] = number[is_word]
+def _scored(docs: pa.Table, words: dict[int, bytes], runs: dict[int, bytes], word_groups: int, run_groups: int, salts: int,
+            unit: float) -> pa.Table:
+    """Scores of a block's documents from the packed counts and log probabilities of each group."""
+    texts, n = _texts(docs), docs.num_rows
+    distinct = _distinct_words(texts)
+    count = np.zeros(len(distinct) + 1, np.int64)
+    for g, at in _by_group(np.append(_word_group(distinct, word_groups), 0)):
+        count[at] = _unpacked(words[g])
     logs = np.log10(count + 0.1)
-    tokens = np.bincount(doc, minlength=n) + 1
-    known = np.bincount(doc, weights=count[word] > 0, minlength=n) + (count[-1] > 0)
-    base = np.bincount(doc, weights=logs[word], minlength=n) + logs[-1] - tokens * unit
-    keys, lp = gram.filter(pa.array(~is_word)).to_numpy(zero_copy_only=False).astype(np.int64), number[~is_word]
-    order = np.argsort(keys)
-    keys, lp = keys[order], lp[order]
-    score, done = np.zeros(n), 0
-    for batch in block.select(["text"]).to_batches():
-        for part in slices(batch, "text", RUN_BYTES):
-            code, owner = _grams(*utf8_parts(part.column(0)))
-            coded = pa.array(code).dictionary_encode()
-            mine = lp[np.searchsorted(keys, coded.dictionary.to_numpy())]
-            score[done:done + part.num_rows] = np.bincount(owner, weights=mine[coded.indices.to_numpy()], minlength=part.num_rows)
-            done += part.num_rows
+    tokens, known = np.ones(n, np.int64), np.full(n, int(count[-1] > 0))
+    base = np.full(n, logs[-1])
+    for doc, word, own in _word_pieces(texts):
+        at = pc.index_in(own, value_set=distinct).to_numpy().astype(np.int64)[word]
+        tokens += np.bincount(doc, minlength=n)
+        known += np.bincount(doc, weights=count[at] > 0, minlength=n).astype(np.int64)
+        base += np.bincount(doc, weights=logs[at], minlength=n)
+    keys, _ = _runs(texts, np.zeros(n, np.int64))
+    lp = np.zeros(len(keys))
+    for g, at in _by_group(_run_group(keys, run_groups, salts)):
+        lp[at] = _unpacked(runs[g], np.float64)
+    score = np.zeros(n)
+    for code, owner in _run_pieces(texts):
+        coded = pa.array(code).dictionary_encode()
+        mine = lp[np.searchsorted(keys, coded.dictionary.to_numpy())]
+        score += np.bincount(owner, weights=mine[coded.indices.to_numpy()], minlength=n)
     return pa.Table.from_arrays([
-        block.column("id").combine_chunks(), block.column("train").combine_chunks(),
-        pc.binary_length(block.column("text")).combine_chunks().cast(pa.int64()), pa.array(tokens.astype(np.int64)),
-        pa.array(known.astype(np.int64)), pa.array(base), pa.array(score)], schema=_SCORES)
+        docs.column("id").combine_chunks(), docs.column("train").combine_chunks(),
+        pc.binary_length(texts).cast(pa.int64()), pa.array(tokens), pa.array(known), pa.array(base - tokens * unit), pa.array(score)],
+        schema=_SCORES)
 
 
 def score(docs: DataFrame, train: Column, text_col: str = "text", id_col: str = "doc_id",
-          block_bytes: int = BLOCK_BYTES) -> DataFrame:
+          block_bytes: int = BLOCK_BYTES, group_bytes: int = GROUP_BYTES, groups_per_salt: int = GROUPS_PER_SALT) -> DataFrame:
     """Learn from the rows where ``train`` holds and score all rows: doc_id,
     train, n_bytes, n_tokens, n_known, train_tokens, base_score, score (log10
     probability of the text) and bits_per_byte (code length)."""
     spark = docs.sparkSession
     d = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
                     F.coalesce(train, F.lit(False)).alias("train"))
-    size = d.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
-    blocks = max(n_shuffle(spark), -(-size // block_bytes))
-    d = d.withColumn("block", F.pmod(F.xxhash64("id", "text"), F.lit(blocks)).cast("int"))
-    features = stored(d.groupBy("block").applyInArrow(_features, _FEATURES), "features")
-    counts = stored(features.filter("word is not null").groupBy("word").agg(F.sum("n").alias("n")), "words")
-    sums = counts.agg(F.sum("n").alias("n"), F.count_if(F.col("n") > 0).alias("v")).first()
+    blocks = stored(_blocks(d, block_bytes), "blocks")
+    size = blocks.agg(F.sum("n_bytes").alias("n")).first()["n"] or 0
+    # Groups of a few MB of text each; where they are many, subtrees are cut so that none outgrows its share.
+    run_groups = max(n_shuffle(spark), -(-size // group_bytes))
+    word_groups = max(n_shuffle(spark), -(-size // (8 * group_bytes)))
+    salts = min(256, max(1, run_groups // groups_per_salt))
+    words = stored(_word_features(blocks, word_groups).groupBy("part").applyInArrow(
+        _merged_words, "block long, part int, n binary, tokens long, known long"), "words")
+    sums = words.agg(F.sum("tokens").alias("n"), F.sum("known").alias("v")).first()
     total, vocabulary = sums["n"] or 0, sums["v"] or 0
-    grams = stored(features.filter("gram is not null").groupBy("gram").agg(F.sum("n").alias("n")), "grams")
-    groups = max(n_shuffle(spark), -(-grams.count() // 200_000))
-    subtree = F.pmod(F.xxhash64(F.shiftright("gram", 8).bitwiseAND(F.lit(0xFFFF))), F.lit(groups)).cast("int")
-    trees = grams.withColumn("subtree", subtree).groupBy("subtree")
-    rows = (trees.applyInArrow(_top_rows, "node int, n double, ones double, child double")
-            .groupBy("node").agg(F.sum("n").alias("n"), F.sum("ones").alias("ones"), F.sum("child").alias("child")).collect())
-    column = lambda c, kind: np.array([r[c] for r in rows], kind)  # noqa: E731  at most 65,536 rows
-    top = spark.sparkContext.broadcast(Top(column("node", np.int64), column("n", float), column("ones", float), column("child", float)))
-
-    def estimate(part: pa.Table) -> pa.Table:
-        gram = part.column("gram").to_numpy()
-        return pa.Table.from_arrays([pa.array(gram), pa.array(log_probability(gram, part.column("n").to_numpy(), top.value))],
-                                    names=["gram", "value"])
-
-    model = trees.applyInArrow(estimate, "gram long, value double")
-    values = (features.filter("word is not null").select("block", "at", "word")
-              .join(counts.select("word", F.col("n").cast("double").alias("value")), "word")
-              .select("block", "at", F.lit(None).cast("long").alias("gram"), "value")
-              .unionByName(features.filter("gram is not null").select("block", "at", "gram").join(model, "gram")
-                           .select("block", "at", "gram", "value")))
+    merged = stored(_run_features(blocks, run_groups, salts).groupBy("part").applyInArrow(
+        _merged_runs, "part int, runs binary, n binary, blocks array<long>, places array<binary>, node array<int>, "
+        "total array<double>, ones array<double>, child array<double>"), "runs")
+    rows = (merged.select(F.explode(F.arrays_zip("node", "total", "ones", "child")).alias("r")).select("r.*").groupBy("node")
+            .agg(F.sum("total").alias("total"), F.sum("ones").alias("ones"), F.sum("child").alias("child")).toArrow())
+    column = lambda c, kind: rows.column(c).to_numpy().astype(kind)  # noqa: E731  at most 255 nodes a pair of bytes
+    top = spark.sparkContext.broadcast(Top(column("node", np.int64), column("total", float), column("ones", float), column("child", float)))
+    back = words.select("block", F.lit(True).alias("is_word"), "part", F.col("n").alias("value")).unionByName(
+        _values(merged, top).select("block", F.lit(False).alias("is_word"), "part", "value"))
     unit = math.log10(total + 0.1 * (vocabulary + 1))
-    out = d.groupBy("block").cogroup(values.groupBy("block")).applyInArrow(
-        lambda a, b: _scored(a, b, unit), "doc_id long, train boolean, n_bytes long, n_tokens long, n_known long, "
-        "base_score double, score double")
+
+    def scored(a: pa.Table, b: pa.Table) -> pa.Table:
+        if not a.num_rows:
+            return _SCORES.empty_table()
+        held: tuple[dict, dict] = ({}, {})
+        for is_word, part, value in zip(b.column("is_word").to_pylist(), b.column("part").to_pylist(), b.column("value")):
+            held[not is_word][part] = value.as_py()
+        return _scored(_opened(a.column("docs")[0].as_py()), *held, word_groups, run_groups, salts, unit)
+
+    out = blocks.select("block", "docs").groupBy("block").cogroup(back.groupBy("block")).applyInArrow(
+        scored, "doc_id long, train boolean, n_bytes long, n_tokens long, n_known long, base_score double, score double")
     return out.withColumn("train_tokens", F.lit(total).cast("long")).withColumn(
         "bits_per_byte", -F.col("score") / F.lit(math.log10(2)) / F.greatest("n_bytes", F.lit(1)))
 
