@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -12,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripcast.session import ensure_checkpoint_dir
+from tripcast.sources.files import drop_folder
 
 SLICE_BYTES = 4 << 20  # text handled by one vectorised call inside a task
 
@@ -37,11 +40,53 @@ def shared_folder(spark: SparkSession, what: str) -> str:
 def stored(df: DataFrame, what: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage ends there,
     and a lost executor cannot take the rows with it."""
-    path = shared_folder(df.sparkSession, what)
+    return _stored_at(df, shared_folder(df.sparkSession, what))
+
+
+def _stored_at(df: DataFrame, path: str) -> DataFrame:
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Tables that only a result's making needs: stored as by :func:`stored`, deleted by :meth:`drop`."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def stored(self, df: DataFrame, what: str) -> DataFrame:
+        self.paths.append(shared_folder(self.spark, what))
+        return _stored_at(df, self.paths[-1])
+
+    def drop(self) -> None:
+        for path in self.paths:
+            drop_folder(self.spark, path)
+        self.paths = []
+
+
+_HELD: list[tuple[Any, Any]] = []
+
+
+def held(key: Any, build: Callable[[], Any]) -> Any:
+    """``build()``, kept by this process until another key is asked for: a worker
+    that serves several operators holds the tables of one at a time."""
+    if not _HELD or _HELD[0][0] != key:
+        _HELD.clear()
+        _HELD.append((key, build()))
+    return _HELD[0][1]
+
+
+def give_back() -> None:
+    """Return freed memory to the system: at the end of a task, as the worker may
+    stay idle beside other tasks for long."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # a C library without it
+        pass
+
+
 def utf8_parts(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and offsets (from 0, int64) of a string or binary array; null: empty."""
     if isinstance(array, pa.ChunkedArray):

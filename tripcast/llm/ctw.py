@@ -36,7 +36,6 @@ from __future__ import annotations
 
 import functools
 import math
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,11 +46,12 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripcast.llm.common import id_mod, mix, n_shuffle, stored, table, utf8_parts
+from tripcast.llm.common import Scratch, give_back, id_mod, mix, n_shuffle, stored, table, utf8_parts
 
 DEPTH, TOP, BLOCK_BYTES, GROUP_BYTES, MARK = 6, 2, 16 << 20, 4 << 20, 0xFF
 PIECE = 1 << 20  # bytes whose runs are held at once; a run takes some 60 bytes meanwhile
 GROUPS_PER_SALT = 32
+VALUE_UNIT = 2.0 ** -38  # of log probabilities on their way back to a block
 _SMALL = 4096  # counts up to here have their log gamma looked up
 _LN2 = math.log(2)
 
@@ -118,7 +118,7 @@ def _risen(data: bytes) -> np.ndarray:
 
 def _sealed(batches: list[pa.RecordBatch]) -> bytes:
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, batches[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+    with pa.ipc.new_stream(sink, batches[0].schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 6))) as writer:
         for batch in batches:
             writer.write_batch(batch)
     return sink.getvalue().to_pybytes()
@@ -152,32 +152,37 @@ def _blocks(rows: DataFrame, block_bytes: int) -> DataFrame:
                     made, held, size = made + 1, [], 0
         if held:
             yield block()
+        give_back()
 
     return rows.mapInArrow(run, "block long, n_bytes long, docs binary")
 
 
 # --- Words and runs of a block -----------------------------------------------------
 
-def _word_pieces(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, pa.Array]]:
-    """Piece by piece the text and the number of every word, and the piece's
-    distinct words; pieces end at white space or with a text."""
-    raw, off = utf8_parts(pc.ascii_lower(texts))
+def _word_cuts(raw: np.ndarray, off: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Pieces of the texts that end at white space or with a text, never inside a word."""
     at = 0
     while at < len(raw):
-        end = min(at + 4 * PIECE, len(raw))
-        if end < len(raw):
-            data = raw[at:end]
+        end = at + 4 * PIECE
+        while end < len(raw):
+            nearest = int(off[np.searchsorted(off, end, side="right") - 1])  # where the last text in the piece begins
+            data = raw[max(at, nearest):end]
             gaps = np.flatnonzero((data == 32) | ((data >= 9) & (data <= 13)))
-            nearest = off[np.searchsorted(off, end, side="right") - 1]  # where the last text begins
-            cut = max(at + int(gaps[-1]) + 1 if len(gaps) else 0, int(nearest))
-            while cut <= at:  # a word longer than a piece: to its end
-                more = min(end + 4 * PIECE, len(raw))
-                gaps = np.flatnonzero((raw[end:more] == 32) | ((raw[end:more] >= 9) & (raw[end:more] <= 13)))
-                following = int(off[np.searchsorted(off, end, side="left")])
-                cut = min(end + int(gaps[0]) + 1 if len(gaps) else more, following)
-                if not len(gaps) and cut == more < following:
-                    cut, end = at, more
-            end = cut
+            cut = max(at, nearest) + int(gaps[-1]) + 1 if len(gaps) else nearest
+            if cut > at:
+                end = cut
+                break
+            end += 4 * PIECE  # a word longer than a piece
+        end = min(end, len(raw))
+        yield at, end
+        at = end
+
+
+def _words(texts: pa.Array) -> tuple[list[tuple[np.ndarray, np.ndarray]], pa.Array]:
+    """Piece by piece the text and the number of every word, and the distinct words by number."""
+    raw, off = utf8_parts(pc.ascii_lower(texts))
+    pieces, found = [], []
+    for at, end in _word_cuts(raw, off):
         data = raw[at:end]
         space = (data == 32) | ((data >= 9) & (data <= 13))
         begin = ~space
@@ -190,14 +195,15 @@ def _word_pieces(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, pa.A
         offsets = np.append(kept[first], kept[-1]).astype(np.int64)
         array = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(first), [None, pa.py_buffer(offsets), pa.py_buffer(data[~space])])
         coded = array.dictionary_encode()
-        yield (np.searchsorted(off, first + at, side="right") - 1,
-               coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary)
-        at = end
-
-
-def _distinct_words(texts: pa.Array) -> pa.Array:
-    found = [d for _, _, d in _word_pieces(texts)]
-    return pa.concat_arrays(found).dictionary_encode().dictionary if found else pa.array([], pa.large_binary())
+        n = np.diff(np.searchsorted(first, np.clip(off - at, 0, end - at)))  # words of each text in the piece
+        pieces.append((np.repeat(np.arange(len(n), dtype=np.int32), n), coded.indices.to_numpy(zero_copy_only=False)))
+        found.append(coded.dictionary)
+    if not found:
+        return [], pa.array([], pa.large_binary())
+    joined = pa.concat_arrays(found).dictionary_encode()
+    number = joined.indices.to_numpy(zero_copy_only=False)
+    first = np.cumsum([0, *map(len, found)])
+    return [(doc, number[a:b][word]) for (doc, word), a, b in zip(pieces, first, first[1:])], joined.dictionary
 
 
 def _run_pieces(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -205,20 +211,22 @@ def _run_pieces(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     raw, off = utf8_parts(texts)
     n = len(off) - 1
     seq = np.full(len(raw) + n * (DEPTH + 1) + DEPTH, MARK, np.uint8)  # DEPTH marks before a text, one behind it
+    coded = np.zeros(len(seq), bool)
     begin = off[:-1] + np.arange(n) * (DEPTH + 1) + DEPTH
+    size = np.diff(off) + 1
     for i in range(n):
-        seq[begin[i]:begin[i] + off[i + 1] - off[i]] = raw[off[i]:off[i + 1]]
-    starts = off[:-1] + np.arange(n)  # of the texts, among their bytes and end marks
-    total = len(raw) + n
-    for a in range(0, total, PIECE):
-        place = np.arange(a, min(a + PIECE, total))
-        owner = np.searchsorted(starts, place, side="right") - 1
-        at = place + (owner + 1) * DEPTH
-        code = np.zeros(len(at), np.int64)
-        for k in range(DEPTH, -1, -1):
-            code <<= 8
-            code |= seq[at - k]
-        yield code, owner
+        seq[begin[i]:begin[i] + size[i] - 1] = raw[off[i]:off[i + 1]]
+        coded[begin[i]:begin[i] + size[i]] = True
+    for a in range(DEPTH, len(seq), PIECE):
+        b = min(a + PIECE, len(seq))
+        part = seq[a - DEPTH:b].astype(np.int64)
+        code = part[DEPTH:].copy()
+        for k in range(1, DEPTH + 1):
+            code |= part[DEPTH - k:-k] << 8 * k
+        first, last = np.searchsorted(begin, [a, b])
+        first = max(first - 1, 0)
+        inside = np.clip(begin[first:last] + size[first:last], a, b) - np.clip(begin[first:last], a, b)
+        yield code[coded[a:b]], np.repeat(np.arange(first, last), inside)
 
 
 def _tallied(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -244,8 +252,36 @@ def _runs(texts: pa.Array, train: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return _tallied(*map(np.concatenate, zip(*held)))
 
 
+def _distinct_runs(texts: pa.Array) -> np.ndarray:
+    """The runs of :func:`_runs` alone."""
+    held: list[np.ndarray] = []
+    for code, _ in _run_pieces(texts):
+        held.append(_sorted_set(code))
+        if len(held) == 8:
+            held = [_sorted_set(np.concatenate(held))]
+    return _sorted_set(np.concatenate(held)) if held else np.zeros(0, np.int64)
+
+
+def _sorted_set(x: np.ndarray) -> np.ndarray:
+    x = np.sort(x)
+    return x[np.diff(x, prepend=x[:1] - 1) != 0]
+
+
+def _together(code: np.ndarray) -> np.ndarray:
+    """An order of at most PIECE runs by all but their last bits, so that most equal
+    ones are side by side: sorting numbers is much faster than sorting places."""
+    bits = PIECE.bit_length() - 1
+    high = code.astype(np.uint64) >> np.uint64(8 * (DEPTH + 1) + bits - 64) << np.uint64(bits)
+    return (np.sort(high | np.arange(len(code), dtype=np.uint64)) & np.uint64(PIECE - 1)).astype(np.int64)
+
+
 def _word_group(words: pa.Array, groups: int) -> np.ndarray:
-    return np.fromiter((zlib.crc32(w) % groups for w in words.to_pylist()), np.int64, len(words))
+    """Group of each word by a hash of its bytes and their places."""
+    raw, off = utf8_parts(words)
+    if not len(words):
+        return np.zeros(0, np.int64)
+    place = np.arange(len(raw)) - np.repeat(off[:-1], np.diff(off))
+    return (mix(np.add.reduceat(mix(raw + (place.astype(np.uint64) << np.uint64(8))), off[:-1])) % np.uint64(groups)).astype(np.int64)
 
 
 def _run_group(runs: np.ndarray, groups: int, salts: int) -> np.ndarray:
@@ -284,16 +320,16 @@ def _word_features(blocks: DataFrame, groups: int) -> DataFrame:
             for block, data in zip(batch.column(0).to_pylist(), batch.column(1)):
                 docs = _opened(data.as_py())
                 train, texts = _train_flags(docs), _texts(docs)
-                distinct = _distinct_words(texts)
+                pieces, distinct = _words(texts)
                 n = np.zeros(len(distinct) + 1, np.int64)
-                for doc, word, known in _word_pieces(texts):
-                    at = pc.index_in(known, value_set=distinct).to_numpy().astype(np.int64)
-                    np.add.at(n, at[word], train[doc])
+                for doc, word in pieces:
+                    n += np.bincount(word, weights=train[doc], minlength=len(n)).astype(np.int64)
                 n[-1] = train.sum()  # the end token, an empty word
                 words = distinct.to_pylist() + [b""]
                 parts = [(g, zstandard.ZstdCompressor(level=1).compress(b" ".join([words[i] for i in at]) + b"|"), _packed(n[at]))
                          for g, at in _by_group(np.append(_word_group(distinct, groups), 0))]
                 yield _feature_rows(block, parts, "words")
+        give_back()
 
     return blocks.select("block", "docs").mapInArrow(run, "part int, block long, words binary, n binary")
 
@@ -307,6 +343,7 @@ def _run_features(blocks: DataFrame, groups: int, salts: int) -> DataFrame:
                 runs, n = _runs(_texts(docs), _train_flags(docs))
                 parts = [(g, _rising(runs[at]), _packed(n[at])) for g, at in _by_group(_run_group(runs, groups, salts))]
                 yield _feature_rows(block, parts, "runs")
+        give_back()
 
     return blocks.select("block", "docs").mapInArrow(run, "part int, block long, runs binary, n binary")
 
@@ -445,11 +482,12 @@ def _merged_runs(rows: pa.Table) -> pa.Table:
 
 
 def _values(merged: DataFrame, top) -> DataFrame:
-    """(block, part, value): log probabilities of each block's runs of a group, in its order."""
+    """(block, part, value): log probabilities of each block's runs of a group, in
+    its order, in units of VALUE_UNIT."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, runs, n, blocks, places in zip(*batch.columns):
-                value = Trees(_risen(runs.as_py()), _unpacked(n.as_py())).log_probability(top.value)
+                value = np.rint(Trees(_risen(runs.as_py()), _unpacked(n.as_py())).log_probability(top.value) / VALUE_UNIT).astype(np.int64)
                 for block, place in zip(blocks.values.to_pylist(), places.values):
                     yield pa.RecordBatch.from_arrays([
                         pa.array([block]), pa.array([part.as_py()], pa.int32()),
@@ -468,27 +506,29 @@ def _scored(docs: pa.Table, words: dict[int, bytes], runs: dict[int, bytes], wor
             unit: float) -> pa.Table:
     """Scores of a block's documents from the packed counts and log probabilities of each group."""
     texts, n = _texts(docs), docs.num_rows
-    distinct = _distinct_words(texts)
+    pieces, distinct = _words(texts)
     count = np.zeros(len(distinct) + 1, np.int64)
     for g, at in _by_group(np.append(_word_group(distinct, word_groups), 0)):
         count[at] = _unpacked(words[g])
     logs = np.log10(count + 0.1)
     tokens, known = np.ones(n, np.int64), np.full(n, int(count[-1] > 0))
     base = np.full(n, logs[-1])
-    for doc, word, own in _word_pieces(texts):
-        at = pc.index_in(own, value_set=distinct).to_numpy().astype(np.int64)[word]
+    for doc, word in pieces:
         tokens += np.bincount(doc, minlength=n)
-        known += np.bincount(doc, weights=count[at] > 0, minlength=n).astype(np.int64)
-        base += np.bincount(doc, weights=logs[at], minlength=n)
-    keys, _ = _runs(texts, np.zeros(n, np.int64))
+        known += np.bincount(doc, weights=count[word] > 0, minlength=n).astype(np.int64)
+        base += np.bincount(doc, weights=logs[word], minlength=n)
+    keys = _distinct_runs(texts)
     lp = np.zeros(len(keys))
     for g, at in _by_group(_run_group(keys, run_groups, salts)):
-        lp[at] = _unpacked(runs[g], np.float64)
+        lp[at] = _unpacked(runs[g]) * VALUE_UNIT
     score = np.zeros(n)
     for code, owner in _run_pieces(texts):
-        coded = pa.array(code).dictionary_encode()
-        mine = lp[np.searchsorted(keys, coded.dictionary.to_numpy())]
-        score += np.bincount(owner, weights=mine[coded.indices.to_numpy()], minlength=n)
+        order = _together(code)
+        code = code[order]
+        first = np.flatnonzero(np.diff(code, prepend=-1))
+        mine = np.empty(len(code))
+        mine[order] = np.repeat(lp[np.searchsorted(keys, code[first])], np.diff(np.append(first, len(code))))
+        score += np.bincount(owner, weights=mine, minlength=n)
     return pa.Table.from_arrays([
         docs.column("id").combine_chunks(), docs.column("train").combine_chunks(),
         pc.binary_length(texts).cast(pa.int64()), pa.array(tokens), pa.array(known), pa.array(base - tokens * unit), pa.array(score)],
@@ -503,17 +543,18 @@ def score(docs: DataFrame, train: Column, text_col: str = "text", id_col: str =
     spark = docs.sparkSession
     d = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
                     F.coalesce(train, F.lit(False)).alias("train"))
-    blocks = stored(_blocks(d, block_bytes), "blocks")
+    scratch = Scratch(spark)
+    blocks = scratch.stored(_blocks(d, block_bytes), "blocks")
     size = blocks.agg(F.sum("n_bytes").alias("n")).first()["n"] or 0
     # Groups of a few MB of text each; where they are many, subtrees are cut so that none outgrows its share.
     run_groups = max(n_shuffle(spark), -(-size // group_bytes))
     word_groups = max(n_shuffle(spark), -(-size // (8 * group_bytes)))
     salts = min(256, max(1, run_groups // groups_per_salt))
-    words = stored(_word_features(blocks, word_groups).groupBy("part").applyInArrow(
+    words = scratch.stored(_word_features(blocks, word_groups).groupBy("part").applyInArrow(
         _merged_words, "block long, part int, n binary, tokens long, known long"), "words")
     sums = words.agg(F.sum("tokens").alias("n"), F.sum("known").alias("v")).first()
     total, vocabulary = sums["n"] or 0, sums["v"] or 0
-    merged = stored(_run_features(blocks, run_groups, salts).groupBy("part").applyInArrow(
+    merged = scratch.stored(_run_features(blocks, run_groups, salts).groupBy("part").applyInArrow(
         _merged_runs, "part int, runs binary, n binary, blocks array<long>, places array<binary>, node array<int>, "
         "total array<double>, ones array<double>, child array<double>"), "runs")
     rows = (merged.select(F.explode(F.arrays_zip("node", "total", "ones", "child")).alias("r")).select("r.*").groupBy("node")
@@ -534,6 +575,8 @@ def score(docs: DataFrame, train: Column, text_col: str = "text", id_col: str =
 
     out = blocks.select("block", "docs").groupBy("block").cogroup(back.groupBy("block")).applyInArrow(
         scored, "doc_id long, train boolean, n_bytes long, n_tokens long, n_known long, base_score double, score double")
+    out = stored(out, "scores")
+    scratch.drop()
     return out.withColumn("train_tokens", F.lit(total).cast("long")).withColumn(
         "bits_per_byte", -F.col("score") / F.lit(math.log10(2)) / F.greatest("n_bytes", F.lit(1)))
 
