@@ -46,5 +46,5 @@ def test_stages_keep_the_columns_of_documents(spark):
 
 
 def test_registry():
-    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 14)]
     assert set(ORACLE_SQL) <= set(QUERIES)

@@ -23,12 +23,17 @@ components; texts that share a band meet in a bucket.  Each text is verified
 against the likeliest bucket leader first.  What a bucket then still holds of
 different classes is compared exhaustively: a bucket of a few texts as pairs, a
 larger one in blocks of bounded size inside tasks, which return the links that
-join classes and never the pairs.  Pairs whose
+join classes and never the pairs; the members of its largest class are compared
+with the others only, which are sent to them, so each is moved as often as the
+others fill blocks.  Pairs whose
 signatures agree far less than the threshold are set aside (``slack``: more
 than five standard errors), all others are verified exactly on whole texts.
 Pairs inside one class need no test.
 
-Edge cases: a text that is null or has no word is a class of its own; a null
+A text or word sequence that very many share is dealt over salts or met by a
+broadcast of at most a few rows a partition, never gathered in one task.
+
+Edge cases: ids are whole numbers.  A text that is null or has no word is a class of its own; a null
 id gets a null class.  Rows that repeat an id are one document.  With M = 160
 components and 32 bands of 5, a pair at similarity 0.8 is missed by all bands
 with probability 3e-6.
@@ -45,14 +50,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tripcast.llm.common import mix, n_shuffle, slices, stored, table, utf8_parts
+from tripcast.llm.common import Scratch, give_back, mix, n_shuffle, slices, stored, table, utf8_parts
 from tripcast.llm.components import components
 from tripcast.operators.broadcast import checked_broadcast
 
 BANDS, ROWS, SHINGLE = 32, 5, 5
 M = BANDS * ROWS
 THRESHOLD, SLACK = 0.8, 0.18
-FEW, BLOCK_ROWS, BLOCK_SHINGLES = 8, 2048, 1 << 20
+FEW, BLOCK_ROWS, BLOCK_SHINGLES = 8, 2048, 1 << 19
+SLICE = 1 << 19  # bytes of text worked on together; a byte takes some 50 meanwhile
 _BASE, _INVERSE = np.uint64(0x9E3779B97F4A7C15), np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _BYTE = mix(np.arange(256, dtype=np.uint64) + np.uint64(0x51ED27))
 _POWERS: dict[int, np.ndarray] = {}
@@ -71,13 +77,14 @@ def _kinds() -> np.ndarray:
 
 
 def _powers(base: np.uint64, n: int) -> np.ndarray:
-    """base ** 0 .. base ** (n - 1), modulo 2 ** 64."""
+    """base ** 0 .. base ** (n - 1), modulo 2 ** 64; kept for up to a slice."""
     have = _POWERS.get(int(base))
     if have is None or len(have) < n:
-        have = np.full(max(n, 1 << 16), base, np.uint64)
+        have = np.full(max(n, SLICE + (SLICE >> 3)), base, np.uint64)
         have[0] = 1
         have = np.multiply.accumulate(have)
-        _POWERS[int(base)] = have
+        if n <= SLICE + (SLICE >> 3):
+            _POWERS[int(base)] = have
     return have[:n]
 
 
@@ -180,7 +187,7 @@ def _signed(docs: DataFrame, text_col: str, id_col: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["id", "k1", "k2", "n", "sig", "bands"]
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE):
                 raw, off = utf8_parts(pc.utf8_lower(pc.fill_null(part.column(1), "")))
                 count = len(off) - 1
                 sh, doc, k1, k2 = shingles(raw, off)
@@ -196,6 +203,7 @@ def _signed(docs: DataFrame, text_col: str, id_col: str) -> DataFrame:
                     pa.FixedSizeBinaryArray.from_buffers(pa.binary(M), count, [None, pa.py_buffer(sig.tobytes())]).cast(pa.binary()),
                     pa.ListArray.from_arrays(pa.array(np.arange(count + 1) * BANDS, pa.int32()),
                                              pa.array(bands.ravel()))], names=names)
+        give_back()
 
     d = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     return d.mapInArrow(run, "id long, k1 long, k2 long, n long, sig binary, bands array<long>")
@@ -212,10 +220,17 @@ def _likeness(pairs: DataFrame) -> DataFrame:
     return pairs.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long, est double")
 
 
+def _paired(pairs: DataFrame, side: DataFrame, value: str, names: tuple[str, str]) -> DataFrame:
+    """(a, b) with the ``value`` of both.  The partners of one ``a`` are dealt over
+    salts, and only ``a`` itself is sent once per salt that it has partners in."""
+    salted = pairs.select("a", "b").withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(n_shuffle(pairs.sparkSession))).cast("int"))
+    first = salted.select("a", "salt").distinct().join(side.select(F.col("id").alias("a"), F.col(value).alias(names[0])), "a")
+    second = salted.join(side.select(F.col("id").alias("b"), F.col(value).alias(names[1])), "b")
+    return second.join(first, ["a", "salt"]).select("a", "b", *names)
+
+
 def _estimated(pairs: DataFrame, sigs: DataFrame, least: float) -> DataFrame:
-    both = (pairs.join(sigs.select(F.col("id").alias("a"), F.col("sig").alias("sa")), "a")
-            .join(sigs.select(F.col("id").alias("b"), F.col("sig").alias("sb")), "b"))
-    return _likeness(both).filter(F.col("est") >= least)
+    return _likeness(_paired(pairs, sigs, "sig", ("sa", "sb"))).filter(F.col("est") >= least)
 
 
 def similarity(batch_a: pa.Array, batch_b: pa.Array) -> np.ndarray:
@@ -236,16 +251,15 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
     """The pairs (a, b) whose texts are similar enough."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "ta"):
-                for piece in slices(part, "tb"):
+            for part in slices(batch, "ta", SLICE):
+                for piece in slices(part, "tb", SLICE):
                     sim = similarity(piece.column(2), piece.column(3))
                     good = np.flatnonzero(sim >= threshold - 1e-12)
                     yield pa.RecordBatch.from_arrays([piece.column(0).take(pa.array(good)), piece.column(1).take(pa.array(good)),
                                                       pa.array(sim[good])], names=["a", "b", "sim"])
+        give_back()
 
-    both = (pairs.select("a", "b").join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a")
-            .join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b"))
-    return both.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long, sim double")
+    return _paired(pairs, texts, "text", ("ta", "tb")).mapInArrow(run, "a long, b long, sim double")
 
 
 def _block_links(group: pa.Table, threshold: float, least: float) -> pa.Table:
@@ -258,8 +272,13 @@ def _block_links(group: pa.Table, threshold: float, least: float) -> pa.Table:
     sig = np.frombuffer(utf8_parts(group.column("sig"))[0], np.uint8).reshape(n, M)
     bands = group.column("bands").combine_chunks().flatten().to_numpy().reshape(n, BANDS)
     band = int(np.flatnonzero(bands[0] == here)[0])
-    raw, off = utf8_parts(pc.utf8_lower(pc.fill_null(group.column("text"), "")))
-    sh, doc, _, _ = shingles(raw, off)
+    parts, done = [], 0
+    for batch in group.select(["text"]).to_batches():
+        for part in slices(batch, "text", SLICE):
+            sh, doc, _, _ = shingles(*utf8_parts(pc.utf8_lower(pc.fill_null(part.column(0), ""))))
+            parts.append((sh, doc + done))
+            done += part.num_rows
+    sh, doc = (np.concatenate(x) for x in zip(*parts))
     order = np.lexsort((sh, doc))
     sh, doc = sh[order], doc[order]
     first = np.flatnonzero(np.concatenate([[True], (sh[1:] != sh[:-1]) | (doc[1:] != doc[:-1])])) if len(sh) else np.zeros(0, int)
@@ -309,10 +328,21 @@ def _exhaustive(now: DataFrame, sigs: DataFrame, texts: DataFrame, threshold: fl
     right = left.toDF("bucket", "b", "cb")
     pairs = left.join(right, "bucket").filter("a < b and ca <> cb").select("a", "b").distinct()
     small = _verified(_estimated(pairs, sigs, least), texts, threshold)
-    blocks = F.greatest(F.ceil(F.col("size") / BLOCK_ROWS), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int").alias("blocks")
-    rows = now.select("bucket", "id", "c").join(many.select("bucket", blocks), "bucket")
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+    # The largest class of each bucket and the rest, in blocks: rest 0 .. r - 1, class r .. r + m - 1.
+    held = now.join(many.select("bucket"), "bucket", "left_semi").groupBy("bucket", "c").agg(
+        F.count(F.lit(1)).alias("size"), F.sum("n").alias("shingles"))
+    main = F.max(F.struct("size", (-F.col("c")).alias("c"), "shingles"))
+    part = lambda size, n: F.greatest(F.ceil(size / BLOCK_ROWS), F.ceil(n / BLOCK_SHINGLES)).cast("int")
+    cut = held.groupBy("bucket").agg(F.sum("size").alias("size"), F.sum("shingles").alias("n"), main.alias("l")).select(
+        "bucket", (-F.col("l.c")).alias("main"), part(F.col("size") - F.col("l.size"), F.col("n") - F.col("l.shingles")).alias("r"),
+        part(F.col("l.size"), F.col("l.shingles")).alias("m"))
+    rows = now.select("bucket", "id", "c").join(cut, "bucket")
+    own = F.xxhash64("id")
+    inside = F.col("c") == F.col("main")
+    rows = rows.withColumn("block", F.when(inside, F.col("r") + F.pmod(own, F.col("m"))).otherwise(F.pmod(own, F.col("r"))).cast("int"))
+    # A row of the class meets every block of the rest; one of the rest every block there is.
+    last = F.when(inside, F.col("r")).otherwise(F.col("r") + F.col("m")) - 1
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), last))).select(
         "bucket", "id", "c", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
     rows = rows.join(sigs.select("id", "sig", "bands"), "id").join(texts, "id")
     large = rows.groupBy("bucket", "i", "j").applyInArrow(lambda t: _block_links(t, threshold, least), "a long, b long, sim double")
@@ -330,24 +360,25 @@ def classes(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", thr
             slack: float = SLACK) -> DataFrame:
     """One row per distinct id: id, class_id (smallest id of the class) and
     n_words_shingled; the id column keeps its name."""
-    signed = stored(_signed(docs, text_col, id_col), "signed")
+    scratch = Scratch(docs.sparkSession)
+    signed = scratch.stored(_signed(docs, text_col, id_col), "signed")
     rows = signed.filter("n > 0 and id is not null").select("id", "k1", "k2")
-    copies = rows.groupBy("k1", "k2").agg(F.min("id").alias("rep"))
+    copies = scratch.stored(rows.groupBy("k1", "k2").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("times")), "copies")
     reps = copies.groupBy(F.col("rep").alias("id")).agg(F.min(F.struct("k1", "k2")).alias("k"))
     sigs = (signed.filter("n > 0").join(reps, "id").filter("k1 = k.k1 and k2 = k.k2")
             .select("id", "sig", "bands", "n"))
     # Buckets with at least two texts: (band hash, id); the band is part of its hash.
     at = sigs.select("id", F.explode("bands").alias("bucket"))
     shared = at.groupBy("bucket").agg(F.min("id").alias("lead"), F.count(F.lit(1)).alias("size")).filter("size > 1")
-    met = stored(at.join(shared.select("bucket", "lead"), "bucket"), "met")
+    met = scratch.stored(at.join(shared.select("bucket", "lead"), "bucket"), "met")
     involved = met.select("id").distinct()
-    sigs = stored(sigs.join(involved, "id", "left_semi").dropDuplicates(["id"]), "sigs")
+    sigs = scratch.stored(sigs.join(involved, "id", "left_semi").dropDuplicates(["id"]), "sigs")
     texts = (docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
              .join(involved, "id", "left_semi"))
     duplicated = not signed.groupBy("id").count().filter("count > 1 and id is not null").isEmpty()
     if duplicated:  # an id with several texts stands for its first representative text
         texts = texts.groupBy("id").agg(F.min("text").alias("text"))
-    texts = stored(texts, "texts")  # read in every round
+    texts = scratch.stored(texts, "texts")  # read in every round
     least = threshold - slack
     few = max(1, n_shuffle(docs.sparkSession) // 2)
 
@@ -355,20 +386,35 @@ def classes(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", thr
         return pairs.groupBy("b").agg(F.max_by("a", F.struct("est", -F.col("a"))).alias("a"))
 
     stars = met.select(F.col("lead").alias("a"), F.col("id").alias("b")).filter("a <> b").distinct()
-    links = stored(_verified(best_partner(_estimated(stars, sigs, least)), texts, threshold).coalesce(few), "links")
+    links = scratch.stored(_verified(best_partner(_estimated(stars, sigs, least)), texts, threshold).coalesce(few), "links")
     labels = components(links)
     # What a bucket still holds of different classes is compared exhaustively.
     now = _with_class(met.select("bucket", "id"), labels)
     mixed = now.groupBy("bucket").agg(F.min("c").alias("x"), F.max("c").alias("y")).filter("x <> y")
-    now = stored(now.join(mixed.select("bucket"), "bucket", "left_semi"), "mixed")
+    now = scratch.stored(now.join(mixed.select("bucket"), "bucket", "left_semi"), "mixed")
     if not now.isEmpty():
         found = _exhaustive(now.join(sigs.select("id", "n"), "id"), sigs, texts, threshold, least)
         labels = components(links.unionByName(found))
-    member = _with_class(copies.withColumnRenamed("rep", "id"), labels).select("k1", "k2", "c")
-    out = signed.select("id", "k1", "k2", "n").join(member, ["k1", "k2"], "left")
-    return out.groupBy("id").agg(
-        F.min(F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.col("c")).otherwise(F.col("id"))).alias("class_id"),
-        F.max("n").alias("n_shingles")).withColumnRenamed("id", id_col)
+    member = _with_class(copies.withColumnRenamed("rep", "id"), labels).select("k1", "k2", "c", "times")
+    out = _members(signed, member).groupBy("id").agg(F.min("c").alias("class_id"), F.max("n").alias("n_shingles"))
+    out = stored(out.withColumnRenamed("id", id_col), "classes")
+    scratch.drop()
+    return out
+
+
+def _members(signed: DataFrame, member: DataFrame) -> DataFrame:
+    """(id, n, c): rows with the class of their word sequence; rows without words or
+    id are by themselves.  Word sequences that hold more rows than half a
+    partition's share, at most two a partition, are broadcast."""
+    rows = signed.select("id", "k1", "k2", "n")
+    alone = (F.col("n") == 0) | F.col("id").isNull()
+    total = signed.count()
+    share = total / (2 * n_shuffle(signed.sparkSession))
+    heavy = F.broadcast(member.filter(F.col("times") > share).select("k1", "k2", F.col("c").alias("hot")))
+    marked = rows.filter(~alone).join(heavy, ["k1", "k2"], "left")
+    rest = marked.filter("hot is null").drop("hot").join(member.filter(F.col("times") <= share).select("k1", "k2", "c"), ["k1", "k2"], "left")
+    return (rest.select("id", "n", "c").unionByName(marked.filter("hot is not null").select("id", "n", F.col("hot").alias("c")))
+            .unionByName(rows.filter(alone).select("id", "n", F.col("id").alias("c"))))
 
 
 def one_per_class(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",

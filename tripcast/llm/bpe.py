@@ -19,6 +19,8 @@ import numpy as np
 import tiktoken
 from tokenizers import Tokenizer
 
+from tripcast.llm.common import held
+
 # Fixed value: the split pattern of byte-level BPE (public_tokenizers.PATTERN).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -84,12 +86,11 @@ class Encoder:
         return b"".join([self.bytes_of[i] for i in ids]).decode("utf-8", "replace")
 
 
-@functools.lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
-    return Encoder(path)
+    return held(("encoder", path), lambda: Encoder(path))
 
 
-@functools.lru_cache(maxsize=2)
+@functools.lru_cache(maxsize=1)
 def library(path: str) -> Tokenizer:
     """The tokenizers library itself, without truncation or padding."""
     t = Tokenizer.from_file(path)

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripcast.llm.common import slices, table, utf8_parts
+from tripcast.llm.common import give_back, held, slices, stored, table, utf8_parts
 
 Q = 8  # a q-gram is one 64-bit word
 RATE = 0.1
@@ -269,9 +269,8 @@ def _align_banded(jobs: list, chosen: list[int], out: list) -> None:
                 return
 
 
-@functools.lru_cache(maxsize=2)
 def _index(items: Items) -> Index:
-    return Index(items)
+    return held(("items", items), lambda: Index(items))
 
 
 def _scan(docs: DataFrame, items: Items, text_col: str) -> DataFrame:

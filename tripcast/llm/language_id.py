@@ -26,7 +26,6 @@ other columns are carried along, and a column named like an output is replaced.
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -37,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripcast.llm.common import id_mod, slices, table, utf8_parts
+from tripcast.llm.common import give_back, held, id_mod, slices, table, utf8_parts
 from tripcast.operators.broadcast import checked_broadcast
 
 BLOCK = 1024
@@ -124,8 +123,11 @@ def _suffix_automaton(data: bytes) -> list[dict[int, int]]:
     return nxt
 
 
-@functools.lru_cache(maxsize=2)
 def _tables(model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return held(("language", model), lambda: _built(model))
+
+
+def _built(model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Dense table over all automata, symbol of each byte, root of each language.
 
     An entry holds ``next state * symbols`` above two bits that count the
@@ -215,6 +217,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
                 letters = part.column(part.schema.get_field_index("__letters")).to_numpy(zero_copy_only=False)
                 new = _decide(part.column(part.schema.get_field_index(text_col)), letters.astype(bool), model)
                 yield pa.RecordBatch.from_arrays([part.column(i) for i in range(len(keep))] + new, names=keep + names)
+        give_back()
 
     return flagged.mapInArrow(run, schema)
 
