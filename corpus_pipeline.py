@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripcast.llm import bagminhash, chunk_reuse, decontaminate, language_id
-from tripcast.llm.common import stored, table
+from tripcast.llm.common import Scratch, table
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,7 +46,9 @@ ORACLE_SQL = None  # trained and iterative stages; tests/llm holds the result ag
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of ``sf_dir``."""
-    docs = table(spark, sf_dir, "documents")
+    docs, kept = table(spark, sf_dir, "documents"), Scratch(spark)
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name)
+        before, kept = kept, Scratch(spark)
+        docs = kept.stored(stage(spark, docs, sf_dir), name)
+        before.drop()
     return STAGES[-1][1](spark, docs, sf_dir)
