@@ -1,5 +1,6 @@
 import html
 import re
+import time
 
 import pytest
 
@@ -54,6 +55,46 @@ def test_boilerplate_beside_an_article_stays_out():
     assert hm.main_text(page, "body") == "Short article text of the page."
 
 
+LINKS = "".join(f"<a href=x{i}>A link to another page {i}</a> " for i in range(5))
+
+
+@pytest.mark.parametrize("kept", [
+    "<header><h1>Social</h1></header>", "<h2 id=social>Social</h2>", "<h2 id=menu>Menu</h2>", "<h3 id='Share'>Share</h3>",
+    "<p class=hidden-xs>Shown on large screens</p>", "<p class='related-work'>Related work</p>", "<p class=promo>A promo</p>",
+    "<aside>A pull quote</aside>", "<p aria-hidden=true>Seen by all</p>", "<section id='comments-on-law'><p>Comments on law</p></section>",
+    "<p>Press <button>Start</button> <label>now</label></p>", "<section id=menu><h2>Menu</h2><p>What there is to eat</p></section>",
+    "<header class='entry-header'><h1>Title</h1></header>", "<footer>Written by the author</footer>", "<div class='social-sciences'>Sciences</div>",
+    "<div class=entry-footer>Filed under history</div>", "<ul id=cookies-i-like><li>Ginger</ul>", "<span class=ad>span</span>"])
+def test_article_text_is_kept(kept):
+    page = f"<body><nav><a href=x>Menu</a></nav><article><p>{'Words of the page, as many as it takes. ' * 5}</p>{kept}<p>More of it.</p></article></body>"
+    want = " ".join(re.sub("<[^>]*>", " ", kept).split())
+    lines = hm.main_text(page, "body>article").split("\n")
+    assert " ".join(" ".join(lines[1:-1]).split()) == want and lines[-1] == "More of it."
+
+
+@pytest.mark.parametrize("dropped", [
+    "<nav><a href=x>Menu</a></nav>", f"<aside>{LINKS}</aside>", "<div class=ad>Buy</div>", "<div class='advert-box'>Buy</div>", "<form><label>Name</label></form>",
+    f"<div class='social-sciences'>{LINKS}</div>", "<div id=comments><p>A reader</p></div>", "<section class='comments-area'><h2>Comments</h2><p>x</p></section>",
+    "<section id=comments><h2>Comments</h2><p>A reader says</p></section>", "<div class='cookie-notice'>We use</div>", "<ul class='share-buttons'><li>Mail</ul>",
+    "<div style='display: none'>x</div>", "<p hidden>x</p>", "<div role=navigation>x</div>", "<div class='newsletter signup'>x</div>", "<script>x</script>",
+    "<ol class=breadcrumb><li>Home</ol>", "<div class='left-sidebar'>x</div>"])
+def test_boilerplate_in_an_article_goes(dropped):
+    page = f"<body><article><p>{'Words of the page, as many as it takes. ' * 5}</p>{dropped}<p>More of it.</p></article></body>"
+    assert len(hm.main_text(page, "body>article").split("\n")) == 2
+
+
+@pytest.mark.parametrize("page", [
+    "<a " * 350_000, "<div>" * 200_000, "<div><p>x y z, a paragraph of some length</p>" * 25_000, "<div>" * 100_000 + "</b></i>" * 60_000,
+    "<b>" * 100_000 + "<div></div>" * 60_000, "<div>" * 100_000 + "<li>x" * 100_000, "<a \"" * 250_000 + ">", "<a '>" * 200_001, "<" * 1_000_000,
+    "<!--" * 250_000, "<ul>" * 90_000 + "<li>" * 90_000, "<p " + "a " * 500_000 + ">", "</p>" * 250_000, "<table><tr><td>" * 60_000,
+    "<p " + " " * 1_000_000 + ">x", "<i a='" * 150_000, "<title>" * 140_000, "&" * 1_000_000, "<p>&amp" * 140_000])
+def test_long_odd_pages_take_time_in_proportion(page):
+    began = time.perf_counter()
+    hm.main_text(page, "body>article")
+    hm.vote(page)
+    assert time.perf_counter() - began < 12  # each parses once; a MB
+
+
 def test_host_consensus_outvotes_a_page(spark):
     """A page whose sidebar looks better than its short article follows its host."""
     side = "<div class=extra><p>" + "many words, in a box, beside the article, of this page. " * 6 + "</p></div>"
