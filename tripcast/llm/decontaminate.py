@@ -10,9 +10,18 @@ q-grams are counted in overlapping bands of 2 * (k + 1) diagonals; bands that
 reach the bound are verified by an alignment restricted to the band.  Items
 shorter than q are searched for as they stand, between word edges.
 
-The benchmark's q-grams are shipped to the tasks in blocks of at most
-``block_chars`` characters, each block one pass over the documents without a
-shuffle, so what is broadcast is bounded whatever the benchmark's size.
+q-grams that stand in the same items at the same distances (those of an opening
+that many items share, or all of one item) are one posting list, counted once per
+diagonal and only then counted for its items.  A band that reaches the bound is first held
+against the lemma for the item's 3-grams: a stretch within k edits has all but 3k of them,
+so an item that shares no more than the opening is set aside without alignment.
+
+The benchmark is shipped to the tasks in blocks of at most ``block_chars``
+characters, each block one pass over the documents without a shuffle, so what is
+broadcast is bounded.  With several blocks each pass stores its few
+matches by a hash of the text, and they are joined back at the end, so a task holds one block.
+Hits are expanded in portions of PORTION, long texts in windows that overlap by
+the longest stretch an item can match.
 
 Edge cases: null or empty documents have no match, null or empty items (no
 letter or digit) match nothing; equal items and repeated documents each give
@@ -33,10 +42,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripcast.llm.common import give_back, held, slices, stored, table, utf8_parts
+from tripcast.operators.broadcast import checked_broadcast
 
 Q = 8  # a q-gram is one 64-bit word
 RATE = 0.1
 HASH_BITS = 20
+THIRDS = 256  # kinds of 3-grams told apart
+PORTION = 1 << 20  # hits expanded at once
 MATCH = T.StructType([T.StructField("item_id", T.LongType()), T.StructField("distance", T.IntegerType()),
                       T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())])
 MATCH_ARROW = pa.list_(pa.struct([("item_id", pa.int64()), ("distance", pa.int32()), ("start", pa.int32()),
@@ -93,6 +105,15 @@ def _words(codes: np.ndarray) -> np.ndarray:
     return np.ndarray((len(folded) - Q + 1,), "<u8", folded.tobytes(), strides=(1,)).copy()
 
 
+def _thirds(codes: np.ndarray) -> np.ndarray:
+    """Kind of the three characters from each position."""
+    c = codes.astype(np.uint32)
+    if len(c) < 3:
+        return np.zeros(0, np.int64)
+    h = c[:-2] * np.uint32(0x9E3779B1) + c[1:-1] * np.uint32(0x85EBCA77) + c[2:] * np.uint32(0xC2B2AE3D)
+    return ((h ^ h >> np.uint32(15)) * np.uint32(0x2C1B3C6D) >> np.uint32(24)).astype(np.int64)
+
+
 def _slot(words: np.ndarray) -> np.ndarray:
     return ((words * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - HASH_BITS)).astype(np.int64)
 
@@ -122,11 +143,29 @@ class Index:
         item = np.repeat(np.arange(len(grams)), [len(g) for g in grams])
         place = np.concatenate([np.arange(len(g)) for g in grams]) if grams else np.zeros(0, np.int64)
         words = np.concatenate(grams) if grams else np.zeros(0, np.uint64)
-        order = np.argsort(words, kind="stable")
-        self.item, self.place = item[order], place[order]
-        self.word, self.first, self.times = np.unique(words[order], return_index=True, return_counts=True)
+        order = np.lexsort((place, item, words))
+        item, place = item[order], place[order]
+        self.word, first, times = np.unique(words[order], return_index=True, return_counts=True)
+        # Posting lists: the items of a q-gram and their places from its first one on.
+        shift = place - np.repeat(place[first], times) if len(first) else place
+        lists: dict[bytes, int] = {}
+        self.list, self.base = np.zeros(len(self.word), np.int64), place[first] if len(first) else place
+        chosen = []
+        both = np.stack([item, shift], axis=1) if len(item) else np.zeros((0, 2), np.int64)
+        for w, (a, n) in enumerate(zip(first, times)):
+            number = lists.setdefault(both[a:a + n].tobytes(), len(lists))
+            if number == len(chosen):
+                chosen.append((a, n))
+            self.list[w] = number
+        self.times = np.array([n for _, n in chosen], np.int64)
+        self.first = np.cumsum(self.times) - self.times
+        entry = np.concatenate([np.arange(a, a + n) for a, n in chosen]) if chosen else np.zeros(0, np.int64)
+        self.item, self.shift = item[entry], shift[entry]
         self.maybe = np.zeros(1 << HASH_BITS, bool)
         self.maybe[_slot(self.word)] = True
+        self.thirds = np.zeros((len(self.codes), THIRDS), np.uint8)  # how often an item has 3-grams of each kind
+        for i, c in enumerate(self.codes):
+            self.thirds[i] = np.minimum(np.bincount(_thirds(c), minlength=THIRDS), 255)
 
     def candidates(self, codes: np.ndarray, off: np.ndarray) -> list[tuple[int, int, int, int]]:
         """(text, item, first and last diagonal relative to the text) of bands
@@ -142,24 +181,65 @@ class Index:
         doc = np.searchsorted(off, at, side="right") - 1
         inside = at + Q <= off[doc + 1]
         at, k, doc = at[inside], k[inside], doc[inside]
-        times = self.times[k]
-        entry = np.repeat(self.first[k], times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-        item, doc = self.item[entry], np.repeat(doc, times)
-        diagonal = np.repeat(at, times) - off[doc] - self.place[entry] + self.longest  # not negative
-        wide = self.budget[item] + 1
-        spread = int((np.diff(off).max(initial=0) + 2 * self.longest) + 2)
-        key, n = np.unique((doc * len(self.ids) + item) * spread + diagonal // wide, return_counts=True)
+        reach = self.longest + 2 * int(self.budget.max(initial=0)) + Q
+        found: set[tuple[int, int, int, int]] = set()
+        begin, weight = 0, np.concatenate([[0], np.cumsum(self.times[self.list[k]])])
+        while begin < len(at):
+            # A window of PORTION hits, or longer than it overlaps with the next one.
+            end = min(max(int(np.searchsorted(weight, weight[begin] + PORTION)), int(np.searchsorted(at, at[begin] + 2 * reach))), len(at))
+            found.update(self._bands(at[begin:end], k[begin:end], doc[begin:end], off))
+            if end == len(at):
+                break
+            begin = max(int(np.searchsorted(doc, doc[end])), int(np.searchsorted(at, at[end] - reach)))
+        return self._shared_enough(sorted(found), codes, off)
+
+    def _bands(self, at: np.ndarray, k: np.ndarray, doc: np.ndarray, off: np.ndarray) -> list[tuple[int, int, int, int]]:
+        """Bands that reach the bound by these hits."""
+        size = int((np.diff(off)[doc].max(initial=0) + 2 * self.longest) + 2)
+        diagonal = at - off[doc] - self.base[k] + self.longest  # of the list's first item
+        texts, text = np.unique(doc, return_inverse=True)
+        met, n = np.unique((text * len(self.times) + self.list[k]) * size + diagonal, return_counts=True)
+        diagonal, pair = met % size, met // size
+        own, text = pair % len(self.times), pair // len(self.times)
+        times = self.times[own]
+        entry = np.repeat(self.first[own], times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+        item, text, n = self.item[entry], np.repeat(text, times), np.repeat(n, times)
+        diagonal = np.repeat(diagonal, times) - self.shift[entry] + self.longest  # not negative
+        size += self.longest
+        key = (text * len(self.ids) + item) * size + diagonal // (self.budget[item] + 1)
+        order = key.argsort()
+        key, n = key[order], n[order]
+        first = np.flatnonzero(np.diff(key, prepend=key[:1] - 1))
+        if not len(first):
+            return []
+        key, n = key[first], np.add.reduceat(n, first)
         both = n.copy()  # a band and the next one
         follows = np.flatnonzero(key[1:] == key[:-1] + 1)
         both[follows] += n[follows + 1]
-        band, pair = key % spread, key // spread
-        item, doc = pair % len(self.ids), pair // len(self.ids)
+        band, pair = key % size, key // size
+        item = pair % len(self.ids)
         good = np.flatnonzero(both >= self.bound[item])
+        width = self.budget[item[good]] + 1
+        low = band[good] * width - 2 * self.longest
+        return list(zip(texts[pair[good] // len(self.ids)].tolist(), item[good].tolist(), low.tolist(), (low + 2 * width - 1).tolist()))
+
+    def _shared_enough(self, bands: list[tuple[int, int, int, int]], codes: np.ndarray, off: np.ndarray) -> list[tuple[int, int, int, int]]:
+        """The bands whose stretch of text has all but 3k of the item's 3-grams."""
         out = []
-        for g in good:
-            w = int(self.budget[item[g]]) + 1
-            low = int(band[g]) * w - self.longest
-            out.append((int(doc[g]), int(item[g]), low, low + 2 * w - 1))
+        for i in range(0, len(bands), 1024):
+            doc, item, low, high = (np.array(x) for x in zip(*bands[i:i + 1024]))
+            a = np.maximum(off[doc], off[doc] + low - self.budget[item])
+            b = np.minimum(off[doc + 1], off[doc] + high + self.budget[item] + self.size[item])
+            n = np.maximum(b - a, 0)
+            row = np.repeat(np.arange(len(doc)), n)
+            text = codes[np.repeat(a - np.cumsum(n) + n, n) + np.arange(n.sum())]
+            kind = _thirds(text)
+            row, whole = row[:max(len(text) - 2, 0)], row[:max(len(text) - 2, 0)] == row[2:]
+            seen = np.bincount(row[whole] * THIRDS + kind[whole], minlength=len(doc) * THIRDS).reshape(-1, THIRDS)
+            mine = self.thirds[item]
+            shared = np.minimum(mine, seen).sum(axis=1)
+            need = mine.sum(axis=1, dtype=np.int64) - 3 * self.budget[item]
+            out += [bands[i + j] for j in np.flatnonzero(shared >= need)]
         return out
 
     def matches(self, raw: np.ndarray, off: np.ndarray) -> list[list[tuple[int, int, int, int]]]:
@@ -286,6 +366,7 @@ def _scan(docs: DataFrame, items: Items, text_col: str) -> DataFrame:
                 rows = [[dict(zip(("item_id", "distance", "start", "end"), x)) for x in r] for r in got]
                 yield pa.RecordBatch.from_arrays([part.column(i) for i in range(len(keep))]
                                                  + [pa.array(rows, MATCH_ARROW)], names=keep + ["matches"])
+        give_back()
 
     return docs.select(*keep).mapInArrow(run, schema)
 
@@ -297,16 +378,27 @@ def scan(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col
         "i is not null and t is not null")
     total = items.agg(F.sum(F.char_length("t")).alias("n")).first()["n"] or 0
     blocks = -(-total // block_chars) or 1
-    out = docs.withColumn("matches", F.array().cast(T.ArrayType(MATCH))) if not total else None
-    for b in range(blocks if total else 0):
+    if not total:
+        return docs.withColumn("matches", F.array().cast(T.ArrayType(MATCH)))
+
+    def block(b: int) -> Items:
         rows = sorted(tuple(r) for r in items.filter(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == b).collect())
-        block = Items(tuple(i for i, _ in rows), tuple(t for _, t in rows), rate)
-        if out is None:
-            out = _scan(docs, block, text_col)
-        else:
-            out = _scan(out.withColumnRenamed("matches", "__before"), block, text_col).withColumn(
-                "matches", F.concat("__before", "matches")).drop("__before")
-    return out
+        return Items(tuple(i for i, _ in rows), tuple(t for _, t in rows), rate)
+
+    if blocks == 1:
+        return _scan(docs, block(0), text_col)
+    # Each pass over the texts stores its few matches, so a task holds one block's index.
+    key = [F.xxhash64(text_col).alias("__k1"), F.hash(F.lit(1), F.col(text_col)).alias("__k2")]
+    texts = docs.select(F.col(text_col).alias("__t"), *key)
+    found = None
+    for b in range(blocks):
+        mine = _scan(texts, block(b), "__t").filter(F.size("matches") > 0).dropDuplicates(["__k1", "__k2"])
+        mine = stored(mine.select("__k1", "__k2", "matches"), "matches")
+        found = mine if found is None else found.unionByName(mine)
+    found = found.groupBy("__k1", "__k2").agg(F.array_sort(F.flatten(F.collect_list("matches"))).alias("__m"))
+    keep = [c for c in docs.columns if c != "matches"]
+    out = docs.select(*keep, *key).join(checked_broadcast(stored(found, "found")), ["__k1", "__k2"], "left")
+    return out.select(*keep, F.coalesce("__m", F.array().cast(T.ArrayType(MATCH))).alias("matches"))
 
 
 def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
