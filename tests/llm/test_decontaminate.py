@@ -1,4 +1,7 @@
 import random
+import time
+
+import pytest
 
 from tests.llm.helpers import SF, docs
 from tripcast.llm import decontaminate as dc
@@ -67,3 +70,56 @@ def test_query_finds_every_verbatim_item(spark):
     got = QUERIES["op3_benchmark_decontamination"](spark, SF).collect()
     assert want and want <= {(r["doc_id"], r["item_id"]) for r in got}
     assert {(r["doc_id"], r["item_id"]) for r in got if r["distance"] == 0} == want
+
+
+OPENING = "the question below has one right answer, choose it and say why: "
+
+
+def _templated(n, seed=5):
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(3, 9)))
+    return [(i, OPENING + " ".join(word() for _ in range(8))) for i in range(n)], word
+
+
+@pytest.mark.parametrize("portion", [1 << 20, 50])
+def test_items_with_one_opening_equal_brute_force(monkeypatch, portion):
+    monkeypatch.setattr(dc, "PORTION", portion)
+    items, word = _templated(25)
+    rng = random.Random(6)
+    texts = [OPENING, OPENING * 3, "x " + OPENING + "something else altogether, of many words that no item has", ""]
+    for i in (3, 9, 17):
+        s = list(items[i][1])
+        for _ in range(i // 2):
+            s[rng.randrange(len(s))] = rng.choice("abc")
+        texts.append(" ".join(word() for _ in range(rng.randrange(60))) + " " + "".join(s) + " " + OPENING)
+    index = dc.Index(dc.Items(tuple(i for i, _ in items), tuple(t for _, t in items)))
+    raw, off = dc.utf8_parts(dc.pa.array(texts))
+    got = [{m[0]: m[1] for m in found} for found in index.matches(raw, off)]
+    hits = 0
+    for text, found in zip(texts, got):
+        for n, (i, item) in enumerate(items):
+            want = _distance(dc.normalised(item).tolist(), dc.normalised(text).tolist())
+            assert (i in found) == (want <= index.budget[n])
+            hits += i in found and found[i] == want
+    assert hits >= 3
+
+
+def test_a_shared_opening_costs_no_alignment():
+    """Documents that quote an opening of 5,000 items: every item is met, hardly one is aligned."""
+    items, _ = _templated(5000)
+    index = dc.Index(dc.Items(tuple(i for i, _ in items), tuple(t for _, t in items)))
+    texts = [f"document {k}, where someone writes. {OPENING}and then goes on about other things at some length" for k in range(40)]
+    raw, off = dc.utf8_parts(dc.pa.array(texts))
+    began = time.perf_counter()
+    assert index.matches(raw, off) == [[]] * 40
+    codes, noff, _ = dc._normalised(*dc._code_points(raw, off))
+    assert len(index.candidates(codes, noff)) < 4000  # of 200,000 pairs
+    assert time.perf_counter() - began < 12
+
+
+def test_blocks_of_items_give_the_same(spark):
+    items, _ = _templated(40)
+    rows = [(i, f"before {items[i % 40][1]} behind", None) for i in range(60)] + [(100, items[3][1], None), (101, items[3][1], None)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    want, got = [sorted(map(str, dc.scan(docs(spark, rows), bench, block_chars=n).collect())) for n in (4_000_000, 250)]  # 1 and 20 blocks
+    assert got == want
