@@ -99,8 +99,16 @@ def library(path: str) -> Tokenizer:
     return t
 
 
-# A cut before ASCII white space that follows a visible ASCII character is
-# stable: a match of the pattern holds white space only as its first character
-# or as a whole run, so the match that contains the visible character ends
-# there whatever comes before, and the one behind starts there whatever follows.
-STABLE = re.compile(rb"(?<=[!-~])(?=[\t-\r ])")
+# Stable cuts: a match of the pattern ends there whatever comes before, and the next one starts there whatever follows.
+# - Before ASCII white space that follows anything else: a match holds white space only as its first character or as a
+#   whole run.  Characters beyond ASCII count unless they are white space themselves.
+# - Between a letter of a script written without spaces and CJK punctuation, either way round: a match of letters holds
+#   no punctuation and a match of punctuation no letter.  Special tokens are ASCII and hold neither.
+# Fixed values in UTF-8: white space beyond ASCII is U+0085, U+00A0, U+1680, U+2000-U+200A, U+2028, U+2029, U+202F, U+205F
+# and U+3000; letters are U+3041-U+3096, U+30A1-U+30FA and U+5000-U+8FFF; punctuation is U+3001, U+3002, U+3008-U+3011,
+# U+FF01, U+FF08, U+FF09, U+FF0C, U+FF1A, U+FF1B and U+FF1F.
+_NO_SPACE = (rb"(?<!\xc2[\x85\xa0])(?<!\xe1\x9a\x80)(?<!\xe2\x80[\x80-\x8a\xa8\xa9\xaf])(?<!\xe2\x81\x9f)(?<!\xe3\x80\x80)")
+_LETTER = rb"(?:[\xe5-\xe8][\x80-\xbf][\x80-\xbf]|\xe3\x81[\x81-\xbf]|\xe3\x82[\x80-\x96\xa1-\xbf]|\xe3\x83[\x80-\xba])"
+_MARK = rb"(?:\xe3\x80[\x81\x82\x88-\x91]|\xef\xbc[\x81\x88\x89\x8c\x9a\x9b\x9f])"
+STABLE = re.compile(rb"(?<=[!-~\x80-\xbf])" + _NO_SPACE + rb"(?=[\t-\r ])|(?<=" + _LETTER + rb")(?=" + _MARK + rb")|(?<="
+                    + _MARK + rb")(?=" + _LETTER + rb")")

@@ -9,7 +9,8 @@ paths and how they become turns:
 * :func:`from_json`: one JSON document per row, layouts mixed freely.  The
   paths come from ``schema_of_variant`` row by row.
 * :func:`from_columns`: a DataFrame of one layout; the paths come from its
-  schema.  A table of single turns is one of the layouts.
+  schema.  A table of single turns is one of the layouts: its mapping also names the
+  column that groups rows and what of each row is gathered.
 
 Rows whose fingerprint has no mapping keep null turns and their fingerprint, so
 they can be counted and a mapping added; nothing is dropped.
@@ -68,18 +69,25 @@ def fingerprint(paths: list[str]) -> str:
 
 @dataclass(frozen=True)
 class Mapping:
-    """A layout: its field paths, how it becomes turns (SQL over ``v``, a
-    variant or struct with these fields), and for tables of single turns the
-    order within a conversation."""
+    """A layout: its field paths and how it becomes turns, SQL over ``v``, a
+    variant or struct with these fields.  Where rows are parts of a conversation,
+    ``group`` is the column they share and ``v`` the array of their ``element``."""
     name: str
     paths: tuple[str, ...]
     turns: str
-    rows_are_turns: bool = False
+    group: str | None = None
+    element: str = ""
 
     @property
     def fingerprint(self) -> str:
         return fingerprint(list(self.paths))
 
+    @property
+    def fingerprints(self) -> list[str]:
+        """Its fingerprint, and that of the layout with empty lists, which show no fields."""
+        bare = [p.partition("[].")[0] + "[]" if "[]." in p else p for p in self.paths]
+        return [self.fingerprint, fingerprint(bare)]
+
 
 def _listed(path: str, role: str, text: str) -> str:
     return f"transform({path}, m -> named_struct('role', {role}, 'text', m.{text}))"
@@ -97,7 +105,8 @@ def _pair(user: str, assistant: str) -> str:
 
 
 MAPPINGS = (
-    Mapping("turn_rows", ("conv_id", "turn", "role", "text"), "", rows_are_turns=True),
+    Mapping("turn_rows", ("conv_id", "turn", "role", "text"), _listed("array_sort(v)", "m.role", "text"), group="conv_id",
+            element="named_struct('turn', turn, 'role', coalesce(role, ''), 'text', coalesce(text, ''))"),
     Mapping("messages", ("messages[].role", "messages[].content"), _listed("v.messages", "m.role", "content")),
     Mapping("conversations", ("conversations[].from", "conversations[].value"),
             _listed("v.conversations", ROLE.format("from"), "value")),
@@ -155,31 +164,30 @@ def from_json(rows: DataFrame, json_col: str, mappings: tuple[Mapping, ...] = MA
     d = d.withColumn("schema_sha256", F.when(F.col("__v").isNotNull(), _variant_fingerprint(F.col("__v"))))
     layout, turns = F.lit(None).cast("string"), F.lit(None).cast(TURNS)
     for m in mappings:
-        if m.rows_are_turns:
+        if m.group:
             continue
-        mine = F.col("schema_sha256") == m.fingerprint
+        mine = F.col("schema_sha256").isin(m.fingerprints)
         fields = f"try_variant_get(__v, '$', '{_fields(m)}')"
         whole = F.expr(f"transform(array({fields}), v -> {m.turns})[0]").cast(TURNS)
         layout, turns = F.when(mine, m.name).otherwise(layout), F.when(mine, whole).otherwise(turns)
     return d.select(*keep, layout.alias("layout"), "schema_sha256", turns.alias("turns"))
 
 
-def from_columns(rows: DataFrame, key: str | None = None, mappings: tuple[Mapping, ...] = MAPPINGS) -> DataFrame:
-    """(key, turns) of a DataFrame whose schema, apart from ``key``, has a
-    mapping's fingerprint; raises ValueError where there is none."""
-    kinds = T.StructType([f for f in rows.schema.fields])
+def from_columns(rows: DataFrame, key: str | None = None, mappings: tuple[Mapping, ...] = MAPPINGS,
+                 ignore: tuple[str, ...] = ()) -> DataFrame:
+    """(key, turns) of a DataFrame whose schema, apart from ``key`` and the columns to
+    ``ignore``, has a mapping's fingerprint; raises ValueError where there is none.
+    The key of a table of single turns is the column that groups them."""
+    rows = rows.drop(*ignore)
+    kinds = rows.schema
+    without = T.StructType([f for f in kinds.fields if f.name != key])
     for m in mappings:
-        if m.rows_are_turns and fingerprint(_paths(kinds)) == m.fingerprint:
-            turn = F.struct(F.col("turn"), F.coalesce("role", F.lit("")).alias("role"),
-                            F.coalesce("text", F.lit("")).alias("text"))
-            grouped = rows.groupBy("conv_id").agg(F.array_sort(F.collect_list(turn)).alias("t"))
-            return grouped.select("conv_id", F.transform("t", lambda x: F.struct(x["role"].alias("role"), x["text"].alias("text")))
-                                  .alias("turns"))
-        without = T.StructType([f for f in kinds.fields if f.name != key])
-        if not m.rows_are_turns and fingerprint(_paths(without)) == m.fingerprint:
-            v = F.struct(*[F.col(f.name) for f in without.fields])
-            turns = F.expr(f"transform(array(__v), v -> {m.turns})[0]").cast(TURNS)
-            return rows.select(*([key] if key else []), v.alias("__v")).select(*([key] if key else []), turns.alias("turns"))
+        turns = F.expr(f"transform(array(__v), v -> {m.turns})[0]").cast(TURNS).alias("turns")
+        if m.group and fingerprint(_paths(kinds)) == m.fingerprint:
+            return rows.groupBy(m.group).agg(F.collect_list(F.expr(m.element)).alias("__v")).select(m.group, turns)
+        if not m.group and fingerprint(_paths(without)) == m.fingerprint:
+            own = [key] if key else []
+            return rows.select(*own, F.struct(*without.names).alias("__v")).select(*own, turns)
     raise ValueError(f"no mapping for the field paths {sorted(set(_paths(kinds)))}")
 
 
@@ -214,11 +222,12 @@ def read_back(output: Column) -> Column:
 
 def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
-    extra = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
-                                  F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
-                                  F.lit(said).alias("text"))
-    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
-    out = formatted(from_columns(rows)).select("conv_id", "formatted", "loss_spans")
+    # The table is one layout, a row per turn; the added conversation comes as another, a JSON document of messages.
+    messages = F.array(*[F.struct(F.lit(role).alias("role"), F.lit(said).alias("content")) for role in ("user", "assistant")])
+    extra = spark.range(1).select(F.lit(-1).cast("long").alias("conv_id"), F.to_json(F.struct(messages.alias("messages"))).alias("doc"))
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    turns = from_columns(rows).unionByName(from_json(extra, "doc").select("conv_id", "turns"))
+    out = formatted(turns).select("conv_id", "formatted", "loss_spans")
     turns = read_back(F.col("formatted"))
     loss = F.array_join(F.transform("loss_spans", lambda s: unescaped(
         F.substring(F.col("formatted"), s["start"] + 1, s["length"]))), "")

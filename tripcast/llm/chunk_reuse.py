@@ -8,10 +8,13 @@ nearest stable cuts (``bpe.STABLE``) on either side is encoded again and the
 result spliced in where token edges agree exactly, over as many chunks as that
 takes.  The ids therefore equal those of the whole text.
 
-Texts meet by content: rows are range-partitioned by their smallest chunk hash
-and then by id, so near copies land in the same task, where they share a chunk
-store of bounded size (least recently used goes first), while a group of any
-size still spreads over as many tasks as its bytes need.  A chunk evicted or
+Texts meet by content: rows go to tasks by ranges of their smallest chunk hash, so
+near copies land in the same task, where they share a chunk
+store of bounded size (least recently used goes first).  The ranges are the quantiles of a
+sample of at most SAMPLE_ROWS rows, which only balances tasks; a hash that fills several
+ranges is dealt over all of them by a hash of its row, so a group of any
+size spreads over as many tasks as its rows need.  Hashes are worked out once, on the way into the
+shuffle.  A chunk evicted or
 met in another task is simply encoded again: results never depend on the store.
 
 Null text counts as empty (no ids).  Repeated rows are encoded one by one from
@@ -33,10 +36,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripcast.llm.bpe import STABLE, Encoder, default_path, encoder
-from tripcast.llm.common import SLICE_BYTES, mix, n_shuffle, slices, table, utf8_parts
+from tripcast.llm.common import SLICE_BYTES, give_back, mix, n_shuffle, slices, table, utf8_parts
 
 MIN_CHUNK, MAX_CHUNK, CUT_BITS = 256, 16_384, 11  # about 2 KB a chunk
 STORE_BYTES = 48 << 20
+SAMPLE_ROWS = 20_000
 # The rolling hash adds a pseudo-random number per byte, fixed by this rule.
 GEAR = (mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)).astype(np.uint32)
 
@@ -170,27 +174,48 @@ def encode(store: Store, raw: bytes, bounds: list[int]) -> np.ndarray:
     return np.concatenate(out)
 
 
-def _routing_key(text_col: str):
-    """Smallest chunk hash of a text: near copies share it most of the time."""
-    @F.pandas_udf(T.LongType())
-    def key(text):
-        arr = pa.array(text, pa.string())
-        raw, off = utf8_parts(arr)
-        out = np.zeros(len(off) - 1, np.int64)
-        group = 0
-        while group < len(out):
-            end = max(group + 1, int(np.searchsorted(off, off[group] + SLICE_BYTES, side="right")) - 1)
-            end = min(end, len(out))
-            part, o = raw[off[group]:off[end]], off[group:end + 1] - off[group]
-            data = part.tobytes()
-            for i, cuts in enumerate(_own_cuts(part, o)):
-                doc = data[o[i]:o[i + 1]]
-                b = _bounds(doc, cuts)
-                out[group + i] = min((int.from_bytes(hashlib.blake2b(doc[x:y], digest_size=8).digest(), "big", signed=True)
-                                      for x, y in zip(b[:-1], b[1:])), default=0)
-            group = end
-        return pd.Series(out)
-    return key(F.col(text_col))
+def _routing_keys(arr: pa.Array) -> np.ndarray:
+    """Smallest chunk hash of each text: near copies share it most of the time."""
+    raw, off = utf8_parts(arr)
+    out = np.zeros(len(off) - 1, np.int64)
+    group = 0
+    while group < len(out):
+        end = max(group + 1, int(np.searchsorted(off, off[group] + SLICE_BYTES, side="right")) - 1)
+        end = min(end, len(out))
+        part, o = raw[off[group]:off[end]], off[group:end + 1] - off[group]
+        data = part.tobytes()
+        for i, cuts in enumerate(_own_cuts(part, o)):
+            doc = data[o[i]:o[i + 1]]
+            b = _bounds(doc, cuts)
+            out[group + i] = min((int.from_bytes(hashlib.blake2b(doc[x:y], digest_size=8).digest(), "big", signed=True)
+                                  for x, y in zip(b[:-1], b[1:])), default=0)
+        group = end
+    return out
+
+
+def _limits(docs: DataFrame, parts: int) -> np.ndarray:
+    """Upper limits of all ranges but the last, from a sample."""
+    n = docs.count()
+    if not n:
+        return np.zeros(0, np.int64)
+    some = docs.sample(min(1.0, SAMPLE_ROWS / n), seed=1).limit(2 * SAMPLE_ROWS).select("__text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(_routing_keys(batch.column(0)))], names=["key"])
+
+    keys = np.sort(some.mapInArrow(run, "key long").toArrow().column("key").to_numpy())
+    return keys[np.arange(1, parts) * len(keys) // parts] if len(keys) else np.zeros(0, np.int64)
+
+
+def _range_of(limits: np.ndarray):
+    """Range of a text; a key that is the limit of several ranges takes one by the row's hash."""
+    @F.pandas_udf(T.IntegerType())
+    def place(text: pd.Series, row: pd.Series) -> pd.Series:
+        key = _routing_keys(pa.array(text, pa.string()))
+        low, high = np.searchsorted(limits, key, side="left"), np.searchsorted(limits, key, side="right")
+        return pd.Series((low + row.to_numpy().astype(np.uint64) % (high - low + 1).astype(np.uint64)).astype(np.int32))
+    return place
 
 
 KINDS = {"n_tokens": (T.LongType(), pa.int64()), "ids": (T.ArrayType(T.IntegerType()), pa.list_(pa.int32())),
@@ -232,11 +257,12 @@ def coded(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", path:
                     rows.append(result)
                 new = [pa.array([r[n] for r in rows], KINDS[n][1]) for n in names]
                 yield pa.RecordBatch.from_arrays([part.column(i) for i in range(len(keep))] + new, names=keep + names)
+        give_back()
 
     d = docs.select(*keep, F.coalesce(F.col(text_col), F.lit("")).alias("__text"))
-    d = d.withColumn("__key", _routing_key("__text"))
-    d = d.repartitionByRange(n_shuffle(docs.sparkSession), "__key", F.xxhash64("__text"), id_col).drop("__key")
-    return d.mapInArrow(run, schema)
+    parts = n_shuffle(docs.sparkSession)
+    place = _range_of(_limits(d, parts))("__text", F.xxhash64("__text", id_col))
+    return d.withColumn("__part", place).repartition(parts, "__part").drop("__part").mapInArrow(run, schema)
 
 
 def op8_bpe_chunk_reuse(spark: SparkSession, sf_dir: str) -> DataFrame:

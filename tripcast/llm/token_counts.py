@@ -6,7 +6,8 @@ first position in their overlap that is a token edge in both encodings and a
 stable cut of the tokenizer (``bpe.STABLE``: whatever the context, a token ends
 there).  Where the overlap has no such position it is doubled and the chunk
 encoded again, up to the whole rest of the text, so the count always equals
-that of the whole text while memory stays in proportion to a chunk.
+that of the whole text.  Memory is in proportion to a chunk where stable cuts are
+(white space, CJK punctuation); text without any is encoded as a whole.
 
 One pass without a shuffle.  Null text counts as empty: 0 bytes, 0 tokens.
 Repeated rows are counted one by one; other columns are carried along, and a
@@ -23,8 +24,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripcast.llm.bpe import Encoder, default_path, encoder
-from tripcast.llm.common import slices, table, utf8_parts
+from tripcast.llm.bpe import STABLE, Encoder, default_path, encoder
+from tripcast.llm.common import give_back, slices, table, utf8_parts
 
 CHUNK_BYTES, OVERLAP_BYTES = 32_768, 256
 OUTPUTS = [("n_bytes", T.LongType()), ("n_tokens", T.LongType()), ("n_chunks", T.LongType())]
@@ -47,7 +48,7 @@ def _splice(raw: bytes, left: np.ndarray, right: np.ndarray, after: int, before:
     """First stable position in (after, before) that both encodings agree on."""
     for p in np.intersect1d(left[(left > after) & (left < before)], right[(right > after) & (right < before)],
                             assume_unique=False):
-        if 33 <= raw[p - 1] <= 126 and (raw[p] == 32 or 9 <= raw[p] <= 13):
+        if STABLE.match(raw, p):
             return int(p)
     return None
 
@@ -100,6 +101,7 @@ def count(docs: DataFrame, text_col: str = "text", path: str | None = None,
                 new = [pa.array(np.diff(off)), pa.array([t for t, _ in got], pa.int64()),
                        pa.array([c for _, c in got], pa.int64())]
                 yield pa.RecordBatch.from_arrays([part.column(i) for i in range(len(keep))] + new, names=keep + names)
+        give_back()
 
     text = F.coalesce(F.col(text_col), F.lit("")).alias("__text")
     return docs.select(*keep, text).mapInArrow(run, schema)

@@ -10,8 +10,8 @@ digest whose hot keys are salted.  A task writes each file under another name
 and renames it; rows are sorted within a partition and names depend on the
 partition, so a task that runs again writes the same files with the same bytes.
 
-:func:`read` takes whole files through Spark's binary reader and returns
-records and gaps.  A member or record is valid when it decompresses with its
+:func:`read` takes files, of up to 2 GB each, through Spark's binary reader and returns
+records and gaps as it comes upon them, so beside the file itself a task holds a few MB.  A member or record is valid when it decompresses with its
 checksum, starts with a version line, has the headers it needs and a block of
 the stated length, and its block or payload digest, where stated, agrees.
 After a failed check the reader searches for the next position that starts a
@@ -40,9 +40,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripcast.llm.common import shared_folder, table
+from tripcast.llm.common import give_back, shared_folder, table
 
 LEAST, FILE_BYTES, SALTS = 100, 16 << 20, 16
+HELD_BYTES = 4 << 20  # payloads read before they are passed on
 # Names and layout of the WARC 1.1 format.
 VERSION = b"WARC/1.1"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -84,8 +85,23 @@ def member(data: bytes) -> bytes:
     return pack.compress(data) + pack.flush()
 
 
+# Names that Hadoop and Arrow give the same stores.
+SCHEMES = {"s3a": "s3", "s3n": "s3", "abfss": "abfss", "abfs": "abfs", "gs": "gs", "s3": "s3", "hdfs": "hdfs", "viewfs": "viewfs",
+           "file": "file"}
+
+
+def arrow_uri(folder: str) -> str:
+    """The URI under which Arrow's file systems know a folder; ValueError for a store that they do not know."""
+    scheme, sign, rest = folder.partition("://")
+    if not sign:
+        scheme, rest = folder.partition(":")[0] if folder.startswith("file:") else "", folder.removeprefix("file:")
+    if scheme and scheme not in SCHEMES:
+        raise ValueError(f"archives cannot be written to {scheme}://, only to {', '.join(SCHEMES)}")
+    return f"{SCHEMES[scheme]}://{rest}" if scheme else folder
+
+
 def _store(folder: str, name: str, data: bytes) -> None:
-    fs, base = pafs.FileSystem.from_uri(folder)
+    fs, base = pafs.FileSystem.from_uri(arrow_uri(folder))
     fs.create_dir(base, recursive=True)
     hidden = f"{base}/_{name}.{hashlib.sha256(data).hexdigest()[:8]}.tmp"
     with fs.open_output_stream(hidden) as f:
@@ -100,8 +116,10 @@ def _store(folder: str, name: str, data: bytes) -> None:
 
 def write(pages: DataFrame, folder: str, id_col: str = "page_id", uri_col: str = "url", payload_col: str = "html",
           least: int = LEAST, file_bytes: int = FILE_BYTES, compress: bool = True) -> int:
-    """Write one record per row to ``folder`` (a URI that all executors reach);
-    returns the number of records."""
+    """Write one record per row to ``folder``, a URI that all executors reach and Arrow
+    knows (``arrow_uri``; hdfs and viewfs need libhdfs on the executors); returns
+    the number of records."""
+    arrow_uri(folder)
     d = pages.select(F.col(id_col).cast("long").alias("id"), F.col(uri_col).cast("string").alias("uri"),
                      F.coalesce(F.col(payload_col), F.lit("")).alias("payload"))
     d = d.withColumn("digest", F.sha2("payload", 256)).withColumn("long", F.octet_length("payload") >= least)
@@ -231,9 +249,17 @@ def _member(data: bytes, at: int) -> tuple[bytes, int]:
 
 
 def salvage(data: bytes) -> Found:
-    """Every valid record of an archive, in gzip members or plain, and the gaps
-    between them."""
+    """Every valid record of an archive and the gaps between them."""
     found = Found()
+    for part in salvaged(data):
+        found.records += part.records
+        found.gaps += part.gaps
+    return found
+
+
+def salvaged(data: bytes) -> Iterator[Found]:
+    """The records and gaps of an archive, in gzip members or plain, as they are come upon:
+    those of one member at a time are held."""
     at, bad, why = 0, None, ""
     magic = version = -1  # the next ones behind ``at``, looked up again once passed
     while at < len(data):
@@ -256,6 +282,7 @@ def salvage(data: bytes) -> Found:
                 version = line.start() if line else len(data)
             at = min(magic, version)
             continue
+        found = Found()
         if bad is not None:
             found.gaps.append((bad, at - bad, why))
             bad = None
@@ -263,10 +290,10 @@ def salvage(data: bytes) -> Found:
             _plain(out, found, at, end - at)
         else:
             found.records.append(got | {"offset": at, "length": end - at})
+        yield found
         at = end
     if bad is not None:
-        found.gaps.append((bad, len(data) - bad, why))
-    return found
+        yield Found(gaps=[(bad, len(data) - bad, why)])
 
 
 def read(spark: SparkSession, folder: str) -> DataFrame:
@@ -276,11 +303,18 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path, content in zip(batch.column(0).to_pylist(), batch.column(1)):
-                got = salvage(content.as_py())
-                rows = [r | {"path": path, "kind": "record", "reason": None} for r in got.records]
-                rows += [{"path": path, "kind": "gap", "offset": o, "length": n, "reason": why} for o, n, why in got.gaps]
-                for i in range(0, len(rows), 1000):
-                    yield pa.RecordBatch.from_pylist(rows[i:i + 1000], schema=RECORD_ARROW)
+                rows: list[dict] = []
+                size = 0
+                for got in salvaged(memoryview(content.as_buffer()).tobytes()):
+                    rows += [r | {"path": path, "kind": "record", "reason": None} for r in got.records]
+                    rows += [{"path": path, "kind": "gap", "offset": o, "length": n, "reason": why} for o, n, why in got.gaps]
+                    size += sum(len(r["payload"] or b"") for r in got.records)
+                    if size > HELD_BYTES or len(rows) >= 1000:
+                        yield pa.RecordBatch.from_pylist(rows, schema=RECORD_ARROW)
+                        rows, size = [], 0
+                if rows:
+                    yield pa.RecordBatch.from_pylist(rows, schema=RECORD_ARROW)
+        give_back()
 
     return files.mapInArrow(run, RECORD)
 
