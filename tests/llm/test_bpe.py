@@ -71,6 +71,71 @@ def test_chunked_ids_equal_the_whole(enc, monkeypatch, small):
         assert chunk_reuse.encode(store, t.encode(), bounds).tolist() == enc.encode(t), t[:40]
 
 
+def _unspaced(n, seed=3):
+    rng = random.Random(seed)
+    pools = ["".join(map(chr, range(0x4E00, 0x9FF0, 7))), "".join(map(chr, range(0x3041, 0x30FF))), "".join(map(chr, range(0x0E01, 0x0E4F)))]
+    marks = "。、，！？：；「」（）《》　 \n\u00a0\u2003…—・"
+    return "".join(rng.choice(marks) if rng.random() < 0.08 else rng.choice(pools[min(i // 4000 % 4, 2)]) for i in range(n))
+
+
+def test_cuts_are_stable_in_any_surroundings(enc):
+    """The tokens of both sides of a cut are those of the whole."""
+    rng = random.Random(8)
+    alphabet = ["a", "é", " ", "  ", "\n", "'", "'s", "漢", "字", "か", "ナ", "ー", "。", "，", "（", "）", "「", "\u3000", "\u00a0", "\u2003", "\x85",
+                "\u2028", "\u202f", "\u205f", "\u1680", "ไ", "1", "．", "ｦ", "々", "〇", "䷀", "😀", "<|endoftext|>", "!"]
+    seen = 0
+    for _ in range(3000):
+        text = "".join(rng.choices(alphabet, k=14))
+        raw = text.encode()
+        whole = enc.encode(text)
+        for m in bpe.STABLE.finditer(raw):
+            if 0 < m.start() < len(raw):
+                left, right = raw[:m.start()].decode(), raw[m.start():].decode()
+                assert enc.encode(left) + enc.encode(right) == whole, (text, m.start())
+                seen += 1
+    assert seen > 2000
+
+
+class Counting:
+    """An encoder that counts the bytes it is given."""
+
+    def __init__(self, enc):
+        self.enc, self.bytes = enc, 0
+
+    def __getattr__(self, name):
+        return getattr(self.enc, name)
+
+    def encode(self, text):
+        self.bytes += len(text.encode())
+        return self.enc.encode(text)
+
+
+def test_unspaced_scripts_are_encoded_hardly_more_than_once(enc):
+    text = _unspaced(60_000)
+    raw, whole = text.encode(), enc.encode(text)
+    counting = Counting(enc)
+    assert token_counts.count_tokens(counting, raw)[0] == len(whole)
+    assert counting.bytes < 1.3 * len(raw)
+    store = chunk_reuse.Store(counting)
+    counting.bytes = 0
+    for t in (text, "前置き。" + text, text + "後書き"):
+        b = chunk_reuse.chunks(t)
+        assert chunk_reuse.encode(store, t.encode(), [0, *np.cumsum([len(p) for p in b]).tolist()]).tolist() == enc.encode(t)
+    assert store.reused > 1.5 * store.encoded
+    assert counting.bytes < 2 * len(raw)  # for three texts
+
+
+def test_texts_of_one_key_are_dealt_over_their_ranges():
+    limits = np.array([-5, 3, 3, 3, 9])
+    place = chunk_reuse._range_of(limits).func
+    texts = ["same text"] * 1000
+    key = chunk_reuse._routing_keys(chunk_reuse.pa.array(texts))[0]
+    spread = chunk_reuse._range_of(np.array([key - 1, key, key, key, key + 1])).func(
+        chunk_reuse.pd.Series(texts), chunk_reuse.pd.Series(np.arange(-500, 500)))
+    assert set(spread) == {1, 2, 3, 4} and min(np.bincount(spread)[1:]) > 200
+    assert len(place(chunk_reuse.pd.Series([], dtype=str), chunk_reuse.pd.Series([], dtype="int64"))) == 0
+
+
 def test_shared_passages_are_encoded_once(enc):
     random.seed(2)
     passage = " ".join("".join(random.choices("abcdefgh", k=5)) for _ in range(9000))

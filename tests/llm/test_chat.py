@@ -42,6 +42,23 @@ def test_columns_give_the_same_fingerprint_as_json(spark):
         chat.from_columns(d)
 
 
+def test_a_table_of_turns_is_a_mapping_like_the_others(spark):
+    d = spark.createDataFrame([(1, 1, "assistant", "b", "x"), (1, 0, "user", "a", "y")], "conv_id long, turn long, role string, text string, turns string")
+    assert [tuple(t) for t in chat.from_columns(d, ignore=("turns",)).first()["turns"]] == [("user", "a"), ("assistant", "b")]
+    with pytest.raises(ValueError, match="no mapping"):
+        chat.from_columns(d)
+    own = chat.Mapping("lines", ("thread", "line"), "transform(array_sort(v), m -> named_struct('role', 'user', 'text', m.l))",
+                       group="thread", element="named_struct('l', line)")
+    lines = spark.createDataFrame([("t", "z"), ("t", "a")], "thread string, line string")
+    assert [t["text"] for t in chat.from_columns(lines, mappings=(own,)).first()["turns"]] == ["a", "z"]
+
+
+def test_empty_message_lists_have_a_mapping(spark):
+    d = spark.createDataFrame([(1, '{"messages": []}'), (2, '{"conversations": []}')], "id long, doc string")
+    got = {r["id"]: r for r in chat.formatted(chat.from_json(d, "doc")).collect()}
+    assert (got[1]["layout"], got[1]["turns"], got[1]["formatted"]) == ("messages", [], "") and got[2]["layout"] == "conversations"
+
+
 def test_formatting_is_reversible(spark):
     random.seed(3)
     parts = ["<", "[", "\\", "|", "/", "s>", "INST]", "<SYS>>", "a", "</s>", "<|end|>", "<|text|>", "<|turn|>", "\n", "é", "😀", "$1"]

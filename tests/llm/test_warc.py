@@ -71,6 +71,24 @@ def test_plain_records_among_gzip_members():
     assert _ids(found) == ["0", "2", "3", "4", "5"] and [g[:2] for g in found.gaps] == [(len(parts[0]), len(parts[1]))]
 
 
+def test_stores_by_their_names(spark):
+    assert warc.arrow_uri("s3a://bucket/a") == "s3://bucket/a" and warc.arrow_uri("hdfs://n:1/a") == "hdfs://n:1/a"
+    assert warc.arrow_uri("file:/tmp/x") == "file:///tmp/x" and warc.arrow_uri("file:///tmp/x") == "file:///tmp/x"
+    d = spark.createDataFrame([(1, "u", "x")], "page_id long, url string, html string")
+    with pytest.raises(ValueError, match="only to"):
+        warc.write(d, "ftp://host/a")
+
+
+def test_records_are_passed_on_as_they_are_found():
+    parts = [warc.member(r) for r in _records(50)]
+    parts[7] = b"junk" + parts[7]
+    seen = 0
+    for k, found in enumerate(warc.salvaged(b"".join(parts))):
+        assert len(found.records) == 1 and len(found.gaps) == (k == 7)
+        seen += 1
+    assert seen == 50
+
+
 def test_write_and_read_edge_cases(spark):
     long = "x" * 3_000_000
     rows = [(5, "u", long), (3, None, long), (3, None, long), (9, "u", "short"), (10, "u", "short"), (11, "u\r\nv", None),
