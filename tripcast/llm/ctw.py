@@ -16,7 +16,7 @@ All training texts count.  Rows are sealed, as they come, into blocks of about
 with training counts, and its distinct words, packed into one row per group
 (sorted, delta-coded, compressed); a group merges the rows of all blocks, so no
 task ever holds the vocabulary or the model, and what a block needs comes back
-packed in the order it was sent.  Groups of runs hold whole subtrees of the last
+packed.  Groups of runs hold whole subtrees of the last
 two context bytes, cut by the third byte back into ``salts`` parts where groups are
 many, so the largest subtree does not end up in one task.  Depths 0 to
 TOP are summed over the groups and pass through the driver: at most 255 nodes for each
@@ -46,14 +46,17 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripcast.llm.common import Scratch, give_back, id_mod, mix, n_shuffle, stored, table, utf8_parts
+from tripcast.llm.common import Scratch, give_back, hold_memory, id_mod, mix, n_shuffle, stored, table, utf8_parts
 
 DEPTH, TOP, BLOCK_BYTES, GROUP_BYTES, MARK = 6, 2, 16 << 20, 4 << 20, 0xFF
 PIECE = 1 << 20  # bytes whose runs are held at once; a run takes some 60 bytes meanwhile
+SORTED_PIECES = 6  # pieces whose runs are sorted together
 GROUPS_PER_SALT = 32
 VALUE_UNIT = 2.0 ** -38  # of log probabilities on their way back to a block
 _SMALL = 4096  # counts up to here have their log gamma looked up
 _LN2 = math.log(2)
+_SPACE = np.array([c == 32 or 9 <= c <= 13 for c in range(256)])
+_PLACES = np.arange(PIECE, dtype=np.uint64)
 
 
 def lgamma(x: np.ndarray) -> np.ndarray:
@@ -118,7 +121,7 @@ def _risen(data: bytes) -> np.ndarray:
 
 def _sealed(batches: list[pa.RecordBatch]) -> bytes:
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, batches[0].schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 6))) as writer:
+    with pa.ipc.new_stream(sink, batches[0].schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 3))) as writer:
         for batch in batches:
             writer.write_batch(batch)
     return sink.getvalue().to_pybytes()
@@ -167,7 +170,7 @@ def _word_cuts(raw: np.ndarray, off: np.ndarray) -> Iterator[tuple[int, int]]:
         while end < len(raw):
             nearest = int(off[np.searchsorted(off, end, side="right") - 1])  # where the last text in the piece begins
             data = raw[max(at, nearest):end]
-            gaps = np.flatnonzero((data == 32) | ((data >= 9) & (data <= 13)))
+            gaps = np.flatnonzero(_SPACE[data])
             cut = max(at, nearest) + int(gaps[-1]) + 1 if len(gaps) else nearest
             if cut > at:
                 end = cut
@@ -184,16 +187,17 @@ def _words(texts: pa.Array) -> tuple[list[tuple[np.ndarray, np.ndarray]], pa.Arr
     pieces, found = [], []
     for at, end in _word_cuts(raw, off):
         data = raw[at:end]
-        space = (data == 32) | ((data >= 9) & (data <= 13))
-        begin = ~space
-        begin[1:] &= space[:-1]
-        heads = off[(off >= at) & (off < end)] - at
-        begin[heads] = ~space[heads]
+        inside = ~_SPACE[data]
+        begin, stop = inside.copy(), inside.copy()
+        begin[1:] &= ~inside[:-1]
+        stop[:-1] &= ~inside[1:]
+        heads = off[(off > at) & (off < end)] - at
+        begin[heads] = inside[heads]
+        stop[heads - 1] = inside[heads - 1]
         first = np.flatnonzero(begin)
-        # A word's place among the bytes kept: its place less the white space before it.
-        kept = np.concatenate([[0], np.cumsum(~space)])
-        offsets = np.append(kept[first], kept[-1]).astype(np.int64)
-        array = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(first), [None, pa.py_buffer(offsets), pa.py_buffer(data[~space])])
+        offsets = np.zeros(len(first) + 1, np.int64)
+        np.cumsum(np.flatnonzero(stop) - first + 1, out=offsets[1:])
+        array = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(first), [None, pa.py_buffer(offsets), pa.py_buffer(data[inside])])
         coded = array.dictionary_encode()
         n = np.diff(np.searchsorted(first, np.clip(off - at, 0, end - at)))  # words of each text in the piece
         pieces.append((np.repeat(np.arange(len(n), dtype=np.int32), n), coded.indices.to_numpy(zero_copy_only=False)))
@@ -220,9 +224,9 @@ def _run_pieces(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     for a in range(DEPTH, len(seq), PIECE):
         b = min(a + PIECE, len(seq))
         part = seq[a - DEPTH:b].astype(np.int64)
-        code = part[DEPTH:].copy()
+        code, shifted = part[DEPTH:].copy(), np.empty(b - a, np.int64)
         for k in range(1, DEPTH + 1):
-            code |= part[DEPTH - k:-k] << 8 * k
+            code |= np.left_shift(part[DEPTH - k:-k], 8 * k, out=shifted)
         first, last = np.searchsorted(begin, [a, b])
         first = max(first - 1, 0)
         inside = np.clip(begin[first:last] + size[first:last], a, b) - np.clip(begin[first:last], a, b)
@@ -239,40 +243,40 @@ def _tallied(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _runs(texts: pa.Array, train: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The distinct runs of a block in rising order, and how often training texts have each."""
-    held: list[tuple[np.ndarray, np.ndarray]] = []
-    for code, owner in _run_pieces(texts):
-        tagged = np.sort(code << 1 | train[owner])  # runs take 56 bits
-        key = tagged >> 1
-        first = np.flatnonzero(np.diff(key, prepend=key[:1] - 1))
-        held.append((key[first], np.add.reduceat(tagged & 1, first)))
-        if len(held) == 8:
-            held = [_tallied(*map(np.concatenate, zip(*held)))]
-    if not held:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return _tallied(*map(np.concatenate, zip(*held)))
-
-
-def _distinct_runs(texts: pa.Array) -> np.ndarray:
-    """The runs of :func:`_runs` alone."""
+    done: list[tuple[np.ndarray, np.ndarray]] = []
     held: list[np.ndarray] = []
-    for code, _ in _run_pieces(texts):
-        held.append(_sorted_set(code))
-        if len(held) == 8:
-            held = [_sorted_set(np.concatenate(held))]
-    return _sorted_set(np.concatenate(held)) if held else np.zeros(0, np.int64)
 
+    def reduced() -> None:
+        tagged = np.concatenate(held)  # runs take 56 bits, a training text's are odd
+        held.clear()
+        tagged.sort()
+        first = np.flatnonzero((tagged[1:] ^ tagged[:-1]) > 1) + 1
+        first = np.concatenate([[0], first])
+        done.append((tagged[first] >> 1, np.add.reduceat(tagged & 1, first)))
 
-def _sorted_set(x: np.ndarray) -> np.ndarray:
-    x = np.sort(x)
-    return x[np.diff(x, prepend=x[:1] - 1) != 0]
+    for code, owner in _run_pieces(texts):
+        held.append(code << 1 | train[owner])
+        if len(held) == SORTED_PIECES:
+            reduced()
+            if len(done) == 4:
+                done = [_tallied(*map(np.concatenate, zip(*done)))]
+    if held:
+        reduced()
+    if not done:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return done[0] if len(done) == 1 else _tallied(*map(np.concatenate, zip(*done)))
 
 
 def _together(code: np.ndarray) -> np.ndarray:
     """An order of at most PIECE runs by all but their last bits, so that most equal
     ones are side by side: sorting numbers is much faster than sorting places."""
     bits = PIECE.bit_length() - 1
-    high = code.astype(np.uint64) >> np.uint64(8 * (DEPTH + 1) + bits - 64) << np.uint64(bits)
-    return (np.sort(high | np.arange(len(code), dtype=np.uint64)) & np.uint64(PIECE - 1)).astype(np.int64)
+    high = code.view(np.uint64) >> np.uint64(8 * (DEPTH + 1) + bits - 64)
+    high <<= np.uint64(bits)
+    high |= _PLACES[:len(code)]
+    high.sort()
+    high &= np.uint64(PIECE - 1)
+    return high.view(np.int64)
 
 
 def _word_group(words: pa.Array, groups: int) -> np.ndarray:
@@ -316,6 +320,7 @@ def _feature_rows(block: int, parts: list[tuple[int, bytes, bytes]], what: str)
 def _word_features(blocks: DataFrame, groups: int) -> DataFrame:
     """(part, block, words, n): a block's distinct words of each group with training counts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold_memory()
         for batch in batches:
             for block, data in zip(batch.column(0).to_pylist(), batch.column(1)):
                 docs = _opened(data.as_py())
@@ -337,6 +342,7 @@ def _word_features(blocks: DataFrame, groups: int) -> DataFrame:
 def _run_features(blocks: DataFrame, groups: int, salts: int) -> DataFrame:
     """(part, block, runs, n): a block's distinct runs of each group with training counts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold_memory()
         for batch in batches:
             for block, data in zip(batch.column(0).to_pylist(), batch.column(1)):
                 docs = _opened(data.as_py())
@@ -470,6 +476,7 @@ _MERGED = pa.schema([("part", pa.int32()), ("runs", pa.binary()), ("n", pa.binar
 def _merged_runs(rows: pa.Table) -> pa.Table:
     """A group's runs over all blocks with their counts, where each block's runs
     are among them, and the group's part of depth TOP."""
+    hold_memory()
     lists = [_risen(x.as_py()) for x in rows.column("runs")]
     runs, n = _tallied(np.concatenate(lists), np.concatenate([_unpacked(x.as_py()) for x in rows.column("n")]))
     places = [_rising(np.searchsorted(runs, x)) for x in lists]
@@ -482,18 +489,22 @@ def _merged_runs(rows: pa.Table) -> pa.Table:
 
 
 def _values(merged: DataFrame, top) -> DataFrame:
-    """(block, part, value): log probabilities of each block's runs of a group, in
-    its order, in units of VALUE_UNIT."""
+    """(block, part, value, runs): log probabilities of each block's runs of a group,
+    in units of VALUE_UNIT, and the runs."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold_memory()
         for batch in batches:
             for part, runs, n, blocks, places in zip(*batch.columns):
-                value = np.rint(Trees(_risen(runs.as_py()), _unpacked(n.as_py())).log_probability(top.value) / VALUE_UNIT).astype(np.int64)
+                keys = _risen(runs.as_py())
+                value = np.rint(Trees(keys, _unpacked(n.as_py())).log_probability(top.value) / VALUE_UNIT).astype(np.int64)
                 for block, place in zip(blocks.values.to_pylist(), places.values):
+                    at = _risen(place.as_py())
                     yield pa.RecordBatch.from_arrays([
-                        pa.array([block]), pa.array([part.as_py()], pa.int32()),
-                        pa.array([_packed(value[_risen(place.as_py())])], pa.binary())], names=["block", "part", "value"])
+                        pa.array([block]), pa.array([part.as_py()], pa.int32()), pa.array([_packed(value[at])], pa.binary()),
+                        pa.array([_rising(keys[at])], pa.binary())], names=["block", "part", "value", "runs"])
+        give_back()
 
-    return merged.select("part", "runs", "n", "blocks", "places").mapInArrow(run, "block long, part int, value binary")
+    return merged.select("part", "runs", "n", "blocks", "places").mapInArrow(run, "block long, part int, value binary, runs binary")
 
 
 # --- Scoring -----------------------------------------------------------------------
@@ -502,9 +513,8 @@ _SCORES = pa.schema([("doc_id", pa.int64()), ("train", pa.bool_()), ("n_bytes",
                      ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
 
 
-def _scored(docs: pa.Table, words: dict[int, bytes], runs: dict[int, bytes], word_groups: int, run_groups: int, salts: int,
-            unit: float) -> pa.Table:
-    """Scores of a block's documents from the packed counts and log probabilities of each group."""
+def _scored(docs: pa.Table, words: dict[int, bytes], runs: list[tuple[bytes, bytes]], word_groups: int, unit: float) -> pa.Table:
+    """Scores of a block's documents from each group's packed counts of words, and runs with log probabilities."""
     texts, n = _texts(docs), docs.num_rows
     pieces, distinct = _words(texts)
     count = np.zeros(len(distinct) + 1, np.int64)
@@ -517,10 +527,9 @@ def _scored(docs: pa.Table, words: dict[int, bytes], runs: dict[int, bytes], wor
         tokens += np.bincount(doc, minlength=n)
         known += np.bincount(doc, weights=count[word] > 0, minlength=n).astype(np.int64)
         base += np.bincount(doc, weights=logs[word], minlength=n)
-    keys = _distinct_runs(texts)
-    lp = np.zeros(len(keys))
-    for g, at in _by_group(_run_group(keys, run_groups, salts)):
-        lp[at] = _unpacked(runs[g]) * VALUE_UNIT
+    keys = np.concatenate([_risen(k) for k, _ in runs])
+    order = keys.argsort()
+    keys, lp = keys[order], np.concatenate([_unpacked(v) for _, v in runs])[order] * VALUE_UNIT
     score = np.zeros(n)
     for code, owner in _run_pieces(texts):
         order = _together(code)
@@ -561,17 +570,24 @@ def score(docs: DataFrame, train: Column, text_col: str = "text", id_col: str =
             .agg(F.sum("total").alias("total"), F.sum("ones").alias("ones"), F.sum("child").alias("child")).toArrow())
     column = lambda c, kind: rows.column(c).to_numpy().astype(kind)  # noqa: E731  at most 255 nodes a pair of bytes
     top = spark.sparkContext.broadcast(Top(column("node", np.int64), column("total", float), column("ones", float), column("child", float)))
-    back = words.select("block", F.lit(True).alias("is_word"), "part", F.col("n").alias("value")).unionByName(
-        _values(merged, top).select("block", F.lit(False).alias("is_word"), "part", "value"))
+    back = words.select("block", "part", F.col("n").alias("value"), F.lit(None).cast("binary").alias("runs")).unionByName(
+        _values(merged, top))
     unit = math.log10(total + 0.1 * (vocabulary + 1))
 
     def scored(a: pa.Table, b: pa.Table) -> pa.Table:
         if not a.num_rows:
             return _SCORES.empty_table()
-        held: tuple[dict, dict] = ({}, {})
-        for is_word, part, value in zip(b.column("is_word").to_pylist(), b.column("part").to_pylist(), b.column("value")):
-            held[not is_word][part] = value.as_py()
-        return _scored(_opened(a.column("docs")[0].as_py()), *held, word_groups, run_groups, salts, unit)
+        hold_memory()
+        words, runs = {}, []
+        for part, value, keys in zip(b.column("part").to_pylist(), b.column("value"), b.column("runs")):
+            if keys.is_valid:
+                runs.append((keys.as_py(), value.as_py()))
+            else:
+                words[part] = value.as_py()
+        out = _scored(_opened(a.column("docs")[0].as_py()), words, runs, word_groups, unit)
+        del words, runs
+        give_back()
+        return out
 
     out = blocks.select("block", "docs").groupBy("block").cogroup(back.groupBy("block")).applyInArrow(
         scored, "doc_id long, train boolean, n_bytes long, n_tokens long, n_known long, base_score double, score double")
