@@ -4,6 +4,7 @@ from collections import Counter
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -86,6 +87,73 @@ def test_scores_equal_brute_force(spark, block_bytes):
         assert r["bits_per_byte"] == pytest.approx(-r["score"] / math.log10(2) / max(1, r["n_bytes"]))
 
 
+@pytest.mark.parametrize("salts", [1, 5])
+def test_subtrees_cut_into_groups_equal_brute_force(spark, salts):
+    got = ctw.score(docs(spark, ROWS), F.col("lang") == "t", block_bytes=40, group_bytes=4, groups_per_salt=-(-20 // salts)).collect()
+    model = Brute([t for _, t, s in ROWS if s == "t"])
+    for r in got:
+        t = next(t for i, t, _ in ROWS if i == r["doc_id"])
+        assert r["score"] == pytest.approx(model.score(t), abs=1e-8)
+
+
+def test_top_is_the_sum_of_its_groups():
+    """The context trees of all runs, whole and cut by the third context byte."""
+    texts = ["the cat sat on the mat", "the dog that sat there", "then they sat"] * 3
+    runs, n = ctw._runs(pa.array(texts), np.ones(len(texts), np.int64))
+    whole = ctw.Trees(runs, n)
+    top = ctw.Top(*whole.top_rows())
+    want = whole.log_probability(top)
+    group = ctw._run_group(runs, 7, 3)
+    parts = [(at, ctw.Trees(runs[at], n[at])) for _, at in ctw._by_group(group)]
+    assert len(parts) > 3
+    rows = [np.concatenate(x) for x in zip(*(t.top_rows() for _, t in parts))]
+    ids, place = np.unique(rows[0], return_inverse=True)
+    again = ctw.Top(ids, *[np.bincount(place, weights=x) for x in rows[1:]])
+    for at, trees in parts:
+        assert trees.log_probability(again) == pytest.approx(want[at], abs=1e-12)
+
+
+TEXTS = ["", "one two  two", "x" * 5000, " ", "\n\ta b\x0bc\r\n", "é" * 700 + " ab", "word " * 900, "a", "  lead", "trail  ", "z" * 64, ""]
+
+
+@pytest.mark.parametrize("piece", [16, 64, 1 << 20])
+def test_pieces_of_long_texts_make_no_difference(monkeypatch, piece):
+    texts = pa.array(TEXTS * 2)
+    monkeypatch.setattr(ctw, "PIECE", piece)
+    monkeypatch.setattr(ctw, "_PLACES", np.arange(max(piece, 16), dtype=np.uint64))
+    pieces, distinct = ctw._words(texts)
+    named = distinct.to_pylist()
+    got = [[] for _ in texts]
+    for doc, word in pieces:
+        for i, w in zip(doc, word):
+            got[i].append(named[w])
+    assert got == [bytes(t, "utf-8").lower().split() for t in TEXTS * 2] and len(named) == len(set(named))
+    code, owner = (np.concatenate(x) for x in zip(*ctw._run_pieces(texts)))
+    want = []
+    for i, t in enumerate(TEXTS * 2):
+        z = Brute.marked(t)
+        want += [(int.from_bytes(z[j - ctw.DEPTH:j + 1], "big"), i) for j in range(ctw.DEPTH, len(z))]
+    assert list(zip(code.tolist(), owner.tolist())) == want
+    train = np.arange(len(texts)) % 3 > 0
+    runs, n = ctw._runs(texts, train.astype(np.int64))
+    tally = Counter()
+    for c, i in want:
+        tally[c] += int(train[i])
+    assert dict(zip(runs.tolist(), n.tolist())) == dict(tally) and (np.diff(runs) > 0).all()
+    if piece > 256:
+        order = ctw._together(code)
+        assert sorted(order.tolist()) == list(range(len(code))) and (np.diff(code[order] >> 12) >= 0).all()
+
+
+def test_a_text_beyond_a_block_and_a_piece(spark):
+    long = "lorem ipsum dolor sit amet " * 60_000  # 1.6 MB
+    rows = [(1, long, "t"), (2, "lorem ipsum", "h"), (3, long[:-1] + "!", "t"), (4, None, "t")]
+    a, b = [sorted(map(tuple, ctw.score(docs(spark, rows), F.col("lang") == "t", block_bytes=n).collect())) for n in (1 << 16, 16 << 20)]
+    for x, y in zip(a, b):
+        assert x == pytest.approx(y, rel=1e-9)
+    assert -a[0][6] / math.log10(2) < 0.02 * 8 * len(long)  # bits of a text that repeats itself
+
+
 def test_probabilities_of_a_context_sum_to_one():
     model = Brute(["ab", "ab", "abc"])
     total = 0.0
