@@ -59,6 +59,7 @@ CATALOGUE = {
     "q15_borough_pair_sample": (cat.q15_borough_pair_sample, "tz"),
     "q15_borough_pair_count": (cat.q15_borough_pair_count, "tz"),
     "q16_top_zone_routes": (cat.q16_top_zone_routes, "tz"),
+    "q16_top_routes_bounded": (cat.q16_top_routes_bounded, "tz"),
     "q16_zone_routes": (cat.zone_routes_by_business, "tz"),
     "q17_vertices": (cat.q17_vertices, "z"),
     "q17_vertices_sample": (cat.q17_vertices_sample, "z"),
@@ -80,7 +81,7 @@ CATALOGUE = {
 QUERY_NAMES = list(CATALOGUE)
 # Queries about single trips or columns that a trip summary does not keep.
 TRIPS_ONLY = {"q01_enriched", "q01_enriched_sample", "q11_january_daily_wait", "q12_wait_anomaly_days", "q15_borough_pair_trips",
-              "q15_borough_pair_sample", "q17_edges", "q21_time_of_day_rule", "q22_derived_metric_check"}
+              "q15_borough_pair_sample", "q16_top_routes_bounded", "q17_edges", "q21_time_of_day_rule", "q22_derived_metric_check"}
 # Charts of a per-business-month result: query -> measure.
 CHARTS = {"q02_trips_per_business_month": "trip_count", "q03_profit_per_business_month": "total_profit",
           "q04_driver_pay_per_business_month": "total_driver_pay"}

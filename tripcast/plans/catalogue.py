@@ -3,8 +3,10 @@
 Each function takes already-loaded inputs (typed ``trips``, the ``zones``
 lookup) plus its parameters and returns a lazy DataFrame.  Building a query
 runs no job over the trips; the only jobs at build time are the (memoised)
-row-count probes of lookups before they are broadcast, and the rounds of
-:func:`q20_pagerank`, which is iterative by nature.
+row-count probes of lookups before they are broadcast, the rounds of
+:func:`q20_pagerank`, which is iterative by nature, the bounds of
+:func:`q16_top_routes_bounded`, and the search for heavy ids where a lookup is too large to
+be broadcast.
 
 Ordering: limited queries order by the metric and then by the key so ties
 always resolve the same way; Q02-Q06, Q08, Q09, Q11 and Q12 return their rows in the
@@ -31,7 +33,7 @@ from tripcast.operators.enrich import enrich, enrich_reported, id_ranges, unmatc
 from tripcast.operators.pagerank import DEFAULT_RESET, DEFAULT_TOL, pagerank
 from tripcast.operators.quality import derived_metric_check
 from tripcast.operators.summary import KEYS
-from tripcast.operators.topk import sample_rows, top_k, top_k_per_group
+from tripcast.operators.topk import largest_groups, sample_rows, top_k, top_k_per_group
 from tripcast.schema import ENRICHED_SCHEMA, ROLE_KEYS, assert_schema
 from tripcast.sources.parquet import PARTITION_COLUMN
 
@@ -307,6 +309,17 @@ def q16_top_zone_routes(trips: DataFrame, zones: DataFrame, k: int = TOP_ZONE_RO
                  [F.desc_nulls_last("total_count"), F.asc_nulls_last("Route")], k)
 
 
+def q16_top_routes_bounded(trips: DataFrame, zones: DataFrame, k: int = TOP_ZONE_ROUTES,
+                           columns: dict[str, str] | None = None) -> DataFrame:
+    """:func:`q16_top_zone_routes` where routes are nearly as many as trips: those that
+    cannot be among the first ``k`` are left out before trips are grouped."""
+    cols = columns or BUSINESS_COLUMNS
+    named = enrich(trips.select("business", *_PAIR), zones, attrs=["Zone"], split=True)
+    rows = named.select("business", route_label("Pickup_Zone", "Dropoff_Zone").alias("Route"))
+    rows = largest_groups(rows, ["Route"], k, F.col("business").isin(list(cols)))
+    return top_k(side_by_side_counts(rows, ["Route"], "business", cols), [F.desc_nulls_last("total_count"), F.asc_nulls_last("Route")], k)
+
+
 # --- Q17-Q20: graph -------------------------------------------------------------
 
 def q17_vertices(zones: DataFrame) -> DataFrame:

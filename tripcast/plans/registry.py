@@ -118,6 +118,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
                                           td.supplier_customer_zones),
     "q16_top_supplier_customer_routes": _over(cat.q16_top_zone_routes, td.supplier_customer_trips,
                                               td.supplier_customer_zones),
+    "q16_top_supplier_customer_routes_bounded": _over(cat.q16_top_routes_bounded, td.supplier_customer_trips,
+                                                      td.supplier_customer_zones),
     "q17_vertices": _z(cat.q17_vertices),
     "q17_vertices_sample": _z(cat.q17_vertices_sample),
     "q17_edges": _t(cat.q17_edges),
