@@ -65,6 +65,29 @@ def test_edge_cases(spark):
     assert got[None][0]["n_chars"] == 0 and got[3][0]["n_chars"] == len(long) and got[4][0]["n_chars"] == 3
 
 
+def test_ranges_split_an_id_that_fills_several(spark):
+    rows = [(None, f"text {i} of no id") for i in range(300)] + [(i, f"text {i}") for i in range(100)]
+    d = docs(spark, [(i, t, None) for i, t in rows])
+    own = fp.with_next(d, "text", "doc_id", 40).filter("not successor")
+    sizes = {r["r"]: r["count"] for r in own.groupBy("r").count().collect()}
+    assert len(sizes) >= 30 and max(sizes.values()) <= 30 and sum(sizes.values()) == 400
+    order = [r["text"] for r in own.orderBy("o", "t").collect()]
+    want = [hashlib.sha256(fp.edited(a, b).encode()).hexdigest() for a, b in zip(order, order[1:] + order[:1])]
+    got = fp.compare_with_next(d, ranges=40).collect()
+    assert sorted(r["edited_sha256"] for r in got) == sorted(want)
+
+
+def test_limits_by_binary_search(spark):
+    quantiles = [3, 3, 3, 7, 9, 9, 20]
+    limits = fp._limits(quantiles)
+    assert len(limits) == 7 and limits == sorted(limits)
+    rows = [(o, t) for o in range(22) for t in (-(1 << 63), -(1 << 61), 0, 1 << 62, (1 << 63) - 1)]
+    d = spark.createDataFrame(rows, "o long, t long")
+    for n in range(8):
+        got = d.select("o", "t", fp._limits_at_or_below(limits[:n], d["o"], d["t"]).alias("r")).collect()
+        assert all(r["r"] == sum(x <= (r["o"], r["t"]) for x in limits[:n]) for r in got)
+
+
 def test_densification_fills_every_bin():
     empty = np.iinfo(np.uint64).max
     least = np.full((3, fp.BINS), empty, np.uint64)

@@ -13,8 +13,8 @@ A text shorter than a shingle is a single shingle; the fingerprint of an empty
 text is empty, and its likeness to anything but another empty text is 0.
 
 :func:`with_next` finds for each document the next by ascending id (ties: by
-text) without a global sort in one task: ids are cut into ranges at quantiles,
-each range is one group of rows in order, and the first document of a range is
+the hash of the text, xxhash64) without a global sort in one task: ids are cut into ranges at quantiles,
+an id that fills several of them by that hash as well, each range is one group of rows in order, and the first document of a range is
 also sent to the range before, where it only serves as a successor.  Null ids
 sort first.
 """
@@ -22,11 +22,12 @@ sort first.
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -111,17 +112,36 @@ def likeness(a: np.ndarray, b: np.ndarray, full_a: np.ndarray, full_b: np.ndarra
     return np.where(full_a & full_b, got, (full_a == full_b).astype(float))
 
 
+def _limits(quantiles: list[int]) -> list[tuple[int, int]]:
+    """First (id, hash of text) of each range but the first.  An id that fills
+    several quantiles (null ids, say) is split evenly by the hash of its texts."""
+    return [(x, -(1 << 63) + (j << 64) // n) for x, n in sorted(Counter(int(q) for q in quantiles).items())
+            for j in range(n)]
+
+
+def _limits_at_or_below(limits: list[tuple[int, int]], order: Column, tie: Column) -> Column:
+    """Number of limits at or below a row's (order, tie), by binary search in a
+    folded literal: plan and work a row grow with the logarithm of the ranges."""
+    if not limits:
+        return F.lit(0)
+    ids, ties = (F.split(F.lit(",".join(map(str, part))), ",").cast("array<long>") for part in zip(*limits))
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(len(limits).bit_length()))])
+
+    def step(at: Column, size: Column) -> Column:
+        o, t = F.get(ids, at + size - 1), F.get(ties, at + size - 1)  # null beyond the last limit
+        return F.when((o < order) | ((o == order) & (t <= tie)), at + size).otherwise(at)
+
+    return F.reduce(steps, F.lit(0), step)
+
+
 def with_next(docs: DataFrame, text_col: str, id_col: str, ranges: int) -> DataFrame:
     """Rows (range, place, successor, id, text) to be read in order of place
     within a range; ``successor`` marks the copies that only follow others."""
     d = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    order = F.coalesce(F.col("id"), F.lit(-(1 << 63)))
-    ids = d.select(order.alias("o"))
-    cuts = sorted(set(int(x) for x in ids.select(F.percentile_approx("o", [i / ranges for i in range(1, ranges)], 10_000)
-                                                 .alias("q")).first()["q"] or [])) if ranges > 1 else []
-    limits = F.array(*[F.lit(c).cast("long") for c in cuts]) if cuts else F.array().cast("array<long>")
-    which = F.size(F.filter(limits, lambda c: c <= order))  # cuts at or below the id
-    tie = F.xxhash64("text")
+    order, tie = F.coalesce(F.col("id"), F.lit(-(1 << 63))), F.xxhash64("text")
+    quantiles = (d.select(F.percentile_approx(order, [i / ranges for i in range(1, ranges)], 10_000).alias("q"))
+                 .first()["q"] or []) if ranges > 1 else []
+    which = _limits_at_or_below(_limits(quantiles), order, tie)
     heads = (d.select(which.alias("r"), F.struct(order.alias("o"), tie.alias("t")).alias("k"))
              .groupBy("r").agg(F.min("k").alias("k")).collect())
     firsts = sorted((x["r"], x["k"]["o"], x["k"]["t"]) for x in heads)
