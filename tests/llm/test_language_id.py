@@ -62,3 +62,13 @@ def test_text_that_no_language_explains_is_not_accepted(spark):
     d = docs(spark, [(1, "the cat and the dog sat on the mat by the door", "en"), (2, "жщцюъ эёыфй цжщюъ", None)])
     kept = li.predict(d, li.fit(d)).filter(li.accepted()).collect()
     assert [r["doc_id"] for r in kept] == [1]
+
+
+def test_sample_stays_within_its_bound_whatever_the_number_of_languages(spark):
+    d = docs(spark, [(i, f"word{i % 7} and more of language {i % 300} " * 20, f"l{i % 300:03d}") for i in range(1200)])
+    model = li.fit(d, total_bytes=9000)
+    assert len(model.langs) == 300 and all(len(s) == 30 for s in model.samples)
+    sample = dict(zip(model.langs, model.samples))
+    assert all(s.split(b" ")[0] for s in sample.values())
+    few = li.fit(d, total_bytes=200)  # less than a byte a language
+    assert len(few.langs) == 300 and set(few.samples) == {b""}

@@ -9,8 +9,9 @@ Model: :func:`fit` takes a bounded sample of labelled rows, ``rows_per_lang``
 rows per language chosen by a hash of id and text, at most ``row_chars`` code
 points of each from a hashed position, ``total_bytes`` in all divided evenly
 among the languages.  Rows are first thinned by the same hash to about 64
-times that many per language, so what is ranked does not grow with the corpus.
-Only text and label are used.
+times that many per language, so what is ranked does not grow with the corpus,
+and no more than the bytes that the model keeps (and one row a language) reach
+the driver.  Only text and label are used.
 
 Prediction: one pass without a shuffle.  Text is lower-cased, ASCII
 non-letters become single spaces, and blocks of ``BLOCK`` bytes are parsed in
@@ -30,6 +31,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -83,14 +85,23 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", id_
     place = F.pmod("h", F.lit(1 << 40)) / F.lit(float(1 << 40))
     d = d.join(checked_broadcast(sizes), "lang").filter(place * F.col("size") < 64 * rows_per_lang)
     first = Window.partitionBy("lang").orderBy("h", "id", "piece")
-    rows = (d.select("lang", "h", "id", "piece").withColumn("k", F.row_number().over(first))
-            .filter(F.col("k") <= rows_per_lang).select("lang", "k", "piece").collect())
+    few = (d.select("lang", "h", "id", "piece").withColumn("k", F.row_number().over(first))
+           .filter(F.col("k") <= rows_per_lang).withColumn("data", _normalised_pieces("piece")))
+    each = total_bytes // max(1, sizes.count())
+    before = Window.partitionBy("lang").orderBy("k").rowsBetween(Window.unboundedPreceding, -1)
+    rows = (few.withColumn("before", F.coalesce(F.sum(F.length("data") + 1).over(before), F.lit(0)))
+            .filter((F.col("k") == 1) | (F.col("before") < each))
+            .select("lang", "k", F.substring("data", 1, each).alias("data")).collect())
     by: dict[str, list] = {}
     for r in rows:
-        by.setdefault(r["lang"], []).append((r["k"], r["piece"]))
+        by.setdefault(r["lang"], []).append((r["k"], bytes(r["data"])))
     langs = tuple(sorted(by))
-    each = total_bytes // max(1, len(langs))
-    return Model(langs, tuple(b"\0".join(normalised(p) for _, p in sorted(by[x]))[:each] for x in langs))
+    return Model(langs, tuple(b"\0".join(p for _, p in sorted(by[x]))[:each] for x in langs))
+
+
+@F.pandas_udf(T.BinaryType())
+def _normalised_pieces(pieces: pd.Series) -> pd.Series:
+    return pieces.map(normalised)
 
 
 def _suffix_automaton(data: bytes) -> list[dict[int, int]]:
