@@ -1,6 +1,8 @@
 import random
 import time
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 
 from tests.llm.helpers import SF, docs
@@ -123,3 +125,25 @@ def test_blocks_of_items_give_the_same(spark):
     bench = spark.createDataFrame(items, "item_id long, text string")
     want, got = [sorted(map(str, dc.scan(docs(spark, rows), bench, block_chars=n).collect())) for n in (4_000_000, 250)]  # 1 and 20 blocks
     assert got == want
+
+
+def test_a_batch_of_texts_is_matched_in_little_memory():
+    random.seed(5)
+    words = ["".join(random.choices("abcdefghijklmnop", k=random.randrange(2, 9))) for _ in range(4000)]
+    passage = " ".join(random.choices(words, k=40))
+    texts = [" ".join(random.choices(words, k=500)) for _ in range(1600)]  # some 5 MB
+    for i in (0, 777, 1599):
+        texts[i] += " " + passage
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["doc_id", "text"])
+    assert batch.nbytes > 4 << 20
+    index = dc.Index(dc.Items((9,), (passage,)))
+    tracemalloc.start()
+    try:
+        got = [r for part in dc._matched(batch, index, ["doc_id", "text"], "text") for r in part.select(["doc_id", "matches"]).to_pylist()]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert [r["doc_id"] for r in got] == list(range(len(texts)))
+    assert {r["doc_id"]: [(m["item_id"], m["distance"]) for m in r["matches"]] for r in got if r["matches"]} == {
+        i: [(9, 0)] for i in (0, 777, 1599)}
+    assert peak < 64 << 20, peak

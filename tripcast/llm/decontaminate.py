@@ -48,7 +48,8 @@ Q = 8  # a q-gram is one 64-bit word
 RATE = 0.1
 HASH_BITS = 20
 THIRDS = 256  # kinds of 3-grams told apart
-PORTION = 1 << 20  # hits expanded at once
+PORTION = 1 << 18  # hits expanded at once
+TEXT_BYTES = 1 << 19  # text matched by one call: its arrays take some fifty times that
 MATCH = T.StructType([T.StructField("item_id", T.LongType()), T.StructField("distance", T.IntegerType()),
                       T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())])
 MATCH_ARROW = pa.list_(pa.struct([("item_id", pa.int64()), ("distance", pa.int32()), ("start", pa.int32()),
@@ -353,6 +354,15 @@ def _index(items: Items) -> Index:
     return held(("items", items), lambda: Index(items))
 
 
+def _matched(batch: pa.RecordBatch, index: Index, keep: list[str], text_col: str) -> Iterator[pa.RecordBatch]:
+    """The first columns of ``batch``, named ``keep``, with ``matches``."""
+    for part in slices(batch, text_col, TEXT_BYTES):
+        got = index.matches(*utf8_parts(part.column(part.schema.get_field_index(text_col))))
+        rows = [[dict(zip(("item_id", "distance", "start", "end"), x)) for x in r] for r in got]
+        yield pa.RecordBatch.from_arrays([part.column(i) for i in range(len(keep))]
+                                         + [pa.array(rows, MATCH_ARROW)], names=keep + ["matches"])
+
+
 def _scan(docs: DataFrame, items: Items, text_col: str) -> DataFrame:
     keep = [c for c in docs.columns if c != "matches"]
     schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField("matches", T.ArrayType(MATCH))])
@@ -361,11 +371,7 @@ def _scan(docs: DataFrame, items: Items, text_col: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = _index(shipped.value)
         for batch in batches:
-            for part in slices(batch, text_col):
-                got = index.matches(*utf8_parts(part.column(part.schema.get_field_index(text_col))))
-                rows = [[dict(zip(("item_id", "distance", "start", "end"), x)) for x in r] for r in got]
-                yield pa.RecordBatch.from_arrays([part.column(i) for i in range(len(keep))]
-                                                 + [pa.array(rows, MATCH_ARROW)], names=keep + ["matches"])
+            yield from _matched(batch, index, keep, text_col)
         give_back()
 
     return docs.select(*keep).mapInArrow(run, schema)
