@@ -53,11 +53,14 @@ def _tables(spark, folder, lines):
 
 def test_supplier_customer_routes_take_tasks_by_their_lines(spark, tmp_path, monkeypatch):
     want = _tables(spark, str(tmp_path), 6000)
+    first = sorted(((-v[2], r, *v) for r, v in want.items()))[:10]
     for most, tasks in ((250, 24), (10_000, None)):
         monkeypatch.setattr(sp, "ROWS_PER_TASK", most)
         routes = QUERIES["q16_supplier_customer_routes"](spark, str(tmp_path))
         assert {r[0]: tuple(r)[1:] for r in routes.collect()} == want
-        for df in (routes,):
+        top = QUERIES["q16_top_supplier_customer_routes"](spark, str(tmp_path))
+        assert [tuple(r) for r in top.collect()] == [x[1:] for x in first]
+        for df in (routes, top):
             plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
             shuffles = re.findall(r"Exchange hashpartitioning\((.*?), (\d+)\)", plan)
             assert len(shuffles) >= 4  # lines, orders, pairs, routes
